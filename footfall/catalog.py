@@ -136,3 +136,157 @@ QUERIES: dict[str, Query] = {
     "spend_quartiles": q_spend_quartiles,
     "latest_snapshots": q_latest_snapshots,
 }
+
+
+# ---------------------------------------------------------------- population (Incheon lattice)
+
+from footfall.plans import intake as ik  # noqa: E402
+from footfall.plans import population as po  # noqa: E402
+from footfall.session import scratch_path  # noqa: E402
+from footfall.sources import feeds  # noqa: E402
+
+POP_YEAR = ("20240101", "20241231")  # the reference loads one year of months; the feed stand-in holds 2024-01
+
+
+def q_csv_feed(spark, sf_dir):
+    path = scratch_path(spark, "time-pop-csv")
+    feeds.write_feed(fx.fx_time_pop(spark, sf_dir), path)
+    raw = feeds.read_feed(spark, path, feeds.TIME_POP_SCHEMA)
+    return present(feeds.typed(raw, feeds.TIME_VALUES))
+
+
+def q_district_prefix(spark, sf_dir):
+    return present(po.district_prefix(fx.fx_time_pop(spark, sf_dir), spark))
+
+
+def q_melt_hourly(spark, sf_dir):
+    return present(po.melt_hourly(fx.fx_time_pop(spark, sf_dir)))
+
+
+def q_unpivot_kinds(spark, sf_dir):
+    return present(po.unpivot_kinds(fx.fx_time_pop(spark, sf_dir)))
+
+
+def q_nonzero_population(spark, sf_dir):
+    return present(po.nonzero_population(po.unpivot_kinds(fx.fx_time_pop(spark, sf_dir))))
+
+
+def q_grid_index(spark, sf_dir):
+    df = po.ic_index(fx.fx_time_pop(spark, sf_dir))
+    return present(df.select(*po.FEED_KEYS, "row_id", "col_id", "mtr_no"))
+
+
+def q_cell_lookup(spark, sf_dir):
+    return po.cell_lookup(fx.fx_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir))
+
+
+def q_cell_lookup_xy(spark, sf_dir):
+    return present(po.cell_lookup_xy(fx.fx_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir)))
+
+
+def q_grid_population(spark, sf_dir):
+    df = po.grid_population(fx.fx_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir),
+                            first_ymd=POP_YEAR[0], last_ymd=POP_YEAR[1])
+    return present(df)
+
+
+def q_sex_age_ratio(spark, sf_dir):
+    df = po.sex_age_ratios(fx.fx_sex_age(spark, sf_dir))
+    return present(df.select(*[F.round(c, 6).alias(c) if c.endswith("_r") else F.col(c) for c in df.columns]))
+
+
+def q_female_population(spark, sf_dir):
+    df = po.female_population(fx.fx_time_pop(spark, sf_dir), fx.fx_sex_age(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir))
+    return df.withColumn("pcel_tmzn_fml_co", F.round("pcel_tmzn_fml_co", 6))
+
+
+# ---------------------------------------------------------------- bounded grid intake
+
+def _cell_days(spark, sf_dir):
+    return ik.bounded_cell_days(fx.fx_bounded_pop(spark, sf_dir), fx.fx_pcel_grid(spark, sf_dir))
+
+
+def _round_degrees(df, digits=7):
+    return df.select(*[F.round(c, digits).alias(c) if c.endswith(("_lo", "_la")) else F.col(c) for c in df.columns])
+
+
+def q_grid_bounds(spark, sf_dir):
+    return present(ik.grid_bounds(fx.fx_bounded_pop(spark, sf_dir)))
+
+
+def q_grid_population_bounded(spark, sf_dir):
+    return present(ik.grid_population_bounded(_cell_days(spark, sf_dir)))
+
+
+def q_unseen_cells(spark, sf_dir):
+    return present(ik.unseen_cells(_cell_days(spark, sf_dir)))
+
+
+def _cctv_counts(spark, sf_dir):
+    return ik.cctv_counts_of(fx.fx_cctv_cells(spark, sf_dir))
+
+
+def q_register_cells(spark, sf_dir):
+    new = ik.register_cells(ik.unseen_cells(_cell_days(spark, sf_dir)), fx.fx_pcel_grid(spark, sf_dir),
+                            _cctv_counts(spark, sf_dir))
+    return present(_round_degrees(new))
+
+
+def q_points_in_box(spark, sf_dir):
+    return ik.points_in_box(fx.fx_cctv_points(spark, sf_dir))
+
+
+def q_project_points(spark, sf_dir):
+    df = ik.project_points(fx.fx_cctv_points(spark, sf_dir))
+    return df.select("la", "lo", F.round("x_crd", 3).alias("x_crd"), F.round("y_crd", 3).alias("y_crd"),
+                     "row_no", "clm_no", "mtr_no")
+
+
+def q_cctv_per_cell(spark, sf_dir):
+    return ik.cctv_per_cell(fx.fx_cctv_points(spark, sf_dir))
+
+
+def q_cells_wgs84(spark, sf_dir):
+    cells = fx.fx_pcel_grid(spark, sf_dir).select("grid_id", "cnt_x_crd", "cnt_y_crd")
+    df = ik.cells_wgs84(cells).select("grid_id", "cnt_lo", "cnt_la", "min_lo", "min_la", "max_lo", "max_la")
+    return _round_degrees(df)
+
+
+def q_cells_with_cctv(spark, sf_dir):
+    return ik.cells_with_cctv(ik.unseen_cells(_cell_days(spark, sf_dir)), _cctv_counts(spark, sf_dir))
+
+
+def q_new_months(spark, sf_dir):
+    source, loaded = fx.fx_partition_lists(spark, sf_dir)
+    return ik.new_months(source, loaded)
+
+
+def q_partition_skew(spark, sf_dir):
+    from footfall.operators.skew import partition_skew
+    return partition_skew(_orders(spark, sf_dir))
+
+
+QUERIES.update({
+    "csv_feed": q_csv_feed,
+    "district_prefix": q_district_prefix,
+    "melt_hourly": q_melt_hourly,
+    "unpivot_kinds": q_unpivot_kinds,
+    "nonzero_population": q_nonzero_population,
+    "grid_index": q_grid_index,
+    "cell_lookup": q_cell_lookup,
+    "cell_lookup_xy": q_cell_lookup_xy,
+    "grid_population": q_grid_population,
+    "sex_age_ratio": q_sex_age_ratio,
+    "female_population": q_female_population,
+    "grid_bounds": q_grid_bounds,
+    "grid_population_bounded": q_grid_population_bounded,
+    "unseen_cells": q_unseen_cells,
+    "register_cells": q_register_cells,
+    "points_in_box": q_points_in_box,
+    "project_points": q_project_points,
+    "cctv_per_cell": q_cctv_per_cell,
+    "cells_wgs84": q_cells_wgs84,
+    "cells_with_cctv": q_cells_with_cctv,
+    "new_months": q_new_months,
+    "partition_skew": q_partition_skew,
+})

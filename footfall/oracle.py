@@ -187,3 +187,280 @@ SELECT {RES_COLS} FROM res""",
     "latest_snapshots": SPEND_BASE + f"""
 SELECT {RES_COLS} FROM res ORDER BY res.ordr_de DESC LIMIT 10""",
 }
+
+
+# ---------------------------------------------------------------- population fixtures in SQL
+
+from footfall.constants import AGES, DISTRICTS, HOURS, KINDS, SEXES  # noqa: E402
+from footfall.functions.geo import forward_stages, inverse_stages, stages_sql  # noqa: E402
+
+_CODES = "[" + ", ".join(f"'{c}'" for _, c in DISTRICTS) + "]"
+_TIME_COLS = [f"{k}_t_{h}" for k in KINDS for h in HOURS]
+_SA_COLS = [f"{k}_{s}_{a}" for k in KINDS for s in SEXES for a in AGES]
+_KEYS = "std_ymd, hcode, x_coord, y_coord"
+
+
+def _pop_long(x_expr: str, y_expr: str) -> str:
+    return f"""SELECT event_id, user_id,
+           CASE event_type WHEN 'view' THEN 'h' WHEN 'click' THEN 'w' ELSE 'v' END AS kind,
+           strftime(ts, '%Y%m%d') AS std_ymd, strftime(ts, '%H') AS tm,
+           ({_CODES})[user_id % 10 + 1] || '51000' AS hcode,
+           CAST({x_expr} AS DECIMAL(18,6)) AS x_coord, CAST({y_expr} AS DECIMAL(18,6)) AS y_coord,
+           CAST(value AS DECIMAL(18,2)) AS v
+      FROM events WHERE event_type IN ('view', 'click', 'purchase')"""
+
+
+IC_X = "746758.991784 + 25 + 50 * (user_id % 20)"
+IC_Y = "1883404.14739 + 25 + 50 * (user_id // 20)"
+B_X = "1077058.991787 + 25 + 50 * (user_id % 20) - CASE WHEN user_id % 19 = 0 THEN 2000 ELSE 0 END"
+B_Y = "1780604.147390 - 25 - 50 * (user_id // 20) - CASE WHEN user_id % 17 = 0 THEN 50000 ELSE 0 END"
+
+
+def _pivot(source: str, label: str, names: list[str]) -> str:
+    sums = ",\n           ".join(f"sum(CASE WHEN {label} = '{n}' THEN v ELSE 0 END) AS {n}" for n in names)
+    return f"SELECT {_KEYS},\n           {sums},\n           'B' AS block_cd\n      FROM {source} GROUP BY {_KEYS}"
+
+
+POP_FIXTURES = f"""fx_pop_long AS ({_pop_long(IC_X, IC_Y)}),
+fx_time_pop AS ({_pivot('fx_pop_long', "kind || '_t_' || tm", _TIME_COLS)}),
+fx_sex_age AS ({_pivot("(SELECT * FROM fx_pop_long WHERE user_id % 13 <> 0)",
+                       "kind || '_' || (CASE WHEN event_id % 2 = 0 THEN 'm' ELSE 'w' END) || '_' || "
+                       "CAST((event_id % 7 + 1) * 10 AS VARCHAR)", _SA_COLS)}),
+fx_ic_grid AS (
+    SELECT printf('GRID%06d', user_id + 1) AS grid_id,
+           CAST(user_id % 20 AS VARCHAR) || ',' || CAST(user_id // 20 AS VARCHAR) AS mtr_no,
+           CAST({IC_X} AS DECIMAL(18,6)) AS cnt_x_crd, CAST({IC_Y} AS DECIMAL(18,6)) AS cnt_y_crd,
+           ({_CODES})[user_id % 10 + 1] || '51000' AS admd_cd
+      FROM (SELECT DISTINCT user_id FROM events) u WHERE user_id % 7 <> 0)"""
+
+BOUNDED_FIXTURES = f"""fx_b_long AS ({_pop_long(B_X, B_Y)}),
+fx_bounded_pop AS (SELECT *, substr(std_ymd, 1, 6) AS pt_stdr_ym FROM ({_pivot('fx_b_long', "kind || '_t_' || tm", _TIME_COLS)})),
+fx_pcel_grid AS (
+    SELECT printf('GRID%06d', row_number() OVER (ORDER BY row_no, clm_no)) AS grid_id, *
+      FROM (SELECT CAST(user_id % 20 AS INTEGER) AS row_no, CAST(user_id // 20 AS INTEGER) AS clm_no,
+                   CAST(user_id % 20 AS VARCHAR) || ',' || CAST(user_id // 20 AS VARCHAR) AS mtr_no,
+                   ({_CODES})[user_id % 10 + 1] || '51000' AS admd_cd,
+                   CAST({B_X} AS DECIMAL(18,6)) AS cnt_x_crd, CAST({B_Y} AS DECIMAL(18,6)) AS cnt_y_crd
+              FROM (SELECT DISTINCT user_id FROM fx_b_long) u
+             WHERE user_id % 3 <> 0 AND user_id % 19 <> 0 AND user_id % 17 <> 0) c),
+fx_cctv_cells AS (
+    SELECT CAST(s_suppkey % 20 AS VARCHAR) || ',' || CAST(s_suppkey % 5 AS VARCHAR) AS mtr_no, 1.0 AS lo FROM supplier),
+cctv_counts AS (SELECT mtr_no, count(lo) AS cctv_co FROM fx_cctv_cells GROUP BY mtr_no)"""
+
+CCTV_POINTS = """fx_cctv_points AS (
+    SELECT CAST(35.608 + (s_suppkey % 34) * 0.012 AS DOUBLE) AS la,
+           CASE WHEN s_suppkey % 29 = 0 THEN NULL
+                ELSE CAST(128.351 + (s_suppkey % 41) * 0.01 + CASE WHEN s_suppkey % 23 = 0 THEN 1 ELSE 0 END AS DOUBLE)
+           END AS lo
+      FROM supplier),
+in_box AS (
+    SELECT la, lo FROM fx_cctv_points
+     WHERE lo BETWEEN 128.351 AND 128.761 AND la BETWEEN 35.608 AND 36.016 AND la IS NOT NULL AND lo IS NOT NULL)"""
+
+
+def _ic_idx(alias: str = "") -> str:
+    p = f"{alias}." if alias else ""
+    row = f"CAST(trunc(({p}x_coord - 746758.991784) / 50) AS INTEGER)"
+    col = f"CAST(trunc(({p}y_coord - 1883404.14739) / 50) AS INTEGER)"
+    return row, col
+
+
+_ROW, _COL = _ic_idx()
+_HOUR_LIST = "[" + ", ".join(f"'{h}'" for h in HOURS) + "]"
+
+
+def _list(cols: list[str]) -> str:
+    return "[" + ", ".join(cols) + "]"
+
+
+_HOUR_SUMS = [f"h_t_{h} + w_t_{h} + v_t_{h}" for h in HOURS]
+_DBL_TIME = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _TIME_COLS)
+
+_B_ROW = "CAST(trunc((cnt_x_crd - 1077058.991787) / 50) AS INTEGER)"
+_B_COL = "CAST(trunc((1780604.147390 - cnt_y_crd) / 50) AS INTEGER)"
+
+BOUNDED_DAYS = f"""src AS (
+    SELECT std_ymd AS stdr_de, hcode AS admd_cd, x_coord AS cnt_x_crd, y_coord AS cnt_y_crd,
+           unnest({_HOUR_LIST}) AS stdr_tm, unnest({_list(_HOUR_SUMS)}) AS s
+      FROM fx_bounded_pop),
+ps AS (
+    SELECT stdr_de, admd_cd, cnt_x_crd, cnt_y_crd, stdr_tm, sum(s) AS fpop_co
+      FROM src GROUP BY stdr_de, admd_cd, cnt_x_crd, cnt_y_crd, stdr_tm),
+idx AS (
+    SELECT *, {_B_ROW} AS row_no, {_B_COL} AS clm_no,
+           CAST({_B_ROW} AS VARCHAR) || ',' || CAST({_B_COL} AS VARCHAR) AS mtr_no
+      FROM ps),
+facts AS (
+    SELECT i.*, g.grid_id FROM idx i LEFT JOIN fx_pcel_grid g USING (mtr_no)
+     WHERE i.row_no >= 0 AND i.clm_no <= 910),
+unseen AS (
+    SELECT mtr_no, admd_cd, cnt_x_crd, cnt_y_crd, row_no, clm_no FROM (
+        SELECT *, row_number() OVER (PARTITION BY mtr_no ORDER BY admd_cd, cnt_x_crd, cnt_y_crd) AS rn
+          FROM (SELECT DISTINCT mtr_no, admd_cd, cnt_x_crd, cnt_y_crd, row_no, clm_no FROM facts WHERE grid_id IS NULL) d)
+     WHERE rn = 1)"""
+
+_CORNERS = """SELECT *, CAST(cnt_x_crd - 25 AS DECIMAL(18,8)) AS min_x_crd, CAST(cnt_x_crd + 25 AS DECIMAL(18,8)) AS max_x_crd,
+       CAST(cnt_y_crd - 25 AS DECIMAL(18,8)) AS min_y_crd, CAST(cnt_y_crd + 25 AS DECIMAL(18,8)) AS max_y_crd FROM {src}"""
+
+
+def _wgs84(src: str, keep: list[str]) -> str:
+    """Corners + the three inverse projections, as nested SELECTs."""
+    sql = _CORNERS.format(src=f"({src})")
+    cols = keep + ["min_x_crd", "max_x_crd", "min_y_crd", "max_y_crd"]
+    for x, y, lo, la in (("cnt_x_crd", "cnt_y_crd", "cnt_lo", "cnt_la"), ("min_x_crd", "min_y_crd", "min_lo", "min_la"),
+                         ("max_x_crd", "max_y_crd", "max_lo", "max_la")):
+        sql = stages_sql(sql, cols, inverse_stages(f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)", lo, la))
+        cols = cols + [la, lo]
+    return sql
+
+
+def _r7(c: str) -> str:
+    return f"round({c}, 7) AS {c}"
+
+
+_FEMALE_TERMS = " + ".join(f"{k}_pop * {k}_w_{a}_r" for k in KINDS for a in AGES)
+
+
+def _ratio_cols() -> str:
+    out = []
+    for k in KINDS:
+        total = " + ".join(f"{k}_{s}_{a}" for s in SEXES for a in AGES)
+        for a in AGES:
+            out.append(f"CASE WHEN ({total}) = 0 THEN 0.0 ELSE CAST({k}_w_{a} AS DOUBLE) / CAST(({total}) AS DOUBLE) END"
+                       f" AS {k}_w_{a}_r")
+    return ",\n           ".join(out)
+
+
+_IN_DISTRICTS = " OR ".join(f"starts_with(hcode, '{c}')" for _, c in DISTRICTS)
+_DISTRICT_VALUES = ", ".join(f"('{n}', '{c}')" for n, c in DISTRICTS)
+_STACK = (f"unnest({_HOUR_LIST}) AS tm, unnest({_list([f'h_t_{h}' for h in HOURS])}) AS h_pop, "
+          f"unnest({_list([f'w_t_{h}' for h in HOURS])}) AS w_pop, unnest({_list([f'v_t_{h}' for h in HOURS])}) AS v_pop")
+_NONZERO = " OR ".join(f"CAST(trunc({k}_pop) AS INTEGER) <> 0" for k in KINDS)
+
+ORACLE.update({
+    "csv_feed": f"""WITH {POP_FIXTURES}
+SELECT std_ymd, hcode, CAST(x_coord AS DOUBLE) AS x_coord, CAST(y_coord AS DOUBLE) AS y_coord, {_DBL_TIME}, block_cd
+  FROM fx_time_pop""",
+
+    "district_prefix": f"""WITH {POP_FIXTURES},
+d AS (SELECT * FROM (VALUES {_DISTRICT_VALUES}) t(gu_nm, gu_cd))
+SELECT std_ymd, hcode, substr(hcode, 1, 5) AS gu_cd, d.gu_nm, CAST(x_coord AS DOUBLE) AS x_coord,
+       CAST(y_coord AS DOUBLE) AS y_coord
+  FROM fx_time_pop LEFT JOIN d ON d.gu_cd = substr(hcode, 1, 5)
+ WHERE {_IN_DISTRICTS}""",
+
+    "melt_hourly": f"""WITH {POP_FIXTURES}
+SELECT std_ymd AS stdr_de, concat_ws(',', {_ROW}, {_COL}) AS mtr_no, substr(hcode, 1, 5) AS gu_cd,
+       unnest({_HOUR_LIST}) AS stdr_tm, CAST(unnest({_list(_HOUR_SUMS)}) AS DOUBLE) AS value
+  FROM fx_time_pop""",
+
+    "unpivot_kinds": f"""WITH {POP_FIXTURES},
+s AS (SELECT {_KEYS}, {_STACK} FROM fx_time_pop)
+SELECT std_ymd, hcode, CAST(x_coord AS DOUBLE) AS x_coord, CAST(y_coord AS DOUBLE) AS y_coord, tm,
+       CAST(h_pop AS DOUBLE) AS h_pop, CAST(w_pop AS DOUBLE) AS w_pop, CAST(v_pop AS DOUBLE) AS v_pop FROM s""",
+
+    "nonzero_population": f"""WITH {POP_FIXTURES},
+s AS (SELECT {_KEYS}, {_STACK} FROM fx_time_pop)
+SELECT std_ymd, hcode, CAST(x_coord AS DOUBLE) AS x_coord, CAST(y_coord AS DOUBLE) AS y_coord, tm,
+       CAST(h_pop AS DOUBLE) AS h_pop, CAST(w_pop AS DOUBLE) AS w_pop, CAST(v_pop AS DOUBLE) AS v_pop
+  FROM s WHERE {_NONZERO}""",
+
+    "grid_index": f"""WITH {POP_FIXTURES}
+SELECT std_ymd, hcode, CAST(x_coord AS DOUBLE) AS x_coord, CAST(y_coord AS DOUBLE) AS y_coord,
+       {_ROW} AS row_id, {_COL} AS col_id, concat_ws(',', {_ROW}, {_COL}) AS mtr_no
+  FROM fx_time_pop""",
+
+    "cell_lookup": f"""WITH {POP_FIXTURES},
+i AS (SELECT std_ymd, hcode, concat_ws(',', {_ROW}, {_COL}) AS mtr_no FROM fx_time_pop)
+SELECT i.mtr_no, i.std_ymd, i.hcode, g.grid_id FROM i LEFT JOIN fx_ic_grid g ON g.mtr_no = i.mtr_no""",
+
+    "cell_lookup_xy": f"""WITH {POP_FIXTURES}
+SELECT t.std_ymd, t.hcode, CAST(t.x_coord AS DOUBLE) AS x_coord, CAST(t.y_coord AS DOUBLE) AS y_coord, g.grid_id
+  FROM fx_time_pop t JOIN fx_ic_grid g
+    ON g.cnt_x_crd = t.x_coord AND g.cnt_y_crd = t.y_coord AND substr(g.admd_cd, 1, 5) = substr(t.hcode, 1, 5)""",
+
+    "grid_population": f"""WITH {POP_FIXTURES},
+m AS (SELECT std_ymd AS stdr_de, concat_ws(',', {_ROW}, {_COL}) AS mtr_no, substr(hcode, 1, 5) AS gu_cd,
+             unnest({_HOUR_LIST}) AS stdr_tm, unnest({_list(_HOUR_SUMS)}) AS value
+        FROM fx_time_pop WHERE std_ymd BETWEEN '20240101' AND '20241231' AND ({_IN_DISTRICTS})),
+p AS (SELECT stdr_de, stdr_tm, mtr_no, gu_cd, sum(value) AS fpop_co FROM m GROUP BY stdr_de, stdr_tm, mtr_no, gu_cd)
+SELECT p.stdr_de, p.stdr_tm, p.gu_cd, CAST(p.fpop_co AS DOUBLE) AS fpop_co, g.grid_id
+  FROM p LEFT JOIN fx_ic_grid g USING (mtr_no)""",
+
+    "sex_age_ratio": f"""WITH {POP_FIXTURES},
+r AS (SELECT {_KEYS},
+           {_ratio_cols()}
+        FROM fx_sex_age)
+SELECT std_ymd, hcode, CAST(x_coord AS DOUBLE) AS x_coord, CAST(y_coord AS DOUBLE) AS y_coord,
+       {', '.join(f'round({k}_w_{a}_r, 6) AS {k}_w_{a}_r' for k in KINDS for a in AGES)}
+  FROM r""",
+
+    "female_population": f"""WITH {POP_FIXTURES},
+t AS (SELECT f.*, g.grid_id FROM fx_time_pop f JOIN fx_ic_grid g
+        ON g.cnt_x_crd = f.x_coord AND g.cnt_y_crd = f.y_coord AND starts_with(g.admd_cd, substr(f.hcode, 1, 5))
+       WHERE {_IN_DISTRICTS.replace('hcode', 'f.hcode')}),
+h AS (SELECT {_KEYS}, grid_id, {_STACK} FROM t),
+nz AS (SELECT * FROM h WHERE {_NONZERO}),
+r AS (SELECT {_KEYS},
+           {_ratio_cols()}
+        FROM fx_sex_age WHERE {_IN_DISTRICTS}),
+m AS (SELECT nz.std_ymd, nz.hcode, nz.tm, nz.grid_id, {_FEMALE_TERMS} AS total
+        FROM nz JOIN r USING (std_ymd, hcode, x_coord, y_coord))
+SELECT std_ymd AS stdr_de, tm AS stdr_tm, grid_id, round(total, 6) AS pcel_tmzn_fml_co, substr(hcode, 1, 5) AS gu_cd
+  FROM m WHERE total <> 0""",
+
+    "grid_bounds": f"""WITH {BOUNDED_FIXTURES},
+c AS (SELECT DISTINCT hcode AS admd_cd, x_coord AS cnt_x_crd, y_coord AS cnt_y_crd FROM fx_bounded_pop),
+i AS (SELECT *, {_B_ROW} AS row_no, {_B_COL} AS clm_no FROM c)
+SELECT admd_cd, CAST(cnt_x_crd AS DOUBLE) AS cnt_x_crd, CAST(cnt_y_crd AS DOUBLE) AS cnt_y_crd, row_no, clm_no,
+       CAST(row_no AS VARCHAR) || ',' || CAST(clm_no AS VARCHAR) AS mtr_no
+  FROM i WHERE row_no >= 0 AND clm_no <= 910""",
+
+    "grid_population_bounded": f"""WITH {BOUNDED_FIXTURES}, {BOUNDED_DAYS}
+SELECT stdr_de, stdr_tm, grid_id, admd_cd, substr(admd_cd, 1, 5) AS gu_cd, CAST(fpop_co AS DOUBLE) AS fpop_co,
+       substr(stdr_de, 1, 6) AS pt_stdr_ym
+  FROM facts""",
+
+    "unseen_cells": f"""WITH {BOUNDED_FIXTURES}, {BOUNDED_DAYS}
+SELECT mtr_no, admd_cd, CAST(cnt_x_crd AS DOUBLE) AS cnt_x_crd, CAST(cnt_y_crd AS DOUBLE) AS cnt_y_crd, row_no, clm_no
+  FROM unseen""",
+
+    "register_cells": f"""WITH {BOUNDED_FIXTURES}, {BOUNDED_DAYS},
+last AS (SELECT coalesce(max(CAST(regexp_extract(grid_id, '([0-9]+)$', 1) AS BIGINT)), 0) AS n FROM fx_pcel_grid),
+ided AS (SELECT u.*, printf('GRID%06d', last.n + row_number() OVER (ORDER BY row_no, clm_no)) AS grid_id
+           FROM unseen u, last),
+geo AS ({_wgs84('SELECT * FROM ided', ['grid_id', 'row_no', 'clm_no', 'mtr_no', 'admd_cd', 'cnt_x_crd', 'cnt_y_crd'])})
+SELECT grid_id, row_no, clm_no, mtr_no, admd_cd, CAST(cnt_x_crd AS DOUBLE) AS cnt_x_crd,
+       CAST(cnt_y_crd AS DOUBLE) AS cnt_y_crd, CAST(min_x_crd AS DOUBLE) AS min_x_crd, CAST(min_y_crd AS DOUBLE) AS min_y_crd,
+       CAST(max_x_crd AS DOUBLE) AS max_x_crd, CAST(max_y_crd AS DOUBLE) AS max_y_crd,
+       {_r7('cnt_lo')}, {_r7('cnt_la')}, {_r7('min_lo')}, {_r7('min_la')}, {_r7('max_lo')}, {_r7('max_la')},
+       CAST(coalesce(c.cctv_co, 0) AS BIGINT) AS cctv_co
+  FROM geo LEFT JOIN cctv_counts c USING (mtr_no)""",
+
+    "points_in_box": f"""WITH {CCTV_POINTS}
+SELECT la, lo FROM in_box""",
+
+    "project_points": f"""WITH {CCTV_POINTS},
+p AS ({stages_sql('SELECT * FROM in_box', ['la', 'lo'], forward_stages('lo', 'la', 'x_crd', 'y_crd'))}),
+i AS (SELECT *, CAST(trunc((x_crd - 1077058.991787) / 50) AS INTEGER) AS row_no,
+             CAST(trunc((1780604.147390 - y_crd) / 50) AS INTEGER) AS clm_no FROM p)
+SELECT la, lo, round(x_crd, 3) AS x_crd, round(y_crd, 3) AS y_crd, row_no, clm_no,
+       CAST(row_no AS VARCHAR) || ',' || CAST(clm_no AS VARCHAR) AS mtr_no FROM i""",
+
+    "cctv_per_cell": f"""WITH {CCTV_POINTS},
+p AS ({stages_sql('SELECT * FROM in_box', ['la', 'lo'], forward_stages('lo', 'la', 'x_crd', 'y_crd'))})
+SELECT CAST(CAST(trunc((x_crd - 1077058.991787) / 50) AS INTEGER) AS VARCHAR) || ',' ||
+       CAST(CAST(trunc((1780604.147390 - y_crd) / 50) AS INTEGER) AS VARCHAR) AS mtr_no, count(lo) AS cctv_co
+  FROM p GROUP BY 1""",
+
+    "cells_wgs84": f"""WITH {BOUNDED_FIXTURES},
+geo AS ({_wgs84('SELECT grid_id, cnt_x_crd, cnt_y_crd FROM fx_pcel_grid', ['grid_id', 'cnt_x_crd', 'cnt_y_crd'])})
+SELECT grid_id, {_r7('cnt_lo')}, {_r7('cnt_la')}, {_r7('min_lo')}, {_r7('min_la')}, {_r7('max_lo')}, {_r7('max_la')}
+  FROM geo""",
+
+    "cells_with_cctv": f"""WITH {BOUNDED_FIXTURES}, {BOUNDED_DAYS}
+SELECT u.mtr_no, CAST(coalesce(c.cctv_co, 0) AS BIGINT) AS cctv_co FROM unseen u LEFT JOIN cctv_counts c USING (mtr_no)""",
+
+    "new_months": """SELECT DISTINCT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS year_month
+  FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) > 200006""",
+})
