@@ -464,3 +464,19 @@ SELECT u.mtr_no, CAST(coalesce(c.cctv_co, 0) AS BIGINT) AS cctv_co FROM unseen u
     "new_months": """SELECT DISTINCT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS year_month
   FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) > 200006""",
 })
+
+ORACLE.update({
+    "load_month": f"""WITH {FX_ORDERS}
+SELECT cust_id, {_d('ordr_de')}, CAST(gds_ordr_gramt AS DOUBLE) AS gds_ordr_gramt, ordr_key,
+       strftime(ordr_de, '%Y%m') AS pt_stdr_ym
+  FROM fx_orders WHERE strftime(ordr_de, '%Y%m') > '200006'""",
+
+    "grid_intake": f"""WITH {BOUNDED_FIXTURES}, {BOUNDED_DAYS},
+last AS (SELECT coalesce(max(CAST(regexp_extract(grid_id, '([0-9]+)$', 1) AS BIGINT)), 0) AS n FROM fx_pcel_grid),
+ided AS (SELECT u.mtr_no, printf('GRID%06d', last.n + row_number() OVER (ORDER BY row_no, clm_no)) AS grid_id
+           FROM unseen u, last)
+SELECT f.stdr_de, f.stdr_tm, coalesce(f.grid_id, n.grid_id) AS grid_id, f.admd_cd, substr(f.admd_cd, 1, 5) AS gu_cd,
+       CAST(f.fpop_co AS DOUBLE) AS fpop_co, substr(f.stdr_de, 1, 6) AS pt_stdr_ym
+  FROM facts f LEFT JOIN ided n USING (mtr_no)""",
+})
+ORACLE["intake_stream"] = ORACLE["load_month"]

@@ -123,8 +123,12 @@ def register_cells(unseen: DataFrame, grid: DataFrame, cctv_counts: DataFrame, l
     """
     last = last_grid_number(grid) if last_number is None else last_number
     with_ids = assign_sequential_ids(unseen, "row_no", "clm_no", F.lit(last), "_seq")
-    rows = cells_wgs84(with_ids.withColumn("grid_id", grid_id_text(F.col("_seq"))))
-    rows = rows.join(cctv_counts.select("mtr_no", "cctv_co"), "mtr_no", "left")
+    return full_grid_rows(with_ids.withColumn("grid_id", grid_id_text(F.col("_seq"))), cctv_counts)
+
+
+def full_grid_rows(cells_with_ids: DataFrame, cctv_counts: DataFrame) -> DataFrame:
+    """Grid rows that already carry ids (grid_id, row_no, clm_no, mtr_no, admd_cd, cnt_x/y) in the 18-column form."""
+    rows = cells_wgs84(cells_with_ids).join(cctv_counts.select("mtr_no", "cctv_co"), "mtr_no", "left")
     return rows.withColumn("cctv_co", F.coalesce(F.col("cctv_co"), F.lit(0)).cast("long")).select(*GRID_COLUMNS)
 
 
