@@ -42,6 +42,22 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.fx_orders(spark, sf_dir)
 
 
+def _time_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.stored(spark, sf_dir, "time_pop", fx.fx_time_pop)
+
+
+def _sex_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.stored(spark, sf_dir, "sex_age", fx.fx_sex_age)
+
+
+def _bounded_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.stored(spark, sf_dir, "bounded_pop", fx.fx_bounded_pop)
+
+
+def _pcel_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.stored(spark, sf_dir, "pcel_grid", fx.fx_pcel_grid)
+
+
 def _calendar(spark: SparkSession) -> DataFrame:
     return snap.snapshot_calendar(spark, *SNAPSHOT_RANGE)
 
@@ -150,60 +166,60 @@ POP_YEAR = ("20240101", "20241231")  # the reference loads one year of months; t
 
 def q_csv_feed(spark, sf_dir):
     path = scratch_path(spark, "time-pop-csv")
-    feeds.write_feed(fx.fx_time_pop(spark, sf_dir), path)
+    feeds.write_feed(_time_pop(spark, sf_dir), path)
     raw = feeds.read_feed(spark, path, feeds.TIME_POP_SCHEMA)
     return present(feeds.typed(raw, feeds.TIME_VALUES))
 
 
 def q_district_prefix(spark, sf_dir):
-    return present(po.district_prefix(fx.fx_time_pop(spark, sf_dir), spark))
+    return present(po.district_prefix(_time_pop(spark, sf_dir), spark))
 
 
 def q_melt_hourly(spark, sf_dir):
-    return present(po.melt_hourly(fx.fx_time_pop(spark, sf_dir)))
+    return present(po.melt_hourly(_time_pop(spark, sf_dir)))
 
 
 def q_unpivot_kinds(spark, sf_dir):
-    return present(po.unpivot_kinds(fx.fx_time_pop(spark, sf_dir)))
+    return present(po.unpivot_kinds(_time_pop(spark, sf_dir)))
 
 
 def q_nonzero_population(spark, sf_dir):
-    return present(po.nonzero_population(po.unpivot_kinds(fx.fx_time_pop(spark, sf_dir))))
+    return present(po.nonzero_population(po.unpivot_kinds(_time_pop(spark, sf_dir))))
 
 
 def q_grid_index(spark, sf_dir):
-    df = po.ic_index(fx.fx_time_pop(spark, sf_dir))
+    df = po.ic_index(_time_pop(spark, sf_dir))
     return present(df.select(*po.FEED_KEYS, "row_id", "col_id", "mtr_no"))
 
 
 def q_cell_lookup(spark, sf_dir):
-    return po.cell_lookup(fx.fx_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir))
+    return po.cell_lookup(_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir))
 
 
 def q_cell_lookup_xy(spark, sf_dir):
-    return present(po.cell_lookup_xy(fx.fx_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir)))
+    return present(po.cell_lookup_xy(_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir)))
 
 
 def q_grid_population(spark, sf_dir):
-    df = po.grid_population(fx.fx_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir),
+    df = po.grid_population(_time_pop(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir),
                             first_ymd=POP_YEAR[0], last_ymd=POP_YEAR[1])
     return present(df)
 
 
 def q_sex_age_ratio(spark, sf_dir):
-    df = po.sex_age_ratios(fx.fx_sex_age(spark, sf_dir))
+    df = po.sex_age_ratios(_sex_age(spark, sf_dir))
     return present(df.select(*[F.round(c, 6).alias(c) if c.endswith("_r") else F.col(c) for c in df.columns]))
 
 
 def q_female_population(spark, sf_dir):
-    df = po.female_population(fx.fx_time_pop(spark, sf_dir), fx.fx_sex_age(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir))
+    df = po.female_population(_time_pop(spark, sf_dir), _sex_age(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir))
     return df.withColumn("pcel_tmzn_fml_co", F.round("pcel_tmzn_fml_co", 6))
 
 
 # ---------------------------------------------------------------- bounded grid intake
 
 def _cell_days(spark, sf_dir):
-    return ik.bounded_cell_days(fx.fx_bounded_pop(spark, sf_dir), fx.fx_pcel_grid(spark, sf_dir))
+    return ik.bounded_cell_days(_bounded_pop(spark, sf_dir), _pcel_grid(spark, sf_dir))
 
 
 def _round_degrees(df, digits=7):
@@ -211,7 +227,7 @@ def _round_degrees(df, digits=7):
 
 
 def q_grid_bounds(spark, sf_dir):
-    return present(ik.grid_bounds(fx.fx_bounded_pop(spark, sf_dir)))
+    return present(ik.grid_bounds(_bounded_pop(spark, sf_dir)))
 
 
 def q_grid_population_bounded(spark, sf_dir):
@@ -227,7 +243,7 @@ def _cctv_counts(spark, sf_dir):
 
 
 def q_register_cells(spark, sf_dir):
-    new = ik.register_cells(ik.unseen_cells(_cell_days(spark, sf_dir)), fx.fx_pcel_grid(spark, sf_dir),
+    new = ik.register_cells(ik.unseen_cells(_cell_days(spark, sf_dir)), _pcel_grid(spark, sf_dir),
                             _cctv_counts(spark, sf_dir))
     return present(_round_degrees(new))
 
@@ -247,7 +263,7 @@ def q_cctv_per_cell(spark, sf_dir):
 
 
 def q_cells_wgs84(spark, sf_dir):
-    cells = fx.fx_pcel_grid(spark, sf_dir).select("grid_id", "cnt_x_crd", "cnt_y_crd")
+    cells = _pcel_grid(spark, sf_dir).select("grid_id", "cnt_x_crd", "cnt_y_crd")
     df = ik.cells_wgs84(cells).select("grid_id", "cnt_lo", "cnt_la", "min_lo", "min_la", "max_lo", "max_la")
     return _round_degrees(df)
 
@@ -337,11 +353,11 @@ def q_intake_stream(spark, sf_dir):
 
 
 def q_grid_intake(spark, sf_dir):
-    src = fx.fx_bounded_pop(spark, sf_dir)
+    src = _bounded_pop(spark, sf_dir)
     source_path = scratch_path(spark, "bounded-source")
     src.write.partitionBy(jobs.PARTITION).parquet(source_path)
     grid_path = scratch_path(spark, "pcel-grid")
-    ik.full_grid_rows(fx.fx_pcel_grid(spark, sf_dir), _cctv_counts(spark, sf_dir)).write.parquet(grid_path)
+    ik.full_grid_rows(_pcel_grid(spark, sf_dir), _cctv_counts(spark, sf_dir)).write.parquet(grid_path)
     fact_path = scratch_path(spark, "pcell-facts")
     jobs.run_grid_intake(spark, source_path, src.schema, fact_path, grid_path, _cctv_counts(spark, sf_dir))
     facts = spark.read.parquet(fact_path).withColumn(jobs.PARTITION, F.col(jobs.PARTITION).cast("string"))

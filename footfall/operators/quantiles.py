@@ -6,9 +6,11 @@ snapshot group holds every active user, so both are unbounded. Here the values a
 rank-selected in blocks instead:
 
 1. count rows per (group, value)  - partial aggregation, so repeated values collapse;
-2. per group: total n and B-1 approximate cut points over the distinct values
-   (``percentile_approx``; a sketch of fixed size), frozen by a checkpoint so every
-   later step sees the same cuts;
+2. per group: total n and distinct values d. When every d is at most
+   ``single_task_limit`` (checked at run time), each group is one block and the
+   steps below reduce to one spillable sort per group. Otherwise B-1 approximate
+   cut points over the distinct values (``percentile_approx``; a sketch of fixed
+   size), frozen by a checkpoint so every later step sees the same cuts;
 3. each distinct value gets block = number of cuts below it; block totals are
    prefix-summed per group (<= B rows per group);
 4. target ranks (ceil(p*n) for discrete, floor/ceil of (n-1)p for interpolated) are
@@ -46,6 +48,7 @@ def exact_percentiles(
     blocks: int = 64,
     accuracy: int = 10000,
     materialize: bool = True,
+    single_task_limit: int = 2_000_000,
 ) -> DataFrame:
     """One row per group present in ``df``: keys + one column per probability.
 
@@ -60,22 +63,27 @@ def exact_percentiles(
     if materialize:
         freq = _freeze(freq)
 
-    cut_probs = [i / blocks for i in range(1, blocks)]
-    summary = _freeze(
-        freq.groupBy(*keys).agg(
-            F.sum("_c").alias("_n"),
-            F.percentile_approx(value, cut_probs, accuracy).alias("_cuts"),
+    # rows (n) and distinct values (d) per group; one small row per group
+    summary = _freeze(freq.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d")))
+    largest = summary.agg(F.max("_d")).first()[0] or 0
+
+    if largest <= single_task_limit:
+        # every group fits one sort: a single block per group, no cut points needed
+        assigned = freq.withColumn("_b", F.lit(0))
+        offsets = summary.select(*keys, F.lit(0).alias("_b"), F.lit(0).cast("long").alias("_start"),
+                                 F.col("_n").alias("_end"))
+    else:
+        cut_probs = [i / blocks for i in range(1, blocks)]
+        cuts = _freeze(freq.groupBy(*keys).agg(F.percentile_approx(value, cut_probs, accuracy).alias("_cuts")))
+        assigned = freq.join(cuts, keys).select(
+            *keys, value, "_c", F.size(F.filter("_cuts", lambda x: x < v)).alias("_b")
+        )
+        # block offsets: <= B rows per group, the window never sees the data itself
+        block_counts = assigned.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+        w_blocks = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        offsets = block_counts.withColumn("_end", F.sum("_bc").over(w_blocks)).withColumn(
+            "_start", F.col("_end") - F.col("_bc")
         )
-    )
-
-    assigned = freq.join(summary.select(*keys, "_cuts"), keys).select(
-        *keys, value, "_c", F.size(F.filter("_cuts", lambda x: x < v)).alias("_b")
-    )
-
-    # block offsets: <= B rows per group, the window never sees the data itself
-    block_counts = assigned.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-    w_blocks = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = block_counts.withColumn("_end", F.sum("_bc").over(w_blocks)).withColumn("_start", F.col("_end") - F.col("_bc"))
 
     # target ranks (1-based); exact decimal arithmetic for the rank itself
     n = F.col("_n")
@@ -100,7 +108,7 @@ def exact_percentiles(
 
     # sort only the blocks that hold a target rank
     needed = located.select(*keys, "_b").distinct()
-    in_blocks = assigned.join(needed, [*keys, "_b"], "left_semi")
+    in_blocks = assigned if largest <= single_task_limit else assigned.join(needed, [*keys, "_b"], "left_semi")
     w_in = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = in_blocks.withColumn("_cum", F.sum("_c").over(w_in)).withColumn("_prev", F.col("_cum") - F.col("_c"))
     picked = located.join(ranked, [*keys, "_b"]).where(

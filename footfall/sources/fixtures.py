@@ -30,6 +30,26 @@ def _dec(text: str) -> Column:
     return F.lit(Decimal(text))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Derive a stand-in once per application and keep it as a parquet table in the shared scratch folder.
+
+    The reference reads its feeds from stored tables; later queries read this copy
+    instead of re-deriving it from the events table every time.
+    """
+    from footfall.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _STORED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"fx-{name}")
+        build(spark, sf_dir).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- customer orders
 
 def fx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,9 +108,19 @@ def fx_pop_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pivot_sum(long_df: DataFrame, keys: list[str], label: Column, names: list[str]) -> DataFrame:
-    """Conditional sums, one column per label value, missing = 0 (one aggregation, no distinct job)."""
-    aggs = [F.sum(F.when(label == n, F.col("v")).otherwise(F.lit(0))).alias(n) for n in names]
-    return long_df.groupBy(*keys).agg(*aggs).withColumn("block_cd", F.lit("B"))
+    """Sum of v per (keys, label), pivoted to one column per label value (listed, so no distinct job); missing = 0.
+
+    Sums run on whole cents as longs (exact, fixed-width buffers) and turn back into decimal(18,2).
+    """
+    cents = long_df.groupBy(*keys, label.alias("_label")).agg(
+        F.sum((F.col("v") * 100).cast("long")).alias("_cents")
+    )
+    wide = cents.groupBy(*keys).pivot("_label", names).agg(F.first("_cents"))
+    return wide.select(
+        *keys,
+        *[(F.coalesce(F.col(n), F.lit(0)).cast("decimal(20,0)") / 100).cast(DEC_MONEY).alias(n) for n in names],
+        F.lit("B").alias("block_cd"),
+    )
 
 
 HOUR_COLUMNS = [f"{k}_t_{h}" for k in KINDS for h in HOURS]
