@@ -167,8 +167,7 @@ POP_YEAR = ("20240101", "20241231")  # the reference loads one year of months; t
 def q_csv_feed(spark, sf_dir):
     path = scratch_path(spark, "time-pop-csv")
     feeds.write_feed(_time_pop(spark, sf_dir), path)
-    raw = feeds.read_feed(spark, path, feeds.TIME_POP_SCHEMA)
-    return present(feeds.typed(raw, feeds.TIME_VALUES))
+    return present(feeds.read_feed(spark, f"{path}/*.csv", feeds.TIME_POP_TYPED))
 
 
 def q_district_prefix(spark, sf_dir):
@@ -211,6 +210,17 @@ def q_sex_age_ratio(spark, sf_dir):
     return present(df.select(*[F.round(c, 6).alias(c) if c.endswith("_r") else F.col(c) for c in df.columns]))
 
 
+def q_female_population_csv(spark, sf_dir):
+    """Q5 as the reference runs it: both feeds read from '|' CSV text with all-string schemas."""
+    tpath, spath = scratch_path(spark, "time-pop-csv"), scratch_path(spark, "sex-age-csv")
+    feeds.write_feed(_time_pop(spark, sf_dir), tpath)
+    feeds.write_feed(_sex_age(spark, sf_dir), spath)
+    tp = feeds.read_feed(spark, f"{tpath}/*.csv", feeds.TIME_POP_TYPED)
+    sa = feeds.read_feed(spark, f"{spath}/*.csv", feeds.SEX_AGE_POP_TYPED)
+    df = po.female_population(tp, sa, fx.fx_ic_grid(spark, sf_dir))
+    return df.withColumn("pcel_tmzn_fml_co", F.round("pcel_tmzn_fml_co", 6))
+
+
 def q_female_population(spark, sf_dir):
     df = po.female_population(_time_pop(spark, sf_dir), _sex_age(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir))
     return df.withColumn("pcel_tmzn_fml_co", F.round("pcel_tmzn_fml_co", 6))
@@ -294,6 +304,7 @@ QUERIES.update({
     "grid_population": q_grid_population,
     "sex_age_ratio": q_sex_age_ratio,
     "female_population": q_female_population,
+    "female_population_csv": q_female_population_csv,
     "grid_bounds": q_grid_bounds,
     "grid_population_bounded": q_grid_population_bounded,
     "unseen_cells": q_unseen_cells,

@@ -9,6 +9,10 @@ cuts lineage so a lost executor does not replay the whole month.
 
 from __future__ import annotations
 
+import logging
+import time
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +23,21 @@ from footfall.session import ensure_checkpoint_dir
 from footfall.sinks import append, overwrite_partitions
 
 PARTITION = "pt_stdr_ym"
+log = logging.getLogger("footfall.jobs")
+
+
+@contextmanager
+def job_step(spark: SparkSession, group: str, description: str):
+    """Label the Spark jobs of a step (job group) and log its elapsed time."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, description, interruptOnCancel=True)
+    start = time.monotonic()
+    try:
+        yield
+    finally:
+        log.info("%s: %s took %.1f s", group, description, time.monotonic() - start)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
@@ -53,12 +72,14 @@ def load_new_months(spark: SparkSession, source_path: str, target_path: str, sch
     """
     source = spark.read.schema(schema).parquet(source_path)
     target = _read_or_none(spark, target_path, schema)
-    months = months_to_load(spark, source, target)
-    if months.isEmpty():
-        return 0
+    with job_step(spark, "month-load", "find months to load"):
+        months = months_to_load(spark, source, target)
+        if months.isEmpty():
+            return 0
     # the month list is bounded by the calendar: safe to broadcast into the semi join
     rows = source.join(F.broadcast(months), PARTITION, "left_semi")
-    overwrite_partitions(rows.select(*schema.fieldNames()), target_path, PARTITION)
+    with job_step(spark, "month-load", "write months"):
+        overwrite_partitions(rows.select(*schema.fieldNames()), target_path, PARTITION)
     return months.count()
 
 
@@ -75,20 +96,24 @@ def run_grid_intake(spark: SparkSession, source_path: str, source_schema: Struct
     ensure_checkpoint_dir(spark)
     source = spark.read.schema(source_schema).parquet(source_path)
     facts_now = _read_or_none(spark, fact_path)
-    months = months_to_load(spark, source, facts_now)
-    if months.isEmpty():
-        return {"months": 0, "new_cells": 0}
+    with job_step(spark, "grid-intake", "find months to load"):
+        months = months_to_load(spark, source, facts_now)
+        if months.isEmpty():
+            return {"months": 0, "new_cells": 0}
 
     grid = spark.read.parquet(grid_path)
-    cell_days = ik.bounded_cell_days(source, grid, months).checkpoint(eager=True)
-
-    new_cells = ik.register_cells(ik.unseen_cells(cell_days), grid, cctv_counts).checkpoint(eager=True)
-    n_new = new_cells.count()
-    if n_new:
-        append(new_cells, grid_path)
-
-    grid_now = spark.read.parquet(grid_path).select("mtr_no", "grid_id")
-    rejoined = cell_days.drop("grid_id").join(grid_now, "mtr_no", "left")
-    facts = ik.grid_population_bounded(rejoined).where(F.col("grid_id").isNotNull())
-    overwrite_partitions(facts.select(*ik.FACT_COLUMNS), fact_path, PARTITION)
+    with job_step(spark, "grid-intake", "cell-day sums of the new months"):
+        cell_days = ik.bounded_cell_days(source, grid, months).checkpoint(eager=True)
+
+    with job_step(spark, "grid-intake", "register unseen cells"):
+        new_cells = ik.register_cells(ik.unseen_cells(cell_days), grid, cctv_counts).checkpoint(eager=True)
+        n_new = new_cells.count()
+        if n_new:
+            append(new_cells, grid_path)
+
+    with job_step(spark, "grid-intake", "write month facts"):
+        grid_now = spark.read.parquet(grid_path).select("mtr_no", "grid_id")
+        rejoined = cell_days.drop("grid_id").join(grid_now, "mtr_no", "left")
+        facts = ik.grid_population_bounded(rejoined).where(F.col("grid_id").isNotNull())
+        overwrite_partitions(facts.select(*ik.FACT_COLUMNS), fact_path, PARTITION)
     return {"months": months.count(), "new_cells": n_new}

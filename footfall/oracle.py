@@ -480,3 +480,5 @@ SELECT f.stdr_de, f.stdr_tm, coalesce(f.grid_id, n.grid_id) AS grid_id, f.admd_c
   FROM facts f LEFT JOIN ided n USING (mtr_no)""",
 })
 ORACLE["intake_stream"] = ORACLE["load_month"]
+
+ORACLE["female_population_csv"] = ORACLE["female_population"]

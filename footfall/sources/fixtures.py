@@ -30,7 +30,7 @@ def _dec(text: str) -> Column:
     return F.lit(Decimal(text))
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -42,12 +42,13 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     from footfall.session import scratch_path
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    path = _STORED.get(key)
-    if path is None:
+    if key not in _STORED:
         path = scratch_path(spark, f"fx-{name}")
-        build(spark, sf_dir).write.parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(path)
+        df = build(spark, sf_dir)
+        df.write.parquet(path)
+        _STORED[key] = (path, df.schema)
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 # ---------------------------------------------------------------- customer orders
