@@ -31,6 +31,11 @@ def service_rows(source: DataFrame, months: DataFrame | None = None) -> DataFram
     )
 
 
+def service_month(source: DataFrame, year_month: str) -> DataFrame:
+    """One month of the partitioned source (the filter on the partition column prunes to its folder)."""
+    return service_rows(source.where(F.col("pt_stdr_ym") == F.lit(str(year_month))))
+
+
 def bounded_index(df: DataFrame, x: str = "cnt_x_crd", y: str = "cnt_y_crd") -> DataFrame:
     """row_no from x (rightward of PCELL_X), clm_no from y (downward of PCELL_Y), truncated; mtr_no = 'row,clm'.
 
