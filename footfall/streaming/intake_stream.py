@@ -19,9 +19,12 @@ from footfall.sinks import overwrite_partitions
 
 def run_intake_stream(spark: SparkSession, source_path: str, schema: StructType, target_path: str,
                       checkpoint_path: str, after_month: str | None = None,
-                      partition_col: str = "pt_stdr_ym") -> None:
+                      partition_col: str = "pt_stdr_ym", max_files_per_trigger: int | None = None) -> None:
     """Load every source month not yet processed (and later than ``after_month``) into ``target_path``."""
-    stream = spark.readStream.schema(schema).parquet(source_path)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source_path)
     if after_month is not None:
         stream = stream.where(F.col(partition_col) > F.lit(after_month))
 
