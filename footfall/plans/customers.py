@@ -94,10 +94,21 @@ def user_movement_full_outer(orders: DataFrame, start_de: str = "1970-01-01", en
 
 # ------------------------------------------------------------------ trailing year
 
+def by_customer(per_month: DataFrame) -> DataFrame:
+    """Hash-partition per-(customer, month) aggregates by customer.
+
+    They hold at most one row per customer and month, so even the largest customer
+    is a bounded partition. The 12-fold explode then runs in place and the
+    (snapshot, customer) aggregation needs no shuffle of its own: the exploded rows,
+    12 times as many, never cross the network.
+    """
+    return per_month.repartition(CUST)
+
+
 def trailing_members(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     """Per snapshot: orders and distinct customers inside its trailing year (0 when none)."""
     per_month = orders.groupBy(CUST, month_start(DAY).alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
-    exploded = restrict_to_calendar(explode_to_snapshots(per_month, "_m"), calendar)
+    exploded = restrict_to_calendar(explode_to_snapshots(by_customer(per_month), "_m"), calendar)
     per_user = exploded.groupBy(SNAPSHOT, CUST).agg(F.sum("_n").alias("_n"))
     per_snap = per_user.groupBy(SNAPSHOT).agg(F.sum("_n").alias("n_orders"), F.count(F.lit(1)).alias("n_users"))
     return attach_calendar(calendar, per_snap).na.fill(0, ["n_orders", "n_users"])
@@ -194,7 +205,7 @@ def user_spend(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: st
         .groupBy(CUST, month_start(DAY).alias("_m"))
         .agg(F.sum(AMOUNT).alias("_amt"), F.count(F.lit(1)).alias("_cnt"))
     )
-    exploded = restrict_to_calendar(explode_to_snapshots(per_month, "_m"), calendar)
+    exploded = restrict_to_calendar(explode_to_snapshots(by_customer(per_month), "_m"), calendar)
     return exploded.groupBy(SNAPSHOT, CUST).agg(
         F.sum("_amt").alias("user_gds_ordr_gramt"), F.sum("_cnt").alias("user_purchase_cnt")
     )
@@ -207,20 +218,23 @@ def spend_quartiles(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
                     blocks: int = 64) -> DataFrame:
     """Q3: per snapshot, exact quartiles (rank ceil(p*n)) over customers of spend and of order count.
 
-    Both measures go through one rank selection, keyed by (snapshot, measure).
+    Both measures go through one rank selection, keyed by (snapshot, measure); spend
+    travels as whole cents in a bigint (exact, fixed width) and is turned back at the end.
     """
     spend = user_spend(orders, calendar, start_de, end_de)
+    cents = (F.col("user_gds_ordr_gramt") * 100).cast("long")
     long_form = spend.select(
         SNAPSHOT,
         F.explode(F.array(
-            F.struct(F.lit("amt").alias("_measure"), F.col("user_gds_ordr_gramt").cast("decimal(38,2)").alias("_v")),
-            F.struct(F.lit("cnt").alias("_measure"), F.col("user_purchase_cnt").cast("decimal(38,2)").alias("_v")),
+            F.struct(F.lit("amt").alias("_measure"), cents.alias("_v")),
+            F.struct(F.lit("cnt").alias("_measure"), F.col("user_purchase_cnt").cast("long").alias("_v")),
         )).alias("_x"),
     ).select(SNAPSHOT, "_x._measure", "_x._v")
     q = exact_percentiles(long_form, [SNAPSHOT, "_measure"], "_v", QUARTILES, ["_q1", "_q2", "_q3"], blocks=blocks)
+    amt = [(F.max(F.when(F.col("_measure") == "amt", F.col(f"_q{i}"))).cast("decimal(20,0)") / 100)
+           .cast("decimal(20,2)") for i in (1, 2, 3)]
     wide = q.groupBy(SNAPSHOT).agg(
-        *[F.max(F.when(F.col("_measure") == "amt", F.col(f"_q{i}"))).cast("double").alias(f"all_user_gds_ordr_gramt_q{i}")
-          for i in (1, 2, 3)],
+        *[a.cast("double").alias(f"all_user_gds_ordr_gramt_q{i}") for i, a in zip((1, 2, 3), amt)],
         *[F.max(F.when(F.col("_measure") == "cnt", F.col(f"_q{i}"))).cast("long").alias(f"all_user_purchase_cnt_q{i}")
           for i in (1, 2, 3)],
     )

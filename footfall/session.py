@@ -16,10 +16,14 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session configured like a small cluster job (UI off, AQE on, UTC)."""
+    builder = SparkSession.builder
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("footfall")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
