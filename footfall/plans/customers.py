@@ -149,13 +149,17 @@ def repurchase_gaps(orders: DataFrame, start_de: str, end_de: str) -> DataFrame:
 
 
 def user_repurchase(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str,
-                    distinct_days: bool = False) -> DataFrame:
+                    distinct_days: bool = False, drop_first: bool = True) -> DataFrame:
     """Per (snapshot, customer): mean gap of the customer's orders in the window, its first one left out.
 
     Per (customer, day) with prior day p and n orders: the rows kept are n (n - 1
     when p is NULL), their gaps sum to datediff(day, p) (0 when p is NULL) and the
     first kept row has that gap. These add up per month and then per snapshot, and
     the mean without the window's first row is (sum - first) / (kept - 1).
+
+    ``drop_first=False`` drops the window's first row only when its gap reaches back
+    before the window start (a customer whose first order falls inside the window
+    keeps all its gaps); ``distinct_days=True`` counts same-day repeats once.
     """
     days = customer_days(orders, start_de, end_de)
     n = F.lit(1) if distinct_days else F.col("n_orders")
@@ -165,31 +169,47 @@ def user_repurchase(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
         CUST, DAY,
         (n - F.when(has_prior, 0).otherwise(1)).alias("_k"),
         gap.alias("_g"),
+        # the previous order of the day's first kept row (the same day when p is NULL)
+        F.coalesce(F.col("prior_day"), F.col(DAY)).alias("_fp"),
     ).where(F.col("_k") > 0)
     per_month = per_day.groupBy(CUST, month_start(DAY).alias("_m")).agg(
         F.sum("_k").alias("_k"),
         F.sum("_g").alias("_s"),
         F.min_by("_g", DAY).alias("_first"),
+        F.min_by("_fp", DAY).alias("_first_prior"),
         F.min(DAY).alias("_first_day"),
     )
     exploded = restrict_to_calendar(explode_to_snapshots(per_month, "_m"), calendar)
     per_user = exploded.groupBy(SNAPSHOT, CUST).agg(
-        F.sum("_k").alias("_k"), F.sum("_s").alias("_s"), F.min_by("_first", "_first_day").alias("_first")
+        F.sum("_k").alias("_k"), F.sum("_s").alias("_s"), F.min_by("_first", "_first_day").alias("_first"),
+        F.min_by("_first_prior", "_first_day").alias("_first_prior"),
     )
-    return per_user.where(F.col("_k") > 1).select(
-        SNAPSHOT, CUST,
-        ((F.col("_s") - F.col("_first")).cast("double") / (F.col("_k") - 1).cast("double")).alias(
-            "user_repurchase_cycle_avg"
-        ),
+    if drop_first:
+        drop = F.lit(True)
+    else:
+        drop = F.col("_first_prior") < F.add_months(F.col(SNAPSHOT), -12)
+    kept = F.col("_k") - F.when(drop, 1).otherwise(0)
+    total = F.col("_s") - F.when(drop, F.col("_first")).otherwise(0)
+    return per_user.where(kept > 0).select(
+        SNAPSHOT, CUST, (total.cast("double") / kept.cast("double")).alias("user_repurchase_cycle_avg"),
     )
 
 
 def repurchase_median(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str,
-                      distinct_days: bool = False, blocks: int = 64) -> DataFrame:
-    """Q2: per snapshot, ceil of the (interpolated) median over customers of their mean repurchase gap."""
-    per_user = user_repurchase(orders, calendar, start_de, end_de, distinct_days)
-    med = exact_percentiles(per_user, [SNAPSHOT], "user_repurchase_cycle_avg", [0.5], ["_median"],
-                            interpolate=True, blocks=blocks)
+                      distinct_days: bool = False, drop_first: bool = True, blocks: int = 64,
+                      accuracy: int | None = None) -> DataFrame:
+    """Q2: per snapshot, ceil of the (interpolated) median over customers of their mean repurchase gap.
+
+    ``accuracy`` opts into ``percentile_approx`` (one aggregation, rank error <= n/accuracy,
+    no interpolation) for runs where an approximate median is acceptable.
+    """
+    per_user = user_repurchase(orders, calendar, start_de, end_de, distinct_days, drop_first)
+    if accuracy:
+        med = per_user.groupBy(SNAPSHOT).agg(
+            F.percentile_approx("user_repurchase_cycle_avg", 0.5, accuracy).alias("_median"))
+    else:
+        med = exact_percentiles(per_user, [SNAPSHOT], "user_repurchase_cycle_avg", [0.5], ["_median"],
+                                interpolate=True, blocks=blocks)
     per_snap = med.select(SNAPSHOT, F.ceil("_median").cast("long").alias("all_repurchase_cycle_median"))
     return attach_calendar(calendar, per_snap).select(
         SNAPSHOT, INTERVAL_START, INTERVAL_END, "all_repurchase_cycle_median"
@@ -215,10 +235,11 @@ QUARTILES = [0.25, 0.5, 0.75]
 
 
 def spend_quartiles(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str,
-                    blocks: int = 64) -> DataFrame:
+                    blocks: int = 64, accuracy: int | None = None) -> DataFrame:
     """Q3: per snapshot, exact quartiles (rank ceil(p*n)) over customers of spend and of order count.
 
-    Both measures go through one rank selection, keyed by (snapshot, measure); spend
+    Exact by default (rank selection, see ``operators.quantiles``); ``accuracy`` opts
+    into ``percentile_approx``. Both measures go through one rank selection, keyed by (snapshot, measure); spend
     travels as whole cents in a bigint (exact, fixed width) and is turned back at the end.
     """
     spend = user_spend(orders, calendar, start_de, end_de)
@@ -230,7 +251,13 @@ def spend_quartiles(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
             F.struct(F.lit("cnt").alias("_measure"), F.col("user_purchase_cnt").cast("long").alias("_v")),
         )).alias("_x"),
     ).select(SNAPSHOT, "_x._measure", "_x._v")
-    q = exact_percentiles(long_form, [SNAPSHOT, "_measure"], "_v", QUARTILES, ["_q1", "_q2", "_q3"], blocks=blocks)
+    if accuracy:  # opt-in approximate quartiles: one aggregation, rank error <= n / accuracy
+        q = long_form.groupBy(SNAPSHOT, "_measure").agg(
+            F.percentile_approx("_v", QUARTILES, accuracy).alias("_qs")
+        ).select(SNAPSHOT, "_measure", *[F.col("_qs")[i - 1].alias(f"_q{i}") for i in (1, 2, 3)])
+    else:
+        q = exact_percentiles(long_form, [SNAPSHOT, "_measure"], "_v", QUARTILES, ["_q1", "_q2", "_q3"],
+                              blocks=blocks)
     amt = [(F.max(F.when(F.col("_measure") == "amt", F.col(f"_q{i}"))).cast("decimal(20,0)") / 100)
            .cast("decimal(20,2)") for i in (1, 2, 3)]
     wide = q.groupBy(SNAPSHOT).agg(

@@ -118,3 +118,27 @@ def test_calendar_intervals(spark):
         (date(2020, 2, 1), date(2019, 2, 1), date(2020, 1, 31)),
         (date(2020, 3, 1), date(2019, 3, 1), date(2020, 2, 29)),
     ]
+
+
+def test_drop_first_only_when_reaching_outside(spark):
+    # window of snapshot 2020-02-01 is [2019-02-01, 2020-01-31]
+    inside = [(1, date(2019, 6, 1), Decimal("1"), 1), (1, date(2019, 6, 11), Decimal("1"), 2),
+              (1, date(2019, 7, 1), Decimal("1"), 3)]           # first order inside: gaps 10, 20
+    outside = [(2, date(2018, 12, 1), Decimal("1"), 4), (2, date(2019, 3, 1), Decimal("1"), 5),
+               (2, date(2019, 3, 5), Decimal("1"), 6)]          # gaps 90 (reaches outside), 4
+    cal = snapshot_calendar(spark, "2020-02-01", "2020-02-01")
+    orders = _orders(spark, inside + outside)
+    literal = {r.cust_id: r.user_repurchase_cycle_avg
+               for r in cu.user_repurchase(orders, cal, "2018-01-01", "2021-01-01").collect()}
+    assert literal == {1: 20.0, 2: 4.0}
+    reach = {r.cust_id: r.user_repurchase_cycle_avg
+             for r in cu.user_repurchase(orders, cal, "2018-01-01", "2021-01-01", drop_first=False).collect()}
+    assert reach == {1: 15.0, 2: 4.0}
+
+
+def test_approximate_quartiles_opt_in(spark):
+    rows = [(1, date(2020, 1, d), Decimal(str(d)), d) for d in range(1, 21)]
+    cal = snapshot_calendar(spark, "2020-02-01", "2020-02-01")
+    exact = cu.spend_quartiles(_orders(spark, rows), cal, "2019-01-01", "2021-01-01").first()
+    approx = cu.spend_quartiles(_orders(spark, rows), cal, "2019-01-01", "2021-01-01", accuracy=10000).first()
+    assert exact.all_user_purchase_cnt_q2 == approx.all_user_purchase_cnt_q2 == 20
