@@ -13,9 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall import jobs
 from footfall.operators import snapshots as snap
 from footfall.plans import customers as cu
+from footfall.plans import intake as ik
+from footfall.plans import population as po
+from footfall.session import scratch_path
+from footfall.sources import feeds
 from footfall.sources import fixtures as fx
+from footfall.streaming.intake_stream import run_intake_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,10 +162,6 @@ QUERIES: dict[str, Query] = {
 
 # ---------------------------------------------------------------- population (Incheon lattice)
 
-from footfall.plans import intake as ik  # noqa: E402
-from footfall.plans import population as po  # noqa: E402
-from footfall.session import scratch_path  # noqa: E402
-from footfall.sources import feeds  # noqa: E402
 
 POP_YEAR = ("20240101", "20241231")  # the reference loads one year of months; the feed stand-in holds 2024-01
 
@@ -321,8 +323,6 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- loads (write, then read back)
 
-from footfall import jobs  # noqa: E402
-from footfall.streaming.intake_stream import run_intake_stream  # noqa: E402
 
 LOADED_UNTIL = "200006"
 

@@ -10,6 +10,8 @@ doubles, like ``catalog.present``. Traps: DuckDB ``CAST(x AS INT)`` rounds (use
 from __future__ import annotations
 
 from footfall.catalog import FILTER_RANGE, MOVEMENT_RANGE, SNAPSHOT_RANGE
+from footfall.constants import AGES, DISTRICTS, HOURS, KINDS, SEXES
+from footfall.functions.geo import forward_stages, inverse_stages, stages_sql
 
 
 def _d(name: str) -> str:
@@ -191,8 +193,6 @@ SELECT {RES_COLS} FROM res ORDER BY res.ordr_de DESC LIMIT 10""",
 
 # ---------------------------------------------------------------- population fixtures in SQL
 
-from footfall.constants import AGES, DISTRICTS, HOURS, KINDS, SEXES  # noqa: E402
-from footfall.functions.geo import forward_stages, inverse_stages, stages_sql  # noqa: E402
 
 _CODES = "[" + ", ".join(f"'{c}'" for _, c in DISTRICTS) + "]"
 _TIME_COLS = [f"{k}_t_{h}" for k in KINDS for h in HOURS]
