@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from footfall.functions.columns import month_number, month_start, ym_text
 from footfall.operators.quantiles import exact_percentiles
@@ -35,6 +36,21 @@ def read_bounds(orders: DataFrame, start_de: str, end_de: str) -> DataFrame:
     )
 
 
+def by_customer(per_month: DataFrame) -> DataFrame:
+    """Hash-partition per-(customer, day|month) aggregates by customer.
+
+    They hold at most one row per customer and month, so even the largest customer
+    is a bounded partition. The 12-fold explode then runs in place and the
+    (snapshot, customer) aggregation needs no shuffle of its own: the exploded rows,
+    12 times as many, never cross the network.
+
+    The partition count is explicit (the session's shuffle partitions) because adaptive
+    coalescing would size this stage by its small input, not by the 12-fold output.
+    """
+    n = per_month.sparkSession.conf.get("spark.sql.shuffle.partitions", "")
+    return per_month.repartition(int(n), CUST) if n.isdigit() else per_month.repartition(CUST)
+
+
 # ------------------------------------------------------------------ Q1 movement
 
 def user_months(orders: DataFrame, start_de: str, end_de: str) -> DataFrame:
@@ -94,17 +110,6 @@ def user_movement_full_outer(orders: DataFrame, start_de: str = "1970-01-01", en
 
 # ------------------------------------------------------------------ trailing year
 
-def by_customer(per_month: DataFrame) -> DataFrame:
-    """Hash-partition per-(customer, month) aggregates by customer.
-
-    They hold at most one row per customer and month, so even the largest customer
-    is a bounded partition. The 12-fold explode then runs in place and the
-    (snapshot, customer) aggregation needs no shuffle of its own: the exploded rows,
-    12 times as many, never cross the network.
-    """
-    return per_month.repartition(CUST)
-
-
 def trailing_members(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     """Per snapshot: orders and distinct customers inside its trailing year (0 when none)."""
     per_month = orders.groupBy(CUST, month_start(DAY).alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
@@ -127,7 +132,7 @@ def customer_days(orders: DataFrame, start_de: str, end_de: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_orders"), F.min(KEY).alias("first_key"))
     )
     w = Window.partitionBy(CUST).orderBy(DAY)
-    return days.withColumn("prior_day", F.lag(DAY).over(w))
+    return by_customer(days).withColumn("prior_day", F.lag(DAY).over(w))
 
 
 def repurchase_gaps(orders: DataFrame, start_de: str, end_de: str) -> DataFrame:
@@ -218,16 +223,38 @@ def repurchase_median(orders: DataFrame, calendar: DataFrame, start_de: str, end
 
 # ------------------------------------------------------------------ Q3 spend / frequency
 
-def user_spend(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str) -> DataFrame:
-    """Per (snapshot, customer): spend and number of orders in the trailing year."""
+def _money_scale(orders: DataFrame) -> int:
+    t = orders.schema[AMOUNT].dataType
+    if not isinstance(t, DecimalType):
+        raise TypeError(f"{AMOUNT} must be a decimal (exact money), got {t.simpleString()}")
+    return t.scale
+
+
+def _spend_units(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str) -> DataFrame:
+    """Per (snapshot, customer): spend in the amount's smallest unit (bigint) and the order count.
+
+    Exact: a decimal of scale s times 10^s is a whole number. Long sums keep the
+    aggregation buffers fixed-width (a decimal(38,2) sum runs on BigDecimal).
+    """
+    unit = 10 ** _money_scale(orders)
     per_month = (
         orders_in_range(orders, start_de, end_de)
         .groupBy(CUST, month_start(DAY).alias("_m"))
-        .agg(F.sum(AMOUNT).alias("_amt"), F.count(F.lit(1)).alias("_cnt"))
+        .agg(F.sum((F.col(AMOUNT) * unit).cast("long")).alias("_units"), F.count(F.lit(1)).alias("_cnt"))
     )
     exploded = restrict_to_calendar(explode_to_snapshots(by_customer(per_month), "_m"), calendar)
-    return exploded.groupBy(SNAPSHOT, CUST).agg(
-        F.sum("_amt").alias("user_gds_ordr_gramt"), F.sum("_cnt").alias("user_purchase_cnt")
+    return exploded.groupBy(SNAPSHOT, CUST).agg(F.sum("_units").alias("_units"), F.sum("_cnt").alias("user_purchase_cnt"))
+
+
+def _from_units(units, scale: int):
+    return (units.cast("decimal(38,0)") / (10 ** scale)).cast(f"decimal(38,{scale})")
+
+
+def user_spend(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str) -> DataFrame:
+    """Per (snapshot, customer): spend and number of orders in the trailing year."""
+    scale = _money_scale(orders)
+    return _spend_units(orders, calendar, start_de, end_de).select(
+        SNAPSHOT, CUST, _from_units(F.col("_units"), scale).alias("user_gds_ordr_gramt"), "user_purchase_cnt"
     )
 
 
@@ -242,12 +269,12 @@ def spend_quartiles(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
     into ``percentile_approx``. Both measures go through one rank selection, keyed by (snapshot, measure); spend
     travels as whole cents in a bigint (exact, fixed width) and is turned back at the end.
     """
-    spend = user_spend(orders, calendar, start_de, end_de)
-    cents = (F.col("user_gds_ordr_gramt") * 100).cast("long")
+    scale = _money_scale(orders)
+    spend = _spend_units(orders, calendar, start_de, end_de)
     long_form = spend.select(
         SNAPSHOT,
         F.explode(F.array(
-            F.struct(F.lit("amt").alias("_measure"), cents.alias("_v")),
+            F.struct(F.lit("amt").alias("_measure"), F.col("_units").alias("_v")),
             F.struct(F.lit("cnt").alias("_measure"), F.col("user_purchase_cnt").cast("long").alias("_v")),
         )).alias("_x"),
     ).select(SNAPSHOT, "_x._measure", "_x._v")
@@ -258,8 +285,7 @@ def spend_quartiles(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
     else:
         q = exact_percentiles(long_form, [SNAPSHOT, "_measure"], "_v", QUARTILES, ["_q1", "_q2", "_q3"],
                               blocks=blocks)
-    amt = [(F.max(F.when(F.col("_measure") == "amt", F.col(f"_q{i}"))).cast("decimal(20,0)") / 100)
-           .cast("decimal(20,2)") for i in (1, 2, 3)]
+    amt = [_from_units(F.max(F.when(F.col("_measure") == "amt", F.col(f"_q{i}"))), scale) for i in (1, 2, 3)]
     wide = q.groupBy(SNAPSHOT).agg(
         *[a.cast("double").alias(f"all_user_gds_ordr_gramt_q{i}") for i, a in zip((1, 2, 3), amt)],
         *[F.max(F.when(F.col("_measure") == "cnt", F.col(f"_q{i}"))).cast("long").alias(f"all_user_purchase_cnt_q{i}")
