@@ -45,7 +45,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     if key not in _STORED:
         path = scratch_path(spark, f"fx-{name}")
         df = build(spark, sf_dir)
-        df.write.parquet(path)
+        # several files, like a feed that arrives in parts, so later scans split across tasks
+        parts = int(spark.sparkContext.defaultParallelism)
+        df.repartition(parts).write.parquet(path)
         _STORED[key] = (path, df.schema)
     path, schema = _STORED[key]
     return spark.read.schema(schema).parquet(path)
