@@ -33,15 +33,15 @@ FILTER_RANGE = ("1996-06-01", "1999-07-31")
 
 def present(df: DataFrame) -> DataFrame:
     """Dates as 'yyyy-MM-dd' text, decimals as doubles; other columns unchanged."""
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = f"date_format({c}, 'yyyy-MM-dd')"
         elif isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            c = f"CAST({c} AS DOUBLE)"
+        exprs.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*exprs)
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:

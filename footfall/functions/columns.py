@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from footfall.constants import CELL_SIZE, GRID_ID_FORMAT
+from footfall.constants import AGES, CELL_SIZE, GRID_ID_FORMAT, HOURS, KINDS, SEXES
 
 
 def month_start(c: Column | str) -> Column:
@@ -64,3 +64,30 @@ def to_int_nonzero(c: Column, exact: bool = False) -> Column:
 
 def yyyymmdd(c: Column) -> Column:
     return F.date_format(c, "yyyyMMdd")
+
+
+# SQL-text forms of the wide row-wise expressions: one selectExpr call builds all
+# 24 (or 21) columns on the JVM side instead of hundreds of Column round trips.
+
+def hour_sum_sql(template: str = "{kind}_t_{hour}") -> list[str]:
+    """'h + w + v AS hh' for each hour (NULL if any term is NULL)."""
+    return [" + ".join(f"`{template.format(kind=k, hour=h)}`" for k in KINDS) + f" AS `{h}`" for h in HOURS]
+
+
+def _ratio_sql(num: str, total: str) -> str:
+    return f"CASE WHEN ({total}) = 0 THEN CAST(0 AS DOUBLE) ELSE CAST({num} AS DOUBLE) / CAST(({total}) AS DOUBLE) END"
+
+
+def kind_total_sql(kind: str) -> str:
+    """Sum of the 14 sex/age counts of one kind."""
+    return " + ".join(f"`{kind}_{s}_{a}`" for s in SEXES for a in AGES)
+
+
+def female_ratio_sql() -> list[str]:
+    """The 21 ratios {k}_w_{age}_r = female count / 14-count total (0 when the total is 0)."""
+    return [f"{_ratio_sql(f'`{k}_w_{a}`', kind_total_sql(k))} AS `{k}_w_{a}_r`" for k in KINDS for a in AGES]
+
+
+def female_share_sql() -> list[str]:
+    """Per kind: all female counts / 14-count total (0 when the total is 0)."""
+    return [f"{_ratio_sql(' + '.join(f'`{k}_w_{a}`' for a in AGES), kind_total_sql(k))} AS `{k}_fml_r`" for k in KINDS]

@@ -116,6 +116,22 @@ def apply_stages(df: DataFrame, stages: Stages, tmp: str = "_tm") -> DataFrame:
     return df.drop(*[n for n, _ in stages if n.startswith(tmp + "_")])
 
 
+def apply_stage_groups(df: DataFrame, groups: list[Stages], tmps: list[str]) -> DataFrame:
+    """Several independent stage lists side by side: one projection per level, not per stage."""
+    depth = max(len(g) for g in groups)
+    for level in range(depth):
+        df = df.withColumns({g[level][0]: F.expr(g[level][1]) for g in groups if level < len(g)})
+    return df.drop(*[n for g, t in zip(groups, tmps) for n, _ in g if n.startswith(t + "_")])
+
+
+def to_wgs84_many(df: DataFrame, points: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Inverse projections of several (x, y) -> (lon, lat) column pairs at once."""
+    tmps = [f"_tm{i}" for i in range(len(points))]
+    groups = [inverse_stages(f"CAST(`{x}` AS DOUBLE)", f"CAST(`{y}` AS DOUBLE)", lo, la, tmp=t)
+              for (x, y, lo, la), t in zip(points, tmps)]
+    return apply_stage_groups(df, groups, tmps)
+
+
 def to_tm(df: DataFrame, lon: str, lat: str, x_out: str, y_out: str) -> DataFrame:
     return apply_stages(df, forward_stages(f"`{lon}`", f"`{lat}`", x_out, y_out))
 

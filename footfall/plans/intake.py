@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.constants import (
-    CCTV_LA_MAX, CCTV_LA_MIN, CCTV_LO_MAX, CCTV_LO_MIN, HALF_CELL, HOURS, KINDS, PCELL_MAX_ROW, PCELL_X, PCELL_Y,
+    CCTV_LA_MAX, CCTV_LA_MIN, CCTV_LO_MAX, CCTV_LO_MIN, HALF_CELL, HOURS, PCELL_MAX_ROW, PCELL_X, PCELL_Y,
 )
-from footfall.functions.columns import grid_id_text, id_number, lattice_index, row_sum
-from footfall.functions.geo import to_tm, to_wgs84
+from footfall.functions.columns import grid_id_text, hour_sum_sql, id_number, lattice_index
+from footfall.functions.geo import to_tm, to_wgs84_many
 from footfall.operators.ids import assign_sequential_ids
 from footfall.operators.reshape import melt
 
@@ -41,11 +41,13 @@ def bounded_index(df: DataFrame, x: str = "cnt_x_crd", y: str = "cnt_y_crd") ->
 
     ``concat`` (not ``concat_ws``): a NULL index gives a NULL mtr_no.
     """
-    return (
-        df.withColumn("row_no", lattice_index(F.col(x), PCELL_X))
-        .withColumn("clm_no", lattice_index(F.col(y), PCELL_Y, downward=True))
-        .withColumn("mtr_no", F.concat(F.col("row_no").cast("string"), F.lit(","), F.col("clm_no").cast("string")))
-    )
+    row_no = lattice_index(F.col(x), PCELL_X)
+    clm_no = lattice_index(F.col(y), PCELL_Y, downward=True)
+    return df.withColumns({
+        "row_no": row_no,
+        "clm_no": clm_no,
+        "mtr_no": F.concat(row_no.cast("string"), F.lit(","), clm_no.cast("string")),
+    })
 
 
 def in_bounds(df: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def grid_bounds(source: DataFrame) -> DataFrame:
 def bounded_cell_days(source: DataFrame, grid: DataFrame, months: DataFrame | None = None) -> DataFrame:
     """Per (day, area, x, y): 24 hour sums of h+w+v, lattice index, bounds, grid id (left join)."""
     rows = service_rows(source, months)
-    wide = rows.select(*CELL_KEYS, *[row_sum([f"{k}_t_{h}" for k in KINDS]).alias(h) for h in HOURS])
+    wide = rows.selectExpr(*CELL_KEYS, *hour_sum_sql())
     per_cell = wide.groupBy(*CELL_KEYS).agg(*[F.sum(h).alias(h) for h in HOURS])
     indexed = in_bounds(bounded_index(per_cell))
     return indexed.join(grid.select("mtr_no", "grid_id"), "mtr_no", "left")
@@ -115,10 +117,11 @@ def cell_corners(cells: DataFrame) -> DataFrame:
 
 def cells_wgs84(cells: DataFrame) -> DataFrame:
     """Centre and corners of each cell in degrees (EPSG:5179 -> EPSG:4326)."""
-    df = cell_corners(cells)
-    df = to_wgs84(df, "cnt_x_crd", "cnt_y_crd", "cnt_lo", "cnt_la")
-    df = to_wgs84(df, "min_x_crd", "min_y_crd", "min_lo", "min_la")
-    return to_wgs84(df, "max_x_crd", "max_y_crd", "max_lo", "max_la")
+    return to_wgs84_many(cell_corners(cells), [
+        ("cnt_x_crd", "cnt_y_crd", "cnt_lo", "cnt_la"),
+        ("min_x_crd", "min_y_crd", "min_lo", "min_la"),
+        ("max_x_crd", "max_y_crd", "max_lo", "max_la"),
+    ])
 
 
 def register_cells(unseen: DataFrame, grid: DataFrame, cctv_counts: DataFrame, last_number: int | None = None) -> DataFrame:

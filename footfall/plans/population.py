@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.constants import AGES, DISTRICTS, HOURS, IC_MIN_X, IC_MIN_Y, KINDS, SEXES
-from footfall.functions.columns import lattice_index, row_sum, safe_ratio, to_int_nonzero
+from footfall.functions.columns import (
+    female_ratio_sql, female_share_sql, hour_sum_sql, lattice_index, row_sum, to_int_nonzero,
+)
 from footfall.operators.reshape import melt, stack_kinds
 
 FEED_KEYS = ["std_ymd", "hcode", "x_coord", "y_coord"]
@@ -58,16 +60,14 @@ def district_prefix(feed: DataFrame, spark: SparkSession, codes: list[str] | Non
 
 def hour_totals(feed: DataFrame, keep: list[str]) -> DataFrame:
     """keep + one column per hour "00".."23" = h + w + v of that hour (NULL if any part is NULL)."""
-    return feed.select(*keep, *[row_sum([f"{k}_t_{h}" for k in KINDS]).alias(h) for h in HOURS])
+    return feed.selectExpr(*[f"`{c}`" for c in keep], *hour_sum_sql())
 
 
 def ic_index(df: DataFrame, x: str = "x_coord", y: str = "y_coord") -> DataFrame:
     """Incheon lattice: row_id from x, col_id from y (both upward), mtr_no = 'row,col' (concat_ws skips NULL)."""
-    return (
-        df.withColumn("row_id", lattice_index(F.col(x), IC_MIN_X))
-        .withColumn("col_id", lattice_index(F.col(y), IC_MIN_Y))
-        .withColumn("mtr_no", F.concat_ws(",", "row_id", "col_id"))
-    )
+    row_id = lattice_index(F.col(x), IC_MIN_X)
+    col_id = lattice_index(F.col(y), IC_MIN_Y)
+    return df.withColumns({"row_id": row_id, "col_id": col_id, "mtr_no": F.concat_ws(",", row_id, col_id)})
 
 
 def melt_hourly(feed: DataFrame) -> DataFrame:
@@ -133,22 +133,12 @@ def nonzero_population(hourly: DataFrame, exact_zero: bool = False) -> DataFrame
 
 def sex_age_ratios(sex_age: DataFrame) -> DataFrame:
     """Per feed key: 21 ratios {k}_w_{age}_r = female count / all 14 counts of kind k (0 if that total is 0)."""
-    cols = []
-    for k in KINDS:
-        total = row_sum([f"{k}_{s}_{a}" for s in SEXES for a in AGES])
-        for a in AGES:
-            cols.append(safe_ratio(F.col(f"{k}_w_{a}"), total).alias(f"{k}_w_{a}_r"))
-    return sex_age.select(*FEED_KEYS, *cols)
+    return sex_age.selectExpr(*FEED_KEYS, *female_ratio_sql())
 
 
 def female_shares(sex_age: DataFrame) -> DataFrame:
     """Per feed key and kind: female share = sum of the seven female counts / the 14-count total."""
-    cols = []
-    for k in KINDS:
-        total = row_sum([f"{k}_{s}_{a}" for s in SEXES for a in AGES])
-        female = row_sum([f"{k}_w_{a}" for a in AGES])
-        cols.append(safe_ratio(female, total).alias(f"{k}_fml_r"))
-    return sex_age.select(*FEED_KEYS, *cols)
+    return sex_age.selectExpr(*FEED_KEYS, *female_share_sql())
 
 
 def female_population(time_feed: DataFrame, sex_age: DataFrame, grid: DataFrame, codes: list[str] | None = None,
