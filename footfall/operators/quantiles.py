@@ -24,6 +24,7 @@ interpolation follows Spark's ``percentile`` / ``median`` formula.
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
@@ -73,6 +74,9 @@ def exact_percentiles(
         offsets = summary.select(*keys, F.lit(0).alias("_b"), F.lit(0).cast("long").alias("_start"),
                                  F.col("_n").alias("_end"))
     else:
+        # enough blocks that one holds about half the single-task bound; the sketch resolves them
+        blocks = max(blocks, math.ceil(2 * largest / max(single_task_limit, 1)))
+        accuracy = max(accuracy, 20 * blocks)
         cut_probs = [i / blocks for i in range(1, blocks)]
         cuts = _freeze(freq.groupBy(*keys).agg(F.percentile_approx(value, cut_probs, accuracy).alias("_cuts")))
         assigned = freq.join(cuts, keys).select(

@@ -87,7 +87,7 @@ def test_blocked_quantiles_match_builtin(spark):
     want = {r.g: [r[n] for n in names] for r in df.groupBy("g").agg(*[
         F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)").alias(n) for p, n in zip(probs, names)]).collect()}
     want_med = {r.g: r.m for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
-    for limit, blocks in ((0, 3), (0, 16), (10**6, 64)):
+    for limit, blocks in ((150, 3), (20, 16), (10**6, 64)):  # few large blocks, many small, one
         got = {r.g: [r[n] for n in names] for r in exact_percentiles(
             df, ["g"], "x", probs, names, blocks=blocks, single_task_limit=limit).collect()}
         assert got == want
@@ -132,3 +132,26 @@ def test_load_twice_equals_once(spark):
     first = QUERIES["load_month"](spark, SF_SMALL)
     n = first.count()
     assert n == fx.fx_orders(spark, SF_SMALL).where(F.date_format("ordr_de", "yyyyMM") > "200006").count()
+
+
+def test_blocked_path_on_test_tables(spark):
+    """Q3 and Q2 with every group forced through the blocked rank selection equal the one-block results."""
+    import footfall.operators.quantiles as qm
+
+    orders = fx.fx_orders(spark, SF_MID)
+    cal = snapshot_calendar(spark, *SNAPSHOT_RANGE)
+    want_q = sorted(tuple(r) for r in cu.spend_quartiles(orders, cal, *SNAPSHOT_RANGE).collect())
+    want_m = sorted(tuple(r) for r in cu.repurchase_median(orders, cal, *SNAPSHOT_RANGE).collect())
+    original = qm.exact_percentiles
+
+    def forced(*a, **k):
+        k["single_task_limit"] = 50  # every snapshot group is larger: cut points and blocks
+        return original(*a, **k)
+
+    cu.exact_percentiles = forced
+    try:
+        got_q = sorted(tuple(r) for r in cu.spend_quartiles(orders, cal, *SNAPSHOT_RANGE).collect())
+        got_m = sorted(tuple(r) for r in cu.repurchase_median(orders, cal, *SNAPSHOT_RANGE).collect())
+    finally:
+        cu.exact_percentiles = original
+    assert got_q == want_q and got_m == want_m
