@@ -148,6 +148,11 @@ def female_population(time_feed: DataFrame, sex_age: DataFrame, grid: DataFrame,
     Per hour: sum over kinds of population x female share. Rows need a grid cell
     (same district), a sex/age row, an hour that passes the non-zero test, and a
     non-NULL, non-zero result. Joins run on the wide rows before the hour stack.
+
+    Inputs should be scans of the feeds (parquet, or CSV read with the typed schema)
+    or checkpointed frames: when both feeds arrive as projections with dozens of
+    aliased casts, Catalyst's constraint propagation can take minutes to optimise
+    the joins (``spark.sql.constraintPropagation.enabled=false`` also avoids it).
     """
     feed = in_districts(time_feed, codes)
     with_cell = attach_cell_xy(feed, grid)
