@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.constants import AGES, DISTRICTS, HOURS, IC_MIN_X, IC_MIN_Y, KINDS, SEXES
+from footfall.constants import DISTRICTS, HOURS, IC_MIN_X, IC_MIN_Y, KINDS
 from footfall.functions.columns import (
     female_ratio_sql, female_share_sql, hour_sum_sql, lattice_index, row_sum, to_int_nonzero,
 )

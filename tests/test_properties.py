@@ -1,7 +1,6 @@
 """Properties that hold on the test tables, and equality of set-based forms with the loop forms."""
 
 import random
-from datetime import date
 
 from dateutil.relativedelta import relativedelta
 from pyspark.sql import Window
