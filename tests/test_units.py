@@ -142,3 +142,21 @@ def test_approximate_quartiles_opt_in(spark):
     exact = cu.spend_quartiles(_orders(spark, rows), cal, "2019-01-01", "2021-01-01").first()
     approx = cu.spend_quartiles(_orders(spark, rows), cal, "2019-01-01", "2021-01-01", accuracy=10000).first()
     assert exact.all_user_purchase_cnt_q2 == approx.all_user_purchase_cnt_q2 == 20
+
+
+def test_month_bounds_leap_year(spark):
+    from footfall.operators.snapshots import month_bounds
+
+    df = spark.createDataFrame([(date(2024, 5, 3),), (date(2023, 1, 1),)], "d date")
+    rows = {(r.year, r.month): (r.first_date, r.last_date) for r in month_bounds(df, "d").collect()}
+    assert len(rows) == 24
+    assert rows[(2024, 2)] == ("20240201", "20240229") and rows[(2023, 2)] == ("20230201", "20230228")
+    assert rows[(2023, 12)] == ("20231201", "20231231")
+
+
+def test_calendar_from_data_spans_every_window(spark):
+    from footfall.operators.snapshots import calendar_from_dates
+
+    df = spark.createDataFrame([(date(2020, 3, 15),), (date(2020, 5, 2),)], "d date")
+    snaps = sorted(r.snapshot_stdr_de for r in calendar_from_dates(df, "d").collect())
+    assert snaps[0] == date(2020, 3, 1) and snaps[-1] == date(2021, 5, 1) and len(snaps) == 15
