@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g",
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "4g",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A local session configured like a small cluster job (UI off, AQE on, UTC)."""
     builder = SparkSession.builder
