@@ -150,9 +150,10 @@ def female_population(time_feed: DataFrame, sex_age: DataFrame, grid: DataFrame,
     non-NULL, non-zero result. Joins run on the wide rows before the hour stack.
 
     Inputs should be scans of the feeds (parquet, or CSV read with the typed schema)
-    or checkpointed frames: when both feeds arrive as projections with dozens of
-    aliased casts, Catalyst's constraint propagation can take minutes to optimise
-    the joins (``spark.sql.constraintPropagation.enabled=false`` also avoids it).
+    or checkpointed frames. When the feeds arrive as projections whose dozens of
+    columns are all aliases of one upstream column (a pivot's output, for example),
+    Catalyst's constraint propagation for the final ``<> 0`` filter can take minutes
+    (``spark.sql.constraintPropagation.enabled=false`` also avoids it).
     """
     feed = in_districts(time_feed, codes)
     with_cell = attach_cell_xy(feed, grid)
