@@ -53,25 +53,26 @@ def by_customer(per_month: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ Q1 movement
 
+def _distinct_months(orders: DataFrame, start_de: str, end_de: str) -> DataFrame:
+    return orders_in_range(orders, start_de, end_de).select(CUST, month_start(DAY).alias("ordr_ym_01")).distinct()
+
+
 def user_months(orders: DataFrame, start_de: str, end_de: str) -> DataFrame:
     """Distinct (customer, month) with orders in range."""
-    m = month_start(DAY)
-    return (
-        orders_in_range(orders, start_de, end_de)
-        .select(CUST, m.alias("ordr_ym_01"))
-        .distinct()
-        .withColumn("ordr_ym", ym_text("ordr_ym_01"))
-    )
+    return _distinct_months(orders, start_de, end_de).withColumn("ordr_ym", ym_text("ordr_ym_01"))
 
 
 def user_month_gaps(orders: DataFrame, start_de: str, end_de: str) -> DataFrame:
-    """Per (customer, month): previous month with orders and the month difference (NULL = first)."""
+    """Per (customer, month): previous month with orders and the month difference (NULL = first).
+
+    The month text is formatted after the window so the customer shuffle carries only (id, date).
+    """
     w = Window.partitionBy(CUST).orderBy("ordr_ym_01")
     prior = F.lag("ordr_ym_01").over(w)
-    return user_months(orders, start_de, end_de).select(
+    return _distinct_months(orders, start_de, end_de).select(
         CUST,
         "ordr_ym_01",
-        "ordr_ym",
+        ym_text("ordr_ym_01").alias("ordr_ym"),
         prior.alias("prior_ordr_ym"),
         (month_number("ordr_ym_01") - month_number(prior)).cast("long").alias("ordr_month_diff"),
     )
