@@ -154,3 +154,23 @@ def test_blocked_path_on_test_tables(spark):
     finally:
         cu.exact_percentiles = original
     assert got_q == want_q and got_m == want_m
+
+
+def test_grid_intake_rerun_is_a_no_op(spark):
+    from footfall import jobs
+    from footfall.catalog import _bounded_pop, _cctv_counts, _pcel_grid
+    from footfall.plans import intake as ik
+    from footfall.session import scratch_path
+
+    src = _bounded_pop(spark, SF_SMALL)
+    source_path, grid_path, fact_path = (scratch_path(spark, n) for n in ("src", "grid", "facts"))
+    src.write.partitionBy(jobs.PARTITION).parquet(source_path)
+    ik.full_grid_rows(_pcel_grid(spark, SF_SMALL), _cctv_counts(spark, SF_SMALL)).write.parquet(grid_path)
+    first = jobs.run_grid_intake(spark, source_path, src.schema, fact_path, grid_path, _cctv_counts(spark, SF_SMALL))
+    facts, cells = spark.read.parquet(fact_path).count(), spark.read.parquet(grid_path).count()
+    assert first["months"] == 1 and first["new_cells"] > 0 and facts > 0
+    again = jobs.run_grid_intake(spark, source_path, src.schema, fact_path, grid_path, _cctv_counts(spark, SF_SMALL))
+    assert again == {"months": 0, "new_cells": 0}
+    assert spark.read.parquet(fact_path).count() == facts and spark.read.parquet(grid_path).count() == cells
+    ids = [r.grid_id for r in spark.read.parquet(grid_path).select("grid_id").collect()]
+    assert len(ids) == len(set(ids))
