@@ -10,7 +10,8 @@ rank-selected in blocks instead:
    ``single_task_limit`` (checked at run time), each group is one block and the
    steps below reduce to one spillable sort per group. Otherwise B-1 approximate
    cut points over the distinct values (``percentile_approx``; a sketch of fixed
-   size), frozen by a checkpoint so every later step sees the same cuts;
+   size), frozen by a checkpoint so every later step sees the same cuts. B grows
+   with the largest group (about 2 d / limit), so a block stays near half the bound;
 3. each distinct value gets block = number of cuts below it; block totals are
    prefix-summed per group (<= B rows per group);
 4. target ranks (ceil(p*n) for discrete, floor/ceil of (n-1)p for interpolated) are
