@@ -160,3 +160,17 @@ def test_calendar_from_data_spans_every_window(spark):
     df = spark.createDataFrame([(date(2020, 3, 15),), (date(2020, 5, 2),)], "d date")
     snaps = sorted(r.snapshot_stdr_de for r in calendar_from_dates(df, "d").collect())
     assert snaps[0] == date(2020, 3, 1) and snaps[-1] == date(2021, 5, 1) and len(snaps) == 15
+
+
+def test_typed_feed_read_nulls_only_the_bad_field(spark):
+    from footfall.session import scratch_path
+    from footfall.sources import feeds
+
+    path = scratch_path(spark, "bad-feed")
+    header = "|".join(f.name for f in feeds.TIME_POP_TYPED.fields)
+    values = ["20240101", "2823751000", "746783.991784", "1883429.147390", "abc", *["1.50"] * 71, "B"]
+    spark.sparkContext.parallelize([header, "|".join(values)], 1).saveAsTextFile(path)
+    row = feeds.read_feed(spark, path, feeds.TIME_POP_TYPED).first()
+    assert row.h_t_00 is None and row.h_t_01 == Decimal("1.50") and row.x_coord == Decimal("746783.991784")
+    raw = feeds.typed(feeds.read_feed(spark, path, feeds.TIME_POP_SCHEMA), feeds.TIME_VALUES).first()
+    assert raw.h_t_00 is None and raw.h_t_01 == Decimal("1.50")
