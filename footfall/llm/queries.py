@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from footfall.llm.chunk_dedup import ORACLE_OP2, op2_chunk_dedup
 from footfall.llm.gray_simhash import op10_gray_simhash
+from footfall.llm.reply_trees import ORACLE_OP4, op4_reply_trees
 
 QUERIES = {
     "op2_chunk_dedup": op2_chunk_dedup,
+    "op4_reply_trees": op4_reply_trees,
     "op10_gray_simhash": op10_gray_simhash,
 }
 
 ORACLE = {
     "op2_chunk_dedup": ORACLE_OP2,
+    "op4_reply_trees": ORACLE_OP4,
 }
