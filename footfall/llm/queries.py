@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from footfall.llm.chunk_dedup import ORACLE_OP2, op2_chunk_dedup
 from footfall.llm.gray_simhash import op10_gray_simhash
+from footfall.llm.lang_id import op6_lang_id
 from footfall.llm.mixing import op1_mixing
 from footfall.llm.reply_trees import ORACLE_OP4, op4_reply_trees
+from footfall.llm.sp_codec import op7_sp_codec
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chunk_dedup": op2_chunk_dedup,
     "op4_reply_trees": op4_reply_trees,
+    "op6_lang_id": op6_lang_id,
+    "op7_sp_codec": op7_sp_codec,
     "op10_gray_simhash": op10_gray_simhash,
 }
 
