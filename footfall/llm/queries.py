@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from footfall.llm.chunk_dedup import ORACLE_OP2, op2_chunk_dedup
 from footfall.llm.gray_simhash import op10_gray_simhash
+from footfall.llm.impact_index import ORACLE_OP5, op5_impact_topk
 from footfall.llm.lang_id import op6_lang_id
 from footfall.llm.mixing import op1_mixing
 from footfall.llm.reply_trees import ORACLE_OP4, op4_reply_trees
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chunk_dedup": op2_chunk_dedup,
     "op4_reply_trees": op4_reply_trees,
+    "op5_impact_topk": op5_impact_topk,
     "op6_lang_id": op6_lang_id,
     "op7_sp_codec": op7_sp_codec,
     "op10_gray_simhash": op10_gray_simhash,
@@ -21,4 +23,5 @@ QUERIES = {
 ORACLE = {
     "op2_chunk_dedup": ORACLE_OP2,
     "op4_reply_trees": ORACLE_OP4,
+    "op5_impact_topk": ORACLE_OP5,
 }
