@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from footfall.llm.chunk_dedup import ORACLE_OP2, op2_chunk_dedup
 from footfall.llm.gray_simhash import op10_gray_simhash
+from footfall.llm.host_consensus import op8_host_consensus
 from footfall.llm.impact_index import ORACLE_OP5, op5_impact_topk
 from footfall.llm.lang_id import op6_lang_id
 from footfall.llm.mixing import op1_mixing
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_impact_topk": op5_impact_topk,
     "op6_lang_id": op6_lang_id,
     "op7_sp_codec": op7_sp_codec,
+    "op8_host_consensus": op8_host_consensus,
     "op10_gray_simhash": op10_gray_simhash,
 }
 
