@@ -8,6 +8,7 @@ from footfall.llm.host_consensus import op8_host_consensus
 from footfall.llm.impact_index import ORACLE_OP5, op5_impact_topk
 from footfall.llm.lang_id import op6_lang_id
 from footfall.llm.mixing import op1_mixing
+from footfall.llm.pii_lstm import op9_pii_lstm
 from footfall.llm.reply_trees import ORACLE_OP4, op4_reply_trees
 from footfall.llm.sp_codec import op7_sp_codec
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_lang_id": op6_lang_id,
     "op7_sp_codec": op7_sp_codec,
     "op8_host_consensus": op8_host_consensus,
+    "op9_pii_lstm": op9_pii_lstm,
     "op10_gray_simhash": op10_gray_simhash,
 }
 
