@@ -405,6 +405,6 @@ def _listed(spans: Column) -> Column:
 def op9_pii_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = private_spans(spark, docs, fit_tagger(docs))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = {k})) AS BIGINT) AS n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
                         _listed(F.concat("base", "added")).alias("spans"))
