@@ -6,6 +6,7 @@ from footfall.llm.chunk_dedup import ORACLE_OP2, op2_chunk_dedup
 from footfall.llm.gray_simhash import op10_gray_simhash
 from footfall.llm.host_consensus import op8_host_consensus
 from footfall.llm.impact_index import ORACLE_OP5, op5_impact_topk
+from footfall.llm.interp_lm import op3_interp_lm
 from footfall.llm.lang_id import op6_lang_id
 from footfall.llm.mixing import op1_mixing
 from footfall.llm.pii_lstm import op9_pii_lstm
@@ -15,6 +16,7 @@ from footfall.llm.sp_codec import op7_sp_codec
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chunk_dedup": op2_chunk_dedup,
+    "op3_interp_lm": op3_interp_lm,
     "op4_reply_trees": op4_reply_trees,
     "op5_impact_topk": op5_impact_topk,
     "op6_lang_id": op6_lang_id,
