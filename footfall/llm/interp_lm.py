@@ -236,7 +236,8 @@ def deleted_events(block: Block, word: np.ndarray, pair: np.ndarray, e: Estimate
     cell = (bucket_of(context) * _NEVER + _grid(p2)) * _NEVER + _grid(p1)
     cells, at = np.unique(cell, return_inverse=True)
     size = len(cells)
-    return {"cell": cells, "n": np.bincount(at, minlength=size), "p2": np.bincount(at, p2, size), "p1": np.bincount(at, p1, size)}
+    sums = [np.bincount(at, p, size).astype(np.float64) for p in (p2, p1)]
+    return {"cell": cells, "n": np.bincount(at, minlength=size), "p2": sums[0], "p1": sums[1]}
 
 
 def learned_weights(cell: np.ndarray, n: np.ndarray, p2: np.ndarray, p1: np.ndarray, v: int) -> np.ndarray:
