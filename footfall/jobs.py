@@ -20,7 +20,7 @@ from pyspark.sql.utils import AnalysisException
 
 from footfall.plans import intake as ik
 from footfall.session import ensure_checkpoint_dir
-from footfall.sinks import append, overwrite_partitions
+from footfall.sinks import append, overwrite_partitions, overwrite_partitions_table
 
 PARTITION = "pt_stdr_ym"
 log = logging.getLogger("footfall.jobs")
@@ -40,11 +40,13 @@ def job_step(spark: SparkSession, group: str, description: str):
         sc.setLocalProperty("spark.job.description", None)
 
 
-def _read_or_none(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+def read_or_none(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path)
-    except AnalysisException:  # the path does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # an unreadable table is an error, not an empty one
+            raise
         return None
 
 
@@ -55,32 +57,61 @@ def partition_list(df: DataFrame | None, partition_col: str = PARTITION) -> Data
     return df.select(F.concat(F.lit(f"{partition_col}="), F.col(partition_col).cast("string")).alias("partition")).distinct()
 
 
-def months_to_load(spark: SparkSession, source: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Q9 over two tables; every source month when the target is empty or missing."""
+def months_to_load(spark: SparkSession, source: DataFrame, target: DataFrame | None, gaps: bool = False,
+                   max_months: int | None = None) -> DataFrame:
+    """Q9 over two tables; every source month when the target is empty or missing.
+
+    ``gaps`` also lists months before the last loaded one that the target lacks; ``max_months`` keeps
+    the earliest so many (1: one month per run).
+    """
     loaded = partition_list(target)
     if loaded is None:
         loaded = spark.createDataFrame([], "partition string")
-    return ik.new_months(partition_list(source), loaded).select(
-        F.col("year_month").cast("string").alias(PARTITION)
-    )
+    find = ik.missing_months if gaps else ik.new_months
+    months = find(partition_list(source), loaded)
+    if max_months is not None:
+        months = months.orderBy("year_month").limit(max_months)
+    return months.select(F.col("year_month").cast("string").alias(PARTITION))
+
+
+def table_partitions(spark: SparkSession, table: str) -> DataFrame:
+    """Partitions of a catalog table from its metadata; no data file is opened."""
+    return spark.sql(f"SHOW PARTITIONS {table}")
 
 
-def load_new_months(spark: SparkSession, source_path: str, target_path: str, schema: StructType) -> int:
+def load_new_months(spark: SparkSession, source_path: str, target_path: str, schema: StructType,
+                    gaps: bool = False, max_months: int | None = None) -> int:
     """Copy source months newer than the target's last month; dynamic overwrite makes a rerun a no-op.
 
-    Returns the number of months written (0 = nothing to do; the caller stops there).
+    Returns the number of months written (0 = nothing to do; the caller stops there). ``gaps`` and
+    ``max_months`` as in ``months_to_load``.
     """
     source = spark.read.schema(schema).parquet(source_path)
-    target = _read_or_none(spark, target_path, schema)
+    target = read_or_none(spark, target_path, schema)
     with job_step(spark, "month-load", "find months to load"):
-        months = months_to_load(spark, source, target)
-        if months.isEmpty():
+        # listed once: the write below changes the target that the list was made from
+        found = [r[0] for r in months_to_load(spark, source, target, gaps, max_months).collect()]
+        if not found:
             return 0
+    months = spark.createDataFrame([(m,) for m in found], f"{PARTITION} string")
     # the month list is bounded by the calendar: safe to broadcast into the semi join
     rows = source.join(F.broadcast(months), PARTITION, "left_semi")
     with job_step(spark, "month-load", "write months"):
         overwrite_partitions(rows.select(*schema.fieldNames()), target_path, PARTITION)
-    return months.count()
+    return len(found)
+
+
+def load_new_months_table(spark: SparkSession, source: str, target: str, gaps: bool = False,
+                          max_months: int | None = None) -> int:
+    """``load_new_months`` between catalog tables, both partitioned by month: months come from the
+    tables' metadata, rows of those months only are read, and the target's partitions are replaced."""
+    find = ik.missing_months if gaps else ik.new_months
+    months = find(table_partitions(spark, source), table_partitions(spark, target)).orderBy("year_month")
+    found = [str(r[0]) for r in (months if max_months is None else months.limit(max_months)).collect()]
+    if found:
+        rows = spark.table(source).where(F.col(PARTITION).isin(found))
+        overwrite_partitions_table(rows.select(*spark.table(target).columns), target)
+    return len(found)
 
 
 def reload_months(spark: SparkSession, source_path: str, target_path: str, schema: StructType,
@@ -95,7 +126,7 @@ def run_grid_intake(spark: SparkSession, source_path: str, source_schema: Struct
     """Load new months into the fact table, registering unseen cells in the grid first."""
     ensure_checkpoint_dir(spark)
     source = spark.read.schema(source_schema).parquet(source_path)
-    facts_now = _read_or_none(spark, fact_path)
+    facts_now = read_or_none(spark, fact_path)
     with job_step(spark, "grid-intake", "find months to load"):
         months = months_to_load(spark, source, facts_now)
         if months.isEmpty():

@@ -1,43 +1,34 @@
 """Exact percentiles per group without gathering a group into one task.
 
-``percentile_disc`` / ``median`` hold every distinct value of a group in one
-aggregation buffer, and a per-group window sorts the whole group in one task. A
-snapshot group holds every active user, so both are unbounded. Here the values are
-rank-selected in blocks instead:
-
-1. count rows per (group, value)  - partial aggregation, so repeated values collapse;
-2. per group: total n and distinct values d. When every d is at most
-   ``single_task_limit`` (checked at run time), each group is one block and the
-   steps below reduce to one spillable sort per group. Otherwise B-1 approximate
-   cut points over the distinct values (``percentile_approx``; a sketch of fixed
-   size), frozen by a checkpoint so every later step sees the same cuts. B grows
-   with the largest group (about 2 d / limit), so a block stays near half the bound;
-3. each distinct value gets block = number of cuts below it; block totals are
-   prefix-summed per group (<= B rows per group);
-4. target ranks (ceil(p*n) for discrete, floor/ceil of (n-1)p for interpolated) are
-   located in their block, and only those blocks are sorted, each holding about
-   1/B of the group's distinct values.
-
-The result is exact: cut points only decide which block a value falls in, never
-the answer. Discrete ranks equal ``percentile_disc`` / ``approxQuantile(..., 0)``;
-interpolation follows Spark's ``percentile`` / ``median`` formula.
+``percentile_disc`` / ``median`` hold every distinct value of a group in one aggregation buffer, and a
+per-group window sorts the whole group in one task. A snapshot group holds every active user, so both are
+unbounded. Here a value is found by bracketing its rank, in one plan for every size and without an
+action while the plan is built:
+
+1. one aggregation: the rows n of each group and, for each probability, two values of a ``percentile_approx``
+   sketch (fixed size, aggregated map-side) a little below and above it. The sketch's rank error is at most
+   n / accuracy, so the wanted rank lies between them;
+2. one aggregation over the rows again: the rows below a bracket collapse to their number and largest value, those above
+   to their smallest value, those inside to a count per value. All of it is partially aggregated before the
+   shuffle, so about 8 / accuracy of the rows are moved;
+3. a running count inside each bracket gives the value at the rank.
+
+The result is exact: the sketch only decides what is counted and what is ranked. A rank that
+fell outside its bracket would raise, never give another value. Values must be exact as doubles
+(doubles, integers below 2^53). Discrete ranks equal ``percentile_disc`` / ``approxQuantile(..., 0)``; interpolation
+follows Spark's ``percentile`` / ``median`` formula.
 """
 
 from __future__ import annotations
 
-import math
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.session import ensure_checkpoint_dir
-
-
-def _freeze(df: DataFrame) -> DataFrame:
-    """Materialise to the shared checkpoint folder (reliable, lineage cut)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: Sketch resolution: brackets span 8 / ACCURACY of a group's ranks.
+ACCURACY = 1000
+_BELOW, _INSIDE, _ABOVE = 0, 1, 2
 
 
 def exact_percentiles(
@@ -47,10 +38,7 @@ def exact_percentiles(
     probs: list[float],
     names: list[str],
     interpolate: bool = False,
-    blocks: int = 64,
-    accuracy: int = 10000,
-    materialize: bool = True,
-    single_task_limit: int = 2_000_000,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per group present in ``df``: keys + one column per probability.
 
@@ -60,85 +48,61 @@ def exact_percentiles(
     if len(probs) != len(names):
         raise ValueError("one output name per probability")
     v = F.col(value)
+    rows = df.where(v.isNotNull()).select(*keys, value)
+    reach = 4 / accuracy
+    ends = [min(1.0, max(0.0, p + s)) for p in probs for s in (-reach, reach)]
+    sketch = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, ends, accuracy).alias("_e"))
 
-    freq = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    if materialize:
-        freq = _freeze(freq)
-
-    # rows (n) and distinct values (d) per group; one small row per group
-    summary = _freeze(freq.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d")))
-    largest = summary.agg(F.max("_d")).first()[0] or 0
-
-    if largest <= single_task_limit:
-        # every group fits one sort: a single block per group, no cut points needed
-        assigned = freq.withColumn("_b", F.lit(0))
-        offsets = summary.select(*keys, F.lit(0).alias("_b"), F.lit(0).cast("long").alias("_start"),
-                                 F.col("_n").alias("_end"))
-    else:
-        # enough blocks that one holds about half the single-task bound; the sketch resolves them
-        blocks = max(blocks, math.ceil(2 * largest / max(single_task_limit, 1)))
-        accuracy = max(accuracy, 20 * blocks)
-        cut_probs = [i / blocks for i in range(1, blocks)]
-        cuts = _freeze(freq.groupBy(*keys).agg(F.percentile_approx(value, cut_probs, accuracy).alias("_cuts")))
-        assigned = freq.join(cuts, keys).select(
-            *keys, value, "_c", F.size(F.filter("_cuts", lambda x: x < v)).alias("_b")
-        )
-        # block offsets: <= B rows per group, the window never sees the data itself
-        block_counts = assigned.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-        w_blocks = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        offsets = block_counts.withColumn("_end", F.sum("_bc").over(w_blocks)).withColumn(
-            "_start", F.col("_end") - F.col("_bc")
-        )
-
-    # target ranks (1-based); exact decimal arithmetic for the rank itself
     n = F.col("_n")
-    rank_structs = []
+    targets = []
     for i, p in enumerate(probs):
-        dp = F.lit(Decimal(str(p)))
-        if interpolate:
-            pos = (n - 1) * dp
-            rank_structs.append(F.struct(F.lit(i).alias("_i"), F.lit(0).alias("_w"), (F.floor(pos) + 1).alias("_r")))
-            rank_structs.append(F.struct(F.lit(i).alias("_i"), F.lit(1).alias("_w"), (F.ceil(pos) + 1).alias("_r")))
-        else:
-            rank = F.greatest(F.ceil(n * dp), F.lit(1))
-            rank_structs.append(F.struct(F.lit(i).alias("_i"), F.lit(0).alias("_w"), rank.alias("_r")))
-    targets = summary.select(*keys, "_n", F.explode(F.array(*rank_structs)).alias("_t")).select(
-        *keys, "_n", "_t._i", "_t._w", F.col("_t._r").cast("long").alias("_r")
-    )
-    located = (
-        targets.join(offsets, keys)
-        .where((F.col("_start") < F.col("_r")) & (F.col("_r") <= F.col("_end")))
-        .select(*keys, "_n", "_i", "_w", "_r", "_b", (F.col("_r") - F.col("_start")).alias("_local"))
-    )
-
-    # sort only the blocks that hold a target rank
-    needed = located.select(*keys, "_b").distinct()
-    in_blocks = assigned if largest <= single_task_limit else assigned.join(needed, [*keys, "_b"], "left_semi")
-    w_in = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = in_blocks.withColumn("_cum", F.sum("_c").over(w_in)).withColumn("_prev", F.col("_cum") - F.col("_c"))
-    picked = located.join(ranked, [*keys, "_b"]).where(
-        (F.col("_prev") < F.col("_local")) & (F.col("_local") <= F.col("_cum"))
-    )
-
-    out = []
-    for i, (p, name) in enumerate(zip(probs, names)):
-        lo = F.max(F.when((F.col("_i") == i) & (F.col("_w") == 0), v))
-        if not interpolate:
-            out.append(lo.alias(name))
-            continue
-        hi = F.max(F.when((F.col("_i") == i) & (F.col("_w") == 1), v))
-        out.append(lo.alias(f"_lo{i}"))
-        out.append(hi.alias(f"_hi{i}"))
-    result = picked.groupBy(*keys).agg(F.first("_n").alias("_n"), *out)
+        exact = F.lit(Decimal(str(p)))  # exact decimal arithmetic for the rank itself
+        at = (n - 1) * exact
+        first = F.floor(at) + 1 if interpolate else F.greatest(F.ceil(n * exact), F.lit(1))
+        last = F.ceil(at) + 1 if interpolate else first
+        targets.append(F.struct(F.lit(i).alias("i"), F.col("_e")[2 * i].alias("lo"), F.col("_e")[2 * i + 1].alias("hi"),
+                                first.cast("long").alias("r1"), last.cast("long").alias("r2")))
+    brackets = sketch.select(*keys, "_n", F.array(*targets).alias("_t"))
+
+    # every row against the few brackets of its group; the outer rows collapse in the map-side aggregation
+    placed = rows.join(brackets.select(*keys, "_t"), keys).select(
+        *keys, value, F.explode(F.transform("_t", lambda t: F.struct(t["i"].alias("i"), t["lo"].alias("lo"), t["hi"].alias("hi")))).alias("_b"))
+    side = F.when(v < F.col("_b.lo"), _BELOW).when(v > F.col("_b.hi"), _ABOVE).otherwise(_INSIDE)
+    counted = placed.select(*keys, F.col("_b.i").alias("_i"), side.alias("_side"), v.alias("_v")).groupBy(
+        *keys, "_i", "_side", F.when(F.col("_side") == _INSIDE, F.col("_v")).alias("_in")).agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.when(F.first("_side") == _BELOW, F.max("_v")).otherwise(F.min("_v")).alias("_v"))
+
+    order = Window.partitionBy(*keys, "_i").orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("_end", F.sum("_c").over(order)).withColumn("_begin", F.col("_end") - F.col("_c"))
+    ranks = brackets.select(*keys, "_n", F.explode("_t").alias("_t")).select(*keys, "_n", F.col("_t.i").alias("_i"), "_t.r1", "_t.r2")
+    both = ranked.join(ranks, [*keys, "_i"])
+
+    def holds(rank: str):
+        r = F.col(rank)
+        # the edge rows stand for the value next to the bracket only
+        return (F.when(F.col("_side") == _BELOW, r == F.col("_end")).when(F.col("_side") == _ABOVE, r == F.col("_begin") + 1)
+                .otherwise((F.col("_begin") < r) & (r <= F.col("_end"))))
+
+    picked = []
+    for i in range(len(probs)):
+        for rank in ("r1", "r2") if interpolate else ("r1",):
+            picked.append(F.max(F.when((F.col("_i") == i) & holds(rank), F.col("_v"))).alias(f"_{rank}_{i}"))
+    result = both.groupBy(*keys).agg(F.first("_n").alias("_n"), *picked)
+
+    def found(name: str):
+        outside = F.raise_error(F.lit("a rank lies outside its bracket"))
+        return F.when(F.col(name).isNull(), outside.cast(rows.schema[value].dataType)).otherwise(F.col(name))
+
     if not interpolate:
-        return result.drop("_n")
+        return result.select(*keys, *[found(f"_r1_{i}").alias(name) for i, name in enumerate(names)])
 
     # Spark's percentile: (higher - pos) * lowerValue + (pos - lower) * higherValue, pos = (n - 1) * p
     cols = []
     for i, (p, name) in enumerate(zip(probs, names)):
         pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
         lower, higher = F.floor(pos), F.ceil(pos)
-        lo_v, hi_v = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
+        lo_v, hi_v = found(f"_r1_{i}").cast("double"), found(f"_r2_{i}").cast("double")
         interp = (higher - pos) * lo_v + (pos - lower) * hi_v
         cols.append(F.when((higher == lower) | (lo_v == hi_v), lo_v).otherwise(interp).alias(name))
     return result.select(*keys, *cols)

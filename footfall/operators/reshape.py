@@ -33,3 +33,14 @@ def stack_kinds(df: DataFrame, id_vars: list[str], kinds: list[str] = KINDS, hou
     names = ", ".join([hour_name] + [f"{k}{suffix}" for k in kinds])
     expr = f"stack({len(hours)}, {', '.join(parts)}) AS ({names})"
     return df.select(*[F.col(c) for c in id_vars], F.expr(expr))
+
+
+def hours_packed(df: DataFrame, id_vars: list[str], kinds: list[str] = KINDS, hours: list[str] = HOURS,
+                 hour_name: str = "tm", template: str = "{kind}_t_{hour}", suffix: str = "_pop",
+                 name: str = "_hours") -> DataFrame:
+    """(ids, array of (tm, h_pop, w_pop, v_pop)): the rows of ``stack_kinds`` in one column, to explode later."""
+    parts = []
+    for hour in hours:
+        values = ", ".join(f"'{k}{suffix}', `{template.format(kind=k, hour=hour)}`" for k in kinds)
+        parts.append(f"named_struct('{hour_name}', '{hour}', {values})")
+    return df.selectExpr(*[f"`{c}`" for c in id_vars], f"array({', '.join(parts)}) AS `{name}`")

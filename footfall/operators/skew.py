@@ -9,8 +9,3 @@ from pyspark.sql import functions as F
 def partition_skew(df: DataFrame) -> DataFrame:
     """(partition_id, n_rows) for every non-empty partition of ``df``'s current plan."""
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-def partition_count(df: DataFrame) -> int:
-    """Number of partitions the plan produces."""
-    return df.rdd.getNumPartitions()

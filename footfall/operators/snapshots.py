@@ -1,10 +1,11 @@
 """Monthly snapshot calendar and trailing-year membership as set operations.
 
-Snapshot S (a first of month) covers [S - 12 months, S - 1 day]. A date in month M
-belongs to exactly the snapshots M+1 .. M+12, so trailing-window membership is an
-explode of 12 months (an equi shape) instead of one filter job per snapshot or a
-nested-loop range join. Pre-aggregate to (key, month) before exploding so the
-12-fold copy is of aggregates, not of raw rows.
+Snapshot S (a first of month) covers [S - w months, S - 1 day]; the calendar states the
+interval of each snapshot and is the only place that knows w. Listing the months of every
+interval gives a small (month, snapshot) table, so trailing-window membership is an
+equi join with a broadcast side bounded by the calendar, not one filter job per snapshot
+or a range join. Pre-aggregate to (key, month) first so that the w-fold copy is of
+aggregates, not of raw rows.
 """
 
 from __future__ import annotations
@@ -23,11 +24,10 @@ def _first_month_on_or_after(d: Column) -> Column:
 
 def _calendar_rows(bounds: DataFrame, months: int) -> DataFrame:
     """bounds has columns (_from, _to) dates: month starts S in [_from, _to] with their intervals."""
-    s = F.col(SNAPSHOT)
-    return bounds.select(
-        F.explode(F.sequence(_first_month_on_or_after(F.col("_from")), F.col("_to"), F.expr("INTERVAL 1 MONTH")))
-        .alias(SNAPSHOT)
-    ).select(
+    s, first = F.col(SNAPSHOT), _first_month_on_or_after(F.col("_from"))
+    # a range without a month start has no rows (a sequence would run backwards)
+    starts = F.when(first <= F.col("_to"), F.sequence(first, F.col("_to"), F.expr("INTERVAL 1 MONTH")))
+    return bounds.select(F.explode(starts).alias(SNAPSHOT)).select(
         s,
         F.add_months(s, -months).alias(INTERVAL_START),
         F.date_sub(s, 1).alias(INTERVAL_END),
@@ -53,18 +53,19 @@ def calendar_from_dates(df: DataFrame, date_col: str, months: int = 12) -> DataF
     return _calendar_rows(bounds, months)
 
 
-def explode_to_snapshots(df: DataFrame, month_col: str, months: int = 12) -> DataFrame:
-    """Copy each row to the snapshots whose trailing window holds its month (month_col = first of month)."""
-    m = F.col(month_col)
-    return df.withColumn(
-        SNAPSHOT,
-        F.explode(F.sequence(F.add_months(m, 1), F.add_months(m, months), F.expr("INTERVAL 1 MONTH"))),
-    )
+def months_of(calendar: DataFrame, month_col: str = "_m") -> DataFrame:
+    """(month, snapshot): the months that each snapshot's interval covers."""
+    months = F.sequence(F.col(INTERVAL_START), F.add_months(SNAPSHOT, -1), F.expr("INTERVAL 1 MONTH"))
+    covered = F.when(F.col(INTERVAL_START) < F.col(SNAPSHOT), months)
+    return calendar.select(F.explode(covered).alias(month_col), SNAPSHOT)
+
 
+def to_snapshots(df: DataFrame, month_col: str, calendar: DataFrame) -> DataFrame:
+    """Copy each row to the calendar's snapshots whose interval holds its month (month_col = first of month).
 
-def restrict_to_calendar(exploded: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Keep only snapshots of the calendar (broadcast: the calendar is bounded by its parameters)."""
-    return exploded.join(F.broadcast(calendar.select(SNAPSHOT)), SNAPSHOT, "left_semi")
+    Broadcast: snapshots times interval months, bounded by the calendar's parameters.
+    """
+    return df.join(F.broadcast(months_of(calendar, month_col)), month_col)
 
 
 def attach_calendar(calendar: DataFrame, per_snapshot: DataFrame) -> DataFrame:

@@ -200,14 +200,15 @@ _SA_COLS = [f"{k}_{s}_{a}" for k in KINDS for s in SEXES for a in AGES]
 _KEYS = "std_ymd, hcode, x_coord, y_coord"
 
 
-def _pop_long(x_expr: str, y_expr: str) -> str:
+def _pop_long(x_expr: str, y_expr: str, day: str = "ts") -> str:
     return f"""SELECT event_id, user_id,
-           CASE event_type WHEN 'view' THEN 'h' WHEN 'click' THEN 'w' ELSE 'v' END AS kind,
-           strftime(ts, '%Y%m%d') AS std_ymd, strftime(ts, '%H') AS tm,
+           CASE event_type WHEN 'view' THEN 'h' WHEN 'signup' THEN 'h' WHEN 'click' THEN 'w' WHEN 'error' THEN 'w'
+                ELSE 'v' END AS kind,
+           strftime({day}, '%Y%m%d') AS std_ymd, strftime(ts, '%H') AS tm,
            ({_CODES})[user_id % 10 + 1] || '51000' AS hcode,
            CAST({x_expr} AS DECIMAL(18,6)) AS x_coord, CAST({y_expr} AS DECIMAL(18,6)) AS y_coord,
            CAST(value AS DECIMAL(18,2)) AS v
-      FROM events WHERE event_type IN ('view', 'click', 'purchase')"""
+      FROM events"""
 
 
 IC_X = "746758.991784 + 25 + 50 * (user_id % 20)"
@@ -223,7 +224,8 @@ def _pivot(source: str, label: str, names: list[str]) -> str:
 
 POP_FIXTURES = f"""fx_pop_long AS ({_pop_long(IC_X, IC_Y)}),
 fx_time_pop AS ({_pivot('fx_pop_long', "kind || '_t_' || tm", _TIME_COLS)}),
-fx_sex_age AS ({_pivot("(SELECT * FROM fx_pop_long WHERE user_id % 13 <> 0)",
+fx_sex_age AS ({_pivot("(SELECT * REPLACE (CAST(x_coord + CASE WHEN user_id % 13 = 0 THEN 7 ELSE 0 END AS DECIMAL(18,6)) AS x_coord) "
+                       "FROM fx_pop_long)",
                        "kind || '_' || (CASE WHEN event_id % 2 = 0 THEN 'm' ELSE 'w' END) || '_' || "
                        "CAST((event_id % 7 + 1) * 10 AS VARCHAR)", _SA_COLS)}),
 fx_ic_grid AS (
@@ -233,7 +235,7 @@ fx_ic_grid AS (
            ({_CODES})[user_id % 10 + 1] || '51000' AS admd_cd
       FROM (SELECT DISTINCT user_id FROM events) u WHERE user_id % 7 <> 0)"""
 
-BOUNDED_FIXTURES = f"""fx_b_long AS ({_pop_long(B_X, B_Y)}),
+BOUNDED_FIXTURES = f"""fx_b_long AS ({_pop_long(B_X, B_Y, "CAST(ts AS DATE) - to_months(CAST(event_id % 3 AS INTEGER))")}),
 fx_bounded_pop AS (SELECT *, substr(std_ymd, 1, 6) AS pt_stdr_ym FROM ({_pivot('fx_b_long', "kind || '_t_' || tm", _TIME_COLS)})),
 fx_pcel_grid AS (
     SELECT printf('GRID%06d', row_number() OVER (ORDER BY row_no, clm_no)) AS grid_id, *
@@ -274,7 +276,7 @@ def _list(cols: list[str]) -> str:
 
 
 _HOUR_SUMS = [f"h_t_{h} + w_t_{h} + v_t_{h}" for h in HOURS]
-_DBL_TIME = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _TIME_COLS)
+_EIGHTHS = ", ".join(f"CAST({c} AS DOUBLE) / 8 AS {c}" for c in _TIME_COLS)
 
 _B_ROW = "CAST(trunc((cnt_x_crd - 1077058.991787) / 50) AS INTEGER)"
 _B_COL = "CAST(trunc((1780604.147390 - cnt_y_crd) / 50) AS INTEGER)"
@@ -339,7 +341,7 @@ _NONZERO = " OR ".join(f"CAST(trunc({k}_pop) AS INTEGER) <> 0" for k in KINDS)
 
 ORACLE.update({
     "csv_feed": f"""WITH {POP_FIXTURES}
-SELECT std_ymd, hcode, CAST(x_coord AS DOUBLE) AS x_coord, CAST(y_coord AS DOUBLE) AS y_coord, {_DBL_TIME}, block_cd
+SELECT std_ymd, hcode, CAST(x_coord AS DOUBLE) AS x_coord, CAST(y_coord AS DOUBLE) AS y_coord, {_EIGHTHS}, block_cd
   FROM fx_time_pop""",
 
     "district_prefix": f"""WITH {POP_FIXTURES},
@@ -469,7 +471,7 @@ ORACLE.update({
     "load_month": f"""WITH {FX_ORDERS}
 SELECT cust_id, {_d('ordr_de')}, CAST(gds_ordr_gramt AS DOUBLE) AS gds_ordr_gramt, ordr_key,
        strftime(ordr_de, '%Y%m') AS pt_stdr_ym
-  FROM fx_orders WHERE strftime(ordr_de, '%Y%m') > '200006'""",
+  FROM fx_orders""",
 
     "grid_intake": f"""WITH {BOUNDED_FIXTURES}, {BOUNDED_DAYS},
 last AS (SELECT coalesce(max(CAST(regexp_extract(grid_id, '([0-9]+)$', 1) AS BIGINT)), 0) AS n FROM fx_pcel_grid),
@@ -481,4 +483,11 @@ SELECT f.stdr_de, f.stdr_tm, coalesce(f.grid_id, n.grid_id) AS grid_id, f.admd_c
 })
 ORACLE["intake_stream"] = ORACLE["load_month"]
 
-ORACLE["female_population_csv"] = ORACLE["female_population"]
+ORACLE["partition_skew"] = """SELECT CAST(o_custkey % 16 AS INTEGER) AS partition_id, count(*) AS n_rows
+  FROM orders GROUP BY 1"""
+
+# the CSV feeds carry eighths: shares stay as they are, hours shrink and more of them fall below one
+ORACLE["female_population_csv"] = (
+    ORACLE["female_population"]
+    .replace("h AS (SELECT", f"t8 AS (SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) / 8 AS {c}' for c in _TIME_COLS)}) FROM t),\nh AS (SELECT")
+    .replace("FROM t),\nnz", "FROM t8),\nnz"))

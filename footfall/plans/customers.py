@@ -11,15 +11,16 @@ becomes at most one row per day/month before anything is keyed by customer.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from footfall.functions.columns import month_number, month_start, ym_text
+from footfall.functions.columns import month_number, month_start, row_sum, ym_text
 from footfall.operators.quantiles import exact_percentiles
-from footfall.operators.snapshots import (
-    INTERVAL_END, INTERVAL_START, SNAPSHOT, attach_calendar, explode_to_snapshots, restrict_to_calendar,
-)
+from footfall.operators.snapshots import INTERVAL_END, INTERVAL_START, SNAPSHOT, attach_calendar, to_snapshots
+from footfall.session import ensure_checkpoint_dir
 
 CUST, DAY, AMOUNT, KEY = "cust_id", "ordr_de", "gds_ordr_gramt", "ordr_key"
 
@@ -97,16 +98,31 @@ def user_movement(orders: DataFrame, start_de: str = "1970-01-01", end_de: str =
     )
 
 
+def outer_join_series(counts: DataFrame, on: str, label: str, value: str, names: list[str]) -> DataFrame:
+    """One row for each ``on`` with a column for each named series of the long table ``counts``.
+
+    The series are full-outer-joined one by one, so a month that only one of them has stays; what a
+    series lacks is 0.
+    """
+    series = [counts.where(F.col(label) == name).select(on, F.col(value).alias(name)) for name in names]
+    return reduce(lambda a, b: a.join(b, on, "full_outer"), series).na.fill(0, names)
+
+
+MOVES = ["new_user", "returning_user", "existing_user"]
+
+
 def user_movement_full_outer(orders: DataFrame, start_de: str = "1970-01-01", end_de: str = "2022-07-31",
                              returning_after: int = 3) -> DataFrame:
-    """Q1 in its original shape: three filtered counts, two full outer joins on the month, fill 0."""
-    gaps = user_month_gaps(orders, start_de, end_de)
+    """Q1 by joining monthly series: one count for each (month, class), then full outer joins of the classes.
+
+    The counts are a few rows a month; they are checkpointed so that the orders are read once.
+    """
     d = F.col("ordr_month_diff")
-    new = gaps.where(d.isNull()).groupBy("ordr_ym").agg(F.count("ordr_ym").alias("new_user"))
-    back = gaps.where(d >= returning_after).groupBy("ordr_ym").agg(F.count("ordr_ym").alias("returning_user"))
-    kept = gaps.where(d < returning_after).groupBy("ordr_ym").agg(F.count("ordr_ym").alias("existing_user"))
-    joined = new.join(back, "ordr_ym", "full_outer").join(kept, "ordr_ym", "full_outer").na.fill(0)
-    return joined.withColumn("mau", F.col("new_user") + F.col("returning_user") + F.col("existing_user"))
+    move = F.when(d.isNull(), MOVES[0]).when(d >= returning_after, MOVES[1]).otherwise(MOVES[2])
+    counts = user_month_gaps(orders, start_de, end_de).groupBy("ordr_ym", move.alias("_move")).count()
+    ensure_checkpoint_dir(orders.sparkSession)
+    joined = outer_join_series(counts.checkpoint(eager=True), "ordr_ym", "_move", "count", MOVES)
+    return joined.withColumn("mau", row_sum(MOVES))
 
 
 # ------------------------------------------------------------------ trailing year
@@ -114,7 +130,7 @@ def user_movement_full_outer(orders: DataFrame, start_de: str = "1970-01-01", en
 def trailing_members(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     """Per snapshot: orders and distinct customers inside its trailing year (0 when none)."""
     per_month = orders.groupBy(CUST, month_start(DAY).alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
-    exploded = restrict_to_calendar(explode_to_snapshots(by_customer(per_month), "_m"), calendar)
+    exploded = to_snapshots(by_customer(per_month), "_m", calendar)
     per_user = exploded.groupBy(SNAPSHOT, CUST).agg(F.sum("_n").alias("_n"))
     per_snap = per_user.groupBy(SNAPSHOT).agg(F.sum("_n").alias("n_orders"), F.count(F.lit(1)).alias("n_users"))
     return attach_calendar(calendar, per_snap).na.fill(0, ["n_orders", "n_users"])
@@ -185,7 +201,7 @@ def user_repurchase(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
         F.min_by("_fp", DAY).alias("_first_prior"),
         F.min(DAY).alias("_first_day"),
     )
-    exploded = restrict_to_calendar(explode_to_snapshots(per_month, "_m"), calendar)
+    exploded = to_snapshots(per_month, "_m", calendar)
     per_user = exploded.groupBy(SNAPSHOT, CUST).agg(
         F.sum("_k").alias("_k"), F.sum("_s").alias("_s"), F.min_by("_first", "_first_day").alias("_first"),
         F.min_by("_first_prior", "_first_day").alias("_first_prior"),
@@ -193,7 +209,8 @@ def user_repurchase(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
     if drop_first:
         drop = F.lit(True)
     else:
-        drop = F.col("_first_prior") < F.add_months(F.col(SNAPSHOT), -12)
+        per_user = per_user.join(F.broadcast(calendar.select(SNAPSHOT, INTERVAL_START)), SNAPSHOT)
+        drop = F.col("_first_prior") < F.col(INTERVAL_START)
     kept = F.col("_k") - F.when(drop, 1).otherwise(0)
     total = F.col("_s") - F.when(drop, F.col("_first")).otherwise(0)
     return per_user.where(kept > 0).select(
@@ -202,7 +219,7 @@ def user_repurchase(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
 
 
 def repurchase_median(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str,
-                      distinct_days: bool = False, drop_first: bool = True, blocks: int = 64,
+                      distinct_days: bool = False, drop_first: bool = True,
                       accuracy: int | None = None) -> DataFrame:
     """Q2: per snapshot, ceil of the (interpolated) median over customers of their mean repurchase gap.
 
@@ -215,7 +232,7 @@ def repurchase_median(orders: DataFrame, calendar: DataFrame, start_de: str, end
             F.percentile_approx("user_repurchase_cycle_avg", 0.5, accuracy).alias("_median"))
     else:
         med = exact_percentiles(per_user, [SNAPSHOT], "user_repurchase_cycle_avg", [0.5], ["_median"],
-                                interpolate=True, blocks=blocks)
+                                interpolate=True)
     per_snap = med.select(SNAPSHOT, F.ceil("_median").cast("long").alias("all_repurchase_cycle_median"))
     return attach_calendar(calendar, per_snap).select(
         SNAPSHOT, INTERVAL_START, INTERVAL_END, "all_repurchase_cycle_median"
@@ -243,7 +260,7 @@ def _spend_units(orders: DataFrame, calendar: DataFrame, start_de: str, end_de:
         .groupBy(CUST, month_start(DAY).alias("_m"))
         .agg(F.sum((F.col(AMOUNT) * unit).cast("long")).alias("_units"), F.count(F.lit(1)).alias("_cnt"))
     )
-    exploded = restrict_to_calendar(explode_to_snapshots(by_customer(per_month), "_m"), calendar)
+    exploded = to_snapshots(by_customer(per_month), "_m", calendar)
     return exploded.groupBy(SNAPSHOT, CUST).agg(F.sum("_units").alias("_units"), F.sum("_cnt").alias("user_purchase_cnt"))
 
 
@@ -263,7 +280,7 @@ QUARTILES = [0.25, 0.5, 0.75]
 
 
 def spend_quartiles(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str,
-                    blocks: int = 64, accuracy: int | None = None) -> DataFrame:
+                    accuracy: int | None = None) -> DataFrame:
     """Q3: per snapshot, exact quartiles (rank ceil(p*n)) over customers of spend and of order count.
 
     Exact by default (rank selection, see ``operators.quantiles``); ``accuracy`` opts
@@ -284,8 +301,7 @@ def spend_quartiles(orders: DataFrame, calendar: DataFrame, start_de: str, end_d
             F.percentile_approx("_v", QUARTILES, accuracy).alias("_qs")
         ).select(SNAPSHOT, "_measure", *[F.col("_qs")[i - 1].alias(f"_q{i}") for i in (1, 2, 3)])
     else:
-        q = exact_percentiles(long_form, [SNAPSHOT, "_measure"], "_v", QUARTILES, ["_q1", "_q2", "_q3"],
-                              blocks=blocks)
+        q = exact_percentiles(long_form, [SNAPSHOT, "_measure"], "_v", QUARTILES, ["_q1", "_q2", "_q3"])
     amt = [_from_units(F.max(F.when(F.col("_measure") == "amt", F.col(f"_q{i}"))), scale) for i in (1, 2, 3)]
     wide = q.groupBy(SNAPSHOT).agg(
         *[a.cast("double").alias(f"all_user_gds_ordr_gramt_q{i}") for i, a in zip((1, 2, 3), amt)],
@@ -304,16 +320,20 @@ def latest_snapshots(quartiles: DataFrame, n: int = 10) -> DataFrame:
     return quartiles.orderBy(F.col("ordr_de").desc()).limit(n)
 
 
+def last_snapshot(orders: DataFrame, calendar: DataFrame, start_de: str, end_de: str) -> DataFrame:
+    """The calendar's last snapshot whose interval holds an order in range, by one scan for the months present."""
+    months = orders_in_range(orders, start_de, end_de).select(month_start(DAY).alias("_m")).distinct()
+    last = to_snapshots(months, "_m", calendar).agg(F.max(SNAPSHOT).alias("_last"))
+    return calendar.join(F.broadcast(last), F.col(SNAPSHOT) == F.col("_last"), "left_semi")
+
+
 def user_spend_stats(spend: DataFrame, snapshot_de: str | None = None) -> DataFrame:
     """count / mean / stddev / min / max of per-customer spend and order count (``describe``), one snapshot.
 
-    Without a date the last snapshot present is used (the notebook describes its last loop iteration).
+    Without a date all rows count: pass the spend of one snapshot (``last_snapshot`` restricts the
+    calendar before the spend is computed, so only that year's orders are read twelve-fold).
     """
-    if snapshot_de is None:
-        last = spend.agg(F.max(SNAPSHOT).alias("_last"))
-        one = spend.join(last, F.col(SNAPSHOT) == F.col("_last"), "left_semi")
-    else:
-        one = spend.where(F.col(SNAPSHOT) == F.to_date(F.lit(snapshot_de)))
+    one = spend if snapshot_de is None else spend.where(F.col(SNAPSHOT) == F.to_date(F.lit(snapshot_de)))
     a, c = F.col("user_gds_ordr_gramt").cast("double"), F.col("user_purchase_cnt").cast("double")
     stats = one.agg(
         F.count(a).cast("double").alias("count_a"), F.mean(a).alias("mean_a"), F.stddev_samp(a).alias("stddev_a"),

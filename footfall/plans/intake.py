@@ -31,11 +31,6 @@ def service_rows(source: DataFrame, months: DataFrame | None = None) -> DataFram
     )
 
 
-def service_month(source: DataFrame, year_month: str) -> DataFrame:
-    """One month of the partitioned source (the filter on the partition column prunes to its folder)."""
-    return service_rows(source.where(F.col("pt_stdr_ym") == F.lit(str(year_month))))
-
-
 def bounded_index(df: DataFrame, x: str = "cnt_x_crd", y: str = "cnt_y_crd") -> DataFrame:
     """row_no from x (rightward of PCELL_X), clm_no from y (downward of PCELL_Y), truncated; mtr_no = 'row,clm'.
 
@@ -189,3 +184,9 @@ def new_months(source_partitions: DataFrame, loaded_partitions: DataFrame) -> Da
         .where(F.col("year_month") > F.lit(int(last)))
         .distinct()
     )
+
+
+def missing_months(source_partitions: DataFrame, loaded_partitions: DataFrame) -> DataFrame:
+    """Source months that are not loaded, whether later than the last loaded one or a gap before it."""
+    source = source_partitions.select(partition_month().alias("year_month")).distinct()
+    return source.join(loaded_partitions.select(partition_month().alias("year_month")), "year_month", "left_anti")

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from footfall.constants import DISTRICTS, HOURS, IC_MIN_X, IC_MIN_Y, KINDS
 from footfall.functions.columns import (
-    female_ratio_sql, female_share_sql, hour_sum_sql, lattice_index, row_sum, to_int_nonzero,
+    female_counts_sql, female_ratio_sql, female_share_sql, hour_sum_sql, lattice_index, row_sum, to_int_nonzero,
 )
-from footfall.operators.reshape import melt, stack_kinds
+from footfall.operators.reshape import hours_packed, melt, stack_kinds
 
 FEED_KEYS = ["std_ymd", "hcode", "x_coord", "y_coord"]
 
@@ -137,8 +137,11 @@ def sex_age_ratios(sex_age: DataFrame) -> DataFrame:
 
 
 def female_shares(sex_age: DataFrame) -> DataFrame:
-    """Per feed key and kind: female share = sum of the seven female counts / the 14-count total."""
-    return sex_age.selectExpr(*FEED_KEYS, *female_share_sql())
+    """Per feed key and kind: female share = sum of the seven female counts / the 14-count total.
+
+    Each count is read once, into an array per kind: the plan above carries three columns, not 42.
+    """
+    return sex_age.selectExpr(*FEED_KEYS, *female_counts_sql()).selectExpr(*FEED_KEYS, *female_share_sql())
 
 
 def female_population(time_feed: DataFrame, sex_age: DataFrame, grid: DataFrame, codes: list[str] | None = None,
@@ -149,17 +152,16 @@ def female_population(time_feed: DataFrame, sex_age: DataFrame, grid: DataFrame,
     (same district), a sex/age row, an hour that passes the non-zero test, and a
     non-NULL, non-zero result. Joins run on the wide rows before the hour stack.
 
-    Inputs should be scans of the feeds (parquet, or CSV read with the typed schema)
-    or checkpointed frames. When the feeds arrive as projections whose dozens of
-    columns are all aliases of one upstream column (a pivot's output, for example),
-    Catalyst's constraint propagation for the final ``<> 0`` filter can take minutes
-    (``spark.sql.constraintPropagation.enabled=false`` also avoids it).
+    The 72 hour columns become one array of hours, and the 42 counts three shares, right after the scan,
+    so whatever the feeds are (parquet, casts of a CSV's text) the plan above carries a handful of
+    columns, and planning does not slow down with their number.
     """
     feed = in_districts(time_feed, codes)
-    with_cell = attach_cell_xy(feed, grid)
+    with_cell = attach_cell_xy(hours_packed(feed, FEED_KEYS), grid)
     shares = female_shares(in_districts(sex_age, codes))
     wide = with_cell.join(shares, FEED_KEYS, "inner")
-    hourly = stack_kinds(wide, [*FEED_KEYS, "grid_id", *[f"{k}_fml_r" for k in KINDS]])
+    hourly = wide.select(*FEED_KEYS, "grid_id", *[f"{k}_fml_r" for k in KINDS], F.explode("_hours").alias("_hour")).select(
+        *FEED_KEYS, "grid_id", *[f"{k}_fml_r" for k in KINDS], "_hour.*")
     hourly = nonzero_population(hourly, exact_zero)
     total = row_sum([F.col(f"{k}_pop").cast("double") * F.col(f"{k}_fml_r") for k in KINDS])
     return (

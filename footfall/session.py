@@ -42,12 +42,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set a scratch one only when unset (tests)."""
+    """Return the cluster's shared checkpoint folder.
+
+    Where none is set, a session of one machine (master ``local...``, as in tests) gets a scratch folder;
+    on a cluster the executors could not see one, so that is an error.
+    """
     current = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="footfall-ckpt-", dir=os.environ.get("FOOTFALL_SCRATCH", "/tmp"))
     spark.conf.set(CHECKPOINT_KEY, path)
     spark.sparkContext.setCheckpointDir(path)

@@ -7,12 +7,17 @@ partitions they carry (dynamic partition overwrite) instead of appending.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "pt_stdr_ym", fmt: str = "parquet") -> None:
-    """Idempotent load: replace only the partitions present in ``df``; others stay."""
+    """Idempotent load: replace only the partitions present in ``df``; others stay.
+
+    Rows are brought together by partition first, so a month is a few files, not one for each task; a
+    month that is too large for one task is split again by adaptive execution.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col(partition_col)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .format(fmt)
@@ -39,15 +44,6 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_col: str |
     writer.save(path)
 
 
-def write_result(df: DataFrame, path: str, fmt: str = "parquet", files: int | None = None) -> None:
-    """Overwrite a small result (snapshot tables); ``files`` coalesces to that many output files."""
-    out = df.coalesce(files) if files else df
-    writer = out.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.save(path)
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str, properties: dict[str, str],
                partitions: int | None = None) -> None:
     """JDBC sink; ``partitions`` bounds the number of concurrent connections."""

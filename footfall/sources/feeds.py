@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from footfall.constants import AGES, HOURS, KINDS, SEXES
 
@@ -21,45 +21,19 @@ TIME_POP_SCHEMA = _string_schema(TIME_VALUES)        # 77 columns
 SEX_AGE_POP_SCHEMA = _string_schema(SEX_AGE_VALUES)  # 47 columns
 
 
-def _typed_schema(values: list[str], value_type=DecimalType(28, 2), coord_type=DecimalType(18, 6)) -> StructType:
-    fields = []
-    for c in [*FEED_KEYS, *values, "block_cd"]:
-        t = value_type if c in values else coord_type if c in ("x_coord", "y_coord") else StringType()
-        fields.append(StructField(c, t, True))
-    return StructType(fields)
-
-
-TIME_POP_TYPED = _typed_schema(TIME_VALUES)
-SEX_AGE_POP_TYPED = _typed_schema(SEX_AGE_VALUES)
-
-
 def read_feed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read one or many months (a folder or glob) in one scan; no schema inference.
-
-    With a typed schema (``TIME_POP_TYPED``, ``SEX_AGE_POP_TYPED``) the parser casts
-    once at the source and a malformed number becomes NULL in that field only
-    (PERMISSIVE mode), the same as ``try_cast`` but with plain columns.
-    """
+    """Read one or many months (a folder or glob) in one scan, every field as text; no schema inference."""
     return spark.read.schema(schema).option("sep", "|").option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def typed(df: DataFrame, values: list[str], value_type: str = "decimal(28,2)",
-          coord_type: str = "decimal(18,6)") -> DataFrame:
-    """Cast once at the source: malformed numbers become NULL (``try_cast``), never an error.
+def typed(df: DataFrame, values: list[str], value_type: str, coord_type: str) -> DataFrame:
+    """Cast once after reading: malformed numbers become NULL (``try_cast``), never an error.
 
-    For frames that arrive as strings from elsewhere. For CSV prefer reading with the
-    typed schema: 70+ aliased casts feeding joins and filters make Catalyst's
-    constraint propagation very slow to optimise.
+    The caller states both types. ``double`` keeps whatever decimals the text has; a decimal type
+    rounds to its scale. Coordinates take the type of the grid that they are compared with.
     """
-    cols = []
-    for c in df.columns:
-        if c in values:
-            cols.append(F.col(c).try_cast(value_type).alias(c))
-        elif c in ("x_coord", "y_coord"):
-            cols.append(F.col(c).try_cast(coord_type).alias(c))
-        else:
-            cols.append(F.col(c))
-    return df.select(*cols)
+    kinds = dict.fromkeys(values, value_type) | dict.fromkeys(("x_coord", "y_coord"), coord_type)
+    return df.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
 
 def write_feed(df: DataFrame, path: str) -> None:

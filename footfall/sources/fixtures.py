@@ -22,8 +22,8 @@ from footfall.sources.tables import table
 DEC_COORD = "decimal(18,6)"
 DEC_MONEY = "decimal(18,2)"
 
-# fixed values: which event types stand for which population kind
-EVENT_KIND = {"view": "h", "click": "w", "purchase": "v"}
+# which event types stand for which population kind; every event counts
+EVENT_KIND = {"view": "h", "click": "w", "purchase": "v", "signup": "h", "error": "w"}
 
 
 def _dec(text: str) -> Column:
@@ -93,11 +93,11 @@ def _ic_y(user: Column) -> Column:
 
 
 def fx_pop_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event of three kinds: (event_id, user_id, kind, std_ymd, tm, hcode, x_coord, y_coord, v)."""
+    """One row per event: (event_id, user_id, kind, std_ymd, tm, hcode, x_coord, y_coord, v)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    kind = F.when(F.col("event_type") == "view", "h").when(F.col("event_type") == "click", "w").otherwise("v")
+    kind = F.coalesce(*[F.when(F.col("event_type") == e, F.lit(k)) for e, k in EVENT_KIND.items()], F.lit("v"))
     u = F.col("user_id")
-    return ev.where(F.col("event_type").isin(*EVENT_KIND)).select(
+    return ev.select(
         "event_id",
         "user_id",
         kind.alias("kind"),
@@ -139,8 +139,12 @@ def fx_time_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_sex_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide sex/age feed, 47 columns: keys, {h,w,v}_{m,w}_{10..70}, block_cd."""
-    long_df = fx_pop_long(spark, sf_dir).where(F.col("user_id") % 13 != 0)
+    """Wide sex/age feed, 47 columns: keys, {h,w,v}_{m,w}_{10..70}, block_cd.
+
+    Users divisible by 13 are reported 7 m off their cell's centre, so their rows miss the join by key.
+    """
+    off = F.when(F.col("user_id") % 13 == 0, F.lit(7)).otherwise(F.lit(0))
+    long_df = fx_pop_long(spark, sf_dir).withColumn("x_coord", (F.col("x_coord") + off).cast(DEC_COORD))
     sex = F.when(F.col("event_id") % 2 == 0, "m").otherwise("w")
     age = ((F.col("event_id") % 7 + 1) * 10).cast("string")
     label = F.concat_ws("_", "kind", sex, age)
@@ -173,7 +177,10 @@ def _bounded_y(user: Column) -> Column:
 def fx_bounded_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month-partitioned hourly source of the bounded grid (keys, 72 hour columns, block_cd, pt_stdr_ym)."""
     u = F.col("user_id")
-    long_df = fx_pop_long(spark, sf_dir).withColumn("x_coord", _bounded_x(u)).withColumn("y_coord", _bounded_y(u))
+    # events spread over three months: event_id % 3 months earlier
+    day = F.add_months(F.to_date("std_ymd", "yyyyMMdd"), (-(F.col("event_id") % 3)).cast("int"))
+    long_df = (fx_pop_long(spark, sf_dir).withColumn("x_coord", _bounded_x(u)).withColumn("y_coord", _bounded_y(u))
+               .withColumn("std_ymd", F.date_format(day, "yyyyMMdd")))
     label = F.concat_ws("_", "kind", F.lit("t"), "tm")
     wide = _pivot_sum(long_df, FEED_KEYS, label, HOUR_COLUMNS)
     return wide.withColumn("pt_stdr_ym", F.substring("std_ymd", 1, 6))

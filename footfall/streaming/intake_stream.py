@@ -2,18 +2,23 @@
 
 ``readStream`` over the partitioned source folder with ``trigger(availableNow)``
 processes what has arrived since the last run and stops (a daily batch that
-exits when nothing is new). Each micro-batch only tells which months changed;
-those months are then re-read whole from the source and written with dynamic
-partition overwrite, so a month split over several batches, or a rerun after a
-failure, still ends with exactly one copy of the month.
+exits when nothing is new). The micro-batches only note which months changed, in a
+table beside the stream's checkpoint. After the stream each noted month is read whole
+from the source once, however many batches its files were spread over, and
+written with dynamic partition overwrite. A note is settled only after that write, so a run that
+fails in between loads the month again on the next run; either way the target ends with
+exactly one copy of the month.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from footfall.jobs import read_or_none as _read_or_none
 from footfall.sinks import overwrite_partitions
 
 
@@ -28,19 +33,31 @@ def run_intake_stream(spark: SparkSession, source_path: str, schema: StructType,
     if after_month is not None:
         stream = stream.where(F.col(partition_col) > F.lit(after_month))
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.select(partition_col).distinct()  # months in this batch: bounded by the calendar
-        months = [r[0] for r in changed.collect()]
-        if not months:
-            return
-        whole = spark.read.schema(schema).parquet(source_path).where(F.col(partition_col).isin(months))
-        overwrite_partitions(whole, target_path, partition_col)
+    noted, settled = f"{checkpoint_path}-months/noted", f"{checkpoint_path}-months/settled"
+
+    def note(batch: DataFrame, batch_id: int) -> None:
+        months = batch.select(F.col(partition_col).cast("string").alias("month")).distinct()
+        months.withColumn("run", F.lit(run)).coalesce(1).write.mode("append").parquet(noted)
 
+    run = uuid.uuid4().hex
     query = (
         stream.select(partition_col).writeStream
-        .foreachBatch(load)
+        .foreachBatch(note)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+    notes = _read_or_none(spark, noted)
+    if notes is None:
+        return
+    done = _read_or_none(spark, settled)
+    open_notes = notes if done is None else notes.join(done.select("run"), "run", "left_anti")
+    found = [(r["month"], r["run"]) for r in open_notes.distinct().collect()]  # bounded by the calendar
+    if not found:
+        return
+    whole = spark.read.schema(schema).parquet(source_path).where(
+        F.col(partition_col).cast("string").isin(sorted({m for m, _ in found})))
+    overwrite_partitions(whole, target_path, partition_col)
+    spark.createDataFrame([(r,) for r in sorted({r for _, r in found})], "run string").write.mode("append").parquet(settled)

@@ -1,16 +1,13 @@
-"""Properties that hold on the test tables, and equality of set-based forms with the loop forms."""
+"""Properties that hold on the test tables."""
 
 import random
 
-from dateutil.relativedelta import relativedelta
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
-from footfall.catalog import QUERIES, SNAPSHOT_RANGE
+from footfall.catalog import QUERIES
 from footfall.functions.geo import to_tm, to_wgs84
 from footfall.operators.quantiles import exact_percentiles
-from footfall.operators.snapshots import snapshot_calendar
 from footfall.plans import customers as cu
 from footfall.sources import fixtures as fx
 
@@ -25,74 +22,25 @@ def test_movement_adds_up(spark):
     assert {r.ordr_ym: r["count"] for r in months} == {r.ordr_ym: r.mau for r in mv}
 
 
-def _loop_repurchase(spark, orders, snapshots, start, end):
-    w = Window.partitionBy("cust_id").orderBy("ordr_de", "ordr_key")
-    src = (cu.orders_in_range(orders, start, end)
-           .withColumn("prior", F.lag("ordr_de").over(w)).where(F.col("prior").isNotNull())
-           .withColumn("cycle", F.datediff("ordr_de", "prior")))
-    out = {}
-    for s in snapshots:
-        lo, hi = s - relativedelta(years=1), s - relativedelta(days=1)
-        part = src.where(F.col("ordr_de").between(lo, hi))
-        part = part.withColumn("rn", F.row_number().over(w)).where(F.col("rn") > 1)
-        avg = part.groupBy("cust_id").agg(F.avg("cycle").alias("a"))
-        out[s] = avg.agg(F.ceil(F.median("a")).alias("m")).first().m
-    return out
-
-
-def _loop_quartiles(spark, orders, snapshots, start, end):
-    src = cu.orders_in_range(orders, start, end)
-    out = {}
-    for s in snapshots:
-        lo, hi = s - relativedelta(years=1), s - relativedelta(days=1)
-        per = (src.where(F.col("ordr_de").between(lo, hi)).groupBy("cust_id")
-               .agg(F.sum("gds_ordr_gramt").cast("double").alias("amt"), F.count("*").cast("double").alias("cnt")))
-        a = per.approxQuantile("amt", [0.25, 0.5, 0.75], 0.0)
-        c = per.approxQuantile("cnt", [0.25, 0.5, 0.75], 0.0)
-        out[s] = (a or [None] * 3, c or [None] * 3)
-    return out
-
-
-def test_set_based_equals_loop_on_sampled_snapshots(spark):
-    orders = fx.fx_orders(spark, SF_MID)
-    start, end = SNAPSHOT_RANGE
-    cal = snapshot_calendar(spark, start, end)
-    all_snaps = sorted(r.snapshot_stdr_de for r in cal.collect())
-    sample = [all_snaps[0]] + random.Random(7).sample(all_snaps[1:], 5)
-    loop_m = _loop_repurchase(spark, orders, sample, start, end)
-    ours_m = {r.snapshot_stdr_de: r.all_repurchase_cycle_median for r in cu.repurchase_median(orders, cal, start, end).collect()}
-    assert {s: ours_m[s] for s in sample} == loop_m
-    loop_q = _loop_quartiles(spark, orders, sample, start, end)
-    ours_q = {r.ordr_de: r for r in cu.spend_quartiles(orders, cal, start, end).collect()}
-    for s in sample:
-        r = ours_q[s]
-        a, c = loop_q[s]
-        assert [r.all_user_gds_ordr_gramt_q1, r.all_user_gds_ordr_gramt_q2, r.all_user_gds_ordr_gramt_q3] == a
-        got_c = [r.all_user_purchase_cnt_q1, r.all_user_purchase_cnt_q2, r.all_user_purchase_cnt_q3]
-        assert [None if x is None else float(x) for x in got_c] == c
-
-
-def test_blocked_quantiles_match_builtin(spark):
+def test_bracketed_quantiles_match_builtin(spark):
     rng = random.Random(11)
-    rows = []
-    for g in range(4):
-        n = rng.randint(1, 300)
+    rows = [(9, None)]
+    for g, n in enumerate((1, 2, 3, 7, 300, 4000)):
         hot = rng.random() * 100
-        for _ in range(n):
-            rows.append((g, hot if rng.random() < 0.3 else round(rng.gauss(50, 30), 2)))
+        rows += [(g, hot if rng.random() < 0.3 else round(rng.gauss(50, 30), 2)) for _ in range(n)]
     df = spark.createDataFrame(rows, "g int, x double")
-    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     names = [f"p{i}" for i in range(len(probs))]
-    want = {r.g: [r[n] for n in names] for r in df.groupBy("g").agg(*[
+    want = {r.g: [r[n] for n in names] for r in df.where("x IS NOT NULL").groupBy("g").agg(*[
         F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)").alias(n) for p, n in zip(probs, names)]).collect()}
-    want_med = {r.g: r.m for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
-    for limit, blocks in ((150, 3), (20, 16), (10**6, 64)):  # few large blocks, many small, one
-        got = {r.g: [r[n] for n in names] for r in exact_percentiles(
-            df, ["g"], "x", probs, names, blocks=blocks, single_task_limit=limit).collect()}
+    between = {r.g: [r[n] for n in names] for r in df.where("x IS NOT NULL").groupBy("g").agg(*[
+        F.percentile("x", p).alias(n) for p, n in zip(probs, names)]).collect()}
+    for accuracy in (20, 100, 1000):  # wide brackets, narrow ones
+        got = {r.g: [r[n] for n in names] for r in exact_percentiles(df, ["g"], "x", probs, names, accuracy=accuracy).collect()}
         assert got == want
-        med = {r.g: r.m for r in exact_percentiles(df, ["g"], "x", [0.5], ["m"], interpolate=True, blocks=blocks,
-                                                   single_task_limit=limit).collect()}
-        assert med == want_med
+        got = {r.g: [r[n] for n in names] for r in exact_percentiles(
+            df, ["g"], "x", probs, names, interpolate=True, accuracy=accuracy).collect()}
+        assert got == between
 
 
 def test_unpivot_keeps_totals(spark):
@@ -130,30 +78,7 @@ def test_projection_round_trip(spark):
 def test_load_twice_equals_once(spark):
     first = QUERIES["load_month"](spark, SF_SMALL)
     n = first.count()
-    assert n == fx.fx_orders(spark, SF_SMALL).where(F.date_format("ordr_de", "yyyyMM") > "200006").count()
-
-
-def test_blocked_path_on_test_tables(spark):
-    """Q3 and Q2 with every group forced through the blocked rank selection equal the one-block results."""
-    import footfall.operators.quantiles as qm
-
-    orders = fx.fx_orders(spark, SF_MID)
-    cal = snapshot_calendar(spark, *SNAPSHOT_RANGE)
-    want_q = sorted(tuple(r) for r in cu.spend_quartiles(orders, cal, *SNAPSHOT_RANGE).collect())
-    want_m = sorted(tuple(r) for r in cu.repurchase_median(orders, cal, *SNAPSHOT_RANGE).collect())
-    original = qm.exact_percentiles
-
-    def forced(*a, **k):
-        k["single_task_limit"] = 50  # every snapshot group is larger: cut points and blocks
-        return original(*a, **k)
-
-    cu.exact_percentiles = forced
-    try:
-        got_q = sorted(tuple(r) for r in cu.spend_quartiles(orders, cal, *SNAPSHOT_RANGE).collect())
-        got_m = sorted(tuple(r) for r in cu.repurchase_median(orders, cal, *SNAPSHOT_RANGE).collect())
-    finally:
-        cu.exact_percentiles = original
-    assert got_q == want_q and got_m == want_m
+    assert n == fx.fx_orders(spark, SF_SMALL).count()  # the whole target: months loaded before and now
 
 
 def test_grid_intake_rerun_is_a_no_op(spark):
@@ -168,9 +93,66 @@ def test_grid_intake_rerun_is_a_no_op(spark):
     ik.full_grid_rows(_pcel_grid(spark, SF_SMALL), _cctv_counts(spark, SF_SMALL)).write.parquet(grid_path)
     first = jobs.run_grid_intake(spark, source_path, src.schema, fact_path, grid_path, _cctv_counts(spark, SF_SMALL))
     facts, cells = spark.read.parquet(fact_path).count(), spark.read.parquet(grid_path).count()
-    assert first["months"] == 1 and first["new_cells"] > 0 and facts > 0
+    assert first["months"] == 3 and first["new_cells"] > 0 and facts > 0
     again = jobs.run_grid_intake(spark, source_path, src.schema, fact_path, grid_path, _cctv_counts(spark, SF_SMALL))
     assert again == {"months": 0, "new_cells": 0}
     assert spark.read.parquet(fact_path).count() == facts and spark.read.parquet(grid_path).count() == cells
     ids = [r.grid_id for r in spark.read.parquet(grid_path).select("grid_id").collect()]
     assert len(ids) == len(set(ids))
+
+
+def test_projection_against_numeric_meridian_arc(spark):
+    """Known points: on the central meridian the northing is the scaled arc of the meridian, integrated here."""
+    import math
+
+    a, f = 6378137.0, 1 / 298.257222101
+    e2 = f * (2 - f)
+
+    def arc(lat0, lat1, n=20000):
+        h = (lat1 - lat0) / n
+        g = lambda t: a * (1 - e2) / (1 - e2 * math.sin(t) ** 2) ** 1.5
+        return h / 3 * sum((1 if i in (0, n) else 4 if i % 2 else 2) * g(lat0 + i * h) for i in range(n + 1))
+
+    lats = [33.0, 35.61, 37.456, 38.0, 39.9]
+    pts = spark.createDataFrame([(127.5, x) for x in lats], "lo double, la double")
+    for r in to_tm(pts, "lo", "la", "x", "y").collect():
+        want = 2_000_000 + 0.9996 * arc(math.radians(38.0), math.radians(r.la))
+        assert abs(r.y - want) < 1e-4 and abs(r.x - 1_000_000) < 1e-6
+
+
+def test_gaps_and_one_month_per_run(spark):
+    from footfall import jobs
+    from footfall.session import scratch_path
+
+    orders = fx.fx_orders(spark, SF_SMALL).withColumn(jobs.PARTITION, F.date_format("ordr_de", "yyyyMM"))
+    orders = orders.where(F.col(jobs.PARTITION).between("200001", "200005"))
+    source, target = scratch_path(spark, "gap-src"), scratch_path(spark, "gap-dst")
+    orders.write.partitionBy(jobs.PARTITION).parquet(source)
+    jobs.reload_months(spark, source, target, orders.schema, ["200001", "200003"])
+    months = lambda: sorted(r[0] for r in spark.read.schema(orders.schema).parquet(target).select(jobs.PARTITION).distinct().collect())
+    assert jobs.load_new_months(spark, source, target, orders.schema, max_months=1) == 1
+    assert months() == ["200001", "200003", "200004"]
+    assert jobs.load_new_months(spark, source, target, orders.schema, gaps=True) == 2
+    assert months() == ["200001", "200002", "200003", "200004", "200005"]
+    assert spark.read.schema(orders.schema).parquet(target).count() == orders.count()
+    assert jobs.load_new_months(spark, source, target, orders.schema, gaps=True) == 0
+
+
+def test_catalog_tables_load_by_their_metadata(spark):
+    from footfall import jobs
+    from footfall.session import scratch_path
+
+    orders = fx.fx_orders(spark, SF_SMALL).withColumn(jobs.PARTITION, F.date_format("ordr_de", "yyyyMM"))
+    orders = orders.where(F.col(jobs.PARTITION).between("200001", "200003"))
+    names = ("fx_catalog_source", "fx_catalog_target")
+    try:
+        orders.write.partitionBy(jobs.PARTITION).option("path", scratch_path(spark, "cat-src")).saveAsTable(names[0])
+        orders.where(f"{jobs.PARTITION} = '200001'").write.partitionBy(jobs.PARTITION).option(
+            "path", scratch_path(spark, "cat-dst")).saveAsTable(names[1])
+        assert jobs.load_new_months_table(spark, *names) == 2
+        assert jobs.load_new_months_table(spark, *names) == 0
+        assert spark.table(names[1]).exceptAll(spark.table(names[0]).select(*spark.table(names[1]).columns)).count() == 0
+        assert spark.table(names[1]).count() == orders.count()
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

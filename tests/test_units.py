@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from footfall.functions.columns import grid_id_text, id_number, lattice_index, safe_ratio
+from footfall.functions.columns import female_counts_sql, female_share_sql, grid_id_text, id_number, lattice_index
 from footfall.operators.ids import assign_sequential_ids
 from footfall.operators.quantiles import exact_percentiles
 from footfall.operators.snapshots import snapshot_calendar
@@ -52,18 +52,65 @@ def test_grid_id_width(spark):
 
 
 def test_zero_guard(spark):
-    df = spark.createDataFrame([(1.0, 0.0), (1.0, None), (1.0, 4.0)], "a double, t double")
-    got = [r.r for r in df.select(safe_ratio(F.col("a"), F.col("t")).alias("r")).collect()]
-    assert got == [0.0, None, 0.25]
+    """Female share of 14 counts: 0 when they are 0, NULL with a NULL count; text counts work like numbers."""
+    from footfall.sources.feeds import SEX_AGE_VALUES
+
+    rows = [["0"] * 42, [None] + ["1"] * 41, ["1"] * 42, ["0.345", *["0"] * 41]]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in SEX_AGE_VALUES))
+    got = [tuple(r) for r in df.selectExpr(*female_counts_sql()).selectExpr(*female_share_sql()).collect()]
+    assert got == [(0.0, 0.0, 0.0), (None, 0.5, 0.5), (0.5, 0.5, 0.5), (0.0, 0.0, 0.0)]
+
+
+def test_values_out_of_range_are_null(spark):
+    df = spark.createDataFrame([(Decimal("999999999999.5"),), (None,)], "x decimal(18,6)")
+    assert [r.i for r in df.select(lattice_index(F.col("x"), "0", cell=1).alias("i")).collect()] == [None, None]
+    wide = spark.createDataFrame([(3e9, 0.0, 0.0), (3e9, 2.0, 0.0), (0.996, 0.0, 0.0)], "h_pop double, w_pop double, v_pop double")
+    assert [r.w_pop for r in nonzero_population(wide).collect()] == [2.0]
+
+
+def test_six_month_windows(spark):
+    """The calendar alone states the width: an order of January is outside the half year before September."""
+    orders = _orders(spark, [(1, date(2020, 1, 5), Decimal("1"), 1), (2, date(2020, 3, 1), Decimal("2"), 2), (2, date(2020, 8, 31), Decimal("2"), 3)])
+    for months, users in ((6, 1), (12, 2)):
+        cal = snapshot_calendar(spark, "2020-09-01", "2020-09-01", months)
+        row = cu.trailing_members(orders, cal).first()
+        assert (row.n_users, row.n_orders) == (users, users + 1)
+        assert cu.user_spend(orders, cal, "2019-01-01", "2021-01-01").count() == users
+    kept = cu.user_repurchase(orders, snapshot_calendar(spark, "2020-09-01", "2020-09-01", 6), "2019-01-01", "2021-01-01", drop_first=False)
+    assert [r.user_repurchase_cycle_avg for r in kept.collect()] == [183.0]
+
+
+def test_empty_calendar_has_no_rows(spark):
+    orders = _orders(spark, [(1, date(2020, 1, 5), Decimal("1"), 1)])
+    for start, end in (("2020-01-15", "2020-01-20"), ("2020-03-01", "2020-01-01")):
+        cal = snapshot_calendar(spark, start, end)
+        assert cal.count() == 0 and cu.trailing_members(orders, cal).count() == 0
+    from footfall.operators.snapshots import calendar_from_dates
+    assert calendar_from_dates(orders.limit(0), "ordr_de").count() == 0
+
+
+def test_spend_stats_of_one_snapshot(spark):
+    rows = [(1, date(2020, 1, 5), Decimal("10"), 1), (2, date(2020, 2, 5), Decimal("30"), 2)]
+    orders, cal = _orders(spark, rows), snapshot_calendar(spark, "2020-02-01", "2022-12-01")
+    spend = cu.user_spend(orders, cal, "2019-01-01", "2021-01-01")
+    mean = {d: {r.summary: r.user_gds_ordr_gramt for r in cu.user_spend_stats(spend, d).collect()}["mean"] for d in ("2020-02-01", "2020-03-01")}
+    assert mean == {"2020-02-01": 10.0, "2020-03-01": 20.0}
+    last = cu.last_snapshot(orders, cal, "2019-01-01", "2021-01-01").collect()
+    assert [r.snapshot_stdr_de for r in last] == [date(2021, 2, 1)]
+
+
+def test_outer_join_keeps_months_of_any_series(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("c", "z", 3), ("c", "x", 4)], "m string, label string, n long")
+    got = sorted(tuple(r) for r in cu.outer_join_series(df, "m", "label", "n", ["x", "y", "z"]).collect())
+    assert got == [("a", 1, 0, 0), ("b", 0, 2, 0), ("c", 4, 0, 3)]
 
 
 def test_quartiles_small(spark):
     df = spark.createDataFrame([(1, float(x)) for x in (1, 2, 3, 4, 10, 11)], "g int, x double")
-    for limit in (0, 10**6):
-        q = exact_percentiles(df, ["g"], "x", [0.25, 0.5, 0.75], ["q1", "q2", "q3"], blocks=4,
-                              single_task_limit=limit).first()
+    for accuracy in (10, 1000):
+        q = exact_percentiles(df, ["g"], "x", [0.25, 0.5, 0.75], ["q1", "q2", "q3"], accuracy=accuracy).first()
         assert (q.q1, q.q2, q.q3) == (2.0, 3.0, 10.0)
-        m = exact_percentiles(df, ["g"], "x", [0.5], ["m"], interpolate=True, blocks=4, single_task_limit=limit).first()
+        m = exact_percentiles(df, ["g"], "x", [0.5], ["m"], interpolate=True, accuracy=accuracy).first()
         assert m.m == 3.5
 
 
@@ -162,15 +209,42 @@ def test_calendar_from_data_spans_every_window(spark):
     assert snaps[0] == date(2020, 3, 1) and snaps[-1] == date(2021, 5, 1) and len(snaps) == 15
 
 
-def test_typed_feed_read_nulls_only_the_bad_field(spark):
+def test_typed_feed_keeps_decimals_and_nulls_only_the_bad_field(spark):
     from footfall.session import scratch_path
     from footfall.sources import feeds
 
     path = scratch_path(spark, "bad-feed")
-    header = "|".join(f.name for f in feeds.TIME_POP_TYPED.fields)
-    values = ["20240101", "2823751000", "746783.991784", "1883429.147390", "abc", *["1.50"] * 71, "B"]
-    spark.sparkContext.parallelize([header, "|".join(values)], 1).saveAsTextFile(path)
-    row = feeds.read_feed(spark, path, feeds.TIME_POP_TYPED).first()
-    assert row.h_t_00 is None and row.h_t_01 == Decimal("1.50") and row.x_coord == Decimal("746783.991784")
-    raw = feeds.typed(feeds.read_feed(spark, path, feeds.TIME_POP_SCHEMA), feeds.TIME_VALUES).first()
-    assert raw.h_t_00 is None and raw.h_t_01 == Decimal("1.50")
+    header = "|".join(f.name for f in feeds.TIME_POP_SCHEMA.fields)
+    values = ["20240101", "2823751000", "746783.991784", "1883429.147390", "abc", "0.345", "0.996", *["1.50"] * 69, "B"]
+    spark.createDataFrame([(header,), ("|".join(values),)], "value string").coalesce(1).write.text(path)
+    row = feeds.typed(feeds.read_feed(spark, path, feeds.TIME_POP_SCHEMA), feeds.TIME_VALUES, "double", "decimal(18,6)").first()
+    assert (row.h_t_00, row.h_t_01, row.h_t_02) == (None, 0.345, 0.996) and row.x_coord == Decimal("746783.991784")
+
+
+def test_text_feed_plans_in_seconds(spark):
+    """Q5 over feeds whose columns are all casts of text: planning must not grow with their number."""
+    import time
+
+    from footfall.catalog import QUERIES
+    from conftest import SF_SMALL
+
+    began = time.monotonic()
+    assert QUERIES["female_population_csv"](spark, SF_SMALL).count() > 0
+    assert time.monotonic() - began < 60
+
+
+def test_no_scratch_folder_on_a_cluster(monkeypatch):
+    import pytest
+
+    from footfall import session
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Cluster)
