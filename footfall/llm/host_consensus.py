@@ -3,7 +3,7 @@
 A page is read as a sequence of text blocks, each with the tag-class path of the container it is in. A
 path is generalised: html and body are left out, classes are sorted, digits become ``#``. Every page
 scores its containers and votes for the path that holds its main text. Spark counts the votes for each
-host and keeps the paths with at least ``SHARE`` of the host's pages, ten at most by that rule.
+host and keeps the paths with at least ``SHARE`` of the host's pages, five at most by that rule.
 Pages are then extracted again with the paths that won: the page's text is what lies under the winning
 path that scores best on it, or under the path of its own vote where no winning path is on the page.
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARE = 0.1
+SHARE = 0.2
 #: A container holds the main text when it has this share of the page's; article and main at less.
 MAIN, NAMED = 0.75, 0.25
 
@@ -53,8 +53,8 @@ _BOILER_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager footer copyright sidebar side aside "
     "widget ad ads adbox adslot adsense adunit banner sponsor sponsored promo promotion notice cookie cookies consent "
     "gdpr alert popup modal overlay newsletter subscribe signup login share sharing social related recommended "
-    "comment comments commentlist disqus respond replies search form".split())
-_BOILER_STARTS = ("advert", "comment", "sponsor", "cookie", "newsletter", "sidebar", "breadcrumb")
+    "comment comments commentlist disqus respond replies discussion search form".split())
+_BOILER_STARTS = ("advert", "adsby", "comment", "sponsor", "cookie", "newsletter", "sidebar", "breadcrumb")
 _HEAD_WORDS = frozenset("header masthead topbar".split())
 
 
