@@ -128,8 +128,8 @@ def slow_scores(rows):
 
 
 def test_scores_on_awkward_rows(spark, awkward, clashing, empty, monkeypatch):
-    monkeypatch.setattr(lm, "BLOCK_BYTES", 2000)
-    monkeypatch.setattr(lm, "RANGE_KEYS", 64)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 100_000)
+    monkeypatch.setattr(lm, "RANGE_KEYS", 1 << 15)
     want = sorted(slow_scores(awkward_rows()), key=lambda r: key(r[:4]) + (r[5],))
     for df in (awkward, clashing):
         got = lm.interpolated_scores(spark, df, fold("doc_id", 10) != 0).collect()
