@@ -20,7 +20,9 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +32,11 @@ from footfall.llm.common import documents
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Threads of a task's tokenizer, and code points encoded at a time.
-THREADS, BATCH_CHARS = 2, 1 << 20
+THREADS, BATCH_CHARS = 2, 1 << 18
+#: Words that are encoded as one text, and words whose ids a task keeps.
+WORDS_PER_TEXT, MAX_WORDS = 512, 300_000
 MARK = "▁"
+_WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -134,7 +139,7 @@ def build_tokenizer(m: PieceModel):
     if m.kind == BPE:
         vocab = {p: i for i, p in enumerate(m.pieces)}
         model = models.BPE(vocab=vocab, merges=merges(m), unk_token=m.pieces[m.unk_id], fuse_unk=True,
-                           byte_fallback=m.byte_fallback, cache_capacity=200_000)
+                           byte_fallback=m.byte_fallback)
     else:
         model = models.Unigram(list(zip(m.pieces, m.scores)), unk_id=m.unk_id, byte_fallback=m.byte_fallback)
     tok = Tokenizer(model)
@@ -144,32 +149,115 @@ def build_tokenizer(m: PieceModel):
     steps += [normalizers.Prepend(MARK)] if m.dummy_prefix else []
     tok.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
     if not any(re.search(f"[^{MARK}]{MARK}", p) for p in m.pieces):
-        # no piece goes on past a word's end, so words can be encoded (and cached) one by one
-        tok.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
+        # no piece goes on past a word's end, so words can be encoded one by one
+        tok.pre_tokenizer = pre_tokenizers.Split(Regex(_WORDS.pattern), "isolated")
     back = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
     tok.decoder = decoders.Sequence(back + ([decoders.Strip(" ", 1, 0)] if m.dummy_prefix else []))
     return tok
 
 
-@lru_cache(maxsize=2)
-def _loaded(data: bytes):
-    import sentencepiece
+class Codec:
+    """The rebuilt pipeline and the sentencepiece model of one model file.
+
+    Where no piece goes on past a word's end, distinct words are encoded once, many words to a text and
+    many texts to a multithreaded batch, and a bounded table keeps their ids; a text's ids are then those of its
+    words in a row. Models with such pieces encode whole texts.
+    """
+
+    def __init__(self, data: bytes) -> None:
+        import sentencepiece
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "true"
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
+        self.model = parse_model(data)
+        self.tok = build_tokenizer(self.model)
+        self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.by_word = self.tok.pre_tokenizer is not None
+        self.bare = Tokenizer(self.tok.model)
+        if self.by_word:
+            self.bare.pre_tokenizer = self.tok.pre_tokenizer
+        self._forget()
+        marked = {i: p.replace(MARK, " ").encode() for i, (p, t) in enumerate(zip(self.model.pieces, self.model.types)) if t in (NORMAL, USER_DEFINED)}
+        single = {i: bytes([int(p[3:5], 16)]) for i, (p, t) in enumerate(zip(self.model.pieces, self.model.types)) if t == BYTE}
+        self.bytes_of = marked | single
+
+    def _forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        # a word that ends in a marker, or does not begin with one, would run into its neighbour
+        joined = [w for w in words if w[0] == MARK and w[-1] != MARK]
+        alone = [w for w in words if not (w[0] == MARK and w[-1] != MARK)]
+        groups = [joined[i:i + WORDS_PER_TEXT] for i in range(0, len(joined), WORDS_PER_TEXT)] + [[w] for w in alone]
+        ids, sizes = [self.ids], [self.size]
+        for group, e in zip(groups, self.bare.encode_batch(["".join(g) for g in groups], add_special_tokens=False)):
+            got = np.array(e.ids, np.int32)
+            ids.append(got)
+            sizes.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(group)) if len(group) > 1 else np.array([len(got)]))
+        for w in (w for g in groups for w in g):
+            self.index[w] = len(self.index)
+        self.ids, self.size = np.concatenate(ids), np.concatenate(sizes)
+        self.start = np.cumsum(self.size) - self.size
+
+    def _normal(self, text: str) -> str:
+        m = self.model
+        if m.charsmap or m.squeeze:
+            return self.tok.normalizer.normalize_str(text)
+        return (MARK if m.dummy_prefix and text else "") + text.replace(" ", MARK)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and the number of each text's."""
+        if not self.by_word:
+            found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            return flat_ids(found)
+        words = [_WORDS.findall(self._normal(t)) for t in texts]
+        new = [w for w in dict.fromkeys(chain.from_iterable(words)) if w not in self.index]
+        if len(self.index) + len(new) > MAX_WORDS:
+            self._forget()
+            new = list(dict.fromkeys(chain.from_iterable(words)))
+        if new:
+            self._learn(new)
+        n = np.array([len(w) for w in words], np.int64)
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, int(n.sum()))
+        size = self.size[at]
+        take = np.arange(size.sum()) + np.repeat(self.start[at] - (np.cumsum(size) - size), size)
+        ends = np.r_[0, np.cumsum(size)][np.cumsum(n)]
+        return self.ids[take], np.diff(np.r_[0, ends])
+
+    def decode(self, ids: list[int]) -> str:
+        try:
+            text = b"".join(map(self.bytes_of.__getitem__, ids)).decode()
+        except (KeyError, UnicodeDecodeError):        # control pieces, or byte pieces that are no UTF-8
+            return self.tok.decode(ids, skip_special_tokens=False)
+        return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
+
+
+def flat_ids(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.array([len(x) for x in lists], np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(n.sum())), n
+
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "true"
-    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
-    return build_tokenizer(parse_model(data)), sentencepiece.SentencePieceProcessor(model_proto=data)
+@lru_cache(maxsize=2)
+def codec(data: bytes) -> Codec:
+    return Codec(data)
 
 
 def encode_texts(data: bytes, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
     """Ids of the texts, and whether the rebuilt pipeline found them by itself."""
-    tok, reference = _loaded(data)
-    fast = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-    true = reference.encode(texts, num_threads=THREADS)
-    return true, [a == b for a, b in zip(fast, true)]
+    c = codec(data)
+    ids, n = c.encode(texts)
+    true = c.reference.encode(texts, num_threads=THREADS)
+    flat, m = flat_ids(true)
+    if len(flat) == len(ids) and (n == m).all() and (flat == ids).all():
+        return true, [True] * len(texts)
+    return true, [x == y.tolist() for x, y in zip(true, np.split(ids, np.cumsum(n)[:-1]))]
 
 
 def decode_ids(data: bytes, ids: list[list[int]]) -> list[str]:
-    return _loaded(data)[0].decode_batch(ids, skip_special_tokens=False)
+    c = codec(data)
+    return [c.decode(x) for x in ids]
 
 
 # ------------------------------------------------------------------ frames
@@ -190,6 +278,13 @@ def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    if not pa.types.is_list(kind):
+        return pa.array(values, kind)
+    flat, n = flat_ids(values)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(flat))
+
+
 def _mapped(df: DataFrame, read: str, made: dict[str, tuple[T.DataType, pa.DataType]], work) -> DataFrame:
     """``df`` with the columns ``made`` from the column ``read``, some rows at a time."""
     keep = [c for c in df.columns if c not in made]
@@ -201,7 +296,7 @@ def _mapped(df: DataFrame, read: str, made: dict[str, tuple[T.DataType, pa.DataT
             for lo, hi in _runs([len(v or "") for v in values]):
                 got = work(values[lo:hi])
                 cols = [b.column(c).slice(lo, hi - lo) for c in keep]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(g, t[1]) for g, t in zip(got, made.values())], [*keep, *made])
+                yield pa.RecordBatch.from_arrays(cols + [_column(g, t[1]) for g, t in zip(got, made.values())], [*keep, *made])
 
     return df.mapInArrow(run, schema)
 
@@ -225,15 +320,27 @@ def decoded(df: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
                    lambda ids: (decode_ids(data, [x or [] for x in ids]),))
 
 
+def coded(df: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
+    """``df`` (text) with ids, n_ids, parity and ``decoded``, in one pass: one Python worker for each task."""
+    data = _model_bytes(model_path)
+
+    def work(texts: list[str | None]) -> tuple[list, ...]:
+        ids, parity = encode_texts(data, [t or "" for t in texts])
+        return ids, [len(x) for x in ids], parity, decode_ids(data, ids)
+
+    return _mapped(df, "text", {"ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+                                "n_ids": (T.LongType(), pa.int64()), "parity": (T.BooleanType(), pa.bool_()),
+                                "decoded": (T.StringType(), pa.string())}, work)
+
+
 def encoded_documents(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """``docs`` with ids, n_ids, parity, and round_trip: whether the ids decode to the text again."""
-    done = decoded(encoded(docs, model_path), model_path)
-    done = done.withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit("")))
-    return done.drop("decoded")
+    done = coded(docs, model_path)
+    return done.withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("decoded")
 
 
 def op7_sp_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = decoded(encoded(documents(spark, sf_dir).select("doc_id", "text")))
+    done = coded(documents(spark, sf_dir).select("doc_id", "text"))
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return done.select("doc_id", "n_ids", "ids", "parity", same.alias("round_trip"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
