@@ -177,11 +177,11 @@ def test_winning_path_overrules_a_page(spark):
     short = LAYOUT.format(n=9).replace("<aside>side</aside>", "<div class='extra'>" + "much longer text beside it " * 20 + "</div>")
     rows = [*many, (8, "https://u@H.example:80/y", short), (9, None, None), (10, "", "<p>x</p>"), (10, "", "<p>x</p>"), (None, "bad", "<main>y</main>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'z' AS text", "1 AS __host", "2 AS n_chars")
-    got = {(r["page_id"], r["url"]): r["text"] for r in hc.extracted(df).collect()}
+    got = {(r["page_id"], r["url"]): r["text"] for r in hc.extracted(spark, df).collect()}
     assert got[0, "http://h.example/x"] == MAIN and got[8, "https://u@H.example:80/y"] == MAIN
     assert hc.main_text(short, []) != MAIN
     assert got[9, None] == "" and got[10, ""] == "x" and got[None, "bad"] == "y"
-    assert hc.extracted(df).count() == len(rows) and hc.extracted(df.limit(0)).count() == 0
+    assert hc.extracted(spark, df).count() == len(rows) and hc.extracted(spark, df.limit(0)).count() == 0
 
 
 def test_quotes_in_tags_take_linear_time():
