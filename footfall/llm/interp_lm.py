@@ -14,8 +14,8 @@ of a text's first token. Words are known by 64-bit hashes. The corpus is cut in
 thousand texts. A block is tokenised once and asks for the counts of its distinct words and word
 pairs, each once: requests are dealt by key range, added up, and the answer holds only what other blocks
 add to the block's own count, which is nothing for the many pairs seen in one block. A pair that a
-third of all texts share is one request for each block. The blocks are a bucketed table, so
-learning and scoring read them in place and only the answers move.
+third of all texts share is one request for each block. Blocks and answers are tables bucketed by
+block, so learning and scoring read both in place.
 
 Defined results: null and empty texts are one end token; with no training texts every count is 0, both base
 and model give the empty vocabulary's one class probability 1, and the scores are 0; a null doc_id counts
@@ -51,6 +51,18 @@ _NEVER = 1 << 12
 
 # ------------------------------------------------------------------ blocks
 
+def packed(x: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers as compressed bytes: of a rising row the steps, byte by byte of all numbers, so that equal high bytes lie together."""
+    x = np.diff(x, prepend=x.dtype.type(0)) if rising else x
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: type, rising: bool = False) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    x = np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+    return np.cumsum(x, dtype=kind) if rising else x
+
+
 def _tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(tokens of each text, token numbers, hash of each number). Number 0 is the end token."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
@@ -147,27 +159,25 @@ def count_requests(blocks: DataFrame, bits: int) -> DataFrame:
                     keys = block.keys[kind]
                     cut = np.r_[np.searchsorted(keys, edges), len(keys)].astype(np.int32)
                     used = np.flatnonzero(np.diff(cut))
-                    offsets = np.r_[cut[used], len(keys)].astype(np.int32)
+                    spans = [slice(cut[u], cut[u + 1]) for u in used]
                     yield pa.RecordBatch.from_pydict({
                         "kind": pa.array(np.full(len(used), kind, np.int32)), "range": pa.array(used.astype(np.int64)),
                         "block": pa.array([b.column("block")[i].as_py()] * len(used), pa.int64()),
-                        "first": pa.array(offsets[:-1]),
-                        "keys": pa.ListArray.from_arrays(offsets, keys.view(np.int64)),
-                        "n": pa.ListArray.from_arrays(offsets, block.own[kind].astype(np.int32))})
+                        "first": pa.array(cut[used]),
+                        "keys": pa.array([packed(keys[s], rising=True) for s in spans], pa.binary()),
+                        "n": pa.array([packed(block.own[kind][s].astype(np.int32)) for s in spans], pa.binary())})
 
-    return blocks.mapInArrow(run, "kind int, range long, block long, first int, keys array<bigint>, n array<int>")
+    return blocks.mapInArrow(run, "kind int, range long, block long, first int, keys binary, n binary")
 
 
 def answers(requests: DataFrame) -> DataFrame:
     """What other blocks add to each request: block, kind, places (in the block's keys), more. A row
-    without a block has in ``more`` the number of the range's distinct training tokens."""
+    without a block has in ``seen`` the number of the range's distinct training tokens."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        lists = rows.column("keys").combine_chunks()
-        keys = np.asarray(lists.flatten()).view(np.uint64)
-        n = np.asarray(rows.column("n").combine_chunks().flatten()).astype(np.int64)
-        size = np.asarray(pc.list_value_length(lists)).astype(np.int64)
+        parts = [unpacked(k.as_py(), np.uint64, rising=True) for k in rows.column("keys")]
+        keys, size = np.concatenate(parts), np.array([len(p) for p in parts])
+        n = np.concatenate([unpacked(x.as_py(), np.int32) for x in rows.column("n")]).astype(np.int64)
         offsets = np.r_[0, np.cumsum(size)]
         order = np.argsort(keys, kind="stable")
         start = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
@@ -177,21 +187,19 @@ def answers(requests: DataFrame) -> DataFrame:
         more -= n
         place = np.arange(len(n)) - np.repeat(offsets[:-1] - np.asarray(rows.column("first")), size)
         told = more > 0
-        ends = np.r_[0, np.cumsum(told)][offsets].astype(np.int32)
-        some = np.flatnonzero(np.diff(ends))
-        cuts = np.r_[ends[some], ends[-1]].astype(np.int32)
-        kind = rows.column("kind")[0].as_py()
-        out = {"block": rows.column("block").take(pa.array(some)), "kind": pa.array(np.full(len(some), kind, np.int32)),
-               "places": pa.ListArray.from_arrays(cuts, place[told].astype(np.int32)),
-               "more": pa.ListArray.from_arrays(cuts, more[told])}
-        found = pa.table(out)
-        if kind:
-            return found
-        distinct = pa.table({"block": pa.array([None], pa.int64()), "kind": pa.array([0], pa.int32()),
-                             "places": pa.array([[]], pa.list_(pa.int32())), "more": pa.array([[int((total > 0).sum())]], pa.list_(pa.int64()))})
-        return pa.concat_tables([found, distinct.cast(found.schema)])
-
-    return requests.groupBy("kind", "range").applyInArrow(run, "block long, kind int, places array<int>, more array<bigint>")
+        kind, blocks = rows.column("kind")[0].as_py(), rows.column("block").to_pylist()
+        out: list[tuple] = []
+        for i, (lo, hi) in enumerate(zip(offsets[:-1], offsets[1:])):
+            some = told[lo:hi]
+            if some.any():
+                out.append((blocks[i], packed(place[lo:hi][some].astype(np.int32), rising=True), packed(more[lo:hi][some]), None))
+        if not kind:
+            out.append((None, None, None, int((total > 0).sum())))
+        cols = list(zip(*out)) or [()] * 4
+        return pa.table({"block": pa.array(cols[0], pa.int64()), "kind": pa.array([kind] * len(out), pa.int32()),
+                         "places": pa.array(cols[1], pa.binary()), "more": pa.array(cols[2], pa.binary()), "seen": pa.array(cols[3], pa.int64())})
+
+    return requests.groupBy("kind", "range").applyInArrow(run, "block long, kind int, places binary, more binary, seen long")
 
 
 def _totals(block: Block, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +207,8 @@ def _totals(block: Block, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     total = [c.copy() for c in block.own]
     kinds = told.column("kind").to_pylist()
     for i, kind in enumerate(kinds):
-        total[kind][np.asarray(told.column("places")[i].values)] += np.asarray(told.column("more")[i].values)
+        places = unpacked(told.column("places")[i].as_py(), np.int32, rising=True)
+        total[kind][places] += unpacked(told.column("more")[i].as_py(), np.int64)
     return total[0], total[1]
 
 
@@ -286,17 +295,23 @@ def _with_answers(blocks: DataFrame, told: DataFrame, work, schema: str) -> Data
 def interpolated_scores(spark: SparkSession, docs: DataFrame, learn: Column) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score. The model learns from the rows that satisfy ``learn``."""
-    table, path = f"lm_blocks_{uuid.uuid4().hex}", scratch_path(spark, "blocks")
+    tables: list[str] = []
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    token_blocks(docs, learn).write.bucketBy(buckets, "block").option("path", path).saveAsTable(table)
-    blocks = spark.table(table)
+
+    def bucketed(df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a table bucketed by block: what is grouped by block later is read in place."""
+        tables.append(f"lm_{name}_{uuid.uuid4().hex}")
+        df.write.bucketBy(buckets, "block").option("path", scratch_path(spark, name)).saveAsTable(tables[-1])
+        return spark.table(tables[-1])
+
+    blocks = bucketed(token_blocks(docs, learn), "blocks")
     trained = F.aggregate(F.zip_with("train", "sizes", lambda t, s: F.when(t, s).otherwise(0).cast("long")),
                           F.lit(0).cast("long"), lambda a, x: a + x)
     asked = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)
     sums = blocks.agg(F.coalesce(F.sum(trained), F.lit(0)).alias("n"), F.coalesce(F.sum(asked), F.lit(0)).alias("all")).first()
     bits = max(0, (2 * sums["all"] // RANGE_KEYS).bit_length())
-    told = written(spark, answers(count_requests(blocks, bits)), "answers")
-    v = told.where("block IS NULL").agg(F.coalesce(F.sum(F.col("more")[0]), F.lit(0)).alias("v")).first()["v"]
+    told = bucketed(answers(count_requests(blocks, bits)).repartition(buckets, "block"), "answers")
+    v = told.where("block IS NULL").agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("v")).first()["v"]
     told = told.where("block IS NOT NULL")
     e = Estimates(sums["n"], v)
 
@@ -315,7 +330,8 @@ def interpolated_scores(spark: SparkSession, docs: DataFrame, learn: Column) ->
 
     done = written(spark, _with_answers(
         blocks, told, scores, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"), "scores")
-    spark.sql(f"DROP TABLE {table}")
+    for table in tables:
+        spark.sql(f"DROP TABLE {table}")
     return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(e.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
