@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import UID, documents, numbered, whole_text, written
+from footfall.llm.common import UID, documents, identified, whole_text, written
 
 #: Chunk sizes in bytes: a cut is looked for after LEAST bytes, comes every 2**CUT_BITS bytes
 #: on average after that, and is forced at MOST bytes.
@@ -89,12 +89,13 @@ def _chunk_rows(df: DataFrame, id_bits: int, key: str | None = None) -> DataFram
                 flat = [c for x in cut for c in x]
                 cols = {"id": pa.array(_ids(flat, id_bits), pa.int64()), "chunk": pa.array(flat, pa.binary())}
                 if key:
-                    rows = part.column(key).to_pylist()
-                    cols["row"] = pa.array([r for r, x in zip(rows, cut) for _ in x], pa.int64())
+                    rows = part.column(key)
+                    cols["row"] = rows.take(pa.array(np.repeat(np.arange(len(cut)), [len(x) for x in cut])))
                     cols["place"] = pa.array([i for x in cut for i in range(len(x))], pa.int64())
                 yield pa.RecordBatch.from_pydict(cols)
 
-    return df.mapInArrow(run, "id long, chunk binary" + (", row long, place long" if key else ""))
+    row = f", row {df.schema[key].dataType.simpleString()}, place long" if key else ""
+    return df.mapInArrow(run, "id long, chunk binary" + row)
 
 
 def clashing_ids(bodies: DataFrame, id_bits: int = 64) -> DataFrame:
@@ -118,7 +119,7 @@ def _told_apart(bodies: DataFrame, recipes: DataFrame, clashes: DataFrame, id_bi
 
 
 def exact_groups(spark: SparkSession, rows: DataFrame, id_bits: int = 64) -> DataFrame:
-    """Verified recipes of ``rows`` (a written frame with UID, doc_id, text): UID, doc_id, recipe,
+    """Verified recipes of ``rows`` (UID, doc_id, text): UID, doc_id, recipe,
     text_sha256. Rows of equal recipe have equal texts and the other way round."""
     bodies = rows.select(UID, "doc_id", whole_text().cast("binary").alias("body"))
     hashed = bodies.withColumn("text_sha256", F.sha2("body", 256))
@@ -137,16 +138,18 @@ def keepers(recipes: DataFrame) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, id_bits: int = 64) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = numbered(docs.select("doc_id", "text"))
+    rows = identified(spark, docs, "dedup-rows").select(UID, "doc_id", "text")
     recipes = exact_groups(spark, rows, id_bits)
-    both = recipes.join(keepers(recipes), "recipe")
+    # a table of its own, so that the join reads two plain exchanges and a hot recipe can be split
+    best = written(spark, keepers(recipes), "keepers")
+    both = recipes.join(best, "recipe")
     return both.select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
                        (F.col(UID) == F.col(f"best.{UID}")).alias("kept"), "text_sha256")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    rows = written(spark, numbered(docs), "dedup-rows")
+    rows = identified(spark, docs, "dedup-rows")
     stay = keepers(exact_groups(spark, rows)).select(F.col(f"best.{UID}").alias(UID))
     return rows.join(stay, UID, "left_semi").drop(UID)
 

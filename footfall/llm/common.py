@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +45,13 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def numbered(df: DataFrame) -> DataFrame:
     """Adds a row number. It is only stable once the frame has been written."""
     return df.withColumn(UID, F.monotonically_increasing_id())
+
+
+def identified(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a stable row identity in UID: the file and the row's place in it where ``df`` reads files,
+    which holds however the files are split; otherwise the frame is numbered and written."""
+    try:
+        at = df.metadataColumn("_metadata")
+        return df.withColumn(UID, F.struct(at["file_path"].alias("file"), at["row_index"].alias("row")))
+    except AnalysisException:
+        return written(spark, numbered(df), name)

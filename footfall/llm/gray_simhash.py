@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import UID, documents, numbered, whole_text, written
+from footfall.llm.common import UID, documents, identified, whole_text, written
 from footfall.llm.components import component_roots
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -252,7 +252,7 @@ def near_groups(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, ma
 def drop_near_copies(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each near-duplicate group of ``docs``, with all its columns: the one with the
     smallest doc_id (nulls last), of repeated ids the first row."""
-    rows = written(spark, numbered(docs), "near-rows")
+    rows = identified(spark, docs, "near-rows")
     prints = written(spark, with_fingerprint(
         rows.select(UID, "doc_id", whole_text().cast("binary").alias("body")), shingle), "prints")
     groups = fingerprint_groups(spark, prints, max_bits)

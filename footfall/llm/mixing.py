@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import UID, WORD, documents, numbered, written
+from footfall.llm.common import UID, WORD, documents, identified, written
 
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 BLOCK_WORDS, SHARD_BLOCKS, SEED, MAX_SOURCES = 256, 65536, 42, 100_000
@@ -258,7 +258,7 @@ def mix_plan(spark: SparkSession, docs: DataFrame, weights: Sequence[float] = WE
 
 def mix_summary(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken."""
-    plan = mix_plan(spark, numbered(docs.select("doc_id", "text", "source")), **options)
+    plan = mix_plan(spark, identified(spark, docs, "mix-docs"), **options)
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["begin"])
     return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
@@ -272,7 +272,7 @@ def mixed_texts(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """The mix itself: for each block copy the row it is from with ``text`` cut to the taken words,
     and its __shard, __slot and __epoch; a shard's rows in slot order are its shuffled contents. A block
     that lies across documents fills its slot with a row for each of them."""
-    rows = written(spark, numbered(docs), "mix-docs")
+    rows = identified(spark, docs, "mix-docs")
     plan = mix_plan(spark, rows, **options).select(UID, F.explode("pieces").alias("p"))
     cut = _cut_texts(rows.join(plan.select(UID, F.array(F.struct("p.begin", "p.end")).alias("runs"), "p.shard", "p.slot", "p.epoch"), UID))
     names = [c for c in docs.columns]
@@ -284,7 +284,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     """The mix by document: for each row and each pass that takes words of it one row with the same
     columns. A row that a pass takes whole keeps its text; otherwise the taken runs of words are
     joined by line ends. Rows of which nothing is taken are not in the mix."""
-    rows = written(spark, numbered(docs), "mix-docs")
+    rows = identified(spark, docs, "mix-docs")
     plan = mix_plan(spark, rows, **options).select(UID, "size", F.explode("pieces").alias("p"))
     runs = plan.groupBy(UID, "p.epoch", "size").agg(F.sort_array(F.collect_list(F.struct("p.begin", "p.end"))).alias("runs"))
     whole = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"]) == F.col("size")
