@@ -273,10 +273,27 @@ def mixed_texts(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     and its __shard, __slot and __epoch; a shard's rows in slot order are its shuffled contents. A block
     that lies across documents fills its slot with a row for each of them."""
     rows = identified(spark, docs, "mix-docs")
-    plan = mix_plan(spark, rows, **options).select(UID, F.explode("pieces").alias("p"))
-    cut = _cut_texts(rows.join(plan.select(UID, F.array(F.struct("p.begin", "p.end")).alias("runs"), "p.shard", "p.slot", "p.epoch"), UID))
-    names = [c for c in docs.columns]
-    out = cut.select(*names, F.col("shard").alias("__shard"), F.col("slot").alias("__slot"), F.col("epoch").alias("__epoch"))
+    plan = mix_plan(spark, rows, **options).where(F.size("pieces") > 0).select(UID, "pieces")
+    names = docs.columns
+    both = rows.join(plan, UID)
+    schema = both.select(*names, *[F.lit(0).cast("long").alias(c) for c in ("__shard", "__slot", "__epoch")]).schema
+    word = re.compile(WORD)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):      # a text is cut here, so its copies never travel with its pieces
+                text, pieces = b.column("text")[i].as_py(), b.column("pieces")[i].as_py()
+                words = [m.span() for m in word.finditer(text)]
+                cut = [_sliced(text, [(p["begin"], p["end"])], words) for p in pieces]
+                one = pa.array([i] * len(pieces))
+                cols = {c: b.column(c).take(one) for c in names if c != "text"}
+                cols["text"] = pa.array(cut, pa.string())
+                if "n_chars" in cols and pa.types.is_int64(cols["n_chars"].type):
+                    cols["n_chars"] = pa.array([len(t) for t in cut], pa.int64())
+                cols |= {f"__{c}": pa.array([p[c] for p in pieces], pa.int64()) for c in ("shard", "slot", "epoch")}
+                yield pa.RecordBatch.from_pydict({c: cols[c] for c in schema.names})
+
+    out = both.mapInArrow(run, schema)
     return out.repartition("__shard").sortWithinPartitions("__shard", "__slot")
 
 
