@@ -208,7 +208,7 @@ def slow_base(text):
 
 
 TRICKY = ["", "a@b", "x.y+z@ex-a.co.uk, a@b.c@d.e @x.y", "1.2.3.4.5.6.7.8 256.1.1.1 0000255.1.2.03", "4111 1111 1111 1111 4111-1111-1111-1112",
-          "+49 (30) 123-4567 +1 2 +123456789012345678", "é" * 300 + "user@mail.example.org" + "ü" * 300, "4111111111111111" * 3, "9" * 5000 + ".1.2.3"]
+          "+49 (30) 123-4567 +1 2 +123456789012345678", "é" * 300 + "user@mail.example.org" + "ü" * 300, "4111111111111111" * 3, "9" * 4000 + ".1.2.3"]
 
 
 @pytest.mark.parametrize("text", TRICKY)
