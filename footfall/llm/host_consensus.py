@@ -8,7 +8,10 @@ Pages are then extracted again with the paths that won: the page's text is what
 path that scores best on it, or under the path of its own vote where no winning path is on the page.
 
 Blocks under menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by tag,
-role or class word) never count, nor do scripts, styles and markup. Nothing else is dropped.
+role, or a whole class or id token of a container) never count, nor do scripts, styles and markup.
+Words that also name sections of a text (related, discussion) count only where half the container's
+text is in links; so do all words inside article and main, but for class tokens of adverts and comments.
+Nothing else is dropped: no heading, paragraph or inline element by its words, and no hidden text.
 
 Defined results: a null or empty page, or one without text, has the empty text; pages without a host
 vote together; repeated rows vote each; unclosed tags end with their container and a cut-off
@@ -51,13 +54,26 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "t
            "tr": {"tr", "td", "th"}}
 _BOILER_TAGS = frozenset("nav aside footer form menu dialog search".split())
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_BOILER_WORDS = frozenset(
+#: Elements that may be boilerplate by a class or id token.
+_WORDED = _CONTAINERS - {"article", "main", "body"} | frozenset("ul ol dl table".split())
+#: Adverts and reader comments: as a class they count inside an article too.
+_FOREIGN_WORDS = frozenset(
+    "ad ads adbox adslot adsense adunit advert adverts advertisement advertisements adsbygoogle sponsored comment comments "
+    "commentlist disqus".split())
+_BOILER_WORDS = _FOREIGN_WORDS | frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager footer copyright sidebar side aside "
-    "widget ad ads adbox adslot adsense adunit banner sponsor sponsored promo promotion notice cookie cookies consent "
-    "gdpr alert popup modal overlay newsletter subscribe signup login share sharing social related recommended "
-    "comment comments commentlist disqus respond replies discussion search form".split())
-_BOILER_STARTS = ("advert", "adsby", "comment", "sponsor", "cookie", "newsletter", "sidebar", "breadcrumb")
+    "widget banner sponsor sponsors promo promotion notice cookie cookies consent gdpr alert popup modal overlay "
+    "newsletter subscribe signup login search form".split())
+#: Words that sections of a text have as well.
+_DOUBTFUL_WORDS = frozenset("share sharing social related recommended discussion respond replies".split())
 _HEAD_WORDS = frozenset("header masthead topbar".split())
+#: Parts that a token may have besides the word: ad-box, site-footer, comments-area.
+_BOX_PARTS = frozenset(
+    "box bar list block wrapper wrap container area slot unit panel links buttons inner site main top bottom primary "
+    "secondary global thread".split())
+#: A container in doubt is boilerplate when this share of its text is in links.
+LINKED = 0.5
+_KEPT, _DOUBT, _BOILER = range(3)
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -68,17 +84,28 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def _is_boiler(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    if tag in _BOILER_TAGS or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-        return True
-    if attrs.get("role", "").lower() in _BOILER_ROLES:
-        return True
-    words = set(re.split(r"[^a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    if not in_article and tag not in ("article", "main", "body") and (tag == "header" or words & _HEAD_WORDS):
-        return True
-    if tag in ("article", "main", "body"):
-        return False
-    return bool(words & _BOILER_WORDS) or any(w.startswith(_BOILER_STARTS) for w in words)
+def _tokens(text: str, words: frozenset[str]) -> bool:
+    """Whether a whole token of ``text`` says one of ``words``, alone or with parts that say nothing else."""
+    for token in text.lower().split():
+        parts = {x for x in re.split(r"[-_]+", token.rstrip("0123456789")) if x}
+        if parts & words and parts <= words | _BOX_PARTS:
+            return True
+    return False
+
+
+def _verdict(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+    """Whether an element is kept, boilerplate, or boilerplate if its text is mostly links."""
+    if tag in _BOILER_TAGS or attrs.get("role", "").lower() in _BOILER_ROLES:
+        return _BOILER
+    if tag == "header" and not in_article:
+        return _BOILER
+    kind, name = attrs.get("class", ""), attrs.get("id", "")
+    if tag not in _WORDED or not (kind or name):
+        return _KEPT
+    both = f"{kind} {name}"
+    if _tokens(kind, _FOREIGN_WORDS) or not in_article and (_tokens(both, _BOILER_WORDS) or _tokens(both, _HEAD_WORDS)):
+        return _BOILER
+    return _DOUBT if _tokens(both, _BOILER_WORDS | _DOUBTFUL_WORDS) else _KEPT
 
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
@@ -89,7 +116,9 @@ def _step(tag: str, attrs: dict[str, str]) -> str:
 def page_blocks(html: str) -> list[tuple[str, str, int]]:
     """(path, text, code points inside links) of every block outside boilerplate, in page order."""
     blocks: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]   # tag, path, boilerplate, in article
+    doubts: list[int] = []                          # container in doubt that each block is in, or 0
+    above, size, linked = [0], [0], [0]             # of each container in doubt: the one it is in, code points, those in links
+    stack: list[tuple[str, str, bool, bool, int]] = [("", "", False, False, 0)]   # tag, path, boilerplate, in article, doubt
     buffer: list[str] = []
     links = link_depth = 0
 
@@ -99,6 +128,12 @@ def page_blocks(html: str) -> list[tuple[str, str, int]]:
             text = " ".join(entities.unescape("".join(buffer)).split())
             if text:
                 blocks.append((stack[-1][1], text, links))
+                doubt = stack[-1][4]
+                doubts.append(doubt)
+                while doubt:
+                    size[doubt] += len(text)
+                    linked[doubt] += min(links, len(text))
+                    doubt = above[doubt]
             buffer.clear()
         links = 0
 
@@ -137,8 +172,8 @@ def page_blocks(html: str) -> list[tuple[str, str, int]]:
         attrs = _attributes(m["attrs"]) if m["attrs"] else {}
         if tag not in _BLOCKS:
             # an inline element matters only where it hides what is in it
-            if attrs and _is_boiler(tag, attrs, stack[-1][3]):
-                stack.append((tag, stack[-1][1], True, stack[-1][3]))
+            if attrs and _verdict(tag, attrs, stack[-1][3]) == _BOILER:
+                stack.append((tag, stack[-1][1], True, *stack[-1][3:]))
             continue
         flush()
         if stack[-1][0] == "p":
@@ -153,15 +188,25 @@ def page_blocks(html: str) -> list[tuple[str, str, int]]:
                     break
         if tag == "hr":
             continue
-        _, path, boiler, in_article = stack[-1]
+        _, path, boiler, in_article, doubt = stack[-1]
         if tag in _CONTAINERS and tag != "body":
             path = f"{path}>{_step(tag, attrs)}" if path else _step(tag, attrs)
-        boiler = boiler or _is_boiler(tag, attrs, in_article)
-        stack.append((tag, path, boiler, in_article or tag in ("article", "main")))
+        verdict = _verdict(tag, attrs, in_article)
+        if verdict == _DOUBT and not boiler:
+            above.append(doubt)
+            size.append(0)
+            linked.append(0)
+            doubt = len(above) - 1
+        stack.append((tag, path, boiler or verdict == _BOILER, in_article or tag in ("article", "main"), doubt))
     else:
         say(html[at:])
     flush()
-    return blocks
+    if len(above) == 1:
+        return blocks
+    out = [False]
+    for i in range(1, len(above)):
+        out.append(out[above[i]] or size[i] > 0 and linked[i] >= LINKED * size[i])
+    return [b for b, i in zip(blocks, doubts) if not out[i]]
 
 
 def container_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:

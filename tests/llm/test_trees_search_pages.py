@@ -172,6 +172,28 @@ def test_boilerplate_goes_and_blocks_stay():
     assert hc.main_text("<article><p>a</p><table><tr><td>b<td>c</table><p title='<p>'>d<!-- x --></article>e", []) == "a\n\nb\n\nc\n\nd"
 
 
+@pytest.mark.parametrize("kept", [
+    '<h2 id="related-work">x</h2>', '<section id="discussion">x</section>', '<p class="notice">x</p>', '<p><span class="ad">x</span></p>',
+    '<div class="side-by-side">x</div>', '<div class="commentary">x</div>', '<div class="comments-on-x">x</div>',
+    '<div class="cookie-recipe">x</div>', '<p hidden>x</p>', '<div class="has-sidebar">x</div>'])
+def test_words_of_real_text_drop_nothing(kept):
+    for page in ("<article><p>a</p>{}</article>", "<main><p>a</p>{}</main>", "<div><p>a</p>{}</div>"):
+        assert [t for _, t, _ in hc.page_blocks(page.format(kept))] == ["a", "x"], page
+
+
+def test_boilerplate_words_need_evidence_inside_an_article():
+    links = "<a href=y>more of this</a> and <a href=z>that</a>"
+    for gone in ('<div class="ad-box">x</div>', '<div class="comments">x</div>', '<p role="alert">x</p>', '<nav>x</nav>',
+                 f'<section id="related">{links}</section>', f'<ul class="menu"><li>{links}</ul>',
+                 f'<div class="related"><div class="share"><p>x</p></div>{links}{links}</div>'):
+        assert [t for _, t, _ in hc.page_blocks(f"<article><p>a</p>{gone}<p>b</article>")] == ["a", "b"], gone
+    for word in ("notice", "menu", "sidebar", "related", "search"):
+        kept = f'<section id="{word}"><p>plain text on it, one <a href=x>link</a></p></section>'
+        assert len(hc.page_blocks(f"<article><p>a</p>{kept}</article>")) == 2, word
+    for word in ("notice", "site-footer", "cookie_notice", "sidebar", "widget-2", "top-menu", "site-header"):
+        assert hc.page_blocks(f'<p>a</p><div class="{word}">x</div>') == [("", "a", 0)], word
+
+
 def test_winning_path_overrules_a_page(spark):
     many = [(i, "http://h.example/x", LAYOUT.format(n=i)) for i in range(8)]
     short = LAYOUT.format(n=9).replace("<aside>side</aside>", "<div class='extra'>" + "much longer text beside it " * 20 + "</div>")
