@@ -4,8 +4,11 @@ A page is read as a sequence of text blocks, each with the tag-class path of the
 path is generalised: html and body are left out, classes are sorted, digits become ``#``. Every page
 scores its containers and votes for the path that holds its main text. Spark counts the votes for each
 host and keeps the paths with at least ``SHARE`` of the host's pages, five at most by that rule.
-Pages are then extracted again with the paths that won: the page's text is what lies under the winning
-path that scores best on it, or under the path of its own vote where no winning path is on the page.
+Pages are then extracted again with the paths that won. A winning path counts on a page where it holds the
+share of the page's score that a vote asks for, the deepest first; an article or main element of the page's
+own vote inside it goes before it, and so does any own vote inside a winning whole page. Failing that, and
+with no article or main, a winning path counts that scores what it usually does on the host (a quarter of
+the usual at least), however much text stands beside it. Otherwise the page's own vote is used.
 
 Blocks under menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by tag,
 role, or a whole class or id token of a container) never count, nor do scripts, styles and markup.
@@ -222,32 +225,59 @@ def container_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:
     return scores
 
 
-def _tag(path: str) -> str:
-    return path.rpartition(">")[2].partition(".")[0]
+def _named(path: str) -> bool:
+    return path.rpartition(">")[2].partition(".")[0] in ("article", "main")
+
+
+def _depth(path: str) -> int:
+    return path.count(">") if path else -1
+
+
+def _within(path: str, above: str) -> bool:
+    return path == above or not above or path.startswith(above + ">")
+
+
+def _holds(path: str, scores: dict[str, float]) -> bool:
+    return scores[path] >= (NAMED if _named(path) else MAIN) * scores[""]
+
+
+def _bits(score: float) -> int:
+    """The score's size in powers of two: whole numbers, so that their sum on a host has one value."""
+    return max(int(score), 0).bit_length()
 
 
 def best_path(scores: dict[str, float]) -> str | None:
     """The path that holds the main text: the best article or main element, or else the deepest
     container with most of the page's text."""
-    whole = scores.get("", 0.0)
     if not scores:
         return None
-    named = [p for p in scores if _tag(p) in ("article", "main") and scores[p] >= NAMED * whole]
+    most = [p for p in scores if _holds(p, scores)]
+    named = [p for p in most if _named(p)]
     if named:
         return max(named, key=lambda p: (scores[p], -p.count(">"), p))
-    most = [p for p in scores if scores[p] >= MAIN * whole]
-    return max(most, key=lambda p: (p.count(">") if p else -1, scores[p], p)) if most else ""
+    return max(most, key=lambda p: (_depth(p), scores[p], p)) if most else ""
 
 
-def main_text(html: str, winners: list[str]) -> str:
-    blocks = page_blocks(html)
-    scores = container_scores(blocks)
+def chosen_path(scores: dict[str, float], winners: list[str], usual: dict[str, float]) -> str | None:
+    """The path that a page is extracted by; ``usual`` has the mean ``_bits`` of the votes for a winner."""
+    own = best_path(scores)
     known = [w for w in winners if w in scores]
-    path = max(known, key=lambda w: (scores[w], w)) if known else best_path(scores)
+    held = [w for w in known if _holds(w, scores)]
+    if held:
+        won = max(held, key=lambda w: (_depth(w), scores[w], w))
+        return own if _within(own, won) and (_named(own) or not won) else won
+    if own is None or _named(own):
+        return own
+    as_usual = [w for w in known if w in usual and scores[w] >= 2 ** (usual[w] - 2)]
+    return max(as_usual, key=lambda w: (scores[w], w)) if as_usual else own
+
+
+def main_text(html: str, winners: list[str], usual: dict[str, float] | None = None) -> str:
+    blocks = page_blocks(html)
+    path = chosen_path(container_scores(blocks), winners, usual or {})
     if path is None:
         return ""
-    below = path + ">" if path else ""
-    return "\n\n".join(text for at, text, _ in blocks if at == path or at.startswith(below))
+    return "\n\n".join(text for at, text, _ in blocks if _within(at, path))
 
 
 # ------------------------------------------------------------------ frames
@@ -258,19 +288,24 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def host_paths(spark: SparkSession, pages: DataFrame, share: float = SHARE) -> DataFrame:
-    """(__host, __paths): the winning paths of each host of ``pages`` (__host, html), as a table of its
-    own: a join with it reads two plain exchanges, and a host with a third of all pages can be split."""
+    """(__host, __paths): the winning paths of each host of ``pages`` (__host, html), each with the mean
+    ``_bits`` of its votes, as a table of its own: a join with it reads two plain exchanges, and a host with a third of all pages can be split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            votes = [best_path(container_scores(page_blocks(t.as_py() or ""))) for t in b.column("html")]
-            yield pa.RecordBatch.from_pydict({"host": b.column("__host"), "path": pa.array(votes, pa.string())})
-
-    votes = pages.select("__host", "html").mapInArrow(run, "host string, path string").where("path IS NOT NULL")
-    counted = written(spark, votes.groupBy("host", "path").agg(F.count("*").alias("n")), "votes")
+            scores = [container_scores(page_blocks(t.as_py() or "")) for t in b.column("html")]
+            votes = [best_path(s) for s in scores]
+            bits = [None if v is None else _bits(s[v]) for v, s in zip(votes, scores)]
+            yield pa.RecordBatch.from_pydict({"host": b.column("__host"), "path": pa.array(votes, pa.string()),
+                                              "bits": pa.array(bits, pa.int64())})
+
+    votes = pages.select("__host", "html").mapInArrow(run, "host string, path string, bits long").where("path IS NOT NULL")
+    sums = votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("bits").alias("bits"))
+    counted = written(spark, sums, "votes")
     whole = counted.groupBy("host").agg(F.sum("n").alias("pages"))
     won = counted.join(whole, "host").where(F.col("n") >= share * F.col("pages"))
-    paths = won.groupBy(F.col("host").alias("__host")).agg(F.sort_array(F.collect_list("path")).alias("__paths"))
+    path = F.struct("path", (F.col("bits") / F.col("n")).alias("usual"))
+    paths = won.groupBy(F.col("host").alias("__host")).agg(F.sort_array(F.collect_list(path)).alias("__paths"))
     return written(spark, paths, "host-paths")
 
 
@@ -282,7 +317,10 @@ def extracted(spark: SparkSession, pages: DataFrame, share: float = SHARE) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(t.as_py() or "", p.as_py() or []) for t, p in zip(b.column("html"), b.column("__paths"))]
+            texts = []
+            for t, p in zip(b.column("html"), b.column("__paths")):
+                usual = {x["path"]: x["usual"] for x in p.as_py() or ()}
+                texts.append(main_text(t.as_py() or "", list(usual), usual))
             yield pa.RecordBatch.from_pydict({"page_id": b.column("page_id"), "url": b.column("url"), "text": pa.array(texts, pa.string())})
 
     return both.mapInArrow(run, schema).withColumn("n_chars", F.length("text").cast("long"))

@@ -206,6 +206,28 @@ def test_winning_path_overrules_a_page(spark):
     assert hc.extracted(spark, df).count() == len(rows) and hc.extracted(spark, df.limit(0)).count() == 0
 
 
+LONG = "the main text of the page goes on " * 20
+STORY = f'<div class="story"><p>{LONG}</p></div><div class="content">small box</div>'
+
+
+def test_winner_counts_only_where_it_holds_the_main_text():
+    assert hc.main_text(STORY, ["div.content"]).startswith(LONG.strip())
+    nested = f'<div class="wrap"><div class="post"><p>{LONG}</p></div><p><a href=x>more</a></p></div>'
+    assert hc.main_text(nested, ["", "div.wrap", "div.wrap>div.post"]) == LONG.strip()
+    article = f"<p>beside it</p><article><p>{LONG}</p></article>"
+    for winners in ([""], ["", "article"]):
+        assert hc.main_text(article, winners) == LONG.strip()
+    assert hc.main_text(f"<div class=wrap>{article}</div>", ["div.wrap"]) == LONG.strip()
+    assert hc.main_text(f"<div><p>{LONG}</p></div><p><a href=x>elsewhere</a>", [""]) == LONG.strip()
+
+
+def test_minority_template_keeps_its_main_text(spark):
+    usual = f'<div class="content"><p>{LONG}</p></div>'
+    rows = [(i, "http://h.example/x", usual) for i in range(8)] + [(8, "http://h.example/y", STORY)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all(r["text"].startswith(LONG.strip()) for r in hc.extracted(spark, df).collect())
+
+
 def test_quotes_in_tags_take_linear_time():
     page = "<p>" + "<a title=5\" x>" * 20_000 + "text" + entities.escape("<") * 10
     assert hc.main_text(page, []).startswith("text")
