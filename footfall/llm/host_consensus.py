@@ -6,10 +6,15 @@ scores its containers and votes for the path that holds its main text. Spark cou
 host and keeps the paths with at least ``SHARE`` of the host's pages, five at most by that rule.
 Pages are then extracted again with the paths that won. A winning path counts on a page where it holds the
 share of the page's score that a vote asks for, the deepest first; an article or main element of the page's
-own vote inside it goes before it, and so does any own vote inside a winning whole page. Failing that, and
+own vote inside it goes before it, and so does any own vote around it or inside a winning whole page. Failing that, and
 with no article or main, a winning path counts that scores what it usually does on the host (a quarter of
 the usual at least), however much text stands beside it. Otherwise the page's own vote is used.
 
+The path of a vote is the article or main element with most text, or else the deepest container with most of
+the page's text. It climbs to containers around it while the text they add is not mostly links (headings, leads,
+further columns and sections), but not where article and main elements hold most of the page's text by
+themselves. All article and main elements of similar score are kept with it.
+
 Blocks under menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by tag,
 role, or a whole class or id token of a container) never count, nor do scripts, styles and markup.
 Words that also name sections of a text (related, discussion) count only where half the container's
@@ -27,6 +32,7 @@ import html as entities
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +43,8 @@ from footfall.llm.common import written
 SHARE = 0.2
 #: A container holds the main text when it has this share of the page's; article and main at less.
 MAIN, NAMED = 0.75, 0.25
+#: Text beside a path belongs to it when less than this share of it is in links.
+BESIDE = 0.3
 
 _SKIPPED = "script|style|title|textarea|noscript|template|iframe|svg|select|button|object"
 _TOKEN = re.compile(
@@ -212,17 +220,29 @@ def page_blocks(html: str) -> list[tuple[str, str, int]]:
     return [b for b, i in zip(blocks, doubts) if not out[i]]
 
 
-def container_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:
-    """Score of each container path: the text below it, with text in links counted against it."""
-    scores: dict[str, float] = defaultdict(float)
+class Sums(NamedTuple):
+    """Of each container path: its score, which is the text below it with text in links counted against it; the
+    text below it; score and text of the blocks in it but in no container below."""
+    scores: dict[str, float]
+    sizes: dict[str, int]
+    own: dict[str, tuple[float, int]]
+
+
+def container_sums(blocks: list[tuple[str, str, int]]) -> Sums:
+    own: dict[str, tuple[float, int]] = {}
     for path, text, links in blocks:
-        value = len(text) - 2 * links
+        score, size = own.get(path, (0.0, 0))
+        own[path] = score + len(text) - 2 * links, size + len(text)
+    scores: dict[str, float] = defaultdict(float)
+    sizes: dict[str, int] = defaultdict(int)
+    for path, (score, size) in own.items():
         while True:
-            scores[path] += value
+            scores[path] += score
+            sizes[path] += size
             if not path:
                 break
             path = path.rpartition(">")[0]
-    return scores
+    return Sums(scores, sizes, own)
 
 
 def _named(path: str) -> bool:
@@ -246,26 +266,58 @@ def _bits(score: float) -> int:
     return max(int(score), 0).bit_length()
 
 
-def best_path(scores: dict[str, float]) -> str | None:
+def _alike(path: str, scores: dict[str, float]) -> list[str]:
+    """``path`` and the article and main elements outside it that score like the best one in it."""
+    named = [p for p in scores if _named(p) and scores[p] > 0]
+    best = max((scores[p] for p in named if _within(p, path)), default=None)
+    if best is None:
+        return [path]
+    near = [p for p in named if scores[p] >= NAMED * best and not _within(p, path) and not _within(path, p)]
+    return [path, *(p for p in near if not any(p != q and _within(p, q) for q in near))]
+
+
+def _climbed(path: str, sums: Sums) -> str:
+    """The widest container around ``path`` that is reached by adding text that is not mostly links."""
+    def plain(score: float, size: int) -> bool:
+        return size > 0 and score > (1 - 2 * BESIDE) * size
+
+    at = path
+    while at:
+        at = at.rpartition(">")[0]
+        added = sums.sizes[at] - sums.sizes[path]
+        if not added:
+            continue
+        if not plain(sums.scores[at] - sums.scores[path], added) and not plain(*sums.own.get(at, (0.0, 0))):
+            break
+        path = at
+    return path
+
+
+def best_path(sums: Sums) -> str | None:
     """The path that holds the main text: the best article or main element, or else the deepest
-    container with most of the page's text."""
+    container with most of the page's text, and what belongs to it around."""
+    scores = sums.scores
     if not scores:
         return None
     most = [p for p in scores if _holds(p, scores)]
     named = [p for p in most if _named(p)]
     if named:
-        return max(named, key=lambda p: (scores[p], -p.count(">"), p))
-    return max(most, key=lambda p: (_depth(p), scores[p], p)) if most else ""
+        best = max(named, key=lambda p: (scores[p], -p.count(">"), p))
+        if sum(scores[p] for p in _alike(best, scores)) >= MAIN * scores[""]:
+            return best
+    else:
+        best = max(most, key=lambda p: (_depth(p), scores[p], p)) if most else ""
+    return _climbed(best, sums)
 
 
-def chosen_path(scores: dict[str, float], winners: list[str], usual: dict[str, float]) -> str | None:
+def chosen_path(sums: Sums, winners: list[str], usual: dict[str, float]) -> str | None:
     """The path that a page is extracted by; ``usual`` has the mean ``_bits`` of the votes for a winner."""
-    own = best_path(scores)
+    own, scores = best_path(sums), sums.scores
     known = [w for w in winners if w in scores]
     held = [w for w in known if _holds(w, scores)]
     if held:
         won = max(held, key=lambda w: (_depth(w), scores[w], w))
-        return own if _within(own, won) and (_named(own) or not won) else won
+        return own if _within(won, own) or _within(own, won) and (_named(own) or not won) else won
     if own is None or _named(own):
         return own
     as_usual = [w for w in known if w in usual and scores[w] >= 2 ** (usual[w] - 2)]
@@ -274,10 +326,12 @@ def chosen_path(scores: dict[str, float], winners: list[str], usual: dict[str, f
 
 def main_text(html: str, winners: list[str], usual: dict[str, float] | None = None) -> str:
     blocks = page_blocks(html)
-    path = chosen_path(container_scores(blocks), winners, usual or {})
+    sums = container_sums(blocks)
+    path = chosen_path(sums, winners, usual or {})
     if path is None:
         return ""
-    return "\n\n".join(text for at, text, _ in blocks if _within(at, path))
+    paths = _alike(path, sums.scores)
+    return "\n\n".join(text for at, text, _ in blocks if any(_within(at, p) for p in paths))
 
 
 # ------------------------------------------------------------------ frames
@@ -293,9 +347,9 @@ def host_paths(spark: SparkSession, pages: DataFrame, share: float = SHARE) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores = [container_scores(page_blocks(t.as_py() or "")) for t in b.column("html")]
-            votes = [best_path(s) for s in scores]
-            bits = [None if v is None else _bits(s[v]) for v, s in zip(votes, scores)]
+            sums = [container_sums(page_blocks(t.as_py() or "")) for t in b.column("html")]
+            votes = [best_path(s) for s in sums]
+            bits = [None if v is None else _bits(s.scores[v]) for v, s in zip(votes, sums)]
             yield pa.RecordBatch.from_pydict({"host": b.column("__host"), "path": pa.array(votes, pa.string()),
                                               "bits": pa.array(bits, pa.int64())})
 

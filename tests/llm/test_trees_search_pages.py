@@ -221,6 +221,22 @@ def test_winner_counts_only_where_it_holds_the_main_text():
     assert hc.main_text(f"<div><p>{LONG}</p></div><p><a href=x>elsewhere</a>", [""]) == LONG.strip()
 
 
+def test_headings_leads_and_sections_beside_the_best_path_stay():
+    a, b, c = LONG.strip(), "a second part " * 15 + "end", "a column of text " * 8 + "end"
+    post = f"<div class=post><h1>title</h1><p>lead</p><div class=body><p>{a}</p></div>{{}}</div>"
+    for winners in ([], ["div.post>div.body"], ["div.post"], [""]):
+        assert hc.main_text(post.format(""), winners) == f"title\n\nlead\n\n{a}"
+        assert hc.main_text(post.format(f"<div class=col>{c}</div>"), winners) == f"title\n\nlead\n\n{a}\n\n{c}"
+    linked = "<div class=more><a href=x>one more page</a> <a href=y>and another</a></div>"
+    assert hc.main_text(f"<div class=wrap><div class=body><p>{a}</p></div>{linked}</div>", []) == a
+    assert hc.main_text(post.format(linked), []).startswith(f"title\n\nlead\n\n{a}")
+    parts = f"<article class=part-a><p>{a}</p></article>{{}}<article class=part-b><p>{b}</p></article>"
+    for winners in ([], ["article.part-a"], ["", "article.part-b"]):
+        assert hc.main_text(parts.format(""), winners) == f"{a}\n\n{b}"
+        assert hc.main_text(parts.format("<p><a href=x>" + "links " * 50 + "</a></p>"), winners) == f"{a}\n\n{b}"
+    assert hc.main_text(f"<article><p>{b}</p></article><div class=rest><p>{a}</p></div>", ["article"]) == f"{b}\n\n{a}"
+
+
 def test_minority_template_keeps_its_main_text(spark):
     usual = f'<div class="content"><p>{LONG}</p></div>'
     rows = [(i, "http://h.example/x", usual) for i in range(8)] + [(8, "http://h.example/y", STORY)]
