@@ -7,7 +7,8 @@ accumulators. After each segment the part of every vector that the accumulators
 lower impacts and the rounding of the higher ones) is bounded by the product of the query's norm and the norm of that
 rest, which the index stores for each vector and level. A query stops as soon as this
 proves that all vectors but few cannot be among its ``k`` best; those few, and every one that could still tie,
-are scored again from the exact integers.
+are scored again from the exact integers: in float64 where no sum of a shard and block can reach ``EXACT``, and
+otherwise with the bounds widened by the rounding and in Python integers.
 
 Rows are indexed in shards of up to ``SHARD_ROWS`` rows. Queries come in blocks of up to
 ``QUERY_ROWS`` rows; each block meets each shard once, keyed by the pair, so neither side is
@@ -16,7 +17,8 @@ collected or broadcast, and a shard's best k are merged by a window that first r
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part; a
 query does not meet its own row, but meets other rows of the same vec_id; equal scores rank by the
 smaller vec_id, and rows that share vec_id and score appear each; vectors of different length have the
-inner product of their common components; empty tables give no rows; other columns are ignored.
+inner product of their common components; empty tables give no rows; other columns are ignored. Scaled
+components from 2**62 on, and scores among the best that exceed 64 bits, raise an OverflowError.
 """
 
 from __future__ import annotations
@@ -32,13 +34,25 @@ from footfall.llm.common import UID, numbered, written
 
 K, SCALE, EVERY = 10, 1024, 100
 SHARD_ROWS, QUERY_ROWS, LEVELS = 8192, 512, 16
+#: Sums below this are exact in float64, those of the impacts' rounded values too (at most 1/16 larger).
+EXACT = 2**52
+
+
+def _largest(x: np.ndarray) -> int:
+    """The largest magnitude in ``x``, as a Python integer."""
+    most = max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    if most >= 2**62:
+        raise OverflowError("a scaled component does not fit into 62 bits")
+    return most
 
 
 class ImpactIndex:
     """The impact-ordered segments of one shard: ``x`` (rows x dimensions, integers)."""
 
     def __init__(self, x: np.ndarray, levels: int = LEVELS) -> None:
-        self.x = x.astype(np.float64)               # integers; products and sums below 2**53 stay exact
+        self.most = _largest(x)
+        self.whole = x
+        self.x = x.astype(np.float64)
         size = np.abs(x)
         self.step = int(size.max(initial=0)) // levels + 1
         impact = size // self.step
@@ -62,6 +76,9 @@ class ImpactIndex:
         of the query's own row in this shard, or -1."""
         q = queries.astype(np.float64)
         norm = np.linalg.norm(q, axis=1)
+        exact = self.most * _largest(queries) * self.x.shape[1] < EXACT
+        # rounding of the components, the products and the sums over dimensions and segments
+        rounding = 0.0 if exact else (self.x.shape[1] + 16) * (len(self.segments) + 1) * 2.0**-50
         acc = np.zeros((len(q), len(self.x)))
         few = max(4 * k, 64)
         alive, found = np.arange(len(q)), {}
@@ -71,7 +88,7 @@ class ImpactIndex:
                 part = np.zeros_like(self.x)
                 part[row, dim] = value
                 acc[alive] += q[alive] @ part.T
-            bound = norm[alive, None] * self.rest[depth] * (1 + 1e-9) + 1e-6
+            bound = norm[alive, None] * (self.rest[depth] * (1 + 1e-9) + self.rest[0] * rounding) + 1e-6
             low = acc[alive] - bound
             mine = own[alive] >= 0
             low[np.flatnonzero(mine), own[alive][mine]] = -np.inf
@@ -88,8 +105,15 @@ class ImpactIndex:
         who, rows, scores = [], [], []
         for i, rows_i in found.items():
             rows_i = rows_i[rows_i != own[i]]
-            score = (self.x[rows_i] @ q[i]).astype(np.int64)
-            best = np.lexsort((ids[rows_i], -score))[:k]
+            if exact:
+                score = (self.x[rows_i] @ q[i]).astype(np.int64)
+                best = np.lexsort((ids[rows_i], -score))[:k]
+            else:
+                score = self.whole[rows_i].astype(object) @ queries[i].astype(object)
+                best = np.array(sorted(range(len(rows_i)), key=lambda j: (-score[j], ids[rows_i[j]]))[:k], np.int64)
+                if any(not -2**63 <= s < 2**63 for s in score[best]):
+                    raise OverflowError("a score among the best does not fit into 64 bits")
+                score = np.where(np.isin(np.arange(len(score)), best), score, 0).astype(np.int64)
             who.append(np.full(len(best), i))
             rows.append(rows_i[best])
             scores.append(score[best])

@@ -93,6 +93,26 @@ def test_index_is_exact_and_prunes(seed):
         assert list(zip(-score[who == i], ids[row[who == i]])) == want
 
 
+@pytest.mark.parametrize("bits", [24, 26, 28, 29])
+def test_large_components_are_scored_exactly(bits):
+    rng = np.random.default_rng(bits)
+    x = 2**bits + rng.integers(0, 4, (300, 8)) if bits % 4 else rng.integers(-2**bits, 2**bits, (300, 8))
+    x[:100] = x[0]
+    ids = rng.permutation(300)
+    who, row, score = ii.ImpactIndex(x).search(x[::30], np.arange(0, 300, 30), ids, 10)
+    for i in range(10):
+        s = x.astype(object) @ x[30 * i].astype(object)
+        want = sorted((-int(s[j]), int(ids[j])) for j in range(300) if j != 30 * i)[:10]
+        assert [(-int(a), int(b)) for a, b in zip(score[who == i], ids[row[who == i]])] == want
+
+
+@pytest.mark.parametrize("component", [2**40, 2**62, -2**63])
+def test_scores_beyond_64_bits_are_an_error(component):
+    x = np.full((3, 4), component, np.int64)
+    with pytest.raises(OverflowError):
+        ii.ImpactIndex(x).search(x, np.full(3, -1), np.arange(3), 2)
+
+
 def test_awkward_vectors(spark, monkeypatch):
     monkeypatch.setattr(ii, "SHARD_ROWS", 3)
     monkeypatch.setattr(ii, "QUERY_ROWS", 1)
