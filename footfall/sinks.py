@@ -44,6 +44,14 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_col: str |
     writer.save(path)
 
 
+def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Overwrites ``path`` with a result, as Parquet or as CSV with a header (the spreadsheet export)."""
+    writer = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", True).option("escape", '"')
+    writer.save(path)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str, properties: dict[str, str],
                partitions: int | None = None) -> None:
     """JDBC sink; ``partitions`` bounds the number of concurrent connections."""

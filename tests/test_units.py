@@ -248,3 +248,19 @@ def test_no_scratch_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Cluster)
+
+
+def test_results_and_partitioned_appends_read_back(spark, tmp_path):
+    from footfall.sinks import append, write_result
+    rows = [(1, 'a "quoted", text'), (2, "b")]
+    df = spark.createDataFrame(rows, "m int, t string")
+    for fmt in ("parquet", "csv"):
+        for _ in range(2):                         # a second run overwrites
+            write_result(df, f"{tmp_path}/{fmt}", fmt)
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/parquet").collect())) == rows
+    csv = spark.read.csv(f"{tmp_path}/csv", header=True, schema="m int, t string", escape='"')
+    assert sorted(map(tuple, csv.collect())) == rows
+    for _ in range(2):
+        append(df, f"{tmp_path}/parts", partition_col="m")
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/parts").select("m", "t").collect()) == sorted(rows * 2)
+    assert (tmp_path / "parts" / "m=1").is_dir()
