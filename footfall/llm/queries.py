@@ -12,6 +12,7 @@ from footfall.llm.mixing import op1_mixing
 from footfall.llm.pii_lstm import op9_pii_lstm
 from footfall.llm.reply_trees import ORACLE_OP4, op4_reply_trees
 from footfall.llm.sp_codec import op7_sp_codec
+from footfall.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_mixing": op1_mixing,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_host_consensus": op8_host_consensus,
     "op9_pii_lstm": op9_pii_lstm,
     "op10_gray_simhash": op10_gray_simhash,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLE = {
