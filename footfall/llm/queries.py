@@ -10,6 +10,7 @@ from footfall.llm.interp_lm import op3_interp_lm
 from footfall.llm.lang_id import op6_lang_id
 from footfall.llm.mixing import op1_mixing
 from footfall.llm.pii_lstm import op9_pii_lstm
+from footfall.llm.prefix_trie import ORACLE_OP12, op12_prefix_trie
 from footfall.llm.reply_trees import ORACLE_OP4, op4_reply_trees
 from footfall.llm.sp_codec import op7_sp_codec
 from footfall.llm.whitening import op11_whitening
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_pii_lstm": op9_pii_lstm,
     "op10_gray_simhash": op10_gray_simhash,
     "op11_whitening": op11_whitening,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLE = {
     "op2_chunk_dedup": ORACLE_OP2,
     "op4_reply_trees": ORACLE_OP4,
     "op5_impact_topk": ORACLE_OP5,
+    "op12_prefix_trie": ORACLE_OP12,
 }
