@@ -76,7 +76,8 @@ def running_sums(starts: np.ndarray, values: np.ndarray, before: int, p: int | N
 
 def scanned_turns(ordered: DataFrame, attempt: int) -> DataFrame:
     """Sorted partitions of (conv_id, t, chars) scanned from the identity: part, conv_id, t, chars, and, counted from
-    the conversation's first turn in the partition, pos, cum (code points), h0, h1 (fingerprint)."""
+    the conversation's first turn in the partition, pos, cum (code points), h0, h1 (fingerprint), q0, q1 (the same
+    without the turn itself)."""
     base = bases(attempt)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,41 +90,32 @@ def scanned_turns(ordered: DataFrame, attempt: int) -> DataFrame:
             chars, t = np.asarray(b.column("chars")), np.asarray(b.column("t"))
             pos = running_sums(starts, np.ones(len(conv), np.int64), pos0)
             cum = running_sums(starts, chars, cum0)
-            h = [running_sums(starts, t % p * powers(x, pos, p) % p, s, p)
-                 for x, p, s in zip(base, PRIMES, h0)]
+            term = [t % p * powers(x, pos, p) % p for x, p in zip(base, PRIMES)]
+            h = [running_sums(starts, y, s, p) for y, p, s in zip(term, PRIMES, h0)]
+            q = [(x - y) % p for x, y, p in zip(h, term, PRIMES)]
             last, pos0, cum0, h0 = conv[-1], int(pos[-1]), int(cum[-1]), [int(x[-1]) for x in h]
             yield pa.RecordBatch.from_arrays(
-                [b.column("part"), b.column("conv_id"), b.column("t"), b.column("chars"), *(pa.array(x) for x in (pos, cum, *h))],
-                ["part", "conv_id", "t", "chars", "pos", "cum", "h0", "h1"])
+                [b.column("part"), b.column("conv_id"), b.column("t"), b.column("chars"), *(pa.array(x) for x in (pos, cum, *h, *q))],
+                ["part", "conv_id", "t", "chars", "pos", "cum", "h0", "h1", "q0", "q1"])
 
-    return ordered.mapInArrow(run, "part int, conv_id long, t long, chars long, pos long, cum long, h0 long, h1 long")
+    return ordered.mapInArrow(run, "part int, conv_id long, t long, chars long, pos long, cum long, h0 long, h1 long, q0 long, q1 long")
 
 
 def carried(spark: SparkSession, scanned: DataFrame, attempt: int) -> DataFrame:
-    """What conversations that cross partitions have before each partition: part, conv_id, pos, cum, h0, h1.
-    The scan's ends are one row for each partition."""
+    """What conversations that cross partitions have before each partition: part, conv_id, b_pos, b_cum,
+    b_h0, b_h1, and w0, w1, the powers that move a product behind them. The scan's ends are one row for each partition."""
     end = F.max(F.struct("conv_id", "pos", "cum", "h0", "h1")).alias("end")
     ends = scanned.groupBy("part").agg(F.min("conv_id").alias("first"), end).orderBy("part").collect()
     out, have = [], None
     for r in ends:
         if have is not None and have[0] == r["first"]:
-            out.append((r["part"], *have))
+            weight = [int(powers(b, np.array([have[1]]), p)[0]) for b, p in zip(bases(attempt), PRIMES)]
+            out.append((r["part"], *have, *weight))
         e = tuple(r["end"])
         if have is not None and have[0] == e[0]:       # the whole partition is one conversation
-            moved = [int(powers(b, np.array([have[1]]), p)[0]) * h % p for b, p, h in zip(bases(attempt), PRIMES, e[3:])]
-            e = (e[0], have[1] + e[1], have[2] + e[2], *((a + m) % p for a, m, p in zip(have[3:], moved, PRIMES)))
+            e = (e[0], have[1] + e[1], have[2] + e[2], *((a + w * h) % p for a, w, h, p in zip(have[3:], weight, e[3:], PRIMES)))
         have = e
-    return spark.createDataFrame(out, "part int, conv_id long, b_pos long, b_cum long, b_h0 long, b_h1 long")
-
-
-def _power(attempt: int, field: int, exponent: Column) -> Column:
-    """The field's base to a power known per row, by its binary digits."""
-    p, square = PRIMES[field], bases(attempt)[field]
-    out = F.lit(1).cast("long")
-    for bit in range(40):
-        factor = F.when(F.shiftright(exponent, bit).bitwiseAND(F.lit(1)) == 1, F.lit(square)).otherwise(F.lit(1)).cast("long")
-        out, square = F.pmod(out * factor, F.lit(p)), square * square % p
-    return out
+    return spark.createDataFrame(out, "part int, conv_id long, b_pos long, b_cum long, b_h0 long, b_h1 long, w0 long, w1 long")
 
 
 def _inverse_power(attempt: int, field: int, exponent: Column, most: int) -> Column:
@@ -136,7 +128,7 @@ def _inverse_power(attempt: int, field: int, exponent: Column, most: int) -> Col
 
 def ordered_turns(spark: SparkSession, conversations: DataFrame, attempt: int) -> DataFrame:
     """Every turn with its place, hash and the fingerprint of its conversation up to it: conv_id, pos (from
-    1), t, chars, cum, h0, h1."""
+    1), t, chars, cum, h0, h1, q0, q1."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = conversations.where("conv_id IS NOT NULL").select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", role.alias("role"), text.alias("text"),
@@ -149,15 +141,14 @@ def ordered_turns(spark: SparkSession, conversations: DataFrame, attempt: int) -
     scanned = written(spark, scanned_turns(turn, attempt), "scanned-turns")
     before = carried(spark, scanned, attempt)
     joined = scanned.join(F.broadcast(before), ["part", "conv_id"], "left")       # at most one row for each partition
-    crossing = F.col("b_pos").isNotNull()
 
-    def whole(field: int) -> Column:
-        h = F.col(f"h{field}")
-        moved = F.pmod(F.col(f"b_h{field}") + F.pmod(_power(attempt, field, F.col("b_pos")) * h, F.lit(PRIMES[field])), F.lit(PRIMES[field]))
-        return F.when(crossing, moved).otherwise(h).alias(f"h{field}")
+    def whole(name: str, field: int) -> Column:
+        p = F.lit(PRIMES[field])
+        moved = F.pmod(F.col(f"b_h{field}") + F.pmod(F.col(f"w{field}") * F.col(name), p), p)
+        return F.when(F.col("b_pos").isNotNull(), moved).otherwise(F.col(name)).alias(name)
 
     return joined.select("conv_id", (F.col("pos") + F.coalesce("b_pos", F.lit(0))).alias("pos"), "t", "chars",
-                         (F.col("cum") + F.coalesce("b_cum", F.lit(0))).alias("cum"), whole(0), whole(1))
+                         (F.col("cum") + F.coalesce("b_cum", F.lit(0))).alias("cum"), *[whole(f"{x}{i}", i) for x in "hq" for i in (0, 1)])
 
 
 def hashes_collide(conversations: DataFrame, attempt: int) -> bool:
@@ -174,11 +165,11 @@ def head_sizes(c: Column) -> Column:
 
 
 def rebuilt_prefixes(spark: SparkSession, turns: DataFrame, attempt: int) -> tuple[DataFrame, DataFrame]:
-    """(prefixes, conversations). Prefixes: one row for each rebuilt conversation c and depth d from 1: c, d, f0, f1,
-    the turn it ends with (src_conv, src_pos, t, chars) and above (code points before it). Conversations: c, len,
+    """(prefixes, conversations). Prefixes: one row for each rebuilt conversation c and depth d from 1: c, d, f0, f1, p0, p1
+    (the prefix one turn shorter), the turn it ends with (src_conv, src_pos, t, chars) and above (code points before it). Conversations: c, len,
     f0, f1 (the whole fingerprint), tot (its code points)."""
     firsts = turns.where(F.col("pos") <= HEADS - 1)
-    parts = ("pos", "cum", "h0", "h1", "t", "chars")
+    parts = ("pos", "cum", "h0", "h1", "q0", "q1", "t", "chars")
     starts = firsts.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(*parts))).alias("starts"))   # HEADS - 1 rows at most
     ends = turns.groupBy("conv_id").agg(F.max(F.struct("pos", "cum", "h0", "h1")).alias("end"))
     convs = written(spark, ends.join(starts, "conv_id").withColumn("h", head_sizes(F.col("conv_id"))).withColumn(
@@ -214,11 +205,11 @@ def rebuilt_prefixes(spark: SparkSession, turns: DataFrame, attempt: int) -> tup
     own = turns.join(rebuilt.select(F.col("c").alias("conv_id"), "h", "taken", "top", "skip"), "conv_id").where(F.col("pos") > F.col("h"))
     suffix = own.select(
         F.col("conv_id").alias("c"), (F.col("pos") - F.col("h") + F.col("taken")).alias("d"),
-        *[composed(i, F.col(f"h{i}")).alias(f"f{i}") for i in (0, 1)], F.col("conv_id").alias("src_conv"), F.col("pos").alias("src_pos"),
+        *[composed(i, F.col(f"{x}{i}")).alias(f"{y}{i}") for x, y in ("hf", "qp") for i in (0, 1)], F.col("conv_id").alias("src_conv"), F.col("pos").alias("src_pos"),
         "t", "chars", (F.col("top.cum") + F.col("cum") - F.col("skip.cum") - F.col("chars")).alias("above"))
     head = rebuilt.select("c", "base", F.explode("head").alias("x")).select(
-        "c", F.col("x.pos").alias("d"), F.col("x.h0").alias("f0"), F.col("x.h1").alias("f1"), F.col("base").alias("src_conv"),
-        F.col("x.pos").alias("src_pos"), F.col("x.t").alias("t"), F.col("x.chars").alias("chars"), (F.col("x.cum") - F.col("x.chars")).alias("above"))
+        "c", F.col("x.pos").alias("d"), *[F.col(f"x.{x}{i}").alias(f"{y}{i}") for x, y in ("hf", "qp") for i in (0, 1)],
+        F.col("base").alias("src_conv"), F.col("x.pos").alias("src_pos"), F.col("x.t").alias("t"), F.col("x.chars").alias("chars"), (F.col("x.cum") - F.col("x.chars")).alias("above"))
     return written(spark, head.unionByName(suffix), "prefixes"), rebuilt.select("c", "len", "f0", "f1", "tot")
 
 
@@ -299,16 +290,11 @@ def _nodes(spark: SparkSession, conversations: DataFrame, attempt: int) -> DataF
     prefixes, convs = rebuilt_prefixes(spark, turns, attempt)
     nodes = prefixes.groupBy(*NODE).agg(
         F.min(F.struct("c", "src_conv", "src_pos")).alias("own"), F.count("*").alias("n_convs"), F.max("chars").alias("chars"),
-        F.max("above").alias("above"), F.min("t").alias("t"), F.max("t").alias("other"))
-
-    def parent(field: int) -> Column:
-        """The fingerprint without the last turn."""
-        p = F.lit(PRIMES[field])
-        return F.pmod(F.col(f"f{field}") - F.pmod(F.pmod("t", p) * _power(attempt, field, F.col("d")), p), p)
+        F.max("above").alias("above"), F.max("p0").alias("p0"), F.max("p1").alias("p1"), F.min("t").alias("t"), F.max("t").alias("other"))
 
     nodes = written(spark, nodes.select(
         *NODE, F.col("own.c").alias("c"), F.col("own.src_conv").alias("src_conv"), F.col("own.src_pos").alias("src_pos"), "n_convs", "chars",
-        "above", parent(0).alias("p0"), parent(1).alias("p1"), (F.col("t") != F.col("other")).alias("torn")), "nodes")
+        "above", "p0", "p1", (F.col("t") != F.col("other")).alias("torn")), "nodes")
     if not nodes.where("torn").isEmpty():
         return None
 

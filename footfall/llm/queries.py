@@ -8,6 +8,7 @@ from footfall.llm.host_consensus import op8_host_consensus
 from footfall.llm.impact_index import ORACLE_OP5, op5_impact_topk
 from footfall.llm.interp_lm import op3_interp_lm
 from footfall.llm.lang_id import op6_lang_id
+from footfall.llm.line_crf import op13_line_crf
 from footfall.llm.mixing import op1_mixing
 from footfall.llm.pii_lstm import op9_pii_lstm
 from footfall.llm.prefix_trie import ORACLE_OP12, op12_prefix_trie
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_gray_simhash": op10_gray_simhash,
     "op11_whitening": op11_whitening,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_line_crf": op13_line_crf,
 }
 
 ORACLE = {
