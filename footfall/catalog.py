@@ -18,6 +18,7 @@ from footfall.operators import snapshots as snap
 from footfall.plans import customers as cu
 from footfall.plans import intake as ik
 from footfall.plans import population as po
+from footfall.scratch import Scope, named_scope
 from footfall.session import scratch_path
 from footfall.sources import feeds
 from footfall.sources import fixtures as fx
@@ -68,6 +69,14 @@ def _calendar(spark: SparkSession) -> DataFrame:
     return snap.snapshot_calendar(spark, *SNAPSHOT_RANGE)
 
 
+#: Snapshots on the 15th of each month over the 90 days before them: neither month starts nor whole months.
+MID_MONTHS, QUARTER_DAYS = ("1995-01-15", "2002-07-31"), 90
+
+
+def _mid_months(spark: SparkSession) -> DataFrame:
+    return snap.day_calendar(spark, *MID_MONTHS, "1 MONTH", QUARTER_DAYS)
+
+
 # ---------------------------------------------------------------- customers
 
 def q_read_bounds(spark, sf_dir):
@@ -91,7 +100,8 @@ def q_user_movement(spark, sf_dir):
 
 
 def q_movement_full_outer(spark, sf_dir):
-    return cu.user_movement_full_outer(_orders(spark, sf_dir), *MOVEMENT_RANGE)
+    return cu.user_movement_full_outer(
+        _orders(spark, sf_dir), *MOVEMENT_RANGE, scope=named_scope(spark, "movement", sf_dir))
 
 
 def q_snapshot_calendar(spark, sf_dir):
@@ -107,6 +117,18 @@ def q_trailing_members(spark, sf_dir):
     return present(cu.trailing_members(orders, _calendar(spark)))
 
 
+def q_interval_members(spark, sf_dir):
+    return present(cu.interval_members(_orders(spark, sf_dir), _mid_months(spark), QUARTER_DAYS // 4))
+
+
+def q_members_mid_month(spark, sf_dir):
+    return present(cu.trailing_members(_orders(spark, sf_dir), _mid_months(spark)))
+
+
+def q_user_spend_mid_month(spark, sf_dir):
+    return present(cu.user_spend(_orders(spark, sf_dir), _mid_months(spark), *SNAPSHOT_RANGE))
+
+
 def q_repurchase_gaps(spark, sf_dir):
     return present(cu.repurchase_gaps(_orders(spark, sf_dir), *SNAPSHOT_RANGE))
 
@@ -117,7 +139,8 @@ def q_user_repurchase(spark, sf_dir):
 
 
 def q_repurchase_median(spark, sf_dir):
-    return present(cu.repurchase_median(_orders(spark, sf_dir), _calendar(spark), *SNAPSHOT_RANGE))
+    return present(cu.repurchase_median(_orders(spark, sf_dir), _calendar(spark), *SNAPSHOT_RANGE,
+                                        scope=named_scope(spark, "repurchase", sf_dir)))
 
 
 def q_user_spend(spark, sf_dir):
@@ -133,11 +156,13 @@ def q_user_spend_stats(spark, sf_dir):
 
 
 def q_spend_quartiles(spark, sf_dir):
-    return present(cu.spend_quartiles(_orders(spark, sf_dir), _calendar(spark), *SNAPSHOT_RANGE))
+    return present(cu.spend_quartiles(_orders(spark, sf_dir), _calendar(spark), *SNAPSHOT_RANGE,
+                                      scope=named_scope(spark, "quartiles", sf_dir)))
 
 
 def q_latest_snapshots(spark, sf_dir):
-    q = cu.spend_quartiles(_orders(spark, sf_dir), _calendar(spark), *SNAPSHOT_RANGE)
+    q = cu.spend_quartiles(_orders(spark, sf_dir), _calendar(spark), *SNAPSHOT_RANGE,
+                           scope=named_scope(spark, "latest", sf_dir))
     return present(cu.latest_snapshots(q, 10))
 
 
@@ -151,6 +176,9 @@ QUERIES: dict[str, Query] = {
     "snapshot_calendar": q_snapshot_calendar,
     "month_bounds": q_month_bounds,
     "trailing_members": q_trailing_members,
+    "interval_members": q_interval_members,
+    "members_mid_month": q_members_mid_month,
+    "user_spend_mid_month": q_user_spend_mid_month,
     "repurchase_gaps": q_repurchase_gaps,
     "user_repurchase": q_user_repurchase,
     "repurchase_median": q_repurchase_median,

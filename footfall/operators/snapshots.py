@@ -1,11 +1,8 @@
-"""Monthly snapshot calendar and trailing-year membership as set operations.
-
-Snapshot S (a first of month) covers [S - w months, S - 1 day]; the calendar states the
-interval of each snapshot and is the only place that knows w. Listing the months of every
-interval gives a small (month, snapshot) table, so trailing-window membership is an
-equi join with a broadcast side bounded by the calendar, not one filter job per snapshot
-or a range join. Pre-aggregate to (key, month) first so that the w-fold copy is of
-aggregates, not of raw rows.
+"""Snapshot calendars.
+
+A monthly snapshot S (a first of month) covers [S - w months, S - 1 day]; other calendars have snapshots on any day and
+windows of any number of days. The calendar states the interval of each snapshot and is the only place that
+knows its width. What lies in an interval is found by ``operators.intervals`` and ``operators.sliding``.
 """
 
 from __future__ import annotations
@@ -53,19 +50,12 @@ def calendar_from_dates(df: DataFrame, date_col: str, months: int = 12) -> DataF
     return _calendar_rows(bounds, months)
 
 
-def months_of(calendar: DataFrame, month_col: str = "_m") -> DataFrame:
-    """(month, snapshot): the months that each snapshot's interval covers."""
-    months = F.sequence(F.col(INTERVAL_START), F.add_months(SNAPSHOT, -1), F.expr("INTERVAL 1 MONTH"))
-    covered = F.when(F.col(INTERVAL_START) < F.col(SNAPSHOT), months)
-    return calendar.select(F.explode(covered).alias(month_col), SNAPSHOT)
-
-
-def to_snapshots(df: DataFrame, month_col: str, calendar: DataFrame) -> DataFrame:
-    """Copy each row to the calendar's snapshots whose interval holds its month (month_col = first of month).
-
-    Broadcast: snapshots times interval months, bounded by the calendar's parameters.
-    """
-    return df.join(F.broadcast(months_of(calendar, month_col)), month_col)
+def day_calendar(spark: SparkSession, first_de: str, last_de: str, step: str = "1 MONTH", width_days: int = 90) -> DataFrame:
+    """Snapshots from ``first_de`` on, every ``step``, up to ``last_de``, each covering the ``width_days`` days before it."""
+    days = F.sequence(F.to_date(F.lit(first_de)), F.to_date(F.lit(last_de)), F.expr(f"INTERVAL {step}"))
+    starts = F.when(F.to_date(F.lit(first_de)) <= F.to_date(F.lit(last_de)), days)
+    return spark.range(1).select(F.explode(starts).alias(SNAPSHOT)).select(
+        SNAPSHOT, F.date_sub(SNAPSHOT, width_days).alias(INTERVAL_START), F.date_sub(SNAPSHOT, 1).alias(INTERVAL_END))
 
 
 def attach_calendar(calendar: DataFrame, per_snapshot: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ doubles, like ``catalog.present``. Traps: DuckDB ``CAST(x AS INT)`` rounds (use
 
 from __future__ import annotations
 
-from footfall.catalog import FILTER_RANGE, MOVEMENT_RANGE, SNAPSHOT_RANGE
+from footfall.catalog import FILTER_RANGE, MID_MONTHS, MOVEMENT_RANGE, QUARTER_DAYS, SNAPSHOT_RANGE
 from footfall.constants import AGES, DISTRICTS, HOURS, KINDS, SEXES
 from footfall.functions.geo import forward_stages, inverse_stages, stages_sql
 
@@ -91,6 +91,18 @@ RES_COLS = """{d1}, {d2}, {d3}, all_user_gds_ordr_gramt_q1, all_user_gds_ordr_gr
        all_user_purchase_cnt_q1, all_user_purchase_cnt_q2, all_user_purchase_cnt_q3""".format(
     d1=_d("ordr_de"), d2=_d("interval_start_de"), d3=_d("interval_end_de"))
 
+MID_CALENDAR = f"""cal AS (
+    SELECT CAST(s AS DATE) AS snapshot_stdr_de,
+           CAST(s - INTERVAL {QUARTER_DAYS} DAY AS DATE) AS interval_start_de,
+           CAST(s - INTERVAL 1 DAY AS DATE) AS interval_end_de
+      FROM generate_series(TIMESTAMP '{MID_MONTHS[0]}', TIMESTAMP '{MID_MONTHS[1]}', INTERVAL 1 MONTH) t(s))"""
+
+MID_MEMBERS = f"""WITH {FX_ORDERS}, {MID_CALENDAR}
+SELECT {_d('snapshot_stdr_de')}, {_d('interval_start_de')}, {_d('interval_end_de')},
+       count(o.ordr_key) AS n_orders, count(DISTINCT o.cust_id) AS n_users
+  FROM cal c LEFT JOIN fx_orders o ON o.ordr_de BETWEEN c.interval_start_de AND c.interval_end_de
+ GROUP BY snapshot_stdr_de, interval_start_de, interval_end_de"""
+
 ORACLE: dict[str, str] = {
     "read_bounds": f"""WITH {FX_ORDERS}
 SELECT min(cust_id) AS min_cust_id, max(cust_id) AS max_cust_id, count(*) AS n_orders
@@ -148,6 +160,17 @@ SELECT {_d('snapshot_stdr_de')}, {_d('interval_start_de')}, {_d('interval_end_de
        coalesce(n_orders, 0) AS n_orders, coalesce(n_users, 0) AS n_users
   FROM cal LEFT JOIN t USING (snapshot_stdr_de)""",
 
+    "interval_members": MID_MEMBERS,
+
+    "members_mid_month": MID_MEMBERS,
+
+    "user_spend_mid_month": f"""WITH {FX_ORDERS}, {MID_CALENDAR}
+SELECT {_d('snapshot_stdr_de')}, o.cust_id, CAST(sum(o.gds_ordr_gramt) AS DOUBLE) AS user_gds_ordr_gramt,
+       count(*) AS user_purchase_cnt
+  FROM cal c JOIN fx_orders o ON o.ordr_de BETWEEN c.interval_start_de AND c.interval_end_de
+ WHERE o.ordr_de BETWEEN DATE '{SS}' AND DATE '{SE}'
+ GROUP BY snapshot_stdr_de, o.cust_id""",
+
     "repurchase_gaps": f"""WITH {FX_ORDERS},
 src AS (
     SELECT cust_id, ordr_key, ordr_de,

@@ -7,8 +7,7 @@ import re
 import pytest
 
 from conftest import SF_SMALL
-from footfall.catalog import QUERIES, SNAPSHOT_RANGE, _calendar, _sex_age, _time_pop
-from footfall.plans import customers as cu
+from footfall.catalog import QUERIES, _sex_age, _time_pop
 from footfall.plans import population as po
 from footfall.sources import fixtures as fx
 
@@ -36,15 +35,6 @@ def test_q1_scan_is_pruned_and_filtered(static_plans):
     assert sum(" Exchange" in ln for ln in nodes) == 3
 
 
-def test_snapshot_aggregation_needs_no_exchange_of_exploded_rows(static_plans):
-    orders = fx.fx_orders(static_plans, SF_SMALL)
-    text = plan_text(cu.user_spend(orders, _calendar(static_plans), *SNAPSHOT_RANGE), "simple")
-    assert "BroadcastHashJoin" in text  # the calendar's months
-    assert "hashpartitioning(snapshot_stdr_de" not in text
-    assert text.count("Exchange hashpartitioning(") == 2  # (customer, month) partials, then by customer
-    assert "REPARTITION_BY_NUM" in text  # explicit count: not shrunk by adaptive coalescing
-
-
 def test_hour_stack_comes_after_the_joins(static_plans):
     df = po.female_population(_time_pop(static_plans, SF_SMALL), _sex_age(static_plans, SF_SMALL),
                               fx.fx_ic_grid(static_plans, SF_SMALL))
