@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall import jobs
+from footfall.constants import FACT_COLUMNS
 from footfall.operators import snapshots as snap
 from footfall.plans import customers as cu
 from footfall.plans import intake as ik
 from footfall.plans import population as po
 from footfall.scratch import Scope, named_scope
 from footfall.session import scratch_path
+from footfall.sinks import overwrite_partitions
 from footfall.sources import feeds
 from footfall.sources import fixtures as fx
 from footfall.streaming.intake_stream import run_intake_stream
@@ -294,7 +296,7 @@ def _cctv_counts(spark, sf_dir):
 
 def q_register_cells(spark, sf_dir):
     new = ik.register_cells(ik.unseen_cells(_cell_days(spark, sf_dir)), _pcel_grid(spark, sf_dir),
-                            _cctv_counts(spark, sf_dir))
+                            _cctv_counts(spark, sf_dir), scope=named_scope(spark, "register-cells", sf_dir))
     return present(_round_degrees(new))
 
 
@@ -334,6 +336,17 @@ def q_partition_skew(spark, sf_dir):
     return partition_skew(dealt).select(F.col("partition_id").cast("int").alias("partition_id"), "n_rows")
 
 
+HEAVY_SHARE = 0.02
+
+
+def q_heavy_keys(spark, sf_dir):
+    """Customers that hold a fiftieth or more of the orders of their partition, dealt by customer number."""
+    from footfall.operators.skew import heavy_keys
+    dealt = _orders(spark, sf_dir).repartitionById(16, F.pmod("cust_id", F.lit(16)).cast("int"))
+    return heavy_keys(dealt, "cust_id", HEAVY_SHARE).select(
+        F.col("partition_id").cast("int").alias("partition_id"), F.col("key").alias("cust_id"), "n_rows", "partition_rows")
+
+
 QUERIES.update({
     "csv_feed": q_csv_feed,
     "district_prefix": q_district_prefix,
@@ -358,6 +371,7 @@ QUERIES.update({
     "cells_with_cctv": q_cells_with_cctv,
     "new_months": q_new_months,
     "partition_skew": q_partition_skew,
+    "heavy_keys": q_heavy_keys,
 })
 
 
@@ -367,54 +381,66 @@ QUERIES.update({
 LOADED_UNTIL = "200006"
 
 
-def _orders_by_month(spark, sf_dir):
-    """Orders as a month-partitioned source table, written once to a fresh scratch folder."""
+def _orders_by_month(spark, sf_dir, run: Scope):
+    """Orders as a month-partitioned source table."""
     df = _orders(spark, sf_dir).withColumn(jobs.PARTITION, F.date_format(cu.DAY, "yyyyMM"))
-    path = scratch_path(spark, "orders-by-month")
+    path = run.path("orders-by-month")
     df.write.partitionBy(jobs.PARTITION).parquet(path)
     return path, df.schema
 
 
-def _preloaded_target(spark, source_path, schema):
+def _preloaded_target(spark, source_path, schema, run: Scope):
     """A target that already holds the months up to LOADED_UNTIL."""
-    target = scratch_path(spark, "orders-loaded")
+    target = run.path("orders-loaded")
     old = spark.read.schema(schema).parquet(source_path).where(F.col(jobs.PARTITION) <= LOADED_UNTIL)
-    jobs.overwrite_partitions(old, target, jobs.PARTITION)
+    overwrite_partitions(old, target, jobs.PARTITION)
     return target
 
 
 def q_load_month(spark, sf_dir):
-    source, schema = _orders_by_month(spark, sf_dir)
-    target = _preloaded_target(spark, source, schema)
+    run = named_scope(spark, "load-month", sf_dir)
+    source, schema = _orders_by_month(spark, sf_dir, run)
+    target = _preloaded_target(spark, source, schema, run)
     jobs.load_new_months(spark, source, target, schema)
-    months = [r[0] for r in jobs.months_to_load(spark, spark.read.schema(schema).parquet(source), None)
-              .where(F.col(jobs.PARTITION) > LOADED_UNTIL).collect()]
-    jobs.reload_months(spark, source, target, schema, months)  # a rerun replaces, never doubles
+    loaded = jobs.ledger_of(spark, target).entries().where("run != 'found'").select("month").distinct().collect()
+    jobs.reload_months(spark, source, target, schema, [r[0] for r in loaded])  # a rerun replaces, never doubles
     return present(spark.read.schema(schema).parquet(target))
 
 
+def q_load_ledger(spark, sf_dir):
+    """The ledger of a target that held the months up to LOADED_UNTIL and then got the others."""
+    run = named_scope(spark, "load-ledger", sf_dir)
+    source, schema = _orders_by_month(spark, sf_dir, run)
+    target = _preloaded_target(spark, source, schema, run)
+    jobs.load_new_months(spark, source, target, schema)
+    entries = jobs.ledger_of(spark, target).entries()
+    return entries.select("month", F.when(F.col("run") == "found", "found").otherwise("loaded").alias("how"), F.col("rows").alias("n_rows"))
+
+
 def q_intake_stream(spark, sf_dir):
-    source, schema = _orders_by_month(spark, sf_dir)
-    target = _preloaded_target(spark, source, schema)
-    run_intake_stream(spark, source, schema, target, scratch_path(spark, "intake-stream-ckpt"),
-                      after_month=LOADED_UNTIL)
+    run = named_scope(spark, "intake-stream", sf_dir)
+    source, schema = _orders_by_month(spark, sf_dir, run)
+    target = _preloaded_target(spark, source, schema, run)
+    run_intake_stream(spark, source, schema, target, run.path("intake-stream-ckpt"), after_month=LOADED_UNTIL)
     return present(spark.read.schema(schema).parquet(target))
 
 
 def q_grid_intake(spark, sf_dir):
+    run = named_scope(spark, "grid-intake", sf_dir)
     src = _bounded_pop(spark, sf_dir)
-    source_path = scratch_path(spark, "bounded-source")
+    source_path = run.path("bounded-source")
     src.write.partitionBy(jobs.PARTITION).parquet(source_path)
-    grid_path = scratch_path(spark, "pcel-grid")
+    grid_path = run.path("pcel-grid")
     ik.full_grid_rows(_pcel_grid(spark, sf_dir), _cctv_counts(spark, sf_dir)).write.parquet(grid_path)
-    fact_path = scratch_path(spark, "pcell-facts")
+    fact_path = run.path("pcell-facts")
     jobs.run_grid_intake(spark, source_path, src.schema, fact_path, grid_path, _cctv_counts(spark, sf_dir))
     facts = spark.read.parquet(fact_path).withColumn(jobs.PARTITION, F.col(jobs.PARTITION).cast("string"))
-    return present(facts.select(*ik.FACT_COLUMNS))
+    return present(facts.select(*FACT_COLUMNS))
 
 
 QUERIES.update({
     "load_month": q_load_month,
+    "load_ledger": q_load_ledger,
     "intake_stream": q_intake_stream,
     "grid_intake": q_grid_intake,
 })

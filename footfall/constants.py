@@ -50,3 +50,10 @@ TM_LON0_DEG = 127.5
 TM_K0 = 0.9996
 TM_FALSE_EASTING = 1000000.0
 TM_FALSE_NORTHING = 2000000.0
+
+# Columns of the fact table and of the grid dimension, in their order.
+FACT_COLUMNS = ["stdr_de", "stdr_tm", "grid_id", "admd_cd", "gu_cd", "fpop_co", "pt_stdr_ym"]
+GRID_COLUMNS = [
+    "grid_id", "row_no", "clm_no", "mtr_no", "admd_cd", "cnt_x_crd", "cnt_y_crd", "min_x_crd", "min_y_crd",
+    "max_x_crd", "max_y_crd", "cnt_lo", "cnt_la", "min_lo", "min_la", "max_lo", "max_la", "cctv_co",
+]

@@ -46,8 +46,8 @@ def grid_id_text(n: Column) -> Column:
 
 
 def id_number(grid_id: Column) -> Column:
-    """Numeric suffix of a grid id, as a number (so GRID1000000 sorts after GRID999999)."""
-    return F.regexp_extract(grid_id, r"([0-9]+)$", 1).cast("long")
+    """Numeric suffix of a grid id, as a number (so GRID1000000 sorts after GRID999999); NULL for an id without one."""
+    return F.regexp_extract(grid_id, r"([0-9]+)$", 1).try_cast("long")
 
 
 def to_int_nonzero(c: Column, exact: bool = False) -> Column:

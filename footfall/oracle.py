@@ -9,7 +9,7 @@ doubles, like ``catalog.present``. Traps: DuckDB ``CAST(x AS INT)`` rounds (use
 
 from __future__ import annotations
 
-from footfall.catalog import FILTER_RANGE, MID_MONTHS, MOVEMENT_RANGE, QUARTER_DAYS, SNAPSHOT_RANGE
+from footfall.catalog import FILTER_RANGE, HEAVY_SHARE, LOADED_UNTIL, MID_MONTHS, MOVEMENT_RANGE, QUARTER_DAYS, SNAPSHOT_RANGE
 from footfall.constants import AGES, DISTRICTS, HOURS, KINDS, SEXES
 from footfall.functions.geo import forward_stages, inverse_stages, stages_sql
 
@@ -514,3 +514,15 @@ ORACLE["female_population_csv"] = (
     ORACLE["female_population"]
     .replace("h AS (SELECT", f"t8 AS (SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) / 8 AS {c}' for c in _TIME_COLS)}) FROM t),\nh AS (SELECT")
     .replace("FROM t),\nnz", "FROM t8),\nnz"))
+
+ORACLE.update({
+    "heavy_keys": f"""WITH {FX_ORDERS},
+p AS (SELECT CAST(cust_id % 16 AS INTEGER) AS partition_id, cust_id, count(*) AS n_rows FROM fx_orders GROUP BY ALL),
+t AS (SELECT *, CAST(sum(n_rows) OVER (PARTITION BY partition_id) AS BIGINT) AS partition_rows FROM p)
+SELECT partition_id, cust_id, n_rows, partition_rows FROM t WHERE n_rows >= {HEAVY_SHARE} * partition_rows""",
+
+    "load_ledger": f"""WITH {FX_ORDERS},
+m AS (SELECT strftime(ordr_de, '%Y%m') AS month, count(*) AS n FROM fx_orders GROUP BY 1)
+SELECT month, CASE WHEN month <= '{LOADED_UNTIL}' THEN 'found' ELSE 'loaded' END AS how,
+       CASE WHEN month > '{LOADED_UNTIL}' THEN n END AS n_rows FROM m""",
+})

@@ -3,7 +3,7 @@
 Q6 facts per (day, hour, cell), Q7 new grid cells with sequential ids and WGS84
 corners, Q8 CCTV points per cell, Q9 months still to load. The reference runs
 24 hour passes per month and moves new cells through pandas; here one plan per
-step, the hour unpivot last, ids from a distributed prefix sum.
+step, the hour unpivot last, ids from a range partitions and their sizes.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.constants import (
-    CCTV_LA_MAX, CCTV_LA_MIN, CCTV_LO_MAX, CCTV_LO_MIN, HALF_CELL, HOURS, PCELL_MAX_ROW, PCELL_X, PCELL_Y,
+    CCTV_LA_MAX, CCTV_LA_MIN, CCTV_LO_MAX, CCTV_LO_MIN, FACT_COLUMNS, GRID_COLUMNS, HALF_CELL, HOURS, PCELL_MAX_ROW, PCELL_X, PCELL_Y,
 )
 from footfall.functions.columns import grid_id_text, hour_sum_sql, id_number, lattice_index
 from footfall.functions.geo import to_tm, to_wgs84_many
 from footfall.operators.ids import assign_sequential_ids
 from footfall.operators.reshape import melt
+from footfall.scratch import Scope
 
 CELL_KEYS = ["stdr_de", "admd_cd", "cnt_x_crd", "cnt_y_crd"]
 
@@ -65,9 +66,6 @@ def bounded_cell_days(source: DataFrame, grid: DataFrame, months: DataFrame | No
     return indexed.join(grid.select("mtr_no", "grid_id"), "mtr_no", "left")
 
 
-FACT_COLUMNS = ["stdr_de", "stdr_tm", "grid_id", "admd_cd", "gu_cd", "fpop_co", "pt_stdr_ym"]
-
-
 def grid_population_bounded(cell_days: DataFrame) -> DataFrame:
     """Q6: hour facts (stdr_de, stdr_tm, grid_id, admd_cd, gu_cd, fpop_co, pt_stdr_ym); unseen cells have NULL grid_id."""
     long_rows = melt(cell_days, [*CELL_KEYS, "mtr_no", "grid_id"], HOURS, "stdr_tm", "fpop_co")
@@ -94,12 +92,6 @@ def last_grid_number(grid: DataFrame) -> int:
     return int(value or 0)
 
 
-GRID_COLUMNS = [
-    "grid_id", "row_no", "clm_no", "mtr_no", "admd_cd", "cnt_x_crd", "cnt_y_crd", "min_x_crd", "min_y_crd",
-    "max_x_crd", "max_y_crd", "cnt_lo", "cnt_la", "min_lo", "min_la", "max_lo", "max_la", "cctv_co",
-]
-
-
 def cell_corners(cells: DataFrame) -> DataFrame:
     """Cell extent: centre +- 25 m as decimal(18,8)."""
     x, y = F.col("cnt_x_crd"), F.col("cnt_y_crd")
@@ -119,13 +111,14 @@ def cells_wgs84(cells: DataFrame) -> DataFrame:
     ])
 
 
-def register_cells(unseen: DataFrame, grid: DataFrame, cctv_counts: DataFrame, last_number: int | None = None) -> DataFrame:
+def register_cells(unseen: DataFrame, grid: DataFrame, cctv_counts: DataFrame, last_number: int | None = None,
+                   scope: Scope | None = None) -> DataFrame:
     """Q7: new grid rows (18 columns): ids after the last one in (row_no, clm_no) order, corners, WGS84, CCTV count.
 
     One writer at a time: two concurrent registrations would hand out the same ids.
     """
     last = last_grid_number(grid) if last_number is None else last_number
-    with_ids = assign_sequential_ids(unseen, "row_no", "clm_no", F.lit(last), "_seq")
+    with_ids = assign_sequential_ids(unseen, "row_no", "clm_no", F.lit(last), "_seq", scope)
     return full_grid_rows(with_ids.withColumn("grid_id", grid_id_text(F.col("_seq"))), cctv_counts)
 
 
@@ -172,8 +165,9 @@ def cells_with_cctv(unseen: DataFrame, cctv_counts: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ months to load (Q9)
 
 def partition_month(partition: str = "partition"):
-    """YYYYMM at the end of a partition spec such as 'pt_stdr_ym=202207', as a number."""
-    return F.regexp_extract(F.col(partition), r"([0-9]{6})$", 1).cast("int")
+    """YYYYMM at the end of a partition spec such as 'pt_stdr_ym=202207', as a number. NULL for a partition without a
+    month (the default partition of rows whose month is NULL): it is no month, so it is neither listed nor loaded."""
+    return F.regexp_extract(F.col(partition), r"([0-9]{6})$", 1).try_cast("int")
 
 
 def new_months(source_partitions: DataFrame, loaded_partitions: DataFrame) -> DataFrame:
@@ -188,5 +182,5 @@ def new_months(source_partitions: DataFrame, loaded_partitions: DataFrame) -> Da
 
 def missing_months(source_partitions: DataFrame, loaded_partitions: DataFrame) -> DataFrame:
     """Source months that are not loaded, whether later than the last loaded one or a gap before it."""
-    source = source_partitions.select(partition_month().alias("year_month")).distinct()
+    source = source_partitions.select(partition_month().alias("year_month")).where("year_month IS NOT NULL").distinct()
     return source.join(loaded_partitions.select(partition_month().alias("year_month")), "year_month", "left_anti")

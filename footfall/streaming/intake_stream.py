@@ -5,7 +5,7 @@ processes what has arrived since the last run and stops (a daily batch that
 exits when nothing is new). The micro-batches only note which months changed, in a
 table beside the stream's checkpoint. After the stream each noted month is read whole
 from the source once, however many batches its files were spread over, and
-written with dynamic partition overwrite. A note is settled only after that write, so a run that
+swapped into the target, also if it is empty by then. A note is settled only after that write, so a run that
 fails in between loads the month again on the next run; either way the target ends with
 exactly one copy of the month.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from footfall.jobs import read_or_none as _read_or_none
-from footfall.sinks import overwrite_partitions
+from footfall.sinks import swap_partitions
 
 
 def run_intake_stream(spark: SparkSession, source_path: str, schema: StructType, target_path: str,
@@ -59,5 +59,5 @@ def run_intake_stream(spark: SparkSession, source_path: str, schema: StructType,
         return
     whole = spark.read.schema(schema).parquet(source_path).where(
         F.col(partition_col).cast("string").isin(sorted({m for m, _ in found})))
-    overwrite_partitions(whole, target_path, partition_col)
+    swap_partitions(whole, target_path, sorted({m for m, _ in found}), partition_col)
     spark.createDataFrame([(r,) for r in sorted({r for _, r in found})], "run string").write.mode("append").parquet(settled)
