@@ -20,7 +20,6 @@ from footfall.plans import customers as cu
 from footfall.plans import intake as ik
 from footfall.plans import population as po
 from footfall.scratch import Scope, named_scope
-from footfall.session import scratch_path
 from footfall.sinks import overwrite_partitions
 from footfall.sources import feeds
 from footfall.sources import fixtures as fx
@@ -206,12 +205,49 @@ def _eighths(feed, values):
 
 
 def q_csv_feed(spark, sf_dir):
-    path = scratch_path(spark, "time-pop-csv")
+    path = named_scope(spark, "csv-feed", sf_dir).path("time-pop")
     feeds.write_feed(_eighths(_time_pop(spark, sf_dir), feeds.TIME_VALUES), path)
     read = feeds.read_feed(spark, f"{path}/*.csv", feeds.TIME_POP_SCHEMA)
     return present(feeds.typed(read, feeds.TIME_VALUES, "double", COORD))
 
 
+SHORT_CELL, LONG_CELL = 3, 7      # the cells whose lines are damaged: by their column, modulo 10
+
+
+def _damaged_feed(spark, sf_dir, path):
+    """The hourly feed as text in which some lines lack their last ten fields and some have one too many."""
+    feed = _eighths(_time_pop(spark, sf_dir), feeds.TIME_VALUES)
+    names = [f.name for f in feeds.TIME_POP_SCHEMA.fields]
+    fields = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]
+    cell = F.floor(F.col("x_coord") / 50) % 10
+    line = (F.when(cell == SHORT_CELL, F.concat_ws("|", *fields[:-10])).when(cell == LONG_CELL, F.concat_ws("|", *fields, F.lit("more")))
+            .otherwise(F.concat_ws("|", *fields)))
+    header = F.lit("|".join(names))
+    # one header a file, as the feeds have it: the files are months
+    months = feed.select(F.substring("std_ymd", 1, 6).alias("month"), line.alias("line"), F.lit(1).alias("place"))
+    heads = months.select("month").distinct().select("month", header.alias("line"), F.lit(0).alias("place"))
+    months.unionByName(heads).repartition("month").sortWithinPartitions("month", "place").select("month", F.col("line").alias("value")) \
+        .write.partitionBy("month").text(path)
+
+
+def q_feed_reconciled(spark, sf_dir):
+    run = named_scope(spark, "feed-reconciled", sf_dir)
+    path = run.path("damaged")
+    _damaged_feed(spark, sf_dir, path)
+    read = feeds.reconciled_feed(spark, f"{path}/*/*.txt", feeds.TIME_POP_SCHEMA, run.path("quarantine"))
+    return present(feeds.typed(read, feeds.TIME_VALUES, "double", COORD))
+
+
+def q_feed_quarantine(spark, sf_dir):
+    """Quarantined lines by day and number of fields."""
+    run = named_scope(spark, "feed-quarantine", sf_dir)
+    path, quarantine = run.path("damaged"), run.path("quarantine")
+    _damaged_feed(spark, sf_dir, path)
+    feeds.reconciled_feed(spark, f"{path}/*/*.txt", feeds.TIME_POP_SCHEMA, quarantine)
+    bad = spark.read.parquet(quarantine)
+    return bad.groupBy(F.substring("line", 1, 8).alias("std_ymd"), "fields").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def q_district_prefix(spark, sf_dir):
     return present(po.district_prefix(_time_pop(spark, sf_dir), spark))
 
@@ -254,7 +290,8 @@ def q_sex_age_ratio(spark, sf_dir):
 
 def q_female_population_csv(spark, sf_dir):
     """Q5 as the reference runs it: both feeds read from '|' CSV text with all-string schemas."""
-    tpath, spath = scratch_path(spark, "time-pop-csv"), scratch_path(spark, "sex-age-csv")
+    run = named_scope(spark, "female-csv", sf_dir)
+    tpath, spath = run.path("time-pop"), run.path("sex-age")
     feeds.write_feed(_eighths(_time_pop(spark, sf_dir), feeds.TIME_VALUES), tpath)
     feeds.write_feed(_eighths(_sex_age(spark, sf_dir), feeds.SEX_AGE_VALUES), spath)
     tp = feeds.typed(feeds.read_feed(spark, f"{tpath}/*.csv", feeds.TIME_POP_SCHEMA), feeds.TIME_VALUES, "double", COORD)
@@ -349,6 +386,8 @@ def q_heavy_keys(spark, sf_dir):
 
 QUERIES.update({
     "csv_feed": q_csv_feed,
+    "feed_reconciled": q_feed_reconciled,
+    "feed_quarantine": q_feed_quarantine,
     "district_prefix": q_district_prefix,
     "melt_hourly": q_melt_hourly,
     "unpivot_kinds": q_unpivot_kinds,

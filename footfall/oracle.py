@@ -9,7 +9,9 @@ doubles, like ``catalog.present``. Traps: DuckDB ``CAST(x AS INT)`` rounds (use
 
 from __future__ import annotations
 
-from footfall.catalog import FILTER_RANGE, HEAVY_SHARE, LOADED_UNTIL, MID_MONTHS, MOVEMENT_RANGE, QUARTER_DAYS, SNAPSHOT_RANGE
+from footfall.catalog import (
+    FILTER_RANGE, HEAVY_SHARE, LOADED_UNTIL, LONG_CELL, MID_MONTHS, MOVEMENT_RANGE, QUARTER_DAYS, SHORT_CELL, SNAPSHOT_RANGE,
+)
 from footfall.constants import AGES, DISTRICTS, HOURS, KINDS, SEXES
 from footfall.functions.geo import forward_stages, inverse_stages, stages_sql
 
@@ -525,4 +527,13 @@ SELECT partition_id, cust_id, n_rows, partition_rows FROM t WHERE n_rows >= {HEA
 m AS (SELECT strftime(ordr_de, '%Y%m') AS month, count(*) AS n FROM fx_orders GROUP BY 1)
 SELECT month, CASE WHEN month <= '{LOADED_UNTIL}' THEN 'found' ELSE 'loaded' END AS how,
        CASE WHEN month > '{LOADED_UNTIL}' THEN n END AS n_rows FROM m""",
+
+    "feed_reconciled": f"""WITH {POP_FIXTURES}
+SELECT std_ymd, hcode, CAST(x_coord AS DOUBLE) AS x_coord, CAST(y_coord AS DOUBLE) AS y_coord, {_EIGHTHS}, block_cd
+  FROM fx_time_pop WHERE CAST(floor(x_coord / 50) AS BIGINT) % 10 NOT IN ({SHORT_CELL}, {LONG_CELL})""",
+
+    "feed_quarantine": f"""WITH {POP_FIXTURES}
+SELECT std_ymd, CASE CAST(floor(x_coord / 50) AS BIGINT) % 10 WHEN {SHORT_CELL} THEN {len(_TIME_COLS) + 5 - 10} ELSE {len(_TIME_COLS) + 5 + 1} END AS fields,
+       count(*) AS n_lines
+  FROM fx_time_pop WHERE CAST(floor(x_coord / 50) AS BIGINT) % 10 IN ({SHORT_CELL}, {LONG_CELL}) GROUP BY ALL""",
 })
