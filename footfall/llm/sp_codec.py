@@ -3,9 +3,11 @@
 The model file's protobuf is read field by field, and its parts are rebuilt as a tokenizers pipeline:
 the normaliser (compiled character map, white-space rules, the metaspace marker), the unigram scores or
 the BPE merges that the piece scores order, and byte fallback. Texts are encoded and decoded in
-multithreaded batches. Every text is also encoded by the sentencepiece library, and where the two
-differ (runs of pieces with equal scores) its ids are taken and ``parity`` is false, so the ids
-are always those of the model.
+multithreaded batches, and the ids are those of the rebuilt pipeline. They are checked against the sentencepiece library:
+where no piece goes on past a word's end and the normaliser only marks spaces, a text's ids are its words' ids in a row, so each
+distinct word is checked once, when a task meets it first; other models are checked by every whole
+text. A text with a word that differs (runs of pieces with equal scores) gets the library's ids and ``parity`` false, so
+the ids are always those of the model and the replaced rows can be counted.
 
 Defined results: null and empty texts have no ids and decode to the empty text; a text is encoded whole;
 control symbols inside a text are ordinary characters; repeated rows are encoded each; input columns of the
@@ -36,6 +38,7 @@ THREADS, BATCH_CHARS = 2, 1 << 18
 #: Words that are encoded as one text, and words whose ids a task keeps.
 WORDS_PER_TEXT, MAX_WORDS = 512, 300_000
 MARK = "▁"
+_ANCHOR = "a"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -174,9 +177,11 @@ class Codec:
         self.tok = build_tokenizer(self.model)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.by_word = self.tok.pre_tokenizer is not None
+        self.checks_words = self.by_word and not self.model.charsmap and not self.model.squeeze
         self.bare = Tokenizer(self.tok.model)
         if self.by_word:
             self.bare.pre_tokenizer = self.tok.pre_tokenizer
+        self.anchor = np.array(self.bare.encode(f"{MARK}{_ANCHOR}", add_special_tokens=False).ids, np.int32)
         self._forget()
         marked = {i: p.replace(MARK, " ").encode() for i, (p, t) in enumerate(zip(self.model.pieces, self.model.types)) if t in (NORMAL, USER_DEFINED)}
         single = {i: bytes([int(p[3:5], 16)]) for i, (p, t) in enumerate(zip(self.model.pieces, self.model.types)) if t == BYTE}
@@ -185,17 +190,41 @@ class Codec:
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.ids, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.same = np.empty(0, bool)
+
+    def _as_library(self, groups: list[list[str]], found: list[np.ndarray]) -> list[bool]:
+        """Whether the library has the same ids for the words of each group in a row. Before a word that stands alone goes
+        a plain one, as the library drops a text of spaces' first marker."""
+        texts, want = [], []
+        for group, ids in zip(groups, found):
+            text = "".join(group).replace(MARK, " ")
+            if self.model.dummy_prefix and len(group) == 1:
+                text, ids = _ANCHOR + text, np.concatenate([self.anchor, ids])
+            elif self.model.dummy_prefix:
+                text = text[1:]
+            texts.append(text)
+            want.append(ids)
+        got = self.reference.encode(texts, num_threads=THREADS)
+        return [len(g) == len(w) and g == w.tolist() for g, w in zip(got, want)]
 
     def _learn(self, words: list[str]) -> None:
         # a word that ends in a marker, or does not begin with one, would run into its neighbour
         joined = [w for w in words if w[0] == MARK and w[-1] != MARK]
         alone = [w for w in words if not (w[0] == MARK and w[-1] != MARK)]
         groups = [joined[i:i + WORDS_PER_TEXT] for i in range(0, len(joined), WORDS_PER_TEXT)] + [[w] for w in alone]
-        ids, sizes = [self.ids], [self.size]
+        found, sizes = [], []
         for group, e in zip(groups, self.bare.encode_batch(["".join(g) for g in groups], add_special_tokens=False)):
-            got = np.array(e.ids, np.int32)
-            ids.append(got)
-            sizes.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(group)) if len(group) > 1 else np.array([len(got)]))
+            found.append(np.array(e.ids, np.int32))
+            sizes.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(group)) if len(group) > 1 else np.array([len(e.ids)]))
+        same = []
+        if self.checks_words:
+            for group, ids, size, right in zip(groups, found, sizes, self._as_library(groups, found)):
+                each = [right] * len(group)
+                if not right and len(group) > 1:
+                    each = self._as_library([[w] for w in group], np.split(ids, np.cumsum(size)[:-1]))
+                same += each
+        self.same = np.concatenate([self.same, np.array(same, bool)])
+        ids, sizes = [self.ids, *found], [self.size, *sizes]
         for w in (w for g in groups for w in g):
             self.index[w] = len(self.index)
         self.ids, self.size = np.concatenate(ids), np.concatenate(sizes)
@@ -207,11 +236,11 @@ class Codec:
             return self.tok.normalizer.normalize_str(text)
         return (MARK if m.dummy_prefix and text else "") + text.replace(" ", MARK)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the number of each text's."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids one after the other, the number of each text's, and whether its words were found as the library has them."""
         if not self.by_word:
             found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-            return flat_ids(found)
+            return *flat_ids(found), np.ones(len(texts), bool)
         words = [_WORDS.findall(self._normal(t)) for t in texts]
         new = [w for w in dict.fromkeys(chain.from_iterable(words)) if w not in self.index]
         if len(self.index) + len(new) > MAX_WORDS:
@@ -224,7 +253,26 @@ class Codec:
         size = self.size[at]
         take = np.arange(size.sum()) + np.repeat(self.start[at] - (np.cumsum(size) - size), size)
         ends = np.r_[0, np.cumsum(size)][np.cumsum(n)]
-        return self.ids[take], np.diff(np.r_[0, ends])
+        right = np.ones(len(texts), bool)
+        if self.checks_words:
+            right[np.repeat(np.arange(len(texts)), n)[~self.same[at]]] = False
+        return self.ids[take], np.diff(np.r_[0, ends]), right
+
+    def checked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``encode`` with the library's ids for the texts that differ, and whether each did not."""
+        ids, n, right = self.encode(texts)
+        if not self.checks_words:
+            flat, m = flat_ids(self.reference.encode(texts, num_threads=THREADS))
+            if len(flat) == len(ids) and (n == m).all() and (flat == ids).all():
+                return ids, n, right
+            mine, theirs = (np.split(x, np.cumsum(k)[:-1]) for x, k in ((ids, n), (flat, m)))
+            right = np.array([len(a) == len(b) and bool((a == b).all()) for a, b in zip(mine, theirs)], bool)
+        if right.all():
+            return ids, n, right
+        parts = np.split(ids, np.cumsum(n)[:-1])
+        for i in np.flatnonzero(~right):
+            parts[i] = np.array(self.reference.encode(texts[i]), np.int32)
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64), right
 
     def decode(self, ids: list[int]) -> str:
         try:
@@ -246,13 +294,8 @@ def codec(data: bytes) -> Codec:
 
 def encode_texts(data: bytes, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
     """Ids of the texts, and whether the rebuilt pipeline found them by itself."""
-    c = codec(data)
-    ids, n = c.encode(texts)
-    true = c.reference.encode(texts, num_threads=THREADS)
-    flat, m = flat_ids(true)
-    if len(flat) == len(ids) and (n == m).all() and (flat == ids).all():
-        return true, [True] * len(texts)
-    return true, [x == y.tolist() for x, y in zip(true, np.split(ids, np.cumsum(n)[:-1]))]
+    ids, n, right = codec(data).checked(texts)
+    return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] if len(texts) else [], right.tolist()
 
 
 def decode_ids(data: bytes, ids: list[list[int]]) -> list[str]:
@@ -278,11 +321,16 @@ def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
-def _column(values: list, kind: pa.DataType) -> pa.Array:
+def _lists(ids: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(ids))
+
+
+def _column(values: list | pa.Array, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values
     if not pa.types.is_list(kind):
         return pa.array(values, kind)
-    flat, n = flat_ids(values)
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(flat))
+    return _lists(*flat_ids(values))
 
 
 def _mapped(df: DataFrame, read: str, made: dict[str, tuple[T.DataType, pa.DataType]], work) -> DataFrame:
@@ -305,9 +353,9 @@ def encoded(df: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """``df`` (text) with ids, n_ids and parity."""
     data = _model_bytes(model_path)
 
-    def work(texts: list[str | None]) -> tuple[list, ...]:
-        ids, parity = encode_texts(data, [t or "" for t in texts])
-        return ids, [len(x) for x in ids], parity
+    def work(texts: list[str | None]) -> tuple:
+        ids, n, parity = codec(data).checked([t or "" for t in texts])
+        return _lists(ids, n), pa.array(n), pa.array(parity)
 
     return _mapped(df, "text", {"ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
                                 "n_ids": (T.LongType(), pa.int64()), "parity": (T.BooleanType(), pa.bool_())}, work)
@@ -324,9 +372,11 @@ def coded(df: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """``df`` (text) with ids, n_ids, parity and ``decoded``, in one pass: one Python worker for each task."""
     data = _model_bytes(model_path)
 
-    def work(texts: list[str | None]) -> tuple[list, ...]:
-        ids, parity = encode_texts(data, [t or "" for t in texts])
-        return ids, [len(x) for x in ids], parity, decode_ids(data, ids)
+    def work(texts: list[str | None]) -> tuple:
+        ids, n, parity = codec(data).checked([t or "" for t in texts])
+        flat, ends = ids.tolist(), np.cumsum(n).tolist()
+        back = [codec(data).decode(flat[lo:hi]) for lo, hi in zip([0, *ends], ends)]
+        return _lists(ids, n), pa.array(n), pa.array(parity), back
 
     return _mapped(df, "text", {"ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
                                 "n_ids": (T.LongType(), pa.int64()), "parity": (T.BooleanType(), pa.bool_()),

@@ -18,7 +18,7 @@ from footfall.llm import sp_codec as sp
 from footfall.llm.common import WORD, fold
 from footfall.llm.queries import QUERIES
 
-from .conftest import SF_MID, SF_SMALL, awkward_rows, key, rows_of
+from .conftest import SF_MID, SF_SMALL, awkward_rows, key, rows_of, sentence
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -304,3 +304,38 @@ def test_unigram_models_are_rebuilt_from_their_scores():
     ids, parity = sp.encode_texts(body, ["ab", "abba", "  ab   ba ", "a b", ""])
     assert all(parity)
     assert sp.decode_ids(body, ids)[1] == "abba"
+
+
+def test_a_pipeline_that_differs_is_seen_and_replaced(monkeypatch):
+    """With half of the merges missing, texts of the words that differ get the library's ids, counted by parity; the others
+    keep the pipeline's own."""
+    import sentencepiece
+    data = sp._model_bytes(sp.MODEL_PATH)
+    all_merges = sp.merges
+    monkeypatch.setattr(sp, "merges", lambda m: all_merges(m)[: len(all_merges(m)) // 2])
+    broken, model = sp.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = ["the", "in an", "", " ", "extraordinary circumstances", "the extraordinary", "a  b"] + [sentence(i, 50) for i in range(20)]
+    ids, n, right = broken.checked(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [model.encode(t) for t in texts]
+    alone, m, _ = broken.encode(texts)
+    same = [x.tolist() == model.encode(t) for x, t in zip(np.split(alone, np.cumsum(m)[:-1]), texts)]
+    assert right.tolist() == same and 0 < sum(same) < len(texts)
+
+
+def test_ids_come_from_the_rebuilt_pipeline():
+    """The library is asked for words a task has not met, and for nothing else."""
+    data = sp._model_bytes(sp.MODEL_PATH)
+    codec = sp.Codec(data)
+    texts = [sentence(i, 80) for i in range(30)] + ["  odd\tspaces  ", "你好 é"]
+    first = codec.checked(texts)
+
+    class Silent:
+        def encode(self, *_, **__):
+            raise AssertionError("asked again")
+
+    codec.reference = Silent()
+    again = codec.checked(texts * 2)
+    assert again[0].tolist() == first[0].tolist() * 2 and again[2].all()
+    codec._forget()
+    with pytest.raises(AssertionError, match="asked again"):
+        codec.checked(texts)
