@@ -3,8 +3,8 @@
 A text in lower case is the average of the embeddings of its hashed byte n-grams (``GRAMS`` bytes
 long, spaces included); a linear layer and a softmax over it give the language. Embeddings and layer
 are trained by stochastic gradient descent in numpy on a bounded, stratified sample of the labelled
-rows: about ``SAMPLE_PER_LANG`` rows of each language, chosen by a hash, of up to ``SAMPLE_CHARS``
-code points. A quarter of the sample is held back to calibrate: a temperature is fitted to it, and
+rows: about ``SAMPLE_PER_LANG`` distinct texts of each language, chosen by a hash, of up to ``SAMPLE_CHARS``
+code points. More than ``MAX_LANGS`` languages are an error. A quarter of the sample is held back to calibrate: a temperature is fitted to it, and
 a text is rejected when its calibrated probability is below the level under which a share of ``LOST`` of the
 calibration texts that the model gets right lie, one half at most.
 
@@ -13,8 +13,8 @@ languages) that the tasks share. Prediction reads whole texts and nothing else.
 
 Defined results: a null text and one without a letter give ``und``, score 0 and a rejection; with no
 labelled rows every text does; rows without a label are not learnt from but predicted; a null doc_id
-counts as the empty text for the fold; repeated rows are learnt and predicted each; other columns are ignored or
-carried unchanged.
+counts as the empty text for the fold; repeated rows count once in the sample and are predicted each; input columns with the
+names of the results are replaced, other columns are ignored or carried unchanged.
 """
 
 from __future__ import annotations
@@ -140,13 +140,14 @@ def training_sample(labelled: DataFrame) -> tuple[list[bytes], list[str]]:
     """A bounded, hash-chosen sample of ``labelled`` (text, lang), about equal for each language."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
                           & (F.length("text") <= SAMPLE_CHARS)).select("lang", F.lower("text").alias("text"))
-    counts = rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
+    key = F.xxhash64("text", "lang")
+    counts = rows.select("lang", key).distinct().groupBy("lang").count().limit(MAX_LANGS + 1).collect()
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not counts:
         return [], []
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, SAMPLE_PER_LANG / r["count"]))])
-    place = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20)) / (1 << 20)
+    place = F.pmod(key, F.lit(1 << 20)) / (1 << 20)
     chosen = rows.where(place < share[F.col("lang")]).distinct().withColumn("place", place)
     got = chosen.orderBy("place", "lang", "text").limit(2 * SAMPLE_PER_LANG * len(counts)).collect()
     return [r["text"].encode() for r in got], [r["lang"] for r in got]
