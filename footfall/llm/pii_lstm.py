@@ -36,7 +36,6 @@ SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WINDOWS = 300, 20_000, 512
 WINDOW, HALF, QUARTER = 128, 64, 32
 CHARS, EMBED, HIDDEN = 131, 16, 24
 EPOCHS, BATCH, RATE, SEED = 8, 64, 0.02, 42
-LONGEST = 80
 _PAD, _LETTER, _OTHER = 0, 128, 129
 TAGS = 1 + 2 * len(KINDS)            # 0: outside, 2k+1: begins kind k, 2k+2: inside kind k
 _RUN = 512
@@ -310,7 +309,7 @@ def train_tagger(texts: list[str]) -> Tagger | None:
 def _plausible(kind: int, text: str, a: int, b: int) -> bool:
     """Whether a tagged span may be its kind at all: whole words, the kind's characters, its digits."""
     s = text[a:b]
-    if b - a > LONGEST or s != s.strip() or text[a - 1:a].isalnum() or text[b:b + 1].isalnum():
+    if s != s.strip() or text[a - 1:a].isalnum() or text[b:b + 1].isalnum():
         return False
     if kind == 0:
         return "@" in s[1:-1] and any(c.isalpha() for c in s.partition("@")[2])
@@ -374,11 +373,11 @@ def find_spans(texts: list[str], model: Tagger | None) -> list[tuple[list[Span],
 def fit_tagger(docs: DataFrame) -> Tagger | None:
     """The tagger of a bounded sample of ``docs`` (text): distinct texts with a digit or ``@``, chosen by hash.
 
-    A share that leaves some times SAMPLE_DOCS texts is taken before the limit, so what reaches the
+    A share of the distinct texts that leaves some times SAMPLE_DOCS of them is taken before the limit, so what reaches the
     driver does not grow with the number of partitions.
     """
     rows = docs.select("text").where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
-    share = 4 * SAMPLE_DOCS / max(1, rows.count())
+    share = 4 * SAMPLE_DOCS / max(1, rows.select(F.xxhash64("text")).distinct().count())
     near = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / (1 << 40) < share).distinct()
     return train_tagger([r["text"] for r in near.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).collect()])
 
