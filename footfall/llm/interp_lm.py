@@ -4,7 +4,7 @@
 
 c are training counts, N training tokens, V distinct training tokens, and b the bucket of the context's
 frequency, floor(log2(c(v) + 1)). The weights of each bucket are learned by expectation-maximisation on
-deleted counts: each training token is held out in turn, so its own occurrence is taken off the
+deleted counts (with a prior of ``UNIFORM_PRIOR`` events on the uniform estimate, so no probability is zero): each training token is held out in turn, so its own occurrence is taken off the
 counts that predict it. The events are summed in a grid (bucket, log of the bigram estimate, log of the
 unigram estimate; a quarter of an octave wide, with the mean estimates of each cell), whose size is
 bounded, so EM sees all of them wherever the corpus grows to.
@@ -15,7 +15,7 @@ thousand texts. A block is tokenised once and asks for the counts of its distinc
 pairs, each once: requests are dealt by key range, added up, and the answer holds only what other blocks
 add to the block's own count, which is nothing for the many pairs seen in one block. A pair that a
 third of all texts share is one request for each block. Blocks and answers are tables bucketed by
-block, so learning and scoring read both in place.
+block, in as many buckets as the corpus needs, so learning and scoring read both in place.
 
 Defined results: null and empty texts are one end token; with no training texts every count is 0, both base
 and model give the empty vocabulary's one class probability 1, and the scores are 0; a null doc_id counts
@@ -44,6 +44,10 @@ FOLDS = 10
 BLOCK_BYTES, RANGE_KEYS = 6 << 20, 1 << 21
 PRIOR = 0.1
 STEPS_PER_OCTAVE, EM_ROUNDS, BUCKETS = 4, 60, 48
+#: Events that each bucket's uniform estimate has besides the observed ones.
+UNIFORM_PRIOR = 1e-3
+#: Bytes of text behind one bucket of the block tables: their number grows with the corpus, a task's share does not.
+BUCKET_BYTES = 16 << 20
 #: The end token's stand-in for hashing: no word holds a line end.
 _END = xxhash.xxh64_intdigest(b"\n")
 _NEVER = 1 << 12
@@ -251,6 +255,7 @@ def deleted_events(block: Block, word: np.ndarray, pair: np.ndarray, e: Estimate
 
 def learned_weights(cell: np.ndarray, n: np.ndarray, p2: np.ndarray, p1: np.ndarray, v: int) -> np.ndarray:
     """Mixture weights of each bucket by expectation-maximisation over the grid's cells."""
+    # a prior of a fraction of an event keeps every uniform share, and so every probability, above zero
     weights = np.full((BUCKETS, 3), 1 / 3)
     weights[0] = 0.0, 0.5, 0.5            # a context never seen has no pairs
     if not len(cell):
@@ -262,6 +267,7 @@ def learned_weights(cell: np.ndarray, n: np.ndarray, p2: np.ndarray, p1: np.ndar
         share *= (n / share.sum(axis=1))[:, None]
         mass = np.stack([np.bincount(bucket, share[:, i], BUCKETS) for i in range(3)], axis=1)
         seen = mass.sum(axis=1) > 0
+        mass[:, 2] += UNIFORM_PRIOR
         weights[seen] = mass[seen] / mass[seen].sum(axis=1, keepdims=True)
     used = np.flatnonzero(np.bincount(bucket, minlength=BUCKETS))
     for b in range(1, BUCKETS):           # a bucket without events borrows from the nearest one with pairs
@@ -296,7 +302,17 @@ def interpolated_scores(spark: SparkSession, docs: DataFrame, learn: Column) ->
     """One row for each row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score. The model learns from the rows that satisfy ``learn``."""
     tables: list[str] = []
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    try:
+        return _scored(spark, docs, learn, buckets, tables)
+    finally:
+        for table in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _scored(spark: SparkSession, docs: DataFrame, learn: Column, buckets: int, tables: list[str]) -> DataFrame:
+    """``interpolated_scores`` with the names of the bucketed tables it makes added to ``tables``."""
 
     def bucketed(df: DataFrame, name: str) -> DataFrame:
         """``df`` as a table bucketed by block: what is grouped by block later is read in place."""
@@ -330,8 +346,6 @@ def interpolated_scores(spark: SparkSession, docs: DataFrame, learn: Column) ->
 
     done = written(spark, _with_answers(
         blocks, told, scores, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"), "scores")
-    for table in tables:
-        spark.sql(f"DROP TABLE {table}")
     return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(e.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
