@@ -339,3 +339,36 @@ def test_ids_come_from_the_rebuilt_pipeline():
     codec._forget()
     with pytest.raises(AssertionError, match="asked again"):
         codec.checked(texts)
+
+
+# ------------------------------------------------------------------ samples and weights
+
+def test_languages_of_many_copies_are_learnt(spark):
+    """Copies count once: two German texts of ten thousand rows each are both learnt, beside many English ones."""
+    german = ["der hund läuft über die straße", "die katze schläft auf dem sofa"]
+    rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, german[0]).otherwise(german[1]).alias("text"), F.lit("de").alias("lang"))
+    rows = rows.unionByName(spark.createDataFrame([(f"{sentence(i, 9)} number {i}", "en") for i in range(400)], "text string, lang string"))
+    texts, langs = li.training_sample(rows)
+    assert {t.decode() for t, x in zip(texts, langs) if x == "de"} == set(german) and langs.count("en") == 400
+
+
+def test_a_text_of_many_copies_is_learnt(spark):
+    rows = spark.range(5_000).select(F.lit("write to someone@example.org or call +49 30 1234567 today").alias("text"))
+    assert pii.fit_tagger(rows) is not None
+
+
+def test_weights_never_reach_zero():
+    """One deterministic bucket and a million words: an unseen token still has a probability."""
+    cell = np.array([5 * lm._NEVER * lm._NEVER])
+    w = lm.learned_weights(cell, np.array([1e12]), np.array([1e12]), np.array([1e11]), 1_000_000)
+    assert (w[:, 2] > 0).all() and np.allclose(w.sum(axis=1), 1) and w[5, 0] > 0.999
+    assert np.isfinite(np.log10(w[5, 2] / 1_000_001))
+
+
+def test_tables_go_when_a_stage_fails(spark, monkeypatch):
+    before = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(lm, "learned_weights", lambda *a: (_ for _ in ()).throw(RuntimeError("stop")))
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b d")], "doc_id long, text string")
+    with pytest.raises(RuntimeError, match="stop"):
+        lm.interpolated_scores(spark, docs, F.lit(True))
+    assert {t.name for t in spark.catalog.listTables()} == before
