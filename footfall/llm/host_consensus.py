@@ -16,11 +16,17 @@ further columns and sections), but not where article and main elements hold most
 themselves. All article and main elements of similar score are kept with it.
 
 Blocks under menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by tag,
-role, or a whole class or id token of a container) never count, nor do scripts, styles and markup.
+role, or a whole class or id token of a container: one word, or such words with words of place, so that
+left-sidebar and user-comments go, has-sidebar and comments-on-x stay) never count, nor do scripts, styles and
+markup. A container that a word condemns stays if it holds the page's main element.
 Words that also name sections of a text (related, discussion) count only where half the container's
-text is in links; so do all words inside article and main, but for class tokens of adverts and comments.
+text is in links; so do all words inside article, but for tokens of adverts and comments. An article element
+is dropped only as a reader's comment. Header elements and words count outside article and main.
 Nothing else is dropped: no heading, paragraph or inline element by its words, and no hidden text.
 
+A page's paths are numbered, each with its parent, and sums go from child to parent in one pass, so the time
+grows with the page and not with its nesting.
+
 Defined results: a null or empty page, or one without text, has the empty text; pages without a host
 vote together; repeated rows vote each; unclosed tags end with their container and a cut-off
 tag at the end is dropped; references without a meaning stay as they are; other columns are ignored.
@@ -30,7 +36,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -67,10 +73,10 @@ _BOILER_TAGS = frozenset("nav aside footer form menu dialog search".split())
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: Elements that may be boilerplate by a class or id token.
 _WORDED = _CONTAINERS - {"article", "main", "body"} | frozenset("ul ol dl table".split())
-#: Adverts and reader comments: as a class they count inside an article too.
-_FOREIGN_WORDS = frozenset(
-    "ad ads adbox adslot adsense adunit advert adverts advertisement advertisements adsbygoogle sponsored comment comments "
-    "commentlist disqus".split())
+_COMMENT_WORDS = frozenset("comment comments commentlist disqus".split())
+#: Adverts and reader comments: they count inside an article too.
+_FOREIGN_WORDS = _COMMENT_WORDS | frozenset(
+    "ad ads adbox adslot adsense adunit advert adverts advertisement advertisements adsbygoogle sponsored".split())
 _BOILER_WORDS = _FOREIGN_WORDS | frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager footer copyright sidebar side aside "
     "widget banner sponsor sponsors promo promotion notice cookie cookies consent gdpr alert popup modal overlay "
@@ -82,9 +88,14 @@ _HEAD_WORDS = frozenset("header masthead topbar".split())
 _BOX_PARTS = frozenset(
     "box bar list block wrapper wrap container area slot unit panel links buttons inner site main top bottom primary "
     "secondary global thread".split())
+#: Further parts that say where a box stands or whose it is: left-sidebar, user-comments, related-posts.
+_PLACE_PARTS = frozenset(
+    "left right section user users reader readers visitor post posts article articles stories page blog privacy policy".split())
+#: Words that name a column or the head of a text when they stand with a place: left-side, post-header.
+_PLACELESS = _HEAD_WORDS | {"side"}
 #: A container in doubt is boilerplate when this share of its text is in links.
 LINKED = 0.5
-_KEPT, _DOUBT, _BOILER = range(3)
+_KEPT, _DOUBT, _LIKELY, _BOILER = range(4)
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -101,35 +112,96 @@ def _tokens(text: str, words: frozenset[str]) -> bool:
         parts = {x for x in re.split(r"[-_]+", token.rstrip("0123456789")) if x}
         if parts & words and parts <= words | _BOX_PARTS:
             return True
+        if parts & words - _PLACELESS and parts <= words - _PLACELESS | _BOX_PARTS | _PLACE_PARTS:
+            return True
     return False
 
 
-def _verdict(tag: str, attrs: dict[str, str], in_article: bool) -> int:
-    """Whether an element is kept, boilerplate, or boilerplate if its text is mostly links."""
+def _verdict(tag: str, attrs: dict[str, str], in_article: bool, in_main: bool) -> int:
+    """Whether an element is kept, boilerplate, boilerplate unless it holds the main element, or boilerplate
+    if its text is mostly links."""
     if tag in _BOILER_TAGS or attrs.get("role", "").lower() in _BOILER_ROLES:
         return _BOILER
-    if tag == "header" and not in_article:
+    inside = in_article or in_main
+    if tag == "header" and not inside:
         return _BOILER
-    kind, name = attrs.get("class", ""), attrs.get("id", "")
-    if tag not in _WORDED or not (kind or name):
-        return _KEPT
-    both = f"{kind} {name}"
-    if _tokens(kind, _FOREIGN_WORDS) or not in_article and (_tokens(both, _BOILER_WORDS) or _tokens(both, _HEAD_WORDS)):
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+    if tag == "article" and _tokens(names, _COMMENT_WORDS):
         return _BOILER
-    return _DOUBT if _tokens(both, _BOILER_WORDS | _DOUBTFUL_WORDS) else _KEPT
+    if tag not in _WORDED or names == " ":
+        return _KEPT
+    if _tokens(names, _FOREIGN_WORDS) or not in_article and _tokens(names, _BOILER_WORDS) or not inside and _tokens(names, _HEAD_WORDS):
+        return _LIKELY
+    return _DOUBT if _tokens(names, _BOILER_WORDS | _DOUBTFUL_WORDS) else _KEPT
 
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
-    classes = sorted(set(attrs.get("class", "").split()))
+    classes = sorted(set(attrs.get("class", "").replace(">", " ").split()))
     return re.sub(r"\d+", "#", ".".join([tag, *classes]))
 
 
-def page_blocks(html: str) -> list[tuple[str, str, int]]:
-    """(path, text, code points inside links) of every block outside boilerplate, in page order."""
-    blocks: list[tuple[str, str, int]] = []
+class Paths:
+    """The container paths of a page, numbered so that a parent comes before its children; 0 is the whole page."""
+
+    def __init__(self) -> None:
+        self.parent, self.step, self.depth, self.named = [0], [""], [-1], [False]
+        self._below: dict[tuple[int, str], int] = {}
+
+    def __len__(self) -> int:
+        return len(self.parent)
+
+    def child(self, at: int, step: str) -> int:
+        got = self._below.get((at, step))
+        if got is None:
+            got = self._below[at, step] = len(self.parent)
+            self.parent.append(at)
+            self.step.append(step)
+            self.depth.append(self.depth[at] + 1)
+            self.named.append(step.partition(".")[0] in ("article", "main"))
+        return got
+
+    def text(self, at: int) -> str:
+        steps = []
+        while at:
+            steps.append(self.step[at])
+            at = self.parent[at]
+        return ">".join(reversed(steps))
+
+    def find(self, text: str) -> int | None:
+        at: int | None = 0
+        for step in text.split(">") if text else ():
+            at = self._below.get((at, step))
+            if at is None:
+                return None
+        return at
+
+    def within(self, tops: list[int]) -> list[bool]:
+        """Of each path, whether it is one of ``tops`` or inside one."""
+        out = [False] * len(self)
+        for at in tops:
+            out[at] = True
+        for at in range(1, len(self)):
+            out[at] = out[at] or out[self.parent[at]]
+        return out
+
+    def around(self, at: int) -> set[int]:
+        """``at`` and every path that it is inside of."""
+        out = {at}
+        while at:
+            at = self.parent[at]
+            out.add(at)
+        return out
+
+
+def parsed(html: str) -> tuple[Paths, list[tuple[int, str, int]]]:
+    """The paths of a page and (path, text, code points inside links) of every block outside boilerplate, in page order."""
+    paths = Paths()
+    blocks: list[tuple[int, str, int]] = []
     doubts: list[int] = []                          # container in doubt that each block is in, or 0
     above, size, linked = [0], [0], [0]             # of each container in doubt: the one it is in, code points, those in links
-    stack: list[tuple[str, str, bool, bool, int]] = [("", "", False, False, 0)]   # tag, path, boilerplate, in article, doubt
+    likely, holds = [False], [True]                 # condemned by a word; holds the main element
+    stack: list[tuple] = [("", 0, False, False, False, 0)]    # tag, path, boilerplate, in article, in main, doubt
+    open_: Counter[str] = Counter()
     buffer: list[str] = []
     links = link_depth = 0
 
@@ -138,13 +210,11 @@ def page_blocks(html: str) -> list[tuple[str, str, int]]:
         if buffer:
             text = " ".join(entities.unescape("".join(buffer)).split())
             if text:
+                doubt = stack[-1][5]
                 blocks.append((stack[-1][1], text, links))
-                doubt = stack[-1][4]
                 doubts.append(doubt)
-                while doubt:
-                    size[doubt] += len(text)
-                    linked[doubt] += min(links, len(text))
-                    doubt = above[doubt]
+                size[doubt] += len(text)
+                linked[doubt] += min(links, len(text))
             buffer.clear()
         links = 0
 
@@ -154,6 +224,9 @@ def page_blocks(html: str) -> list[tuple[str, str, int]]:
             buffer.append(text)
             links += len(text) if link_depth else 0
 
+    def pop() -> None:
+        open_[stack.pop()[0]] -= 1
+
     at = 0
     for m in _TOKEN.finditer(html):
         say(html[at:m.start()])
@@ -169,12 +242,12 @@ def page_blocks(html: str) -> list[tuple[str, str, int]]:
         if tag == "a":
             link_depth = 0 if m["end"] else 1
         if m["end"]:
-            if any(tag == s[0] for s in stack):
+            if open_[tag]:
                 if tag in _BLOCKS:
                     flush()
                 while stack[-1][0] != tag:
-                    stack.pop()
-                stack.pop()
+                    pop()
+                pop()
             elif tag in _BLOCKS:
                 flush()
             continue
@@ -183,155 +256,163 @@ def page_blocks(html: str) -> list[tuple[str, str, int]]:
         attrs = _attributes(m["attrs"]) if m["attrs"] else {}
         if tag not in _BLOCKS:
             # an inline element matters only where it hides what is in it
-            if attrs and _verdict(tag, attrs, stack[-1][3]) == _BOILER:
+            if attrs and _verdict(tag, attrs, *stack[-1][3:5]) == _BOILER:
                 stack.append((tag, stack[-1][1], True, *stack[-1][3:]))
+                open_[tag] += 1
             continue
         flush()
         if stack[-1][0] == "p":
-            stack.pop()
-        ends = _CLOSES.get(tag)
-        if ends:
+            pop()
+        ends = _CLOSES.get(tag, ())
+        if any(open_[x] for x in ends):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in ends:
-                    del stack[i:]
+                    while len(stack) > i:
+                        pop()
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table") or stack[i][0] in _CONTAINERS:
                     break
         if tag == "hr":
             continue
-        _, path, boiler, in_article, doubt = stack[-1]
+        _, path, boiler, in_article, in_main, doubt = stack[-1]
         if tag in _CONTAINERS and tag != "body":
-            path = f"{path}>{_step(tag, attrs)}" if path else _step(tag, attrs)
-        verdict = _verdict(tag, attrs, in_article)
-        if verdict == _DOUBT and not boiler:
+            path = paths.child(path, _step(tag, attrs))
+        verdict = _verdict(tag, attrs, in_article, in_main)
+        if verdict in (_DOUBT, _LIKELY) and not boiler:
             above.append(doubt)
             size.append(0)
             linked.append(0)
+            likely.append(verdict == _LIKELY)
+            holds.append(False)
             doubt = len(above) - 1
-        stack.append((tag, path, boiler or verdict == _BOILER, in_article or tag in ("article", "main"), doubt))
+        if tag == "main" and not boiler:
+            around = doubt
+            while not holds[around]:
+                holds[around] = True
+                around = above[around]
+        stack.append((tag, path, boiler or verdict == _BOILER, in_article or tag == "article", in_main or tag == "main", doubt))
+        open_[tag] += 1
     else:
         say(html[at:])
     flush()
-    if len(above) == 1:
-        return blocks
+    for i in range(len(above) - 1, 0, -1):
+        size[above[i]] += size[i]
+        linked[above[i]] += linked[i]
     out = [False]
     for i in range(1, len(above)):
-        out.append(out[above[i]] or size[i] > 0 and linked[i] >= LINKED * size[i])
-    return [b for b, i in zip(blocks, doubts) if not out[i]]
-
-
-class Sums(NamedTuple):
-    """Of each container path: its score, which is the text below it with text in links counted against it; the
-    text below it; score and text of the blocks in it but in no container below."""
-    scores: dict[str, float]
-    sizes: dict[str, int]
-    own: dict[str, tuple[float, int]]
-
+        mine = not holds[i] if likely[i] else size[i] > 0 and linked[i] >= LINKED * size[i]
+        out.append(out[above[i]] or mine)
+    return paths, [b for b, i in zip(blocks, doubts) if not out[i]]
 
-def container_sums(blocks: list[tuple[str, str, int]]) -> Sums:
-    own: dict[str, tuple[float, int]] = {}
-    for path, text, links in blocks:
-        score, size = own.get(path, (0.0, 0))
-        own[path] = score + len(text) - 2 * links, size + len(text)
-    scores: dict[str, float] = defaultdict(float)
-    sizes: dict[str, int] = defaultdict(int)
-    for path, (score, size) in own.items():
-        while True:
-            scores[path] += score
-            sizes[path] += size
-            if not path:
-                break
-            path = path.rpartition(">")[0]
-    return Sums(scores, sizes, own)
 
-
-def _named(path: str) -> bool:
-    return path.rpartition(">")[2].partition(".")[0] in ("article", "main")
+def page_blocks(html: str) -> list[tuple[str, str, int]]:
+    """(path, text, code points inside links) of every block outside boilerplate, in page order."""
+    paths, blocks = parsed(html)
+    return [(paths.text(at), text, links) for at, text, links in blocks]
 
 
-def _depth(path: str) -> int:
-    return path.count(">") if path else -1
+class Sums(NamedTuple):
+    """The paths of a page and of each: its score, which is the text below it with text in links counted against it; the
+    text below it; score and text of the blocks in it but in no container below."""
+    paths: Paths
+    scores: list[int]
+    sizes: list[int]
+    own: list[tuple[int, int]]
 
 
-def _within(path: str, above: str) -> bool:
-    return path == above or not above or path.startswith(above + ">")
+def container_sums(paths: Paths, blocks: list[tuple[int, str, int]]) -> Sums:
+    scores, sizes = [0] * len(paths), [0] * len(paths)
+    for at, text, links in blocks:
+        scores[at] += len(text) - 2 * links
+        sizes[at] += len(text)
+    own = list(zip(scores, sizes))
+    for at in range(len(paths) - 1, 0, -1):
+        scores[paths.parent[at]] += scores[at]
+        sizes[paths.parent[at]] += sizes[at]
+    return Sums(paths, scores, sizes, own)
 
 
-def _holds(path: str, scores: dict[str, float]) -> bool:
-    return scores[path] >= (NAMED if _named(path) else MAIN) * scores[""]
+def _holds(at: int, sums: Sums) -> bool:
+    return sums.sizes[at] > 0 and sums.scores[at] >= (NAMED if sums.paths.named[at] else MAIN) * sums.scores[0]
 
 
-def _bits(score: float) -> int:
+def _bits(score: int) -> int:
     """The score's size in powers of two: whole numbers, so that their sum on a host has one value."""
-    return max(int(score), 0).bit_length()
+    return max(score, 0).bit_length()
 
 
-def _alike(path: str, scores: dict[str, float]) -> list[str]:
-    """``path`` and the article and main elements outside it that score like the best one in it."""
-    named = [p for p in scores if _named(p) and scores[p] > 0]
-    best = max((scores[p] for p in named if _within(p, path)), default=None)
+def _alike(at: int, sums: Sums) -> list[int]:
+    """``at`` and the article and main elements outside it that score like the best one in it."""
+    paths, scores = sums.paths, sums.scores
+    named = [p for p in range(len(paths)) if paths.named[p] and scores[p] > 0]
+    inside, around = paths.within([at]), paths.around(at)
+    best = max((scores[p] for p in named if inside[p]), default=None)
     if best is None:
-        return [path]
-    near = [p for p in named if scores[p] >= NAMED * best and not _within(p, path) and not _within(path, p)]
-    return [path, *(p for p in near if not any(p != q and _within(p, q) for q in near))]
+        return [at]
+    near = [p for p in named if scores[p] >= NAMED * best and not inside[p] and p not in around]
+    covered = paths.within(near)
+    return [at, *(p for p in near if not covered[paths.parent[p]])]
 
 
-def _climbed(path: str, sums: Sums) -> str:
-    """The widest container around ``path`` that is reached by adding text that is not mostly links."""
+def _climbed(at: int, sums: Sums) -> int:
+    """The widest container around ``at`` that is reached by adding text that is not mostly links."""
     def plain(score: float, size: int) -> bool:
         return size > 0 and score > (1 - 2 * BESIDE) * size
 
-    at = path
-    while at:
-        at = at.rpartition(">")[0]
-        added = sums.sizes[at] - sums.sizes[path]
+    up = at
+    while up:
+        up = sums.paths.parent[up]
+        added = sums.sizes[up] - sums.sizes[at]
         if not added:
             continue
-        if not plain(sums.scores[at] - sums.scores[path], added) and not plain(*sums.own.get(at, (0.0, 0))):
+        if not plain(sums.scores[up] - sums.scores[at], added) and not plain(*sums.own[up]):
             break
-        path = at
-    return path
+        at = up
+    return at
 
 
-def best_path(sums: Sums) -> str | None:
+def best_path(sums: Sums) -> int | None:
     """The path that holds the main text: the best article or main element, or else the deepest
     container with most of the page's text, and what belongs to it around."""
-    scores = sums.scores
-    if not scores:
+    paths, scores = sums.paths, sums.scores
+    if not sums.sizes[0]:
         return None
-    most = [p for p in scores if _holds(p, scores)]
-    named = [p for p in most if _named(p)]
+    most = [p for p in range(len(paths)) if _holds(p, sums)]
+    named = [p for p in most if paths.named[p]]
     if named:
-        best = max(named, key=lambda p: (scores[p], -p.count(">"), p))
-        if sum(scores[p] for p in _alike(best, scores)) >= MAIN * scores[""]:
+        best = max(named, key=lambda p: (scores[p], -paths.depth[p], -p))
+        if sum(scores[p] for p in _alike(best, sums)) >= MAIN * scores[0]:
             return best
     else:
-        best = max(most, key=lambda p: (_depth(p), scores[p], p)) if most else ""
+        best = max(most, key=lambda p: (paths.depth[p], scores[p], -p)) if most else 0
     return _climbed(best, sums)
 
 
-def chosen_path(sums: Sums, winners: list[str], usual: dict[str, float]) -> str | None:
+def chosen_path(sums: Sums, winners: list[str], usual: dict[str, float]) -> int | None:
     """The path that a page is extracted by; ``usual`` has the mean ``_bits`` of the votes for a winner."""
-    own, scores = best_path(sums), sums.scores
-    known = [w for w in winners if w in scores]
-    held = [w for w in known if _holds(w, scores)]
+    own, scores, paths = best_path(sums), sums.scores, sums.paths
+    if own is None:
+        return None
+    found = {w: paths.find(w) for w in winners}
+    known = {at: usual.get(w) for w, at in found.items() if at is not None and sums.sizes[at]}
+    held = [w for w in known if _holds(w, sums)]
     if held:
-        won = max(held, key=lambda w: (_depth(w), scores[w], w))
-        return own if _within(won, own) or _within(own, won) and (_named(own) or not won) else won
-    if own is None or _named(own):
+        won = max(held, key=lambda w: (paths.depth[w], scores[w], -w))
+        return own if own in paths.around(won) or won in paths.around(own) and (paths.named[own] or not won) else won
+    if paths.named[own]:
         return own
-    as_usual = [w for w in known if w in usual and scores[w] >= 2 ** (usual[w] - 2)]
-    return max(as_usual, key=lambda w: (scores[w], w)) if as_usual else own
+    as_usual = [w for w, bits in known.items() if bits is not None and scores[w] >= 2 ** (bits - 2)]
+    return max(as_usual, key=lambda w: (scores[w], -w)) if as_usual else own
 
 
 def main_text(html: str, winners: list[str], usual: dict[str, float] | None = None) -> str:
-    blocks = page_blocks(html)
-    sums = container_sums(blocks)
+    paths, blocks = parsed(html)
+    sums = container_sums(paths, blocks)
     path = chosen_path(sums, winners, usual or {})
     if path is None:
         return ""
-    paths = _alike(path, sums.scores)
-    return "\n\n".join(text for at, text, _ in blocks if any(_within(at, p) for p in paths))
+    inside = paths.within(_alike(path, sums))
+    return "\n\n".join(text for at, text, _ in blocks if inside[at])
 
 
 # ------------------------------------------------------------------ frames
@@ -347,10 +428,13 @@ def host_paths(spark: SparkSession, pages: DataFrame, share: float = SHARE) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sums = [container_sums(page_blocks(t.as_py() or "")) for t in b.column("html")]
-            votes = [best_path(s) for s in sums]
-            bits = [None if v is None else _bits(s.scores[v]) for v, s in zip(votes, sums)]
-            yield pa.RecordBatch.from_pydict({"host": b.column("__host"), "path": pa.array(votes, pa.string()),
+            names, bits = [], []
+            for t in b.column("html"):
+                sums = container_sums(*parsed(t.as_py() or ""))
+                vote = best_path(sums)
+                names.append(None if vote is None else sums.paths.text(vote))
+                bits.append(None if vote is None else _bits(sums.scores[vote]))
+            yield pa.RecordBatch.from_pydict({"host": b.column("__host"), "path": pa.array(names, pa.string()),
                                               "bits": pa.array(bits, pa.int64())})
 
     votes = pages.select("__host", "html").mapInArrow(run, "host string, path string, bits long").where("path IS NOT NULL")

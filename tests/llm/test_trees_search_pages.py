@@ -267,3 +267,55 @@ def test_minority_template_keeps_its_main_text(spark):
 def test_quotes_in_tags_take_linear_time():
     page = "<p>" + "<a title=5\" x>" * 20_000 + "text" + entities.escape("<") * 10
     assert hc.main_text(page, []).startswith("text")
+
+
+@pytest.mark.parametrize("gone", [
+    "div class=user-comments", "div class=comments-section", "section id=comments", "article class=comment", "div class=left-sidebar",
+    "div class=sidebar-right", "div class=privacy-notice", "div class=reader-comments", "div class='box post-comments'"])
+def test_boxes_named_with_a_place_go(gone):
+    end = f"</{gone.split()[0]}>"
+    foreign = "comment" in gone
+    for page in ("<div class=x><p>{a}</p>{box}</div>", "<main><p>{a}</p>{box}</main>", "<article><p>{a}</p>{box}</article>"):
+        if foreign or "<article>" not in page:
+            box = f"<{gone}><p>prose of another person, said at length</p>{end}"
+            assert hc.main_text(page.format(a=LONG, box=box), []) == LONG.strip(), (gone, page)
+
+
+@pytest.mark.parametrize("kept", ["has-sidebar", "post-header", "left-side", "section-header", "article-body", "comments-open", "page-1"])
+def test_names_of_columns_and_heads_stay(kept):
+    assert [t for _, t, _ in hc.page_blocks(f"<main><p>a</p><div class={kept}><p>x</p></div></main>")] == ["a", "x"]
+
+
+def test_a_wrapper_with_the_main_element_stays():
+    page = f"<div class=page-sidebar-right><main><p>{LONG}</p></main><div class=sidebar><p>beside</p></div></div>"
+    assert hc.main_text(page, []) == LONG.strip()
+    assert hc.page_blocks("<nav><main>x</main></nav>") == [] == hc.page_blocks("<div class=sidebar><p>x</p></div>")
+
+
+TOP = ('<nav><a href=a>home</a></nav>', '<div class=site-header><p>Site name</p></div>', '<ul class=top-menu><li><a href=b>m</a></ul>')
+BODY = ('<div class="story n{i}">{b}{in_}</div>', '<div id=page><section class=text>{b}</section>{in_}</div>', '<table><tr><td class=main>{b}{in_}</table>',
+        '<main>{b}{in_}</main>', '<div class=wrap><div class=col><div class=entry-{i}>{b}</div></div></div>{in_}', '{b}{in_}', '<div class=post>{b}<div class=more>{in_}</div></div>')
+INSIDE = ('', '<div class=user-comments><p>I agree with all of it</p></div>', '<div class=right-sidebar><p>Also read this</p></div><div class=ad-box>buy</div>')
+
+
+def test_templates_without_article_on_hot_and_mixed_hosts(spark):
+    rows, want = [], {}
+    for t in range(21):
+        for n in range(1 + 30 * (t == 0) + t % 3):         # template 0 is most of its host
+            i = len(rows)
+            parts = [f"Title {i}", f"Lead of text {i}.", *(f"Paragraph {k} of page {i} " + "with words of its own " * (9 + k) + "end." for k in range(3))]
+            b = f"<h1>{parts[0]}</h1><p class=lead>{parts[1]}</p>" + "".join(f"<p>{p}</p>" for p in parts[2:])
+            page = TOP[t % 3] + BODY[t % 7].format(i=i, b=b, in_=INSIDE[t // 7]) + "<div class=site-footer>imprint</div><form><p>mail</p></form>"
+            rows.append((i, f"https://h{t % 2}.example/{i}", f"<html><body>{page}</body></html>"))
+            want[i] = "\n\n".join(parts)
+    got = hc.extracted(spark, spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want and len(got) == len(rows)
+
+
+def test_nesting_takes_linear_time():
+    import time
+    for shell in ("<div>", "<div class=a>", "<div class=comments>", "<section id=related><p>x</p>", "<b role=note>"):
+        start = time.process_time()
+        hc.main_text(shell * 20_000 + "text" + "</i>" * 20_000 + "</div>" * 20_000, [""])
+        assert time.process_time() - start < 8, shell
+    assert hc.main_text("<div>" * 20_000 + "text", []) == "text"
