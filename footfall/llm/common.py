@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.errors import AnalysisException
@@ -47,11 +48,20 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn(UID, F.monotonically_increasing_id())
 
 
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is one scan with nothing but projections and filters above it, by its analysed plan."""
+    plan = df._jdf.queryExecution().analyzed().toString().strip().split("\n")
+    return all(re.match(r"[\s+-]*(Project|Filter|SubqueryAlias|Relation)\b", line) for line in plan)
+
+
 def identified(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` with a stable row identity in UID: the file and the row's place in it where ``df`` reads files,
-    which holds however the files are split; otherwise the frame is numbered and written."""
-    try:
-        at = df.metadataColumn("_metadata")
-        return df.withColumn(UID, F.struct(at["file_path"].alias("file"), at["row_index"].alias("row")))
-    except AnalysisException:
-        return written(spark, numbered(df), name)
+    """``df`` with a stable row identity in UID: the file and the row's place in it where ``df`` is a plain scan
+    of files, which holds however the files are split; otherwise (rows made by generators, joins, unions
+    or aggregates) the frame is numbered and written."""
+    if _plain_scan(df):
+        try:
+            at = df.metadataColumn("_metadata")
+            return df.withColumn(UID, F.struct(at["file_path"].alias("file"), at["row_index"].alias("row")))
+        except AnalysisException:
+            pass                                     # a source without file metadata
+    return written(spark, numbered(df), name)

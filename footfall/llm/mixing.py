@@ -7,16 +7,17 @@ word, so the taken words of a source equal its rounded target. Counted in blocks
 the root of a tree over the output shards. A tree node draws the quotas of its left half from the
 multivariate hypergeometric distribution and leaves the rest to its right half, so that the
 shards' counts add up to the quotas exactly and every shard is a random sample of the mix. A source's block
-copies are permuted over its whole quota by a keyed permutation; a shard gets the next so many of them,
-disjoint from every other shard's, and permutes them locally into slots.
+copies, one more than its whole passes of each block, are permuted by a keyed permutation; a shard gets the next
+so many of them, disjoint from every other shard's, and permutes them locally into slots. A copy that no
+shard of the tree gets is not in the mix: that is the only thing that decides what is taken.
 
 Everything is computed from a row's place in its source's stream, so the text never moves for the
 decision. Those places are running sums in two steps, over buckets of about ``_BUCKET_ROWS``
 documents and inside them, so a source with a third of all rows is no single task.
 
 Per-source figures pass through the driver: one row for each source of the mixture, checked
-against ``max_sources``. Hypergeometric draws over a billion blocks or more use their normal limit,
-rounded and kept within the possible counts.
+against ``max_sources``. Hypergeometric draws invert the distribution in double precision, at every size by the
+same rule, over the counts within ``_SPREADS`` standard deviations of the likeliest (the rest weighs below 1e-30).
 
 Defined results: a null text has size 0 and nothing is taken from it; a null source is a source of its own,
 ordered last; a source without words has target 0; repeated rows are separate documents; an empty
@@ -40,7 +41,8 @@ from footfall.llm.common import UID, WORD, documents, identified, written
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 BLOCK_WORDS, SHARD_BLOCKS, SEED, MAX_SOURCES = 256, 65536, 42, 100_000
 _BUCKET_ROWS = 2048
-_HUGE = 10**9
+_RUN_SLOTS = 4096
+_SPREADS = 12
 
 
 def mix_targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -89,18 +91,28 @@ def permuted(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ the splitting tree
 
+def _marginal(rng: np.random.Generator, good: int, total: int, take: int) -> int:
+    """How many of ``take`` items drawn without return from ``total`` are among the ``good`` ones."""
+    low, high = max(0, take - (total - good)), min(good, take)
+    mode = (take + 1) * (good + 1) // (total + 2)
+    share = good / max(1, total)
+    reach = int(_SPREADS * math.sqrt(take * share * (1 - share) * (total - take) / max(1, total - 1))) + 2 * _SPREADS
+    low, high = max(low, mode - reach), min(high, mode + reach)
+    if low == high:
+        return low
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log((good - k) * (take - k)) - np.log((k + 1) * (total - good - take + k + 1))
+    odds = np.concatenate([[0.0], np.cumsum(steps)])
+    below = np.cumsum(np.exp(odds - odds.max()))
+    return low + int(np.searchsorted(below, rng.random() * below[-1], side="right"))
+
+
 def _hypergeometric(rng: np.random.Generator, counts: np.ndarray, take: int) -> np.ndarray:
     """A draw of ``take`` items without return from ``counts`` items of each kind."""
-    total = int(counts.sum())
-    if total < _HUGE:
-        return rng.multivariate_hypergeometric(counts, take, method="marginals")
-    out = np.zeros_like(counts)
+    out, total = np.zeros_like(counts), int(counts.sum())
     for i, c in enumerate(counts.tolist()):
-        rest = total - c
-        mean = take * c / total
-        spread = math.sqrt(max(0.0, mean * (rest / total) * ((total - take) / max(1, total - 1))))
-        out[i] = min(max(round(rng.normal(mean, spread)), take - rest, 0), c, take)
-        take, total = take - int(out[i]), rest
+        out[i] = _marginal(rng, c, total, take)
+        take, total = take - int(out[i]), total - c
     return out
 
 
@@ -134,9 +146,10 @@ class SplittingTree:
         return out
 
     def place(self, source: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The shard and the slot in it of each source's ``draw``-th block copy."""
-        shard, slot = np.zeros(len(draw), np.int64), np.zeros(len(draw), np.int64)
-        stack = [(0, self.shards, self.quotas, np.arange(len(draw)), draw.copy())]
+        """The shard and the slot in it of each source's ``draw``-th block copy; -1 for copies beyond all shards' counts."""
+        shard, slot = np.full(len(draw), -1), np.full(len(draw), -1)
+        dealt = np.flatnonzero(draw < self.quotas[source])
+        stack = [(0, self.shards, self.quotas, dealt, draw[dealt])]
         while stack:
             lo, hi, counts, who, at = stack.pop()
             if not len(who):
@@ -194,17 +207,19 @@ class MixPlan:
         rank = permuted(block, np.maximum(self.blocks[s], 1), self.keys[s])
         lo = np.maximum(block * b, start[row])
         hi = np.minimum((block + 1) * b, (start + size)[row])
-        parts = []
+        quota, parts = self.tree.quotas, []
         for epoch in range(int(self.passes.max(initial=0)) + 1):
-            whole, partial = epoch < self.passes[s], (epoch == self.passes[s]) & (rank < self.drawn[s])
-            end = np.where(partial & (rank == self.drawn[s] - 1), np.minimum(hi, block * b + self.cut[s]), hi)
-            use = np.flatnonzero((whole | partial) & (end > lo))
+            whole = epoch < self.passes[s]
+            end = np.where(~whole & (rank == self.drawn[s] - 1), np.minimum(hi, block * b + self.cut[s]), hi)
+            use = np.flatnonzero((epoch <= self.passes[s]) & (end > lo))
             copy = epoch * self.blocks[s] + np.where(whole, block, rank)
             parts.append((row[use], np.full(len(use), epoch), (lo - start[row])[use], (end - start[row])[use], s[use], copy[use]))
         row, epoch, begin, end, s, copy = (np.concatenate(x) for x in zip(*parts))
-        draw = permuted(copy, np.maximum(self.tree.quotas[s], 1), self.keys[s] + np.uint64(1))
+        draw, within = copy.copy(), np.flatnonzero(copy < quota[s])      # the copies beyond the quota stay behind it
+        draw[within] = permuted(copy[within], quota[s[within]], self.keys[s[within]] + np.uint64(1))
         shard, slot = self.tree.place(s, draw)
-        return {"row": row, "epoch": epoch, "begin": begin, "end": end, "shard": shard, "slot": slot}
+        got = {"row": row, "epoch": epoch, "begin": begin, "end": end, "shard": shard, "slot": slot}
+        return {c: x[shard >= 0] for c, x in got.items()}
 
 
 def _source_key() -> list:
@@ -216,7 +231,7 @@ def mix_plan(spark: SparkSession, docs: DataFrame, weights: Sequence[float] = WE
              most: float = MOST, block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED,
              max_sources: int = MAX_SOURCES) -> DataFrame:
     """One row for each row of ``docs`` (UID, doc_id, text, source): UID, doc_id, size, source_size,
-    target, and ``pieces`` that the mix takes of it (shard, slot, epoch, begin, end in words)."""
+    target, sid (the source's number in order), and ``pieces`` that the mix takes of it (shard, slot, epoch, begin, end in words)."""
     sized = docs.select(UID, "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                         F.xxhash64("doc_id", "text").alias("h"))
     rows = written(spark, sized, "mix-rows")
@@ -240,7 +255,7 @@ def mix_plan(spark: SparkSession, docs: DataFrame, weights: Sequence[float] = WE
     inside = Window.partitionBy("sid", "bucket").orderBy("h", "doc_id", UID).rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(offsets, ["sid", "bucket"])
     placed = placed.select(UID, "doc_id", "size", "source_size", "target", "sid", (F.col("offset") + F.col("inside")).alias("start"))
-    keep = [UID, "doc_id", "size", "source_size", "target"]
+    keep = [UID, "doc_id", "size", "source_size", "target", "sid"]
     piece = "struct<shard:bigint,slot:bigint,epoch:bigint,begin:bigint,end:bigint>"
     schema = placed.select(*keep, F.expr(f"CAST(NULL AS array<{piece}>)").alias("pieces")).schema
 
@@ -257,10 +272,22 @@ def mix_plan(spark: SparkSession, docs: DataFrame, weights: Sequence[float] = WE
 
 
 def mix_summary(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken."""
+    """One row for each row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, and
+    where the taken words went: n_shards, and first_shard and first_slot of the first of them (null if none)."""
     plan = mix_plan(spark, identified(spark, docs, "mix-docs"), **options)
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["begin"])
-    return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    first = F.array_min(F.transform("pieces", lambda p: F.struct(p["shard"], p["slot"])))
+    return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"),
+                       F.size(F.array_distinct("pieces.shard")).cast("long").alias("n_shards"),
+                       first["shard"].alias("first_shard"), first["slot"].alias("first_slot"))
+
+
+def shard_counts(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+    """(shard, sid, source_size, target, words, blocks) that the mix puts into each shard from each source."""
+    plan = mix_plan(spark, identified(spark, docs, "mix-docs"), **options)
+    pieces = plan.select("sid", "source_size", "target", F.explode("pieces").alias("p"))
+    return pieces.groupBy(F.col("p.shard").alias("shard"), "sid", "source_size", "target").agg(
+        F.sum(F.col("p.end") - F.col("p.begin")).alias("words"), F.countDistinct("p.slot").alias("blocks"))
 
 
 def _sliced(text: str, runs: list[tuple[int, int]], words: list[tuple[int, int]]) -> str:
@@ -300,17 +327,22 @@ def mixed_texts(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """The mix by document: for each row and each pass that takes words of it one row with the same
     columns. A row that a pass takes whole keeps its text; otherwise the taken runs of words are
-    joined by line ends. Rows of which nothing is taken are not in the mix."""
+    joined by line ends. Rows of which nothing is taken are not in the mix. Rows lie in the order of the shard and
+    slot of their first block, in runs of ``_RUN_SLOTS`` slots, so that a shard is more than one task."""
     rows = identified(spark, docs, "mix-docs")
     plan = mix_plan(spark, rows, **options).select(UID, "size", F.explode("pieces").alias("p"))
-    runs = plan.groupBy(UID, "p.epoch", "size").agg(F.sort_array(F.collect_list(F.struct("p.begin", "p.end"))).alias("runs"))
-    whole = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"]) == F.col("size")
-    runs = runs.select(UID, F.when(~whole, F.col("runs")).alias("runs"))
-    return _cut_texts(rows.join(runs, UID)).select(*docs.columns)
+    runs = plan.groupBy(UID, "p.epoch", "size").agg(F.sort_array(F.collect_list(F.struct("p.begin", "p.end"))).alias("__runs"),
+                                                    F.min(F.struct("p.shard", "p.slot")).alias("__place"))
+    whole = F.aggregate("__runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"]) == F.col("size")
+    runs = runs.select(UID, F.when(~whole, F.col("__runs")).alias("__runs"), "__place")
+    cut = _cut_texts(rows.join(runs, UID))
+    shard, slot = F.col("__place.shard"), F.col("__place.slot")
+    placed = cut.repartition(shard, F.floor(slot / _RUN_SLOTS)).sortWithinPartitions(shard, slot, UID)
+    return placed.select(*docs.columns)
 
 
 def _cut_texts(rows: DataFrame) -> DataFrame:
-    """Rows with ``text`` cut to ``runs`` (null: left whole)."""
+    """Rows with ``text`` cut to ``__runs`` (null: left whole)."""
     word = re.compile(WORD)
 
     def cut(text: str, runs: list[dict]) -> str:
@@ -324,7 +356,7 @@ def _cut_texts(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, runs = b.column("text"), b.column("runs")
+            texts, runs = b.column("text"), b.column("__runs")
             out = [t.as_py() if not r.is_valid else cut(t.as_py(), r.as_py()) for t, r in zip(texts, runs)]
             cols = {c: b.column(c) for c in b.schema.names} | {"text": pa.array(out, pa.string())}
             if "n_chars" in cols and pa.types.is_int64(cols["n_chars"].type):

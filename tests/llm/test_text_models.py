@@ -15,7 +15,7 @@ from footfall.llm import lang_id as li
 from footfall.llm import mixing as mx
 from footfall.llm import pii_lstm as pii
 from footfall.llm import sp_codec as sp
-from footfall.llm.common import WORD, fold
+from footfall.llm.common import UID, WORD, fold, identified
 from footfall.llm.queries import QUERIES
 
 from .conftest import SF_MID, SF_SMALL, awkward_rows, key, rows_of, sentence
@@ -88,6 +88,92 @@ def test_mixed_outputs_hold_the_taken_words(spark, clashing):
         assert sorted(set(shard["__slot"])) == list(range(shard["__slot"].nunique()))
 
 
+def level_targets(sizes, weights, share=1.5, most=2.0):
+    """Targets by another way: the level at which min(most * size, level * weight) adds up to the share."""
+    low, high = 0.0, most * sum(sizes) + 1
+    for _ in range(200):
+        mid = (low + high) / 2
+        reached = sum(min(most * z, mid * w) for z, w in zip(sizes, weights)) >= share * sum(sizes)
+        low, high = (low, mid) if reached else (mid, high)
+    return [min(most * z, high * w) for z, w in zip(sizes, weights)]
+
+
+def test_query_against_a_brute_force_of_targets_and_places(spark):
+    docs = pd.read_parquet(f"{SF_MID}/documents.parquet").set_index("doc_id")
+    got = QUERIES["op1_mixing"](spark, SF_MID).toPandas().set_index("doc_id").loc[docs.index]
+    size = docs.text.map(lambda t: len(re.findall(WORD, t or "")))
+    assert (got["size"] == size).all() and len(got) == len(docs)
+    source = docs.source.map(lambda x: (x is None or x != x, x if isinstance(x, str) else ""))
+    whole = size.groupby(source).sum().sort_index()
+    want = dict(zip(whole.index, level_targets(whole.tolist(), [(3, 1, 2)[i % 3] for i in range(len(whole))])))
+    assert np.allclose(got.target, source.map(want), rtol=1e-9)
+    assert (got.source_size == source.map(whole)).all() and (got.taken <= 2 * got["size"]).all()
+    taken = got.taken.groupby(source).sum()
+    assert all(abs(taken[k] - want[k]) <= 1 for k in want)
+    assert ((got.taken > 0) == (got.n_shards > 0)).all() and (got.first_shard.isna() == (got.taken == 0)).all()
+
+
+def test_the_tree_decides_what_is_taken(spark, awkward, monkeypatch):
+    options = {"block_words": 16, "shard_blocks": 100}
+    whole = mx.mix_summary(spark, awkward, **options).toPandas().taken.sum()
+    counts = rows_of(mx.shard_counts(spark, awkward, **options), "shard", "sid", "blocks")
+    sizes = defaultdict(int)
+    for r in awkward_rows():
+        sizes[r[3]] += len(re.findall(WORD, r[1] or ""))
+    words = [sizes[s] for s in sorted(sizes, key=lambda s: (s is None, s or ""))]
+    targets = level_targets(words, [(3, 1, 2)[i % 3] for i in range(len(words))])
+    plan = mx.MixPlan(np.array(words), np.array([round(t) for t in targets]), 16, 100, mx.SEED)
+    tree = plan.tree.shard_counts()
+    assert plan.tree.shards > 20 and (tree.sum(axis=0) == plan.tree.quotas).all()
+    assert {(k, s): n for k, s, n in counts} == {(k, s): n for (k, s), n in np.ndenumerate(tree) if n}
+    plan.tree.quotas = plan.tree.quotas // 2           # a tree that deals half the blocks makes half a mix
+    sid, start = np.arange(len(words)), np.zeros(len(words), np.int64)
+    got = plan.pieces(sid, start, np.array(words))
+    assert 0.4 * whole < (got["end"] - got["begin"]).sum() < 0.6 * whole
+    assert (got["shard"] >= 0).all()
+
+
+def test_split_draws_follow_the_distribution():
+    rng = np.random.default_rng(7)
+    for good, total, take in ((5, 12, 4), (1, 9, 8), (30, 40, 20), (0, 5, 3), (5, 5, 2)):
+        n = 20_000
+        seen = Counter(mx._marginal(rng, good, total, take) for _ in range(n))
+        for k in range(take + 1):
+            p = math.comb(good, k) * math.comb(total - good, take - k) / math.comb(total, take)
+            assert abs(seen[k] - n * p) <= 5 * math.sqrt(n * p) + 1e-9, (good, total, take, k)
+    for good, total, take in ((400_000, 10**6, 300_000), (4 * 10**9, 10**10, 3 * 10**9)):      # one rule at every size
+        draws = np.array([mx._marginal(rng, good, total, take) for _ in range(60)], float)
+        mean, share = take * good / total, good / total
+        spread = math.sqrt(take * share * (1 - share) * (total - take) / (total - 1))
+        assert abs(draws.mean() - mean) < 5 * spread / math.sqrt(60) and 0.6 < draws.std() / spread < 1.5
+
+
+def test_documents_lie_in_shard_and_slot_order(spark, awkward):
+    text = " ".join(f"w{i}" for i in range(4000))
+    docs = spark.createDataFrame([(i, text[i:], "en", "abc"[i % 3], None) for i in range(60)], awkward.schema).coalesce(1)
+    options = {"block_words": 64, "shard_blocks": 500}
+    first = {r["doc_id"]: (r["first_shard"], r["first_slot"]) for r in mx.mix_summary(spark, docs, **options).collect()}
+    ids = mx.mixed_documents(spark, docs, **options).select("doc_id", F.spark_partition_id().alias("part")).collect()
+    places, seen = defaultdict(list), set()
+    for r in ids:
+        if r["doc_id"] not in seen and first[r["doc_id"]] is not None:
+            seen.add(r["doc_id"])
+    assert seen == {d for d, (shard, _) in first.items() if shard is not None}
+    once = [d for d in seen if sum(r["doc_id"] == d for r in ids) == 1]
+    for r in ids:
+        if r["doc_id"] in once:
+            places[r["part"]].append(first[r["doc_id"]])
+    assert places and all(p == sorted(p) for p in places.values())
+
+
+def test_rows_of_a_generator_have_identities_of_their_own(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/ids")
+    read = spark.read.parquet(f"{tmp_path}/ids")
+    for df, n in ((read, 3), (read.where("id > 0").select("id"), 2), (read.selectExpr("id", "explode(array(1, 2)) AS x"), 6),
+                  (read.join(read.select(F.lit(1).alias("y")), F.lit(True)), 9), (read.union(read), 6)):
+        assert identified(spark, df, "ids").select(UID).distinct().count() == n
+
+
 # ------------------------------------------------------------------ language model
 
 def slow_scores(rows):
