@@ -1,18 +1,20 @@
 """Exact top-k inner products over an impact-ordered index, processed score-at-a-time.
 
-Vectors are integers. The index holds one posting for each non-zero component, and the postings lie in
-segments by their quantised impact (the component's magnitude in ``LEVELS`` steps). Queries
-walk the segments by descending impact and add query weight times quantised impact to their
-accumulators. After each segment the part of every vector that the accumulators do not hold yet (the
-lower impacts and the rounding of the higher ones) is bounded by the product of the query's norm and the norm of that
-rest, which the index stores for each vector and level. A query stops as soon as this
-proves that all vectors but few cannot be among its ``k`` best; those few, and every one that could still tie,
-are scored again from the exact integers: in float64 where no sum of a shard and block can reach ``EXACT``, and
+Vectors are integers. The index holds one posting for each component whose quantised impact (its magnitude in
+``LEVELS`` steps) is not zero. The postings lie in segments by descending impact, cut where the squared components
+that are still to come halve. Queries walk the segments and add query weight times quantised impact to their
+accumulators. After each segment the part of a vector that an accumulator does not hold yet is bounded by two
+products of norms: over the dimensions to come, the query's norm there times the vector's; over those that
+are held, the query's norm there times that of the impacts' rounding. A row whose bound is below what ``k`` rows
+are proven to reach leaves the query's accumulators for good: they are a matrix as long as most rows are possible, and
+then a list of the possible (query, row) pairs. A query stops as soon as few rows are left; those
+are scored again from the exact integers: in float64 where no sum of a shard can reach ``EXACT``, and
 otherwise with the bounds widened by the rounding and in Python integers.
 
-Rows are indexed in shards of up to ``SHARD_ROWS`` rows. Queries come in blocks of up to
-``QUERY_ROWS`` rows; each block meets each shard once, keyed by the pair, so neither side is
-collected or broadcast, and a shard's best k are merged by a window that first ranks within shards' results.
+Rows are indexed in shards of about ``SHARD_ROWS`` rows, each shuffled and indexed once; the queries, sorted behind the
+rows, pass through a shard's index ``QUERY_ROWS`` at a time. A query is sent once to each shard: n rows with q queries
+shuffle n + q * n / SHARD_ROWS rows. Neither side is collected or broadcast, and a shard's best k are merged by a window
+that first ranks within shards' results.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part; a
 query does not meet its own row, but meets other rows of the same vec_id; equal scores rank by the
@@ -33,9 +35,11 @@ from pyspark.sql import functions as F
 from footfall.llm.common import UID, numbered, written
 
 K, SCALE, EVERY = 10, 1024, 100
-SHARD_ROWS, QUERY_ROWS, LEVELS = 8192, 512, 16
-#: Sums below this are exact in float64, those of the impacts' rounded values too (at most 1/16 larger).
+SHARD_ROWS, QUERY_ROWS, LEVELS = 16384, 256, 64
+#: Sums below this are exact in float64, those of the impacts' rounded values too (less than twice as large).
 EXACT = 2**52
+#: Accumulators become pairs when this share of them is possible, and pairs are read so many at a time.
+SPARSE, PAIRS = 0.25, 65536
 
 
 def _largest(x: np.ndarray) -> int:
@@ -46,6 +50,12 @@ def _largest(x: np.ndarray) -> int:
     return most
 
 
+def _paired(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of the rows ``i`` of ``a`` with the rows ``j`` of ``b``."""
+    parts = [np.einsum("ij,ij->i", a[i[n:n + PAIRS]], b[j[n:n + PAIRS]]) for n in range(0, len(i), PAIRS)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
 class ImpactIndex:
     """The impact-ordered segments of one shard: ``x`` (rows x dimensions, integers)."""
 
@@ -54,57 +64,111 @@ class ImpactIndex:
         self.whole = x
         self.x = x.astype(np.float64)
         size = np.abs(x)
-        self.step = int(size.max(initial=0)) // levels + 1
-        impact = size // self.step
-        row, dim = np.nonzero(impact)
-        order = np.argsort(-impact[row, dim], kind="stable")
+        step = int(size.max(initial=0)) // levels + 1
+        self.impact = (size // step).astype(np.int16)
+        row, dim = np.nonzero(self.impact)
+        order = np.argsort(-self.impact[row, dim], kind="stable")
         row, dim = row[order], dim[order]
-        held = impact[row, dim]
+        held = self.impact[row, dim].astype(np.int64)
         # an impact's value is the middle of its step, with the sign of the component
-        value = np.sign(x[row, dim]) * (held * self.step + self.step // 2)
-        cuts = np.flatnonzero(np.r_[True, held[1:] != held[:-1]]) if len(held) else np.empty(0, np.int64)
-        self.segments = [(row[a:b], dim[a:b], value[a:b].astype(np.float64)) for a, b in zip(cuts, np.r_[cuts[1:], len(held)])]
-        #: norms of what is missing before the first segment and after each one
-        rest = self.x.copy()
-        self.rest = [np.linalg.norm(rest, axis=1)]
-        for r, d, v in self.segments:
-            rest[r, d] -= v
-            self.rest.append(np.linalg.norm(rest, axis=1))
+        value = (np.sign(x[row, dim]) * (held * step + step // 2)).astype(np.float64)
+        # energy[i]: squared components with an impact below i
+        energy = np.concatenate([[0.0], np.cumsum(np.bincount(self.impact.ravel(), (self.x**2).ravel(), levels + 1))])
+        self.floors: list[int] = []                  # the least impact in each segment
+        goal = energy[-1] / 2
+        for i in range(levels, 0, -1):
+            if energy[i] <= goal or i == 1:
+                self.floors.append(i)
+                while energy[i] <= goal and goal > 0:
+                    goal /= 2
+        ends = np.searchsorted(-held, -np.array(self.floors), side="right")
+        starts = np.concatenate([[0], ends[:-1]])
+        self.segments = [(row[a:b], dim[a:b], value[a:b]) for a, b in zip(starts, ends)]
+        # of each row, before the first segment and after each one: norm of what is to come, norm of the rounding
+        rounding = self.x.copy()
+        rounding[row, dim] -= value
+        self.coming, self.rounded = [np.linalg.norm(self.x, axis=1)], [np.zeros(len(x))]
+        for floor in self.floors:
+            to_come = self.impact < floor
+            self.coming.append(np.linalg.norm(np.where(to_come, self.x, 0.0), axis=1))
+            self.rounded.append(np.linalg.norm(np.where(to_come, 0.0, rounding), axis=1))
 
-    def search(self, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-        """(query, row, score) of each query's k best rows: by score, then by id; ``own`` is the place
-        of the query's own row in this shard, or -1."""
+    def _exact(self, queries: np.ndarray) -> bool:
+        return self.most * _largest(queries) * self.x.shape[1] < EXACT
+
+    def survivors(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[list[np.ndarray], list[int]]:
+        """Of each query the rows that can be among its ``k`` best, and how many (query, row) pairs were still
+        possible after each segment."""
         q = queries.astype(np.float64)
-        norm = np.linalg.norm(q, axis=1)
-        exact = self.most * _largest(queries) * self.x.shape[1] < EXACT
+        square, norm = q**2, np.linalg.norm(q, axis=1)
         # rounding of the components, the products and the sums over dimensions and segments
-        rounding = 0.0 if exact else (self.x.shape[1] + 16) * (len(self.segments) + 1) * 2.0**-50
-        acc = np.zeros((len(q), len(self.x)))
-        few = max(4 * k, 64)
-        alive, found = np.arange(len(q)), {}
+        rounding = 0.0 if self._exact(queries) else (self.x.shape[1] + 16) * (len(self.segments) + 1) * 2.0**-50
+        few, n = max(4 * k, 64), len(self.x)
+        found: list[np.ndarray] = [np.empty(0, np.int64)] * len(q)
+        left: list[int] = []
+
+        def bound(ahead: np.ndarray, whole: np.ndarray, r: np.ndarray | slice, depth: int) -> np.ndarray:
+            """``ahead``: the query's square sum over the dimensions to come; ``whole``: its norm."""
+            behind = np.sqrt(np.maximum(whole**2 * (1 + 1e-12) - ahead, 0.0))
+            sure = np.sqrt(ahead) * self.coming[depth][r] + behind * self.rounded[depth][r]
+            return sure * (1 + 1e-9) + whole * self.coming[0][r] * rounding + 1e-6
+
+        acc, alive, dense = np.zeros((len(q), n)), np.arange(len(q)), True
+        who = at = np.empty(0, np.int64)
         for depth in range(len(self.segments) + 1):
+            part = np.zeros_like(self.x)
+            ahead = np.ones_like(self.x)
             if depth:
                 row, dim, value = self.segments[depth - 1]
-                part = np.zeros_like(self.x)
                 part[row, dim] = value
-                acc[alive] += q[alive] @ part.T
-            bound = norm[alive, None] * (self.rest[depth] * (1 + 1e-9) + self.rest[0] * rounding) + 1e-6
-            low = acc[alive] - bound
-            mine = own[alive] >= 0
-            low[np.flatnonzero(mine), own[alive][mine]] = -np.inf
-            at = min(k, low.shape[1]) - 1
-            least = -np.partition(-low, at, axis=1)[:, at]        # k rows reach at least this score
-            possible = acc[alive] + bound >= least[:, None]
-            count = possible.sum(axis=1)
+                ahead = (self.impact < self.floors[depth - 1]).astype(np.float64)
+            if dense:
+                acc += q[alive] @ part.T
+                off = bound(square[alive] @ ahead.T, norm[alive, None], slice(None), depth)
+                low, high = acc - off, acc + off
+                mine = np.flatnonzero(own[alive] >= 0)
+                low[mine, own[alive][mine]] = high[mine, own[alive][mine]] = -np.inf
+                least = -np.partition(-low, min(k, n) - 1, axis=1)[:, min(k, n) - 1]     # k rows reach at least this
+                possible = (high >= least[:, None]) & (high > -np.inf)
+                count = possible.sum(axis=1)
+            else:
+                acc += _paired(q, part, who, at)
+                off = bound(_paired(square, ahead, who, at), norm[who], at, depth)
+                low, high = acc - off, acc + off
+                cuts = np.searchsorted(who, alive)
+                ends = np.searchsorted(who, alive, side="right")
+                least = np.full(len(q), -np.inf)
+                for i, a, b in zip(alive, cuts, ends):
+                    if b - a >= k:
+                        least[i] = -np.partition(-low[a:b], k - 1)[k - 1]
+                keep = high >= least[who]
+                acc, who, at = acc[keep], who[keep], at[keep]
+                count = np.searchsorted(who, alive, side="right") - np.searchsorted(who, alive)
             stop = (count <= few) | (depth == len(self.segments))
+            left.append(int(count.sum()) + sum(len(f) for f in found))
             for i in np.flatnonzero(stop):
-                found[alive[i]] = np.flatnonzero(possible[i])
-            alive = alive[~stop]
+                found[alive[i]] = np.flatnonzero(possible[i]) if dense else at[who == alive[i]]
+            if dense:
+                acc, possible = acc[~stop], possible[~stop]
+                alive = alive[~stop]
+                if possible.sum() < SPARSE * possible.size:
+                    dense = False
+                    i, at = np.nonzero(possible)
+                    acc, who = acc[i, at], alive[i]
+            else:
+                alive = alive[~stop]
+                keep = np.isin(who, alive)
+                acc, who, at = acc[keep], who[keep], at[keep]
             if not len(alive):
                 break
+        return found, left
+
+    def search(self, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """(query, row, score) of each query's k best rows: by score, then by id; ``own`` is the place
+        of the query's own row in this shard, or -1."""
+        exact, q = self._exact(queries), queries.astype(np.float64)
         who, rows, scores = [], [], []
-        for i, rows_i in found.items():
-            rows_i = rows_i[rows_i != own[i]]
+        for i, rows_i in enumerate(self.survivors(queries, own, k)[0]):
             if exact:
                 score = (self.x[rows_i] @ q[i]).astype(np.int64)
                 best = np.lexsort((ids[rows_i], -score))[:k]
@@ -121,11 +185,15 @@ class ImpactIndex:
         return join(who), join(rows), join(scores)
 
 
-def _matrix(batch: list) -> np.ndarray:
-    wide = max((len(v) for v in batch), default=0)
-    out = np.zeros((len(batch), wide), np.int64)
-    for i, v in enumerate(batch):
-        out[i, :len(v)] = v
+def _matrix(vectors: pa.ListArray, wide: int | None = None) -> np.ndarray:
+    """The vectors as rows, with zeros behind short ones and, for a given width, nothing beyond it."""
+    sizes = np.asarray(vectors.value_lengths()).astype(np.int64)
+    values = np.asarray(vectors.flatten())
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    dim = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out = np.zeros((len(sizes), int(sizes.max(initial=0)) if wide is None else wide), np.int64)
+    fits = dim < out.shape[1]
+    out[row[fits], dim[fits]] = values[fits]
     return out
 
 
@@ -137,39 +205,55 @@ def integer_vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
     return embeddings.where(usable).select("vec_id", wide.alias("v"))
 
 
+class Shard:
+    """A shard's rows, indexed when its first queries come."""
+
+    def __init__(self, rows: list[pa.RecordBatch]) -> None:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        self.index = ImpactIndex(_matrix(table.column("v").combine_chunks()))
+        self.uid, self.vec_id = np.asarray(table.column(UID)), table.column("vec_id")
+        self.order = np.argsort(self.uid)
+        self.ids = np.asarray(self.vec_id.fill_null(np.iinfo(np.int64).max))
+
+    def answers(self, asked: pa.RecordBatch, k: int) -> pa.RecordBatch:
+        q, quid = _matrix(asked.column("v"), self.index.x.shape[1]), np.asarray(asked.column(UID))
+        at = np.minimum(np.searchsorted(self.uid[self.order], quid), len(self.uid) - 1)
+        own = np.where(self.uid[self.order][at] == quid, self.order[at], -1)
+        who, row, score = self.index.search(q, own, self.ids, k)
+        vec_id = self.vec_id.take(pa.array(row)).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(quid[who]), asked.column("vec_id").take(pa.array(who)), vec_id, pa.array(score)],
+            ["query", "query_id", "vec_id", "score"])
+
+
 def top_k(spark: SparkSession, vectors: DataFrame, queries: str, k: int = K) -> DataFrame:
     """The ``k`` best rows of ``vectors`` (vec_id, v) for each row that satisfies ``queries`` (SQL)."""
-    rows = written(spark, numbered(vectors), "vectors")
-    n, n_q = rows.count(), rows.where(queries).count()
-    shards, blocks = -(-n // SHARD_ROWS) or 1, -(-n_q // QUERY_ROWS) or 1
-    # each row once for each block of queries, each query once for each shard of rows
-    place = F.xxhash64(UID)
-    mine = rows.withColumn("shard", F.pmod(place, F.lit(shards)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = rows.where(queries).withColumn("block", F.pmod(place, F.lit(blocks)).cast("int")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def search(shard: pa.Table, block: pa.Table) -> pa.Table:
-        names = {"query": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
-        empty = pa.table({c: pa.array([], t) for c, t in names.items()})
-        if not shard.num_rows or not block.num_rows:
-            return empty
-        x, uid = _matrix(shard.column("v").to_pylist()), np.asarray(shard.column(UID))
-        q, quid = _matrix(block.column("v").to_pylist()), np.asarray(block.column(UID))
-        wide = min(x.shape[1], q.shape[1])
-        if x.shape[1] != q.shape[1]:
-            x, q = x[:, :wide], q[:, :wide]
-        order = np.argsort(uid)
-        at = np.minimum(np.searchsorted(uid[order], quid), len(uid) - 1)
-        own = np.where(uid[order][at] == quid, order[at], -1)
-        ids = np.asarray(shard.column("vec_id").fill_null(np.iinfo(np.int64).max))
-        who, row, score = ImpactIndex(x).search(q, own, ids, k)
-        return pa.table({
-            "query": pa.array(quid[who]), "query_id": block.column("vec_id").take(pa.array(who)),
-            "vec_id": shard.column("vec_id").take(pa.array(row)), "score": pa.array(score)})
-
-    found = mine.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(
-        search, "query long, query_id long, vec_id long, score long")
+    rows = written(spark, numbered(vectors.select(F.col("vec_id").cast("long"), "v")), "vectors")
+    shards = -(-rows.count() // SHARD_ROWS) or 1
+    mine = rows.select(F.pmod(F.xxhash64(UID), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), UID, "vec_id", "v")
+    # each query once for each shard
+    asked = rows.where(queries).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True), UID, "vec_id", "v")
+    both = mine.union(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+    query_rows = QUERY_ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, gathered, shard = None, [], None
+        for b in batches:
+            key = 2 * np.asarray(b.column("shard")).astype(np.int64) + np.asarray(b.column("asks")).astype(np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1), b.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
+                    continue
+                if key[lo] // 2 != number:
+                    number, gathered, shard = key[lo] // 2, [], None
+                if not key[lo] % 2:
+                    gathered.append(b.slice(lo, hi - lo))
+                elif gathered or shard:
+                    shard, gathered = shard or Shard(gathered), []
+                    for at in range(lo, hi, query_rows):
+                        yield shard.answers(b.slice(at, min(query_rows, hi - at)), k)
+
+    found = both.mapInArrow(run, "query long, query_id long, vec_id long, score long")
     best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -77,7 +77,7 @@ def test_top_k_matches_sql(spark):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_index_is_exact_and_prunes(seed):
+def test_index_is_exact(seed):
     rng = np.random.default_rng(seed)
     x = np.round(rng.standard_t(2, (3000, 16)) * 200).astype(np.int64)
     x[:500] = x[0]                                     # a common vector: five hundred ties
@@ -93,6 +93,35 @@ def test_index_is_exact_and_prunes(seed):
         assert list(zip(-score[who == i], ids[row[who == i]])) == want
 
 
+def given_vectors():
+    table = pd.read_parquet(f"{SF_MID.replace('0.01', '0.1')}/embeddings.parquet")
+    usable = [(i, v) for i, v in zip(table.vec_id, table.embedding) if v is not None and len(v) and np.isfinite(v).all()]
+    return np.array([i for i, _ in usable]), np.floor(1024 * np.array([v for _, v in usable], float)).astype(np.int64)
+
+
+def test_most_rows_leave_before_the_last_segment():
+    ids, x = given_vectors()
+    at = np.flatnonzero(ids % 100 == 0)
+    index = ii.ImpactIndex(x)
+    found, left = index.survivors(x[at], at, 10)
+    pairs = len(at) * len(x)
+    assert left == sorted(left, reverse=True) and len(left) <= len(index.segments) + 1
+    assert left[len(index.segments) - 1 if len(left) > len(index.segments) else -1] < pairs / 4, (left, pairs)
+    assert sum(map(len, found)) < pairs / 20
+    for i, rows in zip(at, found):                     # no row of the best is out
+        s = x @ x[i]
+        s[i] = np.iinfo(np.int64).min
+        assert set(np.flatnonzero(s >= np.sort(s)[-10])) <= set(rows.tolist())
+
+
+def test_a_query_stops_at_the_first_proof():
+    x = np.zeros((2000, 8), np.int64)
+    x[:, 0] = 1
+    x[:20, 1] = 1000 + np.arange(20)                   # the best rows are known from the first segment
+    found, left = ii.ImpactIndex(x).survivors(np.array([[0, 9, 0, 0, 0, 0, 0, 0]]), np.array([-1]), 10)
+    assert left[1] <= 64 and len(left) == 2 and set(range(10, 20)) <= set(found[0].tolist())
+
+
 @pytest.mark.parametrize("bits", [24, 26, 28, 29])
 def test_large_components_are_scored_exactly(bits):
     rng = np.random.default_rng(bits)
