@@ -5,6 +5,8 @@ windows, interval joins between calendar and orders, ``quantile_disc`` /
 ``median`` over whole groups. Dates are rendered as ISO text and decimals as
 doubles, like ``catalog.present``. Traps: DuckDB ``CAST(x AS INT)`` rounds (use
 ``trunc``), ``concat`` skips NULLs (use ``||``), ``substr(s, 0, n)`` drops a character.
+The projection is Redfearn's series in powers of the longitude difference over an arc of the meridian that is
+integrated numerically; its inverse finds the footpoint by Newton's method. The library uses another series.
 """
 
 from __future__ import annotations
@@ -12,8 +14,65 @@ from __future__ import annotations
 from footfall.catalog import (
     FILTER_RANGE, HEAVY_SHARE, LOADED_UNTIL, LONG_CELL, MID_MONTHS, MOVEMENT_RANGE, QUARTER_DAYS, SHORT_CELL, SNAPSHOT_RANGE,
 )
-from footfall.constants import AGES, DISTRICTS, HOURS, KINDS, SEXES
-from footfall.functions.geo import forward_stages, inverse_stages, stages_sql
+from footfall.constants import (
+    AGES, DISTRICTS, GRS80_A, GRS80_INV_F, HOURS, KINDS, SEXES, TM_FALSE_EASTING, TM_FALSE_NORTHING, TM_K0, TM_LAT0_DEG, TM_LON0_DEG,
+)
+from footfall.functions.geo import Stages, stages_sql
+
+
+_E2 = (2 - 1 / GRS80_INV_F) / GRS80_INV_F
+#: Nodes and weights of the five-point Gauss-Legendre rule.
+_GAUSS = [(0.0, 0.5688888888888889), (0.5384693101056831, 0.47862867049936647), (-0.5384693101056831, 0.47862867049936647),
+          (0.906179845938664, 0.23692688505618908), (-0.906179845938664, 0.23692688505618908)]
+
+
+def _arc(phi: str) -> str:
+    """Metres along the meridian from the origin's latitude to ``phi`` (radians): one Gauss rule, a few degrees long at most."""
+    half, mid = f"(({phi} - radians({TM_LAT0_DEG})) / 2)", f"(({phi} + radians({TM_LAT0_DEG})) / 2)"
+    terms = " + ".join(f"{w} * pow(1 - {_E2} * pow(sin({mid} + {half} * {x}), 2), -1.5)" for x, w in _GAUSS)
+    return f"({GRS80_A * (1 - _E2)} * {half} * ({terms}))"
+
+
+def _radii(phi: str, tmp: str) -> Stages:
+    """nu and rho: radii of curvature across and along the meridian; psi: their ratio; tt: squared tangent."""
+    return [(f"{tmp}_nu", f"{GRS80_A} / sqrt(1 - {_E2} * pow(sin({phi}), 2))"),
+            (f"{tmp}_rho", f"{GRS80_A * (1 - _E2)} / pow(1 - {_E2} * pow(sin({phi}), 2), 1.5)"),
+            (f"{tmp}_psi", f"{tmp}_nu / {tmp}_rho"), (f"{tmp}_tt", f"pow(tan({phi}), 2)")]
+
+
+def forward_redfearn(lon: str, lat: str, x_out: str, y_out: str, tmp: str = "_tm") -> Stages:
+    """(lon, lat) degrees -> (x, y) metres, for points within a few degrees of the central meridian."""
+    phi, nu, p, t = (f"{tmp}_{c}" for c in ("phi", "nu", "psi", "tt"))
+    q = f"{tmp}_q"                                     # (longitude difference x cosine)^2
+    east = (f"1 + {q} / 6 * ({p} - {t}) + pow({q}, 2) / 120 * (4 * pow({p}, 3) * (1 - 6 * {t}) + pow({p}, 2) * (1 + 8 * {t}) - 2 * {p} * {t} + {t} * {t})"
+            f" + pow({q}, 3) / 5040 * (61 - 479 * {t} + 179 * pow({t}, 2) - pow({t}, 3))")
+    north = (f"{q} / 2 + pow({q}, 2) / 24 * (4 * pow({p}, 2) + {p} - {t}) + pow({q}, 3) / 720 * (8 * pow({p}, 4) * (11 - 24 * {t})"
+             f" - 28 * pow({p}, 3) * (1 - 6 * {t}) + pow({p}, 2) * (1 - 32 * {t}) - 2 * {p} * {t} + {t} * {t})"
+             f" + pow({q}, 4) / 40320 * (1385 - 3111 * {t} + 543 * pow({t}, 2) - pow({t}, 3))")
+    return [(phi, f"radians({lat})"), (f"{tmp}_w", f"radians({lon} - {TM_LON0_DEG})"), *_radii(phi, tmp),
+            (q, f"pow({tmp}_w * cos({phi}), 2)"),
+            (x_out, f"{TM_FALSE_EASTING} + {TM_K0} * {nu} * {tmp}_w * cos({phi}) * ({east})"),
+            (y_out, f"{TM_FALSE_NORTHING} + {TM_K0} * ({_arc(phi)} + {nu} * tan({phi}) * ({north}))")]
+
+
+def inverse_redfearn(x: str, y: str, lon_out: str, lat_out: str, tmp: str = "_tm") -> Stages:
+    """(x, y) metres -> (lon, lat) degrees."""
+    nu, rho, p, t, d = (f"{tmp}_{c}" for c in ("nu", "rho", "psi", "tt", "d"))
+    st: Stages = [(f"{tmp}_m", f"({y} - {TM_FALSE_NORTHING}) / {TM_K0}"),
+                  (f"{tmp}_f0", f"radians({TM_LAT0_DEG}) + {tmp}_m / {GRS80_A}")]
+    for i in range(4):
+        f = f"{tmp}_f{i}"
+        st.append((f"{tmp}_f{i + 1}", f"{f} + ({tmp}_m - {_arc(f)}) * pow(1 - {_E2} * pow(sin({f}), 2), 1.5) / {GRS80_A * (1 - _E2)}"))
+    f = f"{tmp}_f4"
+    st += [*_radii(f, tmp), (d, f"({x} - {TM_FALSE_EASTING}) / ({TM_K0} * {nu})")]
+    lat = (f"pow({d}, 2) / 2 - pow({d}, 4) / 24 * (-4 * pow({p}, 2) + 9 * {p} * (1 - {t}) + 12 * {t})"
+           f" + pow({d}, 6) / 720 * (8 * pow({p}, 4) * (11 - 24 * {t}) - 12 * pow({p}, 3) * (21 - 71 * {t})"
+           f" + 15 * pow({p}, 2) * (15 - 98 * {t} + 15 * pow({t}, 2)) + 180 * {p} * (5 * {t} - 3 * pow({t}, 2)) + 360 * pow({t}, 2))"
+           f" - pow({d}, 8) / 40320 * (1385 + 3633 * {t} + 4095 * pow({t}, 2) + 1575 * pow({t}, 3))")
+    lon = (f"{d} - pow({d}, 3) / 6 * ({p} + 2 * {t})"
+           f" + pow({d}, 5) / 120 * (-4 * pow({p}, 3) * (1 - 6 * {t}) + pow({p}, 2) * (9 - 68 * {t}) + 72 * {p} * {t} + 24 * pow({t}, 2))"
+           f" - pow({d}, 7) / 5040 * (61 + 662 * {t} + 1320 * pow({t}, 2) + 720 * pow({t}, 3))")
+    return [*st, (lat_out, f"degrees({f} - tan({f}) * {nu} / {rho} * ({lat}))"), (lon_out, f"{TM_LON0_DEG} + degrees(({lon}) / cos({f}))")]
 
 
 def _d(name: str) -> str:
@@ -336,7 +395,7 @@ def _wgs84(src: str, keep: list[str]) -> str:
     cols = keep + ["min_x_crd", "max_x_crd", "min_y_crd", "max_y_crd"]
     for x, y, lo, la in (("cnt_x_crd", "cnt_y_crd", "cnt_lo", "cnt_la"), ("min_x_crd", "min_y_crd", "min_lo", "min_la"),
                          ("max_x_crd", "max_y_crd", "max_lo", "max_la")):
-        sql = stages_sql(sql, cols, inverse_stages(f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)", lo, la))
+        sql = stages_sql(sql, cols, inverse_redfearn(f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)", lo, la))
         cols = cols + [la, lo]
     return sql
 
@@ -468,14 +527,14 @@ SELECT grid_id, row_no, clm_no, mtr_no, admd_cd, CAST(cnt_x_crd AS DOUBLE) AS cn
 SELECT la, lo FROM in_box""",
 
     "project_points": f"""WITH {CCTV_POINTS},
-p AS ({stages_sql('SELECT * FROM in_box', ['la', 'lo'], forward_stages('lo', 'la', 'x_crd', 'y_crd'))}),
+p AS ({stages_sql('SELECT * FROM in_box', ['la', 'lo'], forward_redfearn('lo', 'la', 'x_crd', 'y_crd'))}),
 i AS (SELECT *, CAST(trunc((x_crd - 1077058.991787) / 50) AS INTEGER) AS row_no,
              CAST(trunc((1780604.147390 - y_crd) / 50) AS INTEGER) AS clm_no FROM p)
 SELECT la, lo, round(x_crd, 3) AS x_crd, round(y_crd, 3) AS y_crd, row_no, clm_no,
        CAST(row_no AS VARCHAR) || ',' || CAST(clm_no AS VARCHAR) AS mtr_no FROM i""",
 
     "cctv_per_cell": f"""WITH {CCTV_POINTS},
-p AS ({stages_sql('SELECT * FROM in_box', ['la', 'lo'], forward_stages('lo', 'la', 'x_crd', 'y_crd'))})
+p AS ({stages_sql('SELECT * FROM in_box', ['la', 'lo'], forward_redfearn('lo', 'la', 'x_crd', 'y_crd'))})
 SELECT CAST(CAST(trunc((x_crd - 1077058.991787) / 50) AS INTEGER) AS VARCHAR) || ',' ||
        CAST(CAST(trunc((1780604.147390 - y_crd) / 50) AS INTEGER) AS VARCHAR) AS mtr_no, count(lo) AS cctv_co
   FROM p GROUP BY 1""",

@@ -120,6 +120,27 @@ def test_projection_against_numeric_meridian_arc(spark):
         assert abs(r.y - want) < 1e-4 and abs(r.x - 1_000_000) < 1e-6
 
 
+def test_projection_off_the_meridian_against_another_series(spark):
+    """Redfearn's series over an integrated arc, in DuckDB, up to 2.5 degrees to either side of the central meridian."""
+    import duckdb
+
+    from footfall.functions.geo import stages_sql
+    from footfall.oracle import forward_redfearn, inverse_redfearn
+
+    pts = [(127.5 + 0.25 * i, 33.0 + 0.6 * j) for i in range(-10, 11) for j in range(11)]
+    df = spark.createDataFrame(pts, "lo double, la double")
+    ours = to_wgs84(to_tm(df, "lo", "la", "x", "y"), "x", "y", "lo2", "la2").collect()
+    duckdb.sql("CREATE OR REPLACE TABLE tm_points (lo DOUBLE, la DOUBLE, px DOUBLE, py DOUBLE)")
+    duckdb.executemany("INSERT INTO tm_points VALUES (?, ?, ?, ?)", [(r.lo, r.la, r.x, r.y) for r in ours])
+    sql = stages_sql("SELECT * FROM tm_points", ["lo", "la", "px", "py"], forward_redfearn("lo", "la", "x", "y"))
+    sql = stages_sql(sql, ["lo", "la", "px", "py", "x", "y"], inverse_redfearn("px", "py", "lo2", "la2"))
+    rows = duckdb.sql(f"SELECT lo, la, px, py, x, y, lo2, la2 FROM ({sql})").fetchall()
+    assert len(rows) == len(pts)
+    for lo, la, px, py, x, y, lo2, la2 in rows:
+        assert abs(px - x) < 1e-5 and abs(py - y) < 1e-5, (lo, la, px - x, py - y)
+        assert abs(lo2 - lo) < 1e-10 and abs(la2 - la) < 1e-10, (lo, la, lo2 - lo, la2 - la)
+
+
 def test_gaps_and_one_month_per_run(spark):
     from footfall import jobs
     from footfall.session import scratch_path
