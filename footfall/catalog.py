@@ -7,6 +7,7 @@ decimals into doubles so results compare across engines.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from footfall.plans import intake as ik
 from footfall.plans import population as po
 from footfall.scratch import Scope, named_scope
 from footfall.sinks import overwrite_partitions
-from footfall.sources import feeds
+from footfall.sources import colocated, feeds
 from footfall.sources import fixtures as fx
 from footfall.streaming.intake_stream import run_intake_stream
 
@@ -300,6 +301,18 @@ def q_female_population_csv(spark, sf_dir):
     return df.withColumn("pcel_tmzn_fml_co", F.round("pcel_tmzn_fml_co", 6))
 
 
+def q_female_population_colocated(spark, sf_dir):
+    """Q5 over feeds and grid stored bucketed by cell."""
+    run = named_scope(spark, "female-colocated", sf_dir)
+    grid = fx.fx_ic_grid(spark, sf_dir).withColumnsRenamed({"cnt_x_crd": "x_coord", "cnt_y_crd": "y_coord"})
+    prefix = re.sub(r"\W", "_", run.folder.rpartition("/")[2])       # the run before is replaced
+    frames = {"time_pop": _time_pop(spark, sf_dir), "sex_age": _sex_age(spark, sf_dir), "grid": grid}
+    got = colocated.stored(spark, frames, run.path("cells"), prefix)
+    grid = got["grid"].withColumnsRenamed({"x_coord": "cnt_x_crd", "y_coord": "cnt_y_crd"})
+    df = po.female_population(got["time_pop"], got["sex_age"], grid)
+    return df.withColumn("pcel_tmzn_fml_co", F.round("pcel_tmzn_fml_co", 6))
+
+
 def q_female_population(spark, sf_dir):
     df = po.female_population(_time_pop(spark, sf_dir), _sex_age(spark, sf_dir), fx.fx_ic_grid(spark, sf_dir))
     return df.withColumn("pcel_tmzn_fml_co", F.round("pcel_tmzn_fml_co", 6))
@@ -399,6 +412,7 @@ QUERIES.update({
     "sex_age_ratio": q_sex_age_ratio,
     "female_population": q_female_population,
     "female_population_csv": q_female_population_csv,
+    "female_population_colocated": q_female_population_colocated,
     "grid_bounds": q_grid_bounds,
     "grid_population_bounded": q_grid_population_bounded,
     "unseen_cells": q_unseen_cells,

@@ -571,6 +571,7 @@ ORACLE["partition_skew"] = """SELECT CAST(o_custkey % 16 AS INTEGER) AS partitio
   FROM orders GROUP BY 1"""
 
 # the CSV feeds carry eighths: shares stay as they are, hours shrink and more of them fall below one
+ORACLE["female_population_colocated"] = ORACLE["female_population"]
 ORACLE["female_population_csv"] = (
     ORACLE["female_population"]
     .replace("h AS (SELECT", f"t8 AS (SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) / 8 AS {c}' for c in _TIME_COLS)}) FROM t),\nh AS (SELECT")

@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from footfall import jobs
 from footfall.operators.ids import assign_sequential_ids
 from footfall.operators.skew import heavy_keys
@@ -209,3 +210,31 @@ def test_the_grid_intake_leaves_no_scratch(spark):
         assert QUERIES["grid_intake"](spark, SF_SMALL).count() > 0
         counts.append(files())
     assert counts[0] == counts[1] and Decimal(counts[0]) > 0
+
+
+def test_colocated_feeds_join_where_they_lie(spark):
+    from footfall.catalog import QUERIES
+    from footfall.sources import colocated
+
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.enabled": "false", colocated.CO_PARTITIONED[0]: colocated.CO_PARTITIONED[1]}
+    before = {k: spark.conf.get(k, None) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        got = QUERIES["female_population_colocated"](spark, SF_SMALL)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 2, plan
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 3, plan
+        want = QUERIES["female_population"](spark, SF_SMALL)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_buckets_follow_the_rows(spark):
+    from footfall.sources.colocated import buckets_for
+
+    assert buckets_for(spark.range(10)) == 8
+    assert buckets_for(spark.range(1000), bucket_rows=10) == 128 and buckets_for(spark.range(0), least=1) == 1
