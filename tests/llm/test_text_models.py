@@ -253,6 +253,42 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert (docs.held_out == docs.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)).all()
 
 
+def slow_prediction(model, text):
+    """Language and probability of a text: grams listed one by one, their rows averaged, softmax by math.exp."""
+    raw = b" " + text.lower().encode() + b" "
+    rows = []
+    for n in li.GRAMS:
+        for i in range(len(raw) - n + 1):
+            key = int.from_bytes(bytes([n]) + raw[i:i + n], "big") * 0x9E3779B97F4A7C15 % 2**64
+            rows.append(model.table[key >> (64 - li.BUCKETS.bit_length() + 1)])
+    logits = [(math.fsum(float(r[k]) for r in rows) / len(rows) + float(model.bias[k])) / model.temperature for k in range(len(model.langs))]
+    odds = [math.exp(x - max(logits)) for x in logits]
+    best = max(range(len(odds)), key=odds.__getitem__)
+    return model.langs[best], odds[best] / sum(odds)
+
+
+def test_predictions_against_a_brute_force(spark, awkward):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    model = li.fit_languages(docs, fold("doc_id", 4) != 2)
+    for rows in (docs.orderBy("doc_id").limit(60), awkward.where("doc_id < 100 OR doc_id > 105")):
+        for r in li.with_language(spark, rows.select("doc_id", "text"), model).collect():
+            if r["text"] is None or not any(c.isalpha() for c in r["text"]):
+                assert (r["lang_pred"], r["score"], r["accepted"]) == ("und", 0.0, False)
+                continue
+            lang, p = slow_prediction(model, r["text"])
+            assert r["lang_pred"] == lang and math.isclose(r["score"], p, rel_tol=1e-9), r["doc_id"]
+            assert r["accepted"] == (r["score"] >= model.threshold)
+
+
+def test_the_layer_over_averaged_embeddings_is_the_folded_table():
+    rng = np.random.default_rng(3)
+    emb, layer = rng.normal(size=(li.BUCKETS, li.DIM)), rng.normal(size=(3, li.DIM))
+    model = li.LangModel(["a", "b", "c"], emb @ layer.T, np.array([0.1, 0.2, 0.3]))
+    for data in (b"one text", "zwei Wörter".encode(), b"x"):
+        ids = np.concatenate(list(li.gram_buckets(data)))
+        assert np.allclose(model.logits(data), layer @ emb[ids].mean(axis=0) + model.bias)
+
+
 def test_language_on_awkward_rows(spark, awkward, clashing, empty):
     model = li.fit_languages(awkward, F.lit(True))
     got = li.with_language(spark, awkward.select("doc_id", "text"), model).collect()
