@@ -129,7 +129,7 @@ def as_messages(conversations: DataFrame) -> DataFrame:
     """Plain conversations (conv_id, turn, role, text) as trees without side branches."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = conversations.select("conv_id", "role", "text", F.row_number().over(order).alias("place"))
-    name = F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))
+    name = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))     # no id is named like the null one
     return rows.select(
         F.col("conv_id").alias("tree_id"), F.concat_ws(":", name, "place").alias("node_id"),
         F.when(F.col("place") > 1, F.concat_ws(":", name, F.col("place") - 1)).alias("parent_id"),
