@@ -22,6 +22,10 @@ markup. A container that a word condemns stays if it holds the page's main eleme
 Words that also name sections of a text (related, discussion) count only where half the container's
 text is in links; so do all words inside article, but for tokens of adverts and comments. An article element
 is dropped only as a reader's comment. Header elements and words count outside article and main.
+
+Boxes whose names say nothing are told by their host: a container outside article elements, with at most a quarter
+(``NAMED``) of the text of the page's vote, goes with its text where that very text stands under that path on at least ``REPEATED``
+different pages of the host and on ``SHARE`` of them. Equal pages count once, so copies of a page say nothing.
 Nothing else is dropped: no heading, paragraph or inline element by its words, and no hidden text.
 
 A page's paths are numbered, each with its parent, and sums go from child to parent in one pass, so the time
@@ -34,6 +38,7 @@ tag at the end is dropped; references without a meaning stay as they are; other
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
@@ -49,6 +54,8 @@ from footfall.llm.common import written
 SHARE = 0.2
 #: A container holds the main text when it has this share of the page's; article and main at less.
 MAIN, NAMED = 0.75, 0.25
+#: Different pages of a host that a box's text must stand on before it counts as the host's.
+REPEATED = 5
 #: Text beside a path belongs to it when less than this share of it is in links.
 BESIDE = 0.3
 
@@ -405,9 +412,43 @@ def chosen_path(sums: Sums, winners: list[str], usual: dict[str, float]) -> int
     return max(as_usual, key=lambda w: (scores[w], -w)) if as_usual else own
 
 
-def main_text(html: str, winners: list[str], usual: dict[str, float] | None = None) -> str:
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def small_boxes(sums: Sums, blocks: list[tuple[int, str, int]]) -> dict[int, tuple[int, int]]:
+    """Digests of path and text of each container that may be the host's: outside article elements, not around the page's vote, and with
+    at most ``NAMED`` of its text. Of containers around the same text the outermost counts."""
+    paths, sizes, vote = sums.paths, sums.sizes, best_path(sums)
+    if vote is None:
+        return {}
+    article = paths.within([p for p in range(1, len(paths)) if paths.step[p].partition(".")[0] == "article"]) if any(paths.named) else None
+    around, most = paths.around(vote), NAMED * sizes[vote]
+    small = [0 < sizes[p] <= most and p not in around and not (article and article[p]) for p in range(len(paths))]
+    if not any(small):
+        return {}
+    names, texts = [0] * len(paths), [0] * len(paths)
+    for p in range(1, len(paths)):
+        names[p] = _digest(f"{names[paths.parent[p]]}>{paths.step[p]}")
+    for at, text, _ in blocks:
+        if small[at]:
+            texts[at] += _digest(text)
+    for p in range(len(paths) - 1, 0, -1):
+        texts[paths.parent[p]] += texts[p]
+    whole = 1 << 64
+    return {p: (names[p], (texts[p] + whole // 2) % whole - whole // 2) for p in range(1, len(paths))
+            if small[p] and not (small[paths.parent[p]] and sizes[paths.parent[p]] == sizes[p])}
+
+
+def main_text(html: str, winners: list[str], usual: dict[str, float] | None = None,
+              repeated: frozenset[tuple[int, int]] = frozenset()) -> str:
+    """``repeated``: digests of path and text of the boxes that the host repeats."""
     paths, blocks = parsed(html)
     sums = container_sums(paths, blocks)
+    if repeated:
+        gone = paths.within([p for p, box in small_boxes(sums, blocks).items() if box in repeated])
+        blocks = [b for b in blocks if not gone[b[0]]]
+        sums = container_sums(paths, blocks)
     path = chosen_path(sums, winners, usual or {})
     if path is None:
         return ""
@@ -422,43 +463,58 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("__host", F.lower(host))
 
 
-def host_paths(spark: SparkSession, pages: DataFrame, share: float = SHARE) -> DataFrame:
-    """(__host, __paths): the winning paths of each host of ``pages`` (__host, html), each with the mean
-    ``_bits`` of its votes, as a table of its own: a join with it reads two plain exchanges, and a host with a third of all pages can be split."""
+def page_votes(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """One row for each row of ``pages`` (__host, html), as a table: host, page (a digest of the html), path and bits of its vote (null
+    without text), and ``boxes``, the digests of the containers that may be the host's."""
+    schema = "host string, page long, path string, bits long, boxes array<struct<path:bigint,text:bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        box = pa.list_(pa.struct([("path", pa.int64()), ("text", pa.int64())]))
         for b in batches:
-            names, bits = [], []
+            names, bits, boxes = [], [], []
             for t in b.column("html"):
-                sums = container_sums(*parsed(t.as_py() or ""))
+                paths, blocks = parsed(t.as_py() or "")
+                sums = container_sums(paths, blocks)
                 vote = best_path(sums)
-                names.append(None if vote is None else sums.paths.text(vote))
+                names.append(None if vote is None else paths.text(vote))
                 bits.append(None if vote is None else _bits(sums.scores[vote]))
-            yield pa.RecordBatch.from_pydict({"host": b.column("__host"), "path": pa.array(names, pa.string()),
-                                              "bits": pa.array(bits, pa.int64())})
-
-    votes = pages.select("__host", "html").mapInArrow(run, "host string, path string, bits long").where("path IS NOT NULL")
-    sums = votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("bits").alias("bits"))
-    counted = written(spark, sums, "votes")
-    whole = counted.groupBy("host").agg(F.sum("n").alias("pages"))
-    won = counted.join(whole, "host").where(F.col("n") >= share * F.col("pages"))
+                boxes.append([{"path": p, "text": x} for p, x in small_boxes(sums, blocks).values()])
+            yield pa.RecordBatch.from_pydict({"host": b.column("__host"), "page": b.column("__page"), "path": pa.array(names, pa.string()),
+                                              "bits": pa.array(bits, pa.int64()), "boxes": pa.array(boxes, box)})
+
+    return written(spark, pages.select("__host", F.xxhash64("html").alias("__page"), "html").mapInArrow(run, schema), "votes")
+
+
+def host_paths(spark: SparkSession, pages: DataFrame, share: float = SHARE) -> DataFrame:
+    """(__host, __paths, __boxes): the winning paths of each host of ``pages`` (__host, html), each with the mean ``_bits`` of its
+    votes, and the boxes that the host repeats. Both lists are bounded by the share: 1 / share paths, and 1 / share times the boxes
+    of a page. It is a table of its own: a join with it reads two plain exchanges, and a host with a third of all pages can be split."""
+    votes = page_votes(spark, pages)
+    sums = votes.where("path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("bits").alias("bits"))
+    whole = sums.groupBy("host").agg(F.sum("n").alias("pages"))
+    won = sums.join(whole, "host").where(F.col("n") >= share * F.col("pages"))
     path = F.struct("path", (F.col("bits") / F.col("n")).alias("usual"))
     paths = won.groupBy(F.col("host").alias("__host")).agg(F.sort_array(F.collect_list(path)).alias("__paths"))
-    return written(spark, paths, "host-paths")
+    different = votes.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    held = votes.select("host", "page", F.explode("boxes").alias("box")).distinct().groupBy("host", "box").agg(F.count("*").alias("n"))
+    often = held.where(F.col("n") >= REPEATED).join(different, "host").where(F.col("n") >= share * F.col("pages"))
+    boxes = often.groupBy(F.col("host").alias("__host")).agg(F.sort_array(F.collect_list("box")).alias("__boxes"))
+    return written(spark, paths.join(boxes, "__host", "full"), "host-paths")
 
 
 def extracted(spark: SparkSession, pages: DataFrame, share: float = SHARE) -> DataFrame:
     """One row for each row of ``pages`` (page_id, url, html): page_id, url, text, n_chars."""
     rows = with_host(pages.select("page_id", "url", "html"))
-    both = rows.join(host_paths(spark, rows, share), "__host", "left").select("page_id", "url", "html", "__paths")
+    both = rows.join(host_paths(spark, rows, share), "__host", "left").select("page_id", "url", "html", "__paths", "__boxes")
     schema = both.select("page_id", "url", F.lit("").alias("text")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = []
-            for t, p in zip(b.column("html"), b.column("__paths")):
-                usual = {x["path"]: x["usual"] for x in p.as_py() or ()}
-                texts.append(main_text(t.as_py() or "", list(usual), usual))
+            for t, p, x in zip(b.column("html"), b.column("__paths"), b.column("__boxes")):
+                usual = {w["path"]: w["usual"] for w in p.as_py() or ()}
+                repeated = frozenset((w["path"], w["text"]) for w in x.as_py() or ())
+                texts.append(main_text(t.as_py() or "", list(usual), usual, repeated))
             yield pa.RecordBatch.from_pydict({"page_id": b.column("page_id"), "url": b.column("url"), "text": pa.array(texts, pa.string())})
 
     return both.mapInArrow(run, schema).withColumn("n_chars", F.length("text").cast("long"))

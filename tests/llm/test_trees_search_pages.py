@@ -1,6 +1,7 @@
 """Reply trees, exact top-k search and HTML extraction."""
 
 import html as entities
+from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import duckdb
@@ -63,6 +64,14 @@ def test_texts_come_back_from_the_format(spark):
     assert rt.formatted_paths(spark, rt.as_messages(df.limit(0))).count() == 0
 
 
+def test_a_null_id_shares_nothing_with_an_id_named_null(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), ("null", 0, "user", "c"), ("null", 1, "assistant", "d"), ("", 0, "user", "e"), ("=", 0, "user", "f")]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    got = rt.read_back(rt.formatted_paths(spark, rt.as_messages(df))).collect()
+    assert {r["tree_id"]: [t["text"] for t in r["turns"]] for r in got} == {None: ["a", "b"], "null": ["c", "d"], "": ["e"], "=": ["f"]}
+    assert len(got) == 4
+
+
 def test_null_and_repeated_rows(spark):
     rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (5, 0, "user", "same"), (5, 0, "user", "same")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS score", "2 AS leaf")
@@ -341,6 +350,67 @@ def test_templates_without_article_on_hot_and_mixed_hosts(spark):
     assert {r["page_id"]: r["text"] for r in got} == want and len(got) == len(rows)
 
 
+UNNAMED = '<div class=zone-a><p>{note}</p></div>'
+
+
+def hosts_with_boxes() -> tuple[list[tuple], dict[int, str]]:
+    """Pages without article whose hosts put prose in boxes that no word names; and the text of each."""
+    rows, want = [], {}
+    def page(host, story, box):
+        i = len(rows)
+        rows.append((i, f"https://{host}/{i}", f"<body><div class=col><div class=story>{story}</div>{box}</div></body>"))
+        return i
+    for n in range(40):                                    # a hot host: the same prose beside every text
+        body = f"Text {n} of the hot host, " + "said at some length " * 12 + "end."
+        want[page("hot.example", f"<p>{body}</p>", UNNAMED.format(note="We are a small paper and live from what readers give us."))] = body
+    for n in range(12):                                    # a mixed host: every page has a note of its own in the same box
+        body, note = f"Text {n} of another host, " + "with words of its own " * 12 + "end.", f"Note {n}, which belongs to the text."
+        want[page("mixed.example", f"<p>{body}</p>", UNNAMED.format(note=note))] = f"{body}\n\n{note}"
+    same = "One text with its note, " + "copied many times over " * 12 + "end."
+    for _ in range(9):                                     # copies of one page say nothing about their host
+        want[page("copies.example", f"<p>{same}</p>", UNNAMED.format(note="Its own note."))] = f"{same}\n\nIts own note."
+    for n in range(9):                                     # most of the text is the same on all pages: it stays
+        want[page("forms.example", f"<p>{same}</p>", f"<div class=when><p>Day {n}</p></div>")] = f"{same}\n\nDay {n}"
+    for n in range(4):                                     # too few pages to tell
+        body = f"Text {n} of a small host, " + "said at some length " * 12 + "end."
+        want[page("small.example", f"<p>{body}</p>", UNNAMED.format(note="A line.")) ] = f"{body}\n\nA line."
+    for n in range(9):                                     # inside an article element a repeated box is the article's
+        body = f"Article {n}, " + "said at some length " * 12 + "end."
+        i = page("articles.example", "", "")
+        rows[i] = (i, rows[i][1], f"<article><p>{body}</p>{UNNAMED.format(note='Part of a series.')}</article>")
+        want[i] = f"{body}\n\nPart of a series."
+    return rows, want
+
+
+def test_boxes_that_a_host_repeats_go(spark):
+    rows, want = hosts_with_boxes()
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = hc.extracted(spark, df).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want and len(got) == len(rows)
+    alone = hc.extracted(spark, df.where("page_id = 0")).first()["text"]
+    assert alone != want[0]                                # it is the host's other pages that tell
+
+
+def test_repeated_boxes_against_a_brute_force(spark):
+    """Counts of every box by plain dictionaries over the boxes' texts, without digests."""
+    rows, _ = hosts_with_boxes()
+    pages = defaultdict(set)
+    seen = defaultdict(set)
+    for _, url, html in rows:
+        host = url.split("/")[2]
+        pages[host].add(html)
+        paths, blocks = hc.parsed(html)
+        sums = hc.container_sums(paths, blocks)
+        for p in hc.small_boxes(sums, blocks):
+            inside = paths.within([p])
+            seen[host, paths.text(p), tuple(t for at, t, _ in blocks if inside[at])].add(html)
+    slow = sorted((h, len(at)) for (h, _, _), at in seen.items() if len(at) >= max(hc.REPEATED, hc.SHARE * len(pages[h])))
+    df = hc.with_host(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r["__host"]: len(r["__boxes"] or ()) for r in hc.host_paths(spark, df).collect()}
+    assert {h: n for h, n in got.items() if n} == dict(Counter(h for h, _ in slow)) == {"hot.example": 1}
+    assert set(got) == set(pages)
+
+
 def test_nesting_takes_linear_time():
     import time
     for shell in ("<div>", "<div class=a>", "<div class=comments>", "<section id=related><p>x</p>", "<b role=note>"):
@@ -348,3 +418,7 @@ def test_nesting_takes_linear_time():
         hc.main_text(shell * 20_000 + "text" + "</i>" * 20_000 + "</div>" * 20_000, [""])
         assert time.process_time() - start < 8, shell
     assert hc.main_text("<div>" * 20_000 + "text", []) == "text"
+    start = time.process_time()
+    deep = f"<p>{LONG}</p>" + "<section><p>x</p>" * 10_000
+    assert hc.main_text(deep, [], None, frozenset({(0, 0)})).startswith(LONG.strip())
+    assert time.process_time() - start < 8
