@@ -273,10 +273,10 @@ def mix_plan(spark: SparkSession, docs: DataFrame, weights: Sequence[float] = WE
 
 def mix_summary(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, and
-    where the taken words went: n_shards, and first_shard and first_slot of the first of them (null if none)."""
+    where the taken words went: n_shards, and first_shard and first_slot of the first of them in the text (null if none)."""
     plan = mix_plan(spark, identified(spark, docs, "mix-docs"), **options)
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["begin"])
-    first = F.array_min(F.transform("pieces", lambda p: F.struct(p["shard"], p["slot"])))
+    first = F.get("pieces", F.lit(0))                  # pieces lie by epoch and begin
     return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"),
                        F.size(F.array_distinct("pieces.shard")).cast("long").alias("n_shards"),
                        first["shard"].alias("first_shard"), first["slot"].alias("first_slot"))
@@ -328,11 +328,13 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     """The mix by document: for each row and each pass that takes words of it one row with the same
     columns. A row that a pass takes whole keeps its text; otherwise the taken runs of words are
     joined by line ends. Rows of which nothing is taken are not in the mix. Rows lie in the order of the shard and
-    slot of their first block, in runs of ``_RUN_SLOTS`` slots, so that a shard is more than one task."""
+    slot of the block with their first taken words, in runs of ``_RUN_SLOTS`` slots, so that a shard is more than one task. The
+    first words of a text are as likely in one slot as in another however long it is; the least of all its slots would put
+    the long texts together at the front of the first shard."""
     rows = identified(spark, docs, "mix-docs")
     plan = mix_plan(spark, rows, **options).select(UID, "size", F.explode("pieces").alias("p"))
     runs = plan.groupBy(UID, "p.epoch", "size").agg(F.sort_array(F.collect_list(F.struct("p.begin", "p.end"))).alias("__runs"),
-                                                    F.min(F.struct("p.shard", "p.slot")).alias("__place"))
+                                                    F.min(F.struct("p.begin", "p.shard", "p.slot")).alias("__place"))
     whole = F.aggregate("__runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"]) == F.col("size")
     runs = runs.select(UID, F.when(~whole, F.col("__runs")).alias("__runs"), "__place")
     cut = _cut_texts(rows.join(runs, UID))

@@ -166,6 +166,19 @@ def test_documents_lie_in_shard_and_slot_order(spark, awkward):
     assert places and all(p == sorted(p) for p in places.values())
 
 
+def test_long_documents_lie_among_the_short_ones(spark, awkward):
+    words = " ".join(f"w{i}" for i in range(3000))
+    docs = spark.createDataFrame([(i, words if i % 10 == 0 else words[i:i + 60], "en", "ab"[i % 2], None) for i in range(400)], awkward.schema)
+    options = {"block_words": 16}
+    got = mx.mix_summary(spark, docs, **options).toPandas()
+    got = got[got.taken > 0].sort_values(["first_shard", "first_slot"]).reset_index(drop=True)
+    ranks = got.index[got["size"] == 3000] / len(got)
+    assert len(ranks) > 30 and 0.3 < ranks.to_numpy().mean() < 0.7 and ranks.max() > 0.8
+    rows = [len(r["text"]) for r in mx.mixed_documents(spark, docs, **options).select("text").collect()]
+    tenths = [sum(x) for x in np.array_split(np.array(rows), 10)]
+    assert max(tenths) < 0.4 * sum(rows)
+
+
 def test_rows_of_a_generator_have_identities_of_their_own(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/ids")
     read = spark.read.parquet(f"{tmp_path}/ids")
