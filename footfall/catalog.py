@@ -223,19 +223,14 @@ def _damaged_feed(spark, sf_dir, path):
     cell = F.floor(F.col("x_coord") / 50) % 10
     line = (F.when(cell == SHORT_CELL, F.concat_ws("|", *fields[:-10])).when(cell == LONG_CELL, F.concat_ws("|", *fields, F.lit("more")))
             .otherwise(F.concat_ws("|", *fields)))
-    header = F.lit("|".join(names))
-    # one header a file, as the feeds have it: the files are months
-    months = feed.select(F.substring("std_ymd", 1, 6).alias("month"), line.alias("line"), F.lit(1).alias("place"))
-    heads = months.select("month").distinct().select("month", header.alias("line"), F.lit(0).alias("place"))
-    months.unionByName(heads).repartition("month").sortWithinPartitions("month", "place").select("month", F.col("line").alias("value")) \
-        .write.partitionBy("month").text(path)
+    feeds.write_lines(feed.select(line.alias("line")), "|".join(names), path)
 
 
 def q_feed_reconciled(spark, sf_dir):
     run = named_scope(spark, "feed-reconciled", sf_dir)
     path = run.path("damaged")
     _damaged_feed(spark, sf_dir, path)
-    read = feeds.reconciled_feed(spark, f"{path}/*/*.txt", feeds.TIME_POP_SCHEMA, run.path("quarantine"))
+    read = feeds.reconciled_feed(spark, f"{path}/*.csv", feeds.TIME_POP_SCHEMA, run.path("quarantine"))
     return present(feeds.typed(read, feeds.TIME_VALUES, "double", COORD))
 
 
@@ -244,7 +239,7 @@ def q_feed_quarantine(spark, sf_dir):
     run = named_scope(spark, "feed-quarantine", sf_dir)
     path, quarantine = run.path("damaged"), run.path("quarantine")
     _damaged_feed(spark, sf_dir, path)
-    feeds.reconciled_feed(spark, f"{path}/*/*.txt", feeds.TIME_POP_SCHEMA, quarantine)
+    feeds.reconciled_feed(spark, f"{path}/*.csv", feeds.TIME_POP_SCHEMA, quarantine)
     bad = spark.read.parquet(quarantine)
     return bad.groupBy(F.substring("line", 1, 8).alias("std_ymd"), "fields").agg(F.count(F.lit(1)).alias("n_lines"))
 

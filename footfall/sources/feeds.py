@@ -75,6 +75,14 @@ def typed(df: DataFrame, values: list[str], value_type: str, coord_type: str) ->
     return df.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
 
+def write_lines(df: DataFrame, header: str, path: str) -> None:
+    """Write whole lines (the only column of ``df``, none empty or null) as they are, under a header a file. Each task
+    writes its lines as they come: a feed in parts, neither dealt by month nor sorted."""
+    # a CSV of one column that is named like the header, with a separator and a quote that no line has
+    plain = {"sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.toDF(header).write.mode("overwrite").options(header=True, **plain).csv(path)
+
+
 def write_feed(df: DataFrame, path: str) -> None:
     """Write a feed as '|'-separated text with a header (how the feeds arrive)."""
     df.write.mode("overwrite").option("sep", "|").option("header", True).csv(path)

@@ -26,6 +26,10 @@ DEC_MONEY = "decimal(18,2)"
 EVENT_KIND = {"view": "h", "click": "w", "purchase": "v", "signup": "h", "error": "w"}
 
 
+#: Rows of the long feeds for each task that makes wide rows of them: at most so many wide rows in its tables.
+PIVOT_ROWS = 100_000
+
+
 def _dec(text: str) -> Column:
     return F.lit(Decimal(text))
 
@@ -45,9 +49,8 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     if key not in _STORED:
         path = scratch_path(spark, f"fx-{name}")
         df = build(spark, sf_dir)
-        # several files, like a feed that arrives in parts, so later scans split across tasks
-        parts = int(spark.sparkContext.defaultParallelism)
-        df.repartition(parts).write.parquet(path)
+        # a file for each task of the aggregate, like a feed that arrives in parts: later scans split across tasks
+        df.write.parquet(path)
         _STORED[key] = (path, df.schema)
     path, schema = _STORED[key]
     return spark.read.schema(schema).parquet(path)
@@ -118,10 +121,14 @@ def _pivot_sum(long_df: DataFrame, keys: list[str], label: Column, names: list[s
     cents = long_df.groupBy(*keys, label.alias("_label")).agg(
         F.sum((F.col("v") * 100).cast("long")).alias("_cents")
     )
-    wide = cents.groupBy(*keys).pivot("_label", names).agg(F.first("_cents"))
+    # dealt by the keys while narrow, so wide rows are made where they stay; a task's wide rows are as many at every size
+    dealt = cents.repartition(max(long_df.sparkSession.sparkContext.defaultParallelism, -(-long_df.count() // PIVOT_ROWS)), *keys)
+    wide = dealt.groupBy(*keys).pivot("_label", names).agg(F.first("_cents"))
+    zero = F.lit(0).cast(DEC_MONEY)
     return wide.select(
         *keys,
-        *[(F.coalesce(F.col(n), F.lit(0)).cast("decimal(20,0)") / 100).cast(DEC_MONEY).alias(n) for n in names],
+        # times 0.01, which is exact: a division of decimals costs several times as much
+        *[F.coalesce((F.col(n).cast("decimal(20,0)") * _dec("0.01")).cast(DEC_MONEY), zero).alias(n) for n in names],
         F.lit("B").alias("block_cd"),
     )
 

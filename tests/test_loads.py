@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from footfall import jobs
+from footfall import catalog, jobs
 from footfall.operators.ids import assign_sequential_ids
 from footfall.operators.skew import heavy_keys
 from footfall.scratch import scope
 from footfall.sources import feeds
+from footfall.sources import fixtures as fx
 
 ORDERS = "cust_id long, ordr_de date, ordr_key long, pt_stdr_ym string"
 
@@ -147,6 +148,34 @@ def test_malformed_lines_are_kept_apart(spark, run):
         feeds.read_feed(spark, path, feeds.TIME_POP_SCHEMA).select("hcode").collect()
 
 
+def test_damaged_feed_has_no_task_for_a_month(spark, run, monkeypatch):
+    # one month, its rows in many parts: no part waits for another, and every file begins with the header
+    names = [f.name for f in feeds.TIME_POP_SCHEMA.fields]
+    rows = spark.range(0, 400, 1, 6).select(
+        F.lit("20240101").alias("std_ymd"), F.lit("2823751000").alias("hcode"),
+        (F.col("id") * 50).cast("decimal(18,6)").alias("x_coord"), F.lit(1).cast("decimal(18,6)").alias("y_coord"),
+        *[F.col("id").cast("decimal(18,2)").alias(c) for c in feeds.TIME_VALUES], F.lit(None).cast("string").alias("block_cd"))
+    monkeypatch.setattr(catalog, "_time_pop", lambda spark, sf_dir: rows)
+    path = run.path("damaged")
+    catalog._damaged_feed(spark, "", path)
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", F.col("_metadata.file_name").alias("f"))
+    per_file = lines.groupBy("f").agg(F.count_if(F.col("value") == "|".join(names)).alias("heads"), F.count("*").alias("n")).collect()
+    assert [r.heads for r in per_file] == [1] * 6 and max(r.n for r in per_file) < 100
+    read = feeds.reconciled_feed(spark, f"{path}/*.csv", feeds.TIME_POP_SCHEMA, run.path("quarantine"))
+    assert {len(r) for r in read.collect()} == {77} and read.count() == 320
+    assert read.where("x_coord = '100.000000'").select("v_t_23", "block_cd").collect() == [("0.25000", None)]
+
+
+def test_wide_feeds_are_dealt_by_their_rows(spark, monkeypatch):
+    # a task makes so many wide rows at most: more events are dealt to more tasks
+    monkeypatch.setattr(fx, "PIVOT_ROWS", 20)
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    feed = fx.fx_time_pop(spark, SF_SMALL)
+    assert feed.rdd.getNumPartitions() == -(-n // 20) > 8
+    monkeypatch.setattr(fx, "PIVOT_ROWS", 1 << 40)
+    assert sorted(feed.collect()) == sorted(fx.fx_time_pop(spark, SF_SMALL).collect())
+
+
 @pytest.mark.parametrize("cells", [[(r, 0) for r in range(300)], [(0, c) for c in range(300)], [(r % 40, r // 40 + r % 3 * 100) for r in range(280)], []])
 def test_ids_over_range_partitions(spark, run, cells):
     df = spark.createDataFrame(cells, "row_no int, clm_no int").repartition(5)
