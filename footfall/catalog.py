@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,7 +203,8 @@ COORD = "decimal(18,6)"  # as in the grid dimension, so that centres compare equ
 
 def _eighths(feed, values):
     """The feed with its counts divided by eight: values of five decimals, some of them below one."""
-    return feed.select(*[(F.col(c) / 8).cast("decimal(24,5)").alias(c) if c in values else F.col(c) for c in feed.columns])
+    eighth = F.lit(Decimal("0.125"))     # exact at five decimals, and far cheaper than dividing decimals
+    return feed.select(*[(F.col(c) * eighth).cast("decimal(24,5)").alias(c) if c in values else F.col(c) for c in feed.columns])
 
 
 def q_csv_feed(spark, sf_dir):

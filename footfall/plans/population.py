@@ -150,16 +150,16 @@ def female_population(time_feed: DataFrame, sex_age: DataFrame, grid: DataFrame,
 
     Per hour: sum over kinds of population x female share. Rows need a grid cell
     (same district), a sex/age row, an hour that passes the non-zero test, and a
-    non-NULL, non-zero result. Joins run on the wide rows before the hour stack.
+    non-NULL, non-zero result. Joins run on the wide rows before the hour stack, and the grid is joined to the
+    narrow shares, so the wide rows are shuffled and sorted for one join, not for two.
 
     The 72 hour columns become one array of hours, and the 42 counts three shares, right after the scan,
     so whatever the feeds are (parquet, casts of a CSV's text) the plan above carries a handful of
     columns, and planning does not slow down with their number.
     """
-    feed = in_districts(time_feed, codes)
-    with_cell = attach_cell_xy(hours_packed(feed, FEED_KEYS), grid)
-    shares = female_shares(in_districts(sex_age, codes))
-    wide = with_cell.join(shares, FEED_KEYS, "inner")
+    feed = hours_packed(in_districts(time_feed, codes), FEED_KEYS)
+    shares = attach_cell_xy(female_shares(in_districts(sex_age, codes)), grid)
+    wide = feed.join(shares, FEED_KEYS, "inner")
     hourly = wide.select(*FEED_KEYS, "grid_id", *[f"{k}_fml_r" for k in KINDS], F.explode("_hours").alias("_hour")).select(
         *FEED_KEYS, "grid_id", *[f"{k}_fml_r" for k in KINDS], "_hour.*")
     hourly = nonzero_population(hourly, exact_zero)

@@ -47,3 +47,18 @@ def test_hour_stack_comes_after_the_joins(static_plans):
 def test_district_prefix_reaches_the_scan(static_plans):
     text = plan_text(po.in_districts(_time_pop(static_plans, SF_SMALL), ["28237"]))
     assert "StringStartsWith(hcode,28237)" in text
+
+
+def test_wide_hours_are_joined_once(spark):
+    """The grid is joined to the narrow shares: between the scan and the hour stack, the packed hours pass one join."""
+    feeds = [spark.createDataFrame([], ", ".join(f"{c} {'decimal(18,6)' if 'coord' in c else 'string' if c in po.FEED_KEYS else 'double'}"
+                                                 for c in [*po.FEED_KEYS, *values])) for values in (fx.HOUR_COLUMNS, fx.SEX_AGE_COLUMNS)]
+    grid = spark.createDataFrame([], "grid_id string, mtr_no string, cnt_x_crd decimal(18,6), cnt_y_crd decimal(18,6), admd_cd string")
+    lines = po.female_population(*feeds, grid)._jdf.queryExecution().analyzed().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    at = next(i for i, x in enumerate(lines) if "AS _hours" in x)
+    joins, top = 0, depth[at]
+    for i in range(at, -1, -1):
+        if depth[i] < top:
+            joins, top = joins + ("Join" in lines[i]), depth[i]
+    assert joins == 1
