@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from footfall.constants import FACT_COLUMNS
+from footfall.constants import FACT_COLUMNS, HOURS
 from footfall.plans import intake as ik
 from footfall.scratch import scope
 from footfall.sinks import append, overwrite_partitions_table, path_exists, swap_partitions
@@ -214,8 +214,11 @@ def run_grid_intake(spark: SparkSession, source_path: str, source_schema: Struct
 
         with job_step(spark, "grid-intake", "write month facts"):
             grid_now = spark.read.parquet(grid_path).select("mtr_no", "grid_id")
-            rejoined = cell_days.drop("grid_id").join(grid_now, "mtr_no", "left")
-            facts = ik.grid_population_bounded(rejoined).where(F.col("grid_id").isNotNull())
-            written = swap_partitions(own.table(facts.select(*FACT_COLUMNS), "facts"), fact_path, found, PARTITION)
+            known = cell_days.drop("grid_id").join(grid_now, "mtr_no", "left").where(F.col("grid_id").isNotNull())
+            facts = ik.grid_population_bounded(known)
+            # the facts are made once, where they are written; each cell-day is one fact an hour
+            month = F.substring("stdr_de", 1, 6).alias(PARTITION)
+            counts = known.groupBy(month).agg(F.count(F.lit(1)) * len(HOURS))
+            written = swap_partitions(facts.select(*FACT_COLUMNS), fact_path, found, PARTITION, counts)
         ledger.note(source_path, written)
     return {"months": len(found), "new_cells": n_new}

@@ -50,12 +50,15 @@ def drop_partition(spark: SparkSession, path: str, partition_col: str, value: st
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def swap_partitions(df: DataFrame, path: str, values: list[str], partition_col: str = "pt_stdr_ym") -> dict[str, int]:
+def swap_partitions(df: DataFrame, path: str, values: list[str], partition_col: str = "pt_stdr_ym",
+                    counts: DataFrame | None = None) -> dict[str, int]:
     """Makes the partitions ``values`` of ``path`` hold exactly ``df``'s rows of them, also where there are none.
-    Returns the rows of each."""
+    Returns the rows of each. ``counts`` is (partition, rows) of ``df``, where they can be had without making its rows again."""
     overwrite_partitions(df, path, partition_col)
     spark, name = df.sparkSession, F.col(partition_col).cast("string")
-    rows = dict.fromkeys(values, 0) | {r[0]: r[1] for r in df.groupBy(name).count().collect()}        # one row per partition
+    if counts is None:
+        counts = df.groupBy(name).count()
+    rows = dict.fromkeys(values, 0) | {r[0]: r[1] for r in counts.collect()}        # one row per partition
     for v in values:
         if not rows[v]:
             drop_partition(spark, path, partition_col, v)

@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 from footfall import catalog, jobs
 from footfall.operators.ids import assign_sequential_ids
 from footfall.operators.skew import heavy_keys
-from footfall.scratch import scope
+from footfall.scratch import Scope, scope
 from footfall.sources import feeds
 from footfall.sources import fixtures as fx
 
@@ -267,3 +267,14 @@ def test_buckets_follow_the_rows(spark):
 
     assert buckets_for(spark.range(10)) == 8
     assert buckets_for(spark.range(1000), bucket_rows=10) == 128 and buckets_for(spark.range(0), least=1) == 1
+
+
+def test_grid_intake_makes_its_facts_once(spark, monkeypatch):
+    made, calls, table, run = [], [], Scope.table, jobs.run_grid_intake
+    monkeypatch.setattr(Scope, "table", lambda self, df, name: made.append(name) or table(self, df, name))
+    monkeypatch.setattr(jobs, "run_grid_intake", lambda *a: calls.append(a) or run(*a))
+    facts = catalog.q_grid_intake(spark, SF_SMALL)
+    assert "cell-days" in made and "facts" not in made        # 24 rows a cell-day are not stored beside the target
+    noted = jobs.ledger_of(spark, calls[0][3]).entries().select("month", "rows").collect()
+    written = facts.groupBy(jobs.PARTITION).count().collect()
+    assert noted and {tuple(r) for r in noted} == {tuple(r) for r in written}
