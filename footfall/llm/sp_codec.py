@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -159,6 +160,22 @@ def build_tokenizer(m: PieceModel):
     return tok
 
 
+class Grown:
+    """An array that is added to. Its room doubles, so what it holds is seldom copied."""
+
+    def __init__(self, kind: type) -> None:
+        self.room, self.n = np.empty(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        n = self.n + len(more)
+        if n > len(self.room):
+            room = np.empty(max(n, 2 * len(self.room)), self.room.dtype)
+            room[:self.n] = self.room[:self.n]
+            self.room = room
+        self.room[self.n:n] = more
+        self.n = n
+
+
 class Codec:
     """The rebuilt pipeline and the sentencepiece model of one model file.
 
@@ -189,8 +206,7 @@ class Codec:
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.ids, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.same = np.empty(0, bool)
+        self.ids, self.start, self.size, self.same = (Grown(k) for k in (np.int32, np.int64, np.int64, bool))
 
     def _as_library(self, groups: list[list[str]], found: list[np.ndarray]) -> list[bool]:
         """Whether the library has the same ids for the words of each group in a row. Before a word that stands alone goes
@@ -223,12 +239,12 @@ class Codec:
                 if not right and len(group) > 1:
                     each = self._as_library([[w] for w in group], np.split(ids, np.cumsum(size)[:-1]))
                 same += each
-        self.same = np.concatenate([self.same, np.array(same, bool)])
-        ids, sizes = [self.ids, *found], [self.size, *sizes]
-        for w in (w for g in groups for w in g):
-            self.index[w] = len(self.index)
-        self.ids, self.size = np.concatenate(ids), np.concatenate(sizes)
-        self.start = np.cumsum(self.size) - self.size
+        size = np.concatenate(sizes)
+        self.start.add(self.ids.n + np.cumsum(size) - size)
+        self.index.update(zip(chain.from_iterable(groups), range(self.size.n, self.size.n + len(size))))
+        self.size.add(size)
+        self.ids.add(np.concatenate(found))
+        self.same.add(np.array(same, bool))
 
     def _normal(self, text: str) -> str:
         m = self.model
@@ -242,21 +258,26 @@ class Codec:
             found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
             return *flat_ids(found), np.ones(len(texts), bool)
         words = [_WORDS.findall(self._normal(t)) for t in texts]
-        new = [w for w in dict.fromkeys(chain.from_iterable(words)) if w not in self.index]
+        n = np.array([len(w) for w in words], np.int64)
+        # the batch's own small table numbers its distinct words; only those are looked for in the large one
+        own: defaultdict[str, int] = defaultdict()
+        own.default_factory = own.__len__
+        place = np.fromiter(map(own.__getitem__, chain.from_iterable(words)), np.int64, int(n.sum()))
+        new = [w for w in own if w not in self.index]
         if len(self.index) + len(new) > MAX_WORDS:
             self._forget()
-            new = list(dict.fromkeys(chain.from_iterable(words)))
+            new = list(own)
         if new:
             self._learn(new)
-        n = np.array([len(w) for w in words], np.int64)
-        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, int(n.sum()))
-        size = self.size[at]
-        take = np.arange(size.sum()) + np.repeat(self.start[at] - (np.cumsum(size) - size), size)
-        ends = np.r_[0, np.cumsum(size)][np.cumsum(n)]
+        known = np.fromiter(map(self.index.__getitem__, own), np.int64, len(own))
+        size, start = self.size.room[known][place], self.start.room[known][place]
+        after = np.cumsum(size)
+        take = np.arange(size.sum()) + np.repeat(start - (after - size), size)
+        ends = np.r_[0, after][np.cumsum(n)]
         right = np.ones(len(texts), bool)
-        if self.checks_words:
-            right[np.repeat(np.arange(len(texts)), n)[~self.same[at]]] = False
-        return self.ids[take], np.diff(np.r_[0, ends]), right
+        if self.checks_words and not (same := self.same.room[known]).all():
+            right[np.repeat(np.arange(len(texts)), n)[~same[place]]] = False
+        return self.ids.room[take], np.diff(np.r_[0, ends]), right
 
     def checked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``encode`` with the library's ids for the texts that differ, and whether each did not."""

@@ -476,6 +476,30 @@ def test_ids_come_from_the_rebuilt_pipeline():
         codec.checked(texts)
 
 
+def test_words_are_looked_up_once_a_batch():
+    """The large table of words is asked for a batch's distinct words, not for each of its words; its arrays grow by doubling."""
+    codec = sp.Codec(sp._model_bytes(sp.MODEL_PATH))
+    texts = [sentence(i, 80) for i in range(30)]
+    first = codec.checked(texts)
+    asked = []
+
+    class Counting(dict):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    codec.index = Counting(codec.index)
+    again = codec.checked(texts * 10)
+    assert again[0].tolist() == first[0].tolist() * 10 and again[1].tolist() == first[1].tolist() * 10
+    assert len(asked) == len(set(asked)) == len(codec.index)
+    rooms = {id(codec.ids.room)}
+    for i in range(40):
+        codec.checked([f"w{i}x{j}y" for j in range(50)])
+        rooms.add(id(codec.ids.room))
+    assert len(rooms) < 10 and codec.size.n == codec.start.n == codec.same.n == len(codec.index)
+    assert codec.checked(texts)[0].tolist() == first[0].tolist()
+
+
 # ------------------------------------------------------------------ samples and weights
 
 def test_languages_of_many_copies_are_learnt(spark):
