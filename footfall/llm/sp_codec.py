@@ -23,7 +23,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -259,9 +259,9 @@ class Codec:
             return *flat_ids(found), np.ones(len(texts), bool)
         words = [_WORDS.findall(self._normal(t)) for t in texts]
         n = np.array([len(w) for w in words], np.int64)
-        # the batch's own small table numbers its distinct words; only those are looked for in the large one
-        own: defaultdict[str, int] = defaultdict()
-        own.default_factory = own.__len__
+        # the batch's own small table numbers its distinct words; only those are looked for in the large one. Its factory
+        # must not refer to the table: such a cycle keeps a batch's words until the garbage collector happens to run
+        own: defaultdict[str, int] = defaultdict(count().__next__)
         place = np.fromiter(map(own.__getitem__, chain.from_iterable(words)), np.int64, int(n.sum()))
         new = [w for w in own if w not in self.index]
         if len(self.index) + len(new) > MAX_WORDS:

@@ -1,5 +1,6 @@
 """Mixing, language model, language ID, personal data and SentencePiece."""
 
+import gc
 import math
 import re
 import zlib
@@ -476,6 +477,17 @@ def test_ids_come_from_the_rebuilt_pipeline():
         codec.checked(texts)
 
 
+def test_words_of_a_batch_go_with_it():
+    codec = sp.Codec(sp._model_bytes(sp.MODEL_PATH))
+    gc.disable()                                       # what only the collector frees stays
+    try:
+        codec.encode(["alpha quetzal beta", "quetzal gamma"])
+        held = [x for x in gc.get_objects() if isinstance(x, defaultdict) and f"{sp.MARK}quetzal" in x]
+    finally:
+        gc.enable()
+    assert not held and f"{sp.MARK}quetzal" in codec.index
+
+
 def test_words_are_looked_up_once_a_batch():
     """The large table of words is asked for a batch's distinct words, not for each of its words; its arrays grow by doubling."""
     codec = sp.Codec(sp._model_bytes(sp.MODEL_PATH))
