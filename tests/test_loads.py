@@ -262,6 +262,39 @@ def test_colocated_feeds_join_where_they_lie(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def small_feeds(spark):
+    """Hourly feed, sex/age feed and grid: one cell met twice, one on no grid, one without coordinates."""
+    cells = [("20240101", "2823751000", Decimal(x) if x else None, Decimal(y) if y else None)
+             for x, y in (("25", "25"), ("25", "25"), ("75", "25"), (None, "25"))]
+    coords = "std_ymd string, hcode string, x_coord decimal(18,6), y_coord decimal(18,6)"
+
+    def feed(rows, names, given):
+        return spark.createDataFrame([r + tuple(Decimal(given.get(n, 0)) for n in names) for r in rows],
+                                     ", ".join([coords, *(f"{n} decimal(18,2)" for n in names)]))
+
+    grid = spark.createDataFrame([("GRID000001", "0,0", Decimal(25), Decimal(25), "2823751000"), ("GRID000002", "0,2", None, Decimal(25), "2823751000")],
+                                 "grid_id string, mtr_no string, x_coord decimal(18,6), y_coord decimal(18,6), admd_cd string")
+    return {"time_pop": feed(cells, fx.HOUR_COLUMNS, {"h_t_07": 8, "w_t_07": 2, "v_t_23": 4}),
+            "sex_age": feed(cells[1:], fx.SEX_AGE_COLUMNS, {"h_w_10": 3, "h_m_20": 1, "w_w_70": 1, "w_m_70": 1}), "grid": grid}
+
+
+def test_feeds_are_merged_however_small_their_files(spark, run):
+    """A feed's compressed files say little of its rows in memory: feeds, stored or not, do not pass the driver."""
+    from footfall.plans import population as po
+    from footfall.sources import colocated
+
+    frames = small_feeds(spark)
+    kept = colocated.stored(spark, frames, run.path("cells"), f"merged_{run.folder.rpartition('/')[2].replace('-', '_')}", buckets=2)
+    centres = {"x_coord": "cnt_x_crd", "y_coord": "cnt_y_crd"}
+    want = [("20240101", "07", "GRID000001", 7.0, "28237")] * 2
+    for tables, merged in ((kept, 2), (frames, 1)):
+        got = po.female_population(tables["time_pop"], tables["sex_age"], tables["grid"].withColumnsRenamed(centres))
+        assert sorted(tuple(r) for r in got.collect()) == want
+        plan = got._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+        joins = [ln for ln in plan.split("\n") if "Join" in ln]
+        assert len(joins) == 2 and all("SortMergeJoin" in ln for ln in joins[:merged]), plan
+
+
 def test_buckets_follow_the_rows(spark):
     from footfall.sources.colocated import buckets_for
 
